@@ -8,6 +8,7 @@ the data happens to be partitioned.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -53,6 +54,25 @@ def spark_depths(depths) -> list[int]:
     return out
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a training frame once to the shared checkpoint folder and read it
+    back: every later fit, fold and evaluation scans the written table
+    instead of recomputing the feature lineage, and a lost executor costs a
+    re-read, not a recomputation."""
+    work_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _pmap(fn, items, parallelism: int):
+    """Run independent Spark fits from a few driver threads (Spark schedules
+    their jobs concurrently, like CrossValidator's ``parallelism``)."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 # ---------------------------------------------------------------------------
 # Folds and splits
 # ---------------------------------------------------------------------------
@@ -244,7 +264,7 @@ def prob1(col: str = "probability"):
 
 def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, key: str,
                   label: str = "label", num_trees: int = SURVIVAL_TREES_3Y,
-                  max_depth: int = 10, step: int = SWEEP_STEP) -> DataFrame:
+                  max_depth: int = 10, step: int = SWEEP_STEP, parallelism: int = 4) -> DataFrame:
     """M7: refit on the top-k features for k = step, 2 step, ..., n; score
     accuracy, kappa and F1 on a hash hold-out; ``best`` marks the highest F1,
     ties going to the larger k."""
@@ -253,20 +273,21 @@ def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, ke
     d = metrics.with_class_weights(df, label, "weight")
     train, test = hash_split(d, key)
     train, test = train.persist(), test.persist()
-    rows = []
     ks = list(range(step, len(features) + 1, step)) or [len(features)]
     if ks[-1] != len(features):
         ks.append(len(features))
+    def one(k):
+        chosen = top_features(imp, k)
+        pipe = Pipeline(stages=[assembler(chosen),
+                                rf_classifier(num_trees, label, "weight",
+                                              maxDepth=min(max_depth, SPARK_MAX_DEPTH))])
+        pred = pipe.fit(train).transform(test)
+        m = metrics.kappa_f1(pred, label, "prediction").first()
+        return (k, len(chosen), ",".join(chosen), float(m["accuracy"]),
+                float(m["kappa"]), float(m["f1"]))
+
     try:
-        for k in ks:
-            chosen = top_features(imp, k)
-            pipe = Pipeline(stages=[assembler(chosen),
-                                    rf_classifier(num_trees, label, "weight",
-                                                  maxDepth=min(max_depth, SPARK_MAX_DEPTH))])
-            pred = pipe.fit(train).transform(test)
-            m = metrics.kappa_f1(pred, label, "prediction").first()
-            rows.append((k, len(chosen), ",".join(chosen), float(m["accuracy"]),
-                         float(m["kappa"]), float(m["f1"])))
+        rows = _pmap(one, ks, parallelism)
     finally:
         train.unpersist()
         test.unpersist()
@@ -281,29 +302,30 @@ def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, ke
 # ---------------------------------------------------------------------------
 def out_of_fold(df: DataFrame, features: list[str], estimator, key: str, label: str = "label",
                 folds: int = EVALUATION_FOLDS, stratified: bool = True,
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, parallelism: int = 4) -> DataFrame:
     """M8: every row predicted by the model fitted on the other folds.
     Output: key, label, fold, prediction (+ ``p1`` for classifiers)."""
     d = (stratified_folds(df, key, label, folds) if stratified else hash_folds(df, key, folds))
     d = d.persist()
     keep = [c for c in (keep or []) if c not in (key, label, "fold")]
-    parts = []
+
+    def one(f):
+        pipe = Pipeline(stages=[assembler(features), estimator.copy()])
+        model = pipe.fit(d.where(F.col("fold") != f))
+        pred = model.transform(d.where(F.col("fold") == f))
+        cols = [key, label, "fold", *keep, "prediction"]
+        if "probability" in pred.columns:
+            pred = pred.withColumn("p1", prob1())
+            cols.append("p1")
+        return pred.select(*cols)
+
     try:
-        for f in range(folds):
-            pipe = Pipeline(stages=[assembler(features), estimator])
-            model = pipe.fit(d.where(F.col("fold") != f))
-            pred = model.transform(d.where(F.col("fold") == f))
-            cols = [key, label, "fold", *keep, "prediction"]
-            if "probability" in pred.columns:
-                pred = pred.withColumn("p1", prob1())
-                cols.append("p1")
-            parts.append(pred.select(*cols))
+        parts = _pmap(one, range(folds), parallelism)
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        # materialise in the shared folder so the d cache can be released
-        work_dir(d.sparkSession)
-        out = out.checkpoint(eager=True)
+        # materialise in the shared folder so the cached input can be released
+        out = materialize(out)
     finally:
         d.unpersist()
     return out

@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoscore.functions.geometry import rect_corners, ring_edges, side, sq_dist, tile, tile_range
-from geoscore.operators.joins import bounded_broadcast
-
-# Hulls (one per project) are broadcast to the cell side after a row check.
-MAX_BROADCAST_HULLS = 100_000
 
 
 # ---------------------------------------------------------------------------
@@ -203,27 +199,33 @@ def _centroid_np(h: np.ndarray) -> tuple[float, float]:
     return float(((x + xn) * c).sum() / (6 * area)), float(((y + yn) * c).sum() / (6 * area))
 
 
-def convex_hulls(points: DataFrame, group_col: str, x: str, y: str,
-                 salt_buckets: int = 64) -> DataFrame:
+def convex_hulls(points: DataFrame, group_col: str, x: str, y: str) -> DataFrame:
     """Convex hull and its centroid per group.
 
-    Level 1 hulls each ``(group, salt)`` slice (a hot group is spread over
-    ``salt_buckets`` tasks); level 2 hulls the union of the partial hull
-    vertices, which is small. Output: ``group, hull array<struct<x,y>>
-    (counter-clockwise), n_vertices, centroid_x, centroid_y``.
+    Level 1 runs inside every input partition (``mapInPandas``): each
+    partition reduces its points of each group to their hull vertices, so a
+    hot group is split by the scan itself and no point is shuffled. Level 2
+    shuffles only those vertices and hulls them per group. Output:
+    ``group, hull array<struct<x,y>> (counter-clockwise), n_vertices,
+    centroid_x, centroid_y``.
     """
     gtype = points.schema[group_col].dataType.simpleString()
     part_schema = f"{group_col} {gtype}, x double, y double"
 
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = _hull_np(pdf[["x", "y"]].to_numpy(dtype=float))
-        return pd.DataFrame({group_col: pdf[group_col].iloc[0], "x": h[:, 0], "y": h[:, 1]})
-
-    salted = points.select(
-        group_col, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
-        F.pmod(F.xxhash64(F.col(x), F.col(y)), F.lit(salt_buckets)).alias("_salt"))
-    level1 = (salted.groupBy(group_col, "_salt")
-              .applyInPandas(lambda pdf: partial(pdf.drop(columns="_salt")), part_schema))
+    def partial(batches):
+        acc = {}
+        for pdf in batches:
+            for g, sub in pdf.groupby(group_col, sort=False):
+                xy = sub[["x", "y"]].to_numpy(dtype=float)
+                if g in acc:
+                    xy = np.vstack([acc[g], xy])
+                acc[g] = _hull_np(xy)
+        for g, h in acc.items():
+            yield pd.DataFrame({group_col: [g] * len(h), "x": h[:, 0], "y": h[:, 1]})
+
+    pts = points.select(group_col, F.col(x).cast("double").alias("x"),
+                        F.col(y).cast("double").alias("y"))
+    level1 = pts.mapInPandas(partial, part_schema)
 
     out_schema = (f"{group_col} {gtype}, hull array<struct<x:double,y:double>>, "
                   "n_vertices int, centroid_x double, centroid_y double")
@@ -250,8 +252,8 @@ def cells_vs_hulls(cells: DataFrame, hulls: DataFrame, group_col: str,
     Zones are convex hulls (counter-clockwise). Separating-axis test: a
     convex zone and a rectangle are disjoint iff all four corners lie
     strictly outside one zone edge, or the bounding boxes are apart. The
-    hull edges ride along each candidate pair as an array (hulls are small
-    and size-checked before broadcast), so no pair is exploded per edge.
+    hull edges ride along each candidate pair as an array, so no pair is
+    exploded per edge.
     """
     h = hulls.select(
         group_col, "hull", ring_edges("hull").alias("edges"),
@@ -263,7 +265,8 @@ def cells_vs_hulls(cells: DataFrame, hulls: DataFrame, group_col: str,
           .withColumn("ty", F.explode(tile_range("hymin", "hymax", tile_size))))
     ct = (cells.withColumn("tx", F.explode(tile_range("xmin", "xmax", tile_size)))
           .withColumn("ty", F.explode(tile_range("ymin", "ymax", tile_size))))
-    ht = bounded_broadcast(ht, MAX_BROADCAST_HULLS * 64)
+    # no hint: the zone side is small, and AQE turns this into a broadcast
+    # join from the measured size of its shuffle output
     cand = (ct.join(ht, ["tx", "ty"])
             .where((F.col("xmin") <= F.col("hxmax")) & (F.col("xmax") >= F.col("hxmin"))
                    & (F.col("ymin") <= F.col("hymax")) & (F.col("ymax") >= F.col("hymin")))

@@ -47,13 +47,19 @@ def doc_features(spark, d):
 
 
 def labelled_docs(spark, d):
+    """Feature table of the labelled documents, written once (text features
+    are the expensive part; every fit then reads the written table)."""
     lab = load(spark, d, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label"),
         (F.lit(1) - F.col("toxic")).cast("double").alias("label_2"))
-    return doc_features(spark, d).join(lab, "doc_id")
+    return ml.materialize(doc_features(spark, d).join(lab, "doc_id"))
 
 
 def customer_counts(spark, d):
+    return ml.materialize(_customer_counts(spark, d))
+
+
+def _customer_counts(spark, d):
     c = load(spark, d, "customer")
     n = load(spark, d, "nation").select("n_nationkey", "n_regionkey")
     o = load(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(

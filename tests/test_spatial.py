@@ -106,7 +106,7 @@ def test_convex_hull_and_centroid(spark):
     pts = rng.uniform(0, 1, (400, 2))
     df = spark.createDataFrame(pd.DataFrame({"g": np.r_[np.zeros(300, int), np.ones(100, int)],
                                              "x": pts[:, 0], "y": pts[:, 1]}))
-    hulls = {r.g: r for r in S.convex_hulls(df, "g", "x", "y", salt_buckets=7).collect()}
+    hulls = {r.g: r for r in S.convex_hulls(df.repartition(7), "g", "x", "y").collect()}
     for g, sl in ((0, slice(0, 300)), (1, slice(300, 400))):
         got = {(p.x, p.y) for p in hulls[g].hull}
         assert got == _hull_brute(pts[sl])
