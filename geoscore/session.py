@@ -51,21 +51,19 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     """Shared folder for lineage cuts and artifacts.
 
     Reads ``spark.checkpoint.dir`` from the session. If unset (local tests),
-    a fresh folder is created and registered as the checkpoint dir, so that
-    ``DataFrame.checkpoint()`` and this function agree.
+    a fresh folder is created and registered with
+    ``SparkContext.setCheckpointDir``, so that ``DataFrame.checkpoint()`` and
+    this function agree.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="geoscore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    else:
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:  # noqa: BLE001 - already set to the same folder
-            pass
+        sc.setCheckpointDir(base)
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     if parts:
         return os.path.join(base, *parts)
     return base

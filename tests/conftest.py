@@ -1,12 +1,11 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from geoscore.session import get_spark  # noqa: E402
+from geoscore.session import get_spark, work_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -14,10 +13,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", 8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="geoscore-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    s = get_spark("local[4]", 8, extra={"spark.driver.memory": "6g"})
+    work_dir(s)  # session's checkpoint folder, or a fresh one when unset
     yield s
     s.stop()
