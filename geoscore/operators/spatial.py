@@ -68,8 +68,9 @@ def range_count(centres: DataFrame, sites: DataFrame, key: str, radius: float,
     Sites are first collapsed to distinct locations with a multiplicity
     (many establishments at one address cost one row), bucketed on a grid of
     side ``radius`` and copied to the 3x3 neighbouring buckets; centres fall
-    in one bucket. The distance test sits in the join condition of a left
-    join, so centres without any site keep a 0.
+    in one bucket. The bucket join is an *inner* join, so AQE may split a hot
+    bucket on either side; the counts are then attached to every centre by
+    its unique key, centres without any site getting 0.
     """
     r = float(radius)
     loc = sites.groupBy(F.col(sx).alias("_sx"), F.col(sy).alias("_sy")).agg(
@@ -80,8 +81,9 @@ def range_count(centres: DataFrame, sites: DataFrame, key: str, radius: float,
     c = centres.select(key, cx, cy, tile(cx, r).alias("_bx"), tile(cy, r).alias("_by"))
     cond = ((c["_bx"] == sb["_bx"]) & (c["_by"] == sb["_by"])
             & (sq_dist(c[cx], c[cy], sb["_sx"], sb["_sy"]) <= F.lit(r * r)))
-    j = c.join(sb, cond, "left")
-    return j.groupBy(key).agg(F.coalesce(F.sum("_w"), F.lit(0)).cast("bigint").alias(out))
+    hits = c.join(sb, cond).groupBy(key).agg(F.sum("_w").alias("_n"))
+    return (centres.select(key).join(hits, key, "left")
+            .select(key, F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias(out)))
 
 
 # ---------------------------------------------------------------------------
