@@ -26,21 +26,29 @@ def latest_per_key(df: DataFrame, key_cols: list[str], value_cols: list[str],
 
 def widen(long: DataFrame, key_cols: list[str], attr_col: str, value_col: str,
           attrs: list[str], names: list[str] | None = None,
-          complete: bool = True, round_to: int | None = None) -> DataFrame:
+          complete: bool = True, round_to: int | None = None,
+          latest_by: list[str] | None = None) -> DataFrame:
     """One row per entity, one column per attribute.
 
-    ``long`` must hold at most one row per (entity, attribute) (use
-    :func:`latest_per_key` first). With ``complete=True`` only entities that
-    have a row for *every* attribute survive, even when the stored value is
-    NULL - the semantics of the chain of inner self-joins.
-    ``names`` renames the output columns (attribute -> feature name).
+    With ``latest_by`` (e.g. ``["date_calcul", "id"]``) duplicate
+    (entity, attribute) rows are resolved inside the same aggregate: each
+    attribute takes the value of its row with the largest ordering
+    (``max_by``), NULL included - one shuffle for dedupe and widening.
+    Without it, ``long`` must hold at most one row per (entity, attribute).
+    With ``complete=True`` only entities that have a row for *every*
+    attribute survive, even when the stored value is NULL - the semantics of
+    the chain of inner self-joins. ``names`` renames the output columns.
     """
     names = list(attrs) if names is None else list(names)
     a = F.col(attr_col)
     v = F.col(value_col)
+    order = F.struct(*[F.col(c) for c in latest_by]) if latest_by else None
     values = []
     for attr, name in zip(attrs, names):
-        val = F.first(F.when(a == attr, v), ignorenulls=True)
+        if order is not None:
+            val = F.max_by(v, F.when(a == attr, order))
+        else:
+            val = F.first(F.when(a == attr, v), ignorenulls=True)
         if round_to is not None:
             val = F.round(val, round_to)
         values.append(val.alias(name))

@@ -218,10 +218,10 @@ def cell_feature_matrix(t: dict, trade: str, candidates: DataFrame, dictionary:
     cols = ["idinspire", "varexp", "valeur", "date_calcul", "_scope"]
     store = g.select(*cols).unionByName(m.select(*cols)).join(cells, "idinspire", "left_semi")
     store = store.withColumn("_attr", F.concat_ws(":", "_scope", "varexp"))
-    latest = eav.latest_per_key(store, ["idinspire", "_attr"], ["valeur"], ["date_calcul"])
-    wide = eav.widen(latest, ["idinspire"], "_attr", "valeur",
+    # latest value per (cell, attribute) and widening in one aggregate
+    wide = eav.widen(store, ["idinspire"], "_attr", "valeur",
                      [f"{s}:{v}" for _, v, s in entries], [f for f, _, _ in entries],
-                     complete=True, round_to=scale)
+                     complete=True, round_to=scale, latest_by=["date_calcul"])
     cc = t["carreaux_communes"].select("idinspire", "milieu", "code_commune")
     uu = t["unites_urbaines"].select(F.col("codgeo").alias("code_commune"), F.col("statut_2017").alias("zone"))
     wide = (wide.join(cc, "idinspire").join(bounded_broadcast(uu), "code_commune")

@@ -105,16 +105,15 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 # ---------------------------------------------------------------------------
 def _events_long(spark, d):
     ev = load(spark, d, "events")
-    long = ev.select("user_id", F.weekofyear("ts").cast("bigint").alias("wk"),
+    return ev.select("user_id", F.weekofyear("ts").cast("bigint").alias("wk"),
                      F.col("event_type").alias("varexp"), F.col("value").alias("valeur"),
                      "ts", "event_id")
-    # one row per (entity, attribute): the latest stored value
-    return eav.latest_per_key(long, ["user_id", "wk", "varexp"], ["valeur"], ["ts", "event_id"])
 
 
 def eav_wide_complete(spark, d):
+    # latest stored value per (entity, attribute), widened in the same aggregate
     return eav.widen(_events_long(spark, d), ["user_id", "wk"], "varexp", "valeur",
-                     EVENT_TYPES, complete=True)
+                     EVENT_TYPES, complete=True, latest_by=["ts", "event_id"])
 
 
 _EAV_LATEST = """

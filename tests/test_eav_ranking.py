@@ -84,3 +84,14 @@ def test_rank_unchanged_under_repartitioning(spark):
     a = ranking.percent_rank_avg(df.repartition(1), ["g"], "v", "p").orderBy("id").collect()
     b = ranking.percent_rank_avg(df.repartition(13), ["g"], "v", "p").orderBy("id").collect()
     assert [r.p for r in a] == [r.p for r in b]
+
+
+def test_widen_latest_in_one_aggregate(spark):
+    long = spark.createDataFrame(
+        [(1, "a", 1.0, 1), (1, "a", None, 2), (1, "b", 5.0, 1), (2, "a", 3.0, 1), (2, "a", 4.0, 3),
+         (2, "b", 6.0, 2), (2, "b", 7.0, 1), (3, "a", 1.0, 1)],
+        "k int, varexp string, valeur double, t int")
+    fused = eav.widen(long, ["k"], "varexp", "valeur", ["a", "b"], latest_by=["t"])
+    two = eav.widen(eav.latest_per_key(long, ["k", "varexp"], ["valeur"], ["t"]), ["k"], "varexp",
+                    "valeur", ["a", "b"])
+    assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, two.collect())) == [(1, None, 5.0), (2, 4.0, 6.0)]
