@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from geoscore.operators import metrics
 from geoscore.operators.ranking import row_number_unique
-from geoscore.session import work_dir
+from geoscore.session import materialize, work_dir  # noqa: F401
 
 # ---------------------------------------------------------------------------
 # Search grids and fold counts of the reference jobs.
@@ -54,15 +54,6 @@ def spark_depths(depths) -> list[int]:
     return out
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a training frame once to the shared checkpoint folder and read it
-    back: every later fit, fold and evaluation scans the written table
-    instead of recomputing the feature lineage, and a lost executor costs a
-    re-read, not a recomputation."""
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _pmap(fn, items, parallelism: int):
     """Run independent Spark fits from a few driver threads (Spark schedules
     their jobs concurrently, like CrossValidator's ``parallelism``)."""

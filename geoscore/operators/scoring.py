@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoscore.functions.columns import legacy_score, piecewise_score, relative_gap
+from geoscore.session import materialize
 
 
 def global_gap_stats(gaps: DataFrame, gap_col: str = "gap") -> DataFrame:
@@ -33,7 +34,8 @@ def with_global_stats(gaps: DataFrame, gap_col: str = "gap") -> DataFrame:
 def gap_scores(areas: DataFrame, key_cols: list[str], predicted: str, actual: str,
                scale: int = 2) -> DataFrame:
     """C3 (first half): relative gap per area and its 0-1 score."""
-    gaps = areas.select(*key_cols, relative_gap(predicted, actual).alias("gap"))
+    # one row per area, read three times (stats, conditional means, scores)
+    gaps = materialize(areas.select(*key_cols, relative_gap(predicted, actual).alias("gap")))
     st = with_global_stats(gaps)
     score = piecewise_score("gap", "g_min", "low_mean", "g_mean", "up_mean", "g_max", scale)
     return st.select(*key_cols, "gap", score.alias("score"))
@@ -73,6 +75,7 @@ def histogram(df: DataFrame, value_col: str, bins: int = 20) -> DataFrame:
     zero-width range puts everything in bin 0. Output: bin, lower edge, count.
     """
     x = F.col(value_col)
+    df = materialize(df.select(value_col))   # read twice: range, then binning
     rng = df.agg(F.min(x).alias("h_min"), F.max(x).alias("h_max"))
     width = (F.col("h_max") - F.col("h_min")) / F.lit(float(bins))
     raw = F.floor(F.try_divide(x - F.col("h_min"), width))

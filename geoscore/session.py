@@ -72,3 +72,14 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A new, unused path below the work folder."""
     return work_dir(spark, kind, uuid.uuid4().hex)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where one intermediate result feeds several later steps (global
+    statistics, candidate cells, training tables): later steps scan the
+    written table instead of recomputing its lineage, and a lost executor
+    costs a re-read, not a recomputation."""
+    work_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
