@@ -78,6 +78,7 @@ def train_survival(spark: SparkSession, t: dict, trade: str, base: str, kind: st
     est = ml.rf_classifier(trees, "label", "weight", maxDepth=int(tuned.best_params.get("maxDepth", 10)))
     oof = ml.out_of_fold(weighted, chosen, est, "siret", "label", eval_folds, parallelism=parallelism)
     ev = ml.evaluate_classifier(oof)
+    ev["n_rows"] = data.count()          # A12: rows entering the model (table is materialised)
     params = {"maxDepth": int(tuned.best_params.get("maxDepth", 10)), "numTrees": trees,
               "features": chosen, "sweep": [r.asDict() for r in sweep.collect()]}
     paths = _paths(base)
@@ -98,6 +99,18 @@ def best_run(spark: SparkSession, base: str, trade: str, kind: str, metric: str
     return T.with_active_flag(reg, best, ["fk_metier", "fk_modele"])
 
 
+def load_latest_model(spark: SparkSession, base: str, trade: str, kind: str) -> tuple[int, PipelineModel]:
+    """C13 + S15: newest run id of (trade, kind) from the registry, and its
+    saved pipeline."""
+    from geoscore.plans.inference import latest_model_run
+    reg = T.read_table(spark, _paths(base)["registry"])
+    row = latest_model_run(reg, trade, kind).first()
+    if row is None:
+        raise LookupError(f"no run for {trade}/{kind}")
+    rid = int(row["latest_id"])
+    return rid, T.load_model(PipelineModel, _paths(base)["artifacts"], trade, kind, rid)
+
+
 # ---------------------------------------------------------------------------
 # Opportunity model, C3 and C4
 # ---------------------------------------------------------------------------

@@ -106,6 +106,9 @@ def test_train_infer_explain_end_to_end(spark, t, tmp_path):
     assert set(m3.metrics) >= {"accuracy", "kappa", "f1", "confusion_matrix"}
     best = TR.best_run(spark, base, world.TRADE, TR.KIND_3Y)
     assert best.where("actif").count() == 1
+    rid, loaded = TR.load_latest_model(spark, base, world.TRADE, TR.KIND_5Y)
+    assert rid == 2 and loaded.stages[0].getInputCols() == m5.features
+    assert m3.metrics["n_rows"] > 0
     opp = TR.train_opportunity(spark, t, world.TRADE, base, num_trees=5, depths=[2, 4], parallelism=4,
                                tune_folds=3, eval_folds=3)
     preds = opp.extra["predictions"]
