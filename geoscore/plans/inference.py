@@ -77,7 +77,8 @@ def locate_projects(t: dict, project_ids: DataFrame | None = None) -> DataFrame:
     j = (j.withColumn("cx", F.when(drawn, F.col("centroid_x")).otherwise(F.col("ax")))
           .withColumn("cy", F.when(drawn, F.col("centroid_y")).otherwise(F.col("ay"))))
     cells = cell_rectangles(t["insee_carreaux"])
-    loc = S.locate_points(j.select("id_projet", "cx", "cy"), cells, "id_projet", "cx", "cy", TILE_M)
+    # tiles of one cell: each point meets 1 (edge: 2, corner: 4) candidate cells
+    loc = S.locate_points(j.select("id_projet", "cx", "cy"), cells, "id_projet", "cx", "cy", CELL_SIDE_M)
     cc = t["carreaux_communes"].select(F.col("idinspire").alias("cell_id"), "milieu", "code_commune")
     uu = t["unites_urbaines"].select(F.col("codgeo").alias("code_commune"), F.col("statut_2017").alias("zone"))
     loc = loc.select("id_projet", "cell_id").join(cc, "cell_id").join(bounded_broadcast(uu), "code_commune")
