@@ -42,6 +42,8 @@ HOLDOUT_FRACTION = 0.2
 SEED = 42
 # Spark's tree learner accepts depths up to 30.
 SPARK_MAX_DEPTH = 30
+# Independent fits submitted at once (CV settings, folds, sweep steps).
+FIT_PARALLELISM = 8
 
 
 def spark_depths(depths) -> list[int]:
@@ -158,7 +160,7 @@ def _grid_frame(spark, cv_model, grid, metric_name: str, larger_better: bool):
 
 
 def tune(train: DataFrame, features: list[str], estimator, grid_spec: dict, evaluator,
-         fold_col: str = "fold", folds: int = TUNING_FOLDS, parallelism: int = 4,
+         fold_col: str = "fold", folds: int = TUNING_FOLDS, parallelism: int = FIT_PARALLELISM,
          metric_name: str = "metric") -> TuningResult:
     """M1 / M3 / M4 / M5: k-fold grid search with a precomputed fold column,
     then refit on all rows with the best setting (CrossValidator does both).
@@ -182,7 +184,7 @@ def tune(train: DataFrame, features: list[str], estimator, grid_spec: dict, eval
 
 def tune_rf_classifier(df: DataFrame, features: list[str], key: str, label: str = "label",
                        depths=SURVIVAL_DEPTHS, num_trees: int = SURVIVAL_TREES_3Y,
-                       folds: int = TUNING_FOLDS, parallelism: int = 4) -> TuningResult:
+                       folds: int = TUNING_FOLDS, parallelism: int = FIT_PARALLELISM) -> TuningResult:
     """M1: balanced-weight random forest, depth grid, stratified folds, F1."""
     d = metrics.with_class_weights(df, label, "weight")
     d = stratified_folds(d, key, label, folds)
@@ -193,7 +195,7 @@ def tune_rf_classifier(df: DataFrame, features: list[str], key: str, label: str
 
 def tune_rf_regressor(df: DataFrame, features: list[str], key: str, label: str = "label",
                       depths=OPPORTUNITY_DEPTHS, num_trees: int = OPPORTUNITY_TREES,
-                      folds: int = TUNING_FOLDS, parallelism: int = 4) -> TuningResult:
+                      folds: int = TUNING_FOLDS, parallelism: int = FIT_PARALLELISM) -> TuningResult:
     """M3: random-forest regressor, depth grid, MSE minimised."""
     d = hash_folds(df, key, folds)
     est = rf_regressor(num_trees, label)
@@ -203,7 +205,7 @@ def tune_rf_regressor(df: DataFrame, features: list[str], key: str, label: str =
 
 def tune_gbt(df: DataFrame, features: list[str], key: str, label: str = "label",
              classifier: bool = True, grid: dict | None = None,
-             folds: int = TUNING_FOLDS, parallelism: int = 4) -> TuningResult:
+             folds: int = TUNING_FOLDS, parallelism: int = FIT_PARALLELISM) -> TuningResult:
     """M4 / M5: gradient-boosted trees over (iterations, step, depth)."""
     if classifier:
         grid = grid or GBT_CLASSIFIER_GRID
@@ -282,7 +284,7 @@ def prob1(col: str = "probability"):
 
 def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, key: str,
                   label: str = "label", num_trees: int = SURVIVAL_TREES_3Y,
-                  max_depth: int = 10, step: int = SWEEP_STEP, parallelism: int = 4) -> DataFrame:
+                  max_depth: int = 10, step: int = SWEEP_STEP, parallelism: int = FIT_PARALLELISM) -> DataFrame:
     """M7: refit on the top-k features for k = step, 2 step, ..., n; score
     accuracy, kappa and F1 on a hash hold-out; ``best`` marks the highest F1,
     ties going to the larger k."""
@@ -320,7 +322,7 @@ def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, ke
 # ---------------------------------------------------------------------------
 def out_of_fold(df: DataFrame, features: list[str], estimator, key: str, label: str = "label",
                 folds: int = EVALUATION_FOLDS, stratified: bool = True,
-                keep: list[str] | None = None, parallelism: int = 4) -> DataFrame:
+                keep: list[str] | None = None, parallelism: int = FIT_PARALLELISM) -> DataFrame:
     """M8: every row predicted by the model fitted on the other folds.
     Output: key, label, fold, prediction (+ ``p1`` for classifiers)."""
     d = (stratified_folds(df, key, label, folds) if stratified else hash_folds(df, key, folds))

@@ -44,7 +44,7 @@ def _paths(base: str) -> dict:
 def train_survival(spark: SparkSession, t: dict, trade: str, base: str, kind: str = KIND_3Y,
                    num_trees: int | None = None, depths=ml.SURVIVAL_DEPTHS,
                    stacked_from: TrainedModel | None = None, sweep_step: int = ml.SWEEP_STEP,
-                   parallelism: int = 4, tune_folds: int = ml.TUNING_FOLDS,
+                   parallelism: int = ml.FIT_PARALLELISM, tune_folds: int = ml.TUNING_FOLDS,
                    eval_folds: int = ml.EVALUATION_FOLDS) -> TrainedModel:
     """C2 -> M1 -> M6/M7 -> M8/M9 -> S10 -> M10 -> M11 -> S14.
 
@@ -116,7 +116,7 @@ def load_latest_model(spark: SparkSession, base: str, trade: str, kind: str) ->
 # ---------------------------------------------------------------------------
 def train_opportunity(spark: SparkSession, t: dict, trade: str, base: str,
                       num_trees: int = ml.OPPORTUNITY_TREES, depths=ml.OPPORTUNITY_DEPTHS,
-                      parallelism: int = 4, tune_folds: int = ml.TUNING_FOLDS,
+                      parallelism: int = ml.FIT_PARALLELISM, tune_folds: int = ml.TUNING_FOLDS,
                       eval_folds: int = ml.EVALUATION_FOLDS) -> TrainedModel:
     """C17 for the regressor: C1 -> M3 -> M6 -> M8 (10 folds) -> S10 -> M11,
     in-sample and out-of-fold predictions per IRIS."""
