@@ -157,15 +157,18 @@ def survival_training_set(tables: dict, trade: str, target: str = "survie_3_ans"
     return both.drop("duree_vie", "type_milieu_2", "type_milieu_4")
 
 
-def opportunity_features(tables: dict, trade: str, impute: bool = True) -> DataFrame:
+def opportunity_features(tables: dict, trade: str, impute: bool = True,
+                         count_column: str = "nb_etablissements_actifs_{trade}") -> DataFrame:
     """C1 + A11: IRIS indicators joined with the active-establishment count
-    of the trade, milieu and zone recodes, means filled in.
+    of the trade, milieu and zone recodes, means filled in. ``count_column``
+    selects the target (L2: the legacy version counted all establishments,
+    e.g. ``nb_etablissements_{trade}``).
 
     Rows without a target are dropped rather than imputed; the ordinal zone
     code is not averaged (it stays NULL, with ``zone_missing`` = 1)."""
     a = _t(tables, "donnees_agregees_iris")
     b = _t(tables, "nb_etablissements_iris").select(
-        "code_iris", F.col(f"nb_etablissements_actifs_{trade}").cast("double").alias("nb_etablissements"))
+        "code_iris", F.col(count_column.format(trade=trade)).cast("double").alias("nb_etablissements"))
     c = _t(tables, "iris_communes").select("code_iris", "code_commune")
     d = _t(tables, "unites_urbaines").select(
         F.col("codgeo").alias("code_commune"), F.col("type_com").alias("milieu_raw"),
