@@ -215,3 +215,68 @@ def zone_centre_cell(spark, d):
 
 
 register("zone_centre_cell", note="centroid of hull; brute force in tests")(zone_centre_cell)
+
+
+# ---------------------------------------------------------------------------
+# cell_zone_flags: J6 J7 against literal convex zones (SQL-checkable twin of
+# cell_zone_intersect, whose zones are data-derived hulls)
+# ---------------------------------------------------------------------------
+# Drawn zones of the stand-in (counter-clockwise convex rings).
+ZONES = {
+    1: [(-0.2, -0.15), (0.1, -0.2), (0.15, 0.05), (-0.1, 0.12)],
+    2: [(0.05, 0.05), (0.3, 0.1), (0.12, 0.3)],
+    3: [(-0.012, -0.012), (0.012, -0.012), (0.012, 0.012), (-0.012, 0.012)],
+}
+
+
+def _zones(spark):
+    rows = [(k, [{"x": float(a), "y": float(b)} for a, b in ring]) for k, ring in ZONES.items()]
+    return spark.createDataFrame(rows, "zone_id int, hull array<struct<x:double,y:double>>")
+
+
+def cell_zone_flags(spark, d):
+    p = _points(spark, d)
+    cells = S.grid_cells(p, "x", "y", CELL)
+    return S.cells_vs_hulls(cells, _zones(spark), "zone_id", CELL)
+
+
+def _zone_edges_values() -> str:
+    vals = []
+    for k, ring in ZONES.items():
+        n = len(ring)
+        for i in range(n):
+            (x1, y1), (x2, y2) = ring[i], ring[(i + 1) % n]
+            vals.append(f"({k}, {D(float(x1))}, {D(float(y1))}, {D(float(x2))}, {D(float(y2))})")
+    return ", ".join(vals)
+
+
+def _side(cx: str, cy: str) -> str:
+    return f"((e.x2 - e.x1) * ({cy} - e.y1) - (e.y2 - e.y1) * ({cx} - e.x1))"
+
+
+def _all_corners(op: str) -> str:
+    corners = [("c.xmin", "c.ymin"), ("c.xmax", "c.ymin"), ("c.xmax", "c.ymax"), ("c.xmin", "c.ymax")]
+    return " AND ".join(f"{_side(x, y)} {op} 0" for x, y in corners)
+
+
+register("cell_zone_flags", oracle=_P_SQL + _cells_sql("cells") + f"""
+, e(zone_id, x1, y1, x2, y2) AS (VALUES {_zone_edges_values()}),
+zb AS (SELECT zone_id, min(x1) AS hxmin, max(x1) AS hxmax, min(y1) AS hymin, max(y1) AS hymax
+       FROM e GROUP BY zone_id),
+pairs AS (
+  SELECT c.cell_id, c.xmin, c.ymin, c.xmax, c.ymax, zb.*
+  FROM cells c JOIN zb ON c.xmin <= zb.hxmax AND c.xmax >= zb.hxmin
+                      AND c.ymin <= zb.hymax AND c.ymax >= zb.hymin),
+f AS (
+  SELECT p.cell_id, p.zone_id,
+    bool_or({_all_corners('<')}) AS strict_sep,
+    bool_or({_all_corners('<=')}) AS touch_sep,
+    bool_and({_all_corners('>=')}) AS cell_in_zone,
+    bool_and(e.x1 BETWEEN p.xmin AND p.xmax AND e.y1 BETWEEN p.ymin AND p.ymax) AS zone_in_cell,
+    min(p.xmax <= p.hxmin OR p.xmin >= p.hxmax OR p.ymax <= p.hymin OR p.ymin >= p.hymax) AS bbox_touch
+  FROM pairs p JOIN e ON e.zone_id = p.zone_id
+  CROSS JOIN LATERAL (SELECT p.xmin, p.ymin, p.xmax, p.ymax) c
+  GROUP BY p.cell_id, p.zone_id)
+SELECT cell_id, zone_id, NOT strict_sep AS intersects,
+  (NOT (touch_sep OR bbox_touch)) AND (NOT zone_in_cell OR cell_in_zone) AS overlaps_or_within
+FROM f""")(cell_zone_flags)

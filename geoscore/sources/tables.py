@@ -80,10 +80,6 @@ def keyed_update(old: DataFrame, staging: DataFrame, key_cols: list[str],
 # ---------------------------------------------------------------------------
 # Run registry
 # ---------------------------------------------------------------------------
-REGISTRY_SCHEMA = ("id long, fk_metier string, date timestamp, fk_modele string, "
-                   "parametres string, metrics string, actif boolean")
-
-
 def next_run_id(spark: SparkSession, path: str) -> int:
     """``coalesce(max(id), 0) + 1`` (single writer per registry)."""
     if not os.path.exists(path) and not path.startswith(("hdfs:", "s3", "gs:", "abfs")):
