@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoscore.functions import columns as X
-from geoscore.functions.geometry import lambert93, tile, tile_range
+from geoscore.functions.geometry import lambert93, ring_edges, tile, tile_range
 from geoscore.operators import eav, ranking
 from geoscore.operators import spatial as S
 from geoscore.operators.joins import bounded_broadcast
@@ -91,33 +91,49 @@ def locate_projects(t: dict, project_ids: DataFrame | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 # J7 on general polygons: cells whose interior meets a polygon's interior
 # ---------------------------------------------------------------------------
+def _open_interval(p0, d, lo, hi):
+    """Parameter interval (as two columns) where ``p0 + t d`` lies strictly
+    between lo and hi; empty (1, 0) when d = 0 and p0 is outside."""
+    t1 = F.try_divide(lo - p0, d)
+    t2 = F.try_divide(hi - p0, d)
+    inside = (p0 > lo) & (p0 < hi)
+    a = F.when(d == 0, F.when(inside, F.lit(float("-inf"))).otherwise(F.lit(1.0))).otherwise(F.least(t1, t2))
+    b = F.when(d == 0, F.when(inside, F.lit(float("inf"))).otherwise(F.lit(0.0))).otherwise(F.greatest(t1, t2))
+    return a, b
+
+
 def cells_in_polygons(cells: DataFrame, polygons: DataFrame, poly_key: str) -> DataFrame:
-    """``(cell_id, poly_key)`` where the cell's interior meets the polygon's:
-    a cell corner or centre strictly inside the polygon, or a polygon vertex
-    strictly inside the cell. (A polygon edge crossing a cell with no vertex
-    or sample point inside is not detected; with 200 m cells and commune
-    shapes this only concerns slivers.)"""
-    samples = cells.select(
-        "cell_id", F.posexplode(F.array(
-            F.struct(F.col("xmin").alias("x"), F.col("ymin").alias("y")),
-            F.struct(F.col("xmax").alias("x"), F.col("ymin").alias("y")),
-            F.struct(F.col("xmax").alias("x"), F.col("ymax").alias("y")),
-            F.struct(F.col("xmin").alias("x"), F.col("ymax").alias("y")),
-            F.struct(F.col("xc").alias("x"), F.col("yc").alias("y")))).alias("k", "p"))
-    samples = samples.select(F.concat_ws("#", "cell_id", F.col("k").cast("string")).alias("_sid"),
-                             "cell_id", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-    inside = S.points_within(samples, polygons, "_sid", "x", "y", poly_key, "ring", TILE_M)
-    a = inside.join(samples.select("_sid", "cell_id"), "_sid").select("cell_id", poly_key)
+    """``(cell_id, poly_key)`` where the cell's interior meets the polygon's.
+
+    Exact for simple polygons: interiors meet iff a polygon edge passes
+    through the open cell, or the cell lies inside the polygon (its centre
+    is strictly inside), or the polygon lies inside the cell (a vertex is
+    strictly inside the cell). The three tests are tile joins: edges and
+    vertices against the cells of their tiles, centres against polygons.
+    """
+    # (1) cell centre strictly inside the polygon
+    centres = cells.select("cell_id", F.col("xc").alias("x"), F.col("yc").alias("y"))
+    a = S.points_within(centres, polygons, "cell_id", "x", "y", poly_key, "ring", TILE_M)
+    ct = (cells.withColumn("tx", F.explode(tile_range("xmin", "xmax", TILE_M)))
+          .withColumn("ty", F.explode(tile_range("ymin", "ymax", TILE_M))))
+    # (2) polygon vertex strictly inside the cell
     verts = polygons.select(poly_key, F.explode("ring").alias("v")).select(
         poly_key, F.col("v.x").alias("vx"), F.col("v.y").alias("vy"),
         tile("v.x", TILE_M).alias("tx"), tile("v.y", TILE_M).alias("ty"))
-    ct = (cells.withColumn("tx", F.explode(tile_range("xmin", "xmax", TILE_M)))
-          .withColumn("ty", F.explode(tile_range("ymin", "ymax", TILE_M))))
     b = (verts.join(ct, ["tx", "ty"])
          .where((F.col("vx") > F.col("xmin")) & (F.col("vx") < F.col("xmax"))
                 & (F.col("vy") > F.col("ymin")) & (F.col("vy") < F.col("ymax")))
          .select("cell_id", poly_key))
-    return a.unionByName(b).distinct()
+    # (3) polygon edge through the open cell (Liang-Barsky on open intervals)
+    edges = (polygons.select(poly_key, F.explode(ring_edges("ring")).alias("e")).select(poly_key, "e.*")
+             .withColumn("tx", F.explode(tile_range(F.least("x1", "x2"), F.greatest("x1", "x2"), TILE_M)))
+             .withColumn("ty", F.explode(tile_range(F.least("y1", "y2"), F.greatest("y1", "y2"), TILE_M))))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    ax, bx = _open_interval(F.col("x1"), dx, F.col("xmin"), F.col("xmax"))
+    ay, by = _open_interval(F.col("y1"), dy, F.col("ymin"), F.col("ymax"))
+    crosses = F.greatest(ax, ay, F.lit(0.0)) < F.least(bx, by, F.lit(1.0))
+    c = edges.join(ct, ["tx", "ty"]).where(crosses).select("cell_id", poly_key)
+    return a.unionByName(b).unionByName(c).distinct()
 
 
 # ---------------------------------------------------------------------------

@@ -167,3 +167,45 @@ def test_lambert93_known_point(spark):
     x, y = lambert93("lon", "lat")
     r = df.select(x.alias("x"), y.alias("y")).first()
     assert abs(r.x - 652_000) < 2_000 and abs(r.y - 6_862_000) < 2_000
+
+
+def test_cells_in_general_polygon_exact(spark):
+    from geoscore.plans.inference import cells_in_polygons
+    # concave ring with a thin spike that crosses cells without any vertex,
+    # corner or centre inside them
+    ring = [(0.0, 0.0), (1000.0, 0.0), (1000.0, 300.0), (1390.0, 305.0), (1000.0, 310.0),
+            (1000.0, 410.0), (130.0, 405.0), (1000.0, 400.5), (1000.0, 600.0), (0.0, 600.0)]
+    polys = spark.createDataFrame([(1, [{"x": a, "y": b} for a, b in ring])],
+                                  "pid int, ring array<struct<x:double,y:double>>")
+    cells = spark.createDataFrame(
+        [(f"c{i}_{j}", i * 200.0 + 100, j * 200.0 + 100, i * 200.0, j * 200.0, i * 200.0 + 200, j * 200.0 + 200)
+         for i in range(-1, 7) for j in range(-1, 5)],
+        "cell_id string, xc double, yc double, xmin double, ymin double, xmax double, ymax double")
+    got = {r.cell_id for r in cells_in_polygons(cells, polys, "pid").collect()}
+
+    def clip_area(poly, x0, y0, x1, y1):
+        def clip(pts, inside, cut):
+            out = []
+            for p, q in zip(pts, pts[1:] + pts[:1]):
+                ip, iq = inside(p), inside(q)
+                if ip:
+                    out.append(p)
+                if ip != iq:
+                    out.append(cut(p, q))
+            return out
+        cx = lambda v: (lambda p, q: (v, p[1] + (v - p[0]) * (q[1] - p[1]) / (q[0] - p[0])))
+        cy = lambda v: (lambda p, q: (p[0] + (v - p[1]) * (q[0] - p[0]) / (q[1] - p[1]), v))
+        pts = list(poly)
+        for inside, cut in ((lambda p: p[0] >= x0, cx(x0)), (lambda p: p[0] <= x1, cx(x1)),
+                            (lambda p: p[1] >= y0, cy(y0)), (lambda p: p[1] <= y1, cy(y1))):
+            if not pts:
+                return 0.0
+            pts = clip(pts, inside, cut)
+        if len(pts) < 3:
+            return 0.0
+        a = np.array(pts)
+        return 0.5 * abs((a[:, 0] * np.roll(a[:, 1], -1) - np.roll(a[:, 0], -1) * a[:, 1]).sum())
+
+    exp = {r.cell_id for r in cells.collect() if clip_area(ring, r.xmin, r.ymin, r.xmax, r.ymax) > 1e-9}
+    assert got == exp
+    assert "c5_1" in got   # crossed by the spike only: no vertex, corner or centre inside
