@@ -75,3 +75,45 @@ def test_regressor_attribution_additivity(spark):
     sc = ml.score(model, data, "yhat").select("c_custkey", "yhat")
     j = agg.join(sc, "c_custkey").toPandas()
     assert np.allclose(j.b + j.s, j.p, atol=1e-7) and np.allclose(j.p, j.yhat, atol=1e-7)
+
+
+def test_attribution_equals_brute_force_shapley(spark):
+    import itertools
+    import math
+    data = metrics.with_class_weights(L.labelled_docs(spark, SF_CHECK), "label")
+    feats = L.DOC_FEATURES[:4]
+    model = ml.fit(data, feats, ml.rf_classifier(3, "label", "weight", maxDepth=4))
+    sv = explain.shap_values(model.stages[-1], data, "doc_id", feats).toPandas()
+    nodes = explain._tree_nodes(spark, model.stages[-1])
+    trees = {tid: t.set_index("id") for tid, t in nodes.groupby("treeID")}
+
+    def expect(x, known):
+        # path-dependent conditional expectation E[f | x_known], averaged over trees
+        total = 0.0
+        for t in trees.values():
+            kids = set(t.leftChild) | set(t.rightChild)
+            root = [i for i in t.index if i not in kids][0]
+
+            def rec(n):
+                r = t.loc[n]
+                if r.leftChild < 0:
+                    return r.impurityStats[1] / sum(r.impurityStats)
+                if int(r.feature) in known:
+                    return rec(r.leftChild if x[int(r.feature)] <= r.thr[0] else r.rightChild)
+                cl = sum(t.loc[r.leftChild].impurityStats)
+                cr = sum(t.loc[r.rightChild].impurityStats)
+                return (cl * rec(r.leftChild) + cr * rec(r.rightChild)) / (cl + cr)
+            total += rec(root)
+        return total / len(trees)
+
+    m = len(feats)
+    rows = data.select("doc_id", *feats).orderBy("doc_id").limit(4).toPandas()
+    for _, row in rows.iterrows():
+        x = row[feats].to_numpy(float)
+        for i in range(m):
+            others = [j for j in range(m) if j != i]
+            phi = sum(math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m)
+                      * (expect(x, set(s) | {i}) - expect(x, set(s)))
+                      for k in range(m) for s in itertools.combinations(others, k))
+            got = sv[(sv.doc_id == row.doc_id) & (sv.feature == feats[i])].phi.iloc[0]
+            assert abs(got - phi) < 1e-12
