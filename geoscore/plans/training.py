@@ -85,7 +85,8 @@ def train_survival(spark: SparkSession, t: dict, trade: str, base: str, kind: st
     run_id = T.register_run(spark, paths["registry"], trade, kind, params, ev)
     final = ml.fit(weighted, chosen, est)
     T.save_model(final, paths["artifacts"], trade, kind, run_id)
-    return TrainedModel(run_id, final, chosen, ev, imp, {"maxDepth": params["maxDepth"], "oof": oof})
+    return TrainedModel(run_id, final, chosen, ev, imp,
+                        {"maxDepth": params["maxDepth"], "oof": oof, "data": data})
 
 
 def best_run(spark: SparkSession, base: str, trade: str, kind: str, metric: str = "accuracy",
@@ -139,7 +140,7 @@ def train_opportunity(spark: SparkSession, t: dict, trade: str, base: str,
     T.save_model(final, paths["artifacts"], trade, KIND_OPP, run_id)
     preds = (insample.select("code_iris", F.col("pred").alias(trade))
              .join(oof.select("code_iris", F.col("prediction").alias(f"{trade}_cv")), "code_iris"))
-    return TrainedModel(run_id, final, feats, ev, imp, {"predictions": preds})
+    return TrainedModel(run_id, final, feats, ev, imp, {"predictions": preds, "data": data})
 
 
 def update_predictions(predictions_table: DataFrame, new: DataFrame, trade: str) -> DataFrame:
@@ -208,11 +209,18 @@ def explain_model(spark: SparkSession, trained: TrainedModel, data: DataFrame, k
     return sv, explain.attribution_summary(sv)
 
 
-def train_trade(spark: SparkSession, t: dict, trade: str, base: str, **kw) -> dict:
+def train_trade(spark: SparkSession, t: dict, trade: str, base: str,
+                attribution_rows: int | None = ATTRIBUTION_ROWS, **kw) -> dict:
     """3-year -> 5-year (stacked) -> attribution -> opportunity ->
     attribution, in dependency order, each stage handing over its result."""
     m3 = train_survival(spark, t, trade, base, KIND_3Y, **kw)
     m5 = train_survival(spark, t, trade, base, KIND_5Y, stacked_from=m3, **kw)
-    opp = train_opportunity(spark, t, trade, base, **{k: v for k, v in kw.items()
-                                                       if k in ("num_trees", "parallelism", "tune_folds", "eval_folds")})
-    return {"survie_3_ans": m3, "survie_5_ans": m5, "opportunite": opp}
+    attributions = {
+        KIND_3Y: explain_model(spark, m3, m3.extra["data"], "siret", sample=attribution_rows),
+        KIND_5Y: explain_model(spark, m5, m5.extra["data"], "siret", sample=attribution_rows),
+    }
+    opp_kw = {k: v for k, v in kw.items() if k in ("num_trees", "parallelism", "tune_folds", "eval_folds")}
+    opp = train_opportunity(spark, t, trade, base, **opp_kw)
+    attributions[KIND_OPP] = explain_model(spark, opp, opp.extra["data"], "code_iris", classifier=False,
+                                           refit_top=None, sample=attribution_rows)
+    return {KIND_3Y: m3, KIND_5Y: m5, KIND_OPP: opp, "attributions": attributions}

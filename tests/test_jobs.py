@@ -99,18 +99,21 @@ def test_training_features(spark, t):
 
 def test_train_infer_explain_end_to_end(spark, t, tmp_path):
     base = str(tmp_path)
-    kw = dict(num_trees=5, depths=[2, 4], parallelism=4, tune_folds=3, eval_folds=3)
-    m3 = TR.train_survival(spark, t, world.TRADE, base, TR.KIND_3Y, sweep_step=20, **kw)
-    m5 = TR.train_survival(spark, t, world.TRADE, base, TR.KIND_5Y, stacked_from=m3, sweep_step=20, **kw)
-    assert (m3.run_id, m5.run_id) == (1, 2)
+    res = TR.train_trade(spark, t, world.TRADE, base, attribution_rows=40, num_trees=5, depths=[2, 4],
+                         parallelism=4, tune_folds=3, eval_folds=3, sweep_step=20)
+    m3, m5, opp = res[TR.KIND_3Y], res[TR.KIND_5Y], res[TR.KIND_OPP]
+    assert (m3.run_id, m5.run_id, opp.run_id) == (1, 2, 3)
+    assert "proba_survie_3_ans" in m5.extra["data"].columns
+    for kind, (sv_k, summary_k) in res["attributions"].items():
+        a = sv_k.groupBy(sv_k.columns[0]).agg(F.first("base").alias("b"), F.first("prediction").alias("p"),
+                                             F.sum("phi").alias("s")).toPandas()
+        assert 0 < len(a) <= 40 and np.allclose(a.b + a.s, a.p), kind
     assert set(m3.metrics) >= {"accuracy", "kappa", "f1", "confusion_matrix"}
     best = TR.best_run(spark, base, world.TRADE, TR.KIND_3Y)
     assert best.where("actif").count() == 1
     rid, loaded = TR.load_latest_model(spark, base, world.TRADE, TR.KIND_5Y)
     assert rid == 2 and loaded.stages[0].getInputCols() == m5.features
     assert m3.metrics["n_rows"] > 0
-    opp = TR.train_opportunity(spark, t, world.TRADE, base, num_trees=5, depths=[2, 4], parallelism=4,
-                               tune_folds=3, eval_folds=3)
     preds = opp.extra["predictions"]
     table = t["nb_etablissements_iris"].select("code_iris")
     upd = TR.update_predictions(table, preds, world.TRADE)
