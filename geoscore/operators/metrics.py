@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoscore.operators.joins import bounded_broadcast
+
+# Class tables above this many labels are joined without a broadcast hint.
+MAX_CLASSES = 10_000
+
 
 def _safe(n, d):
     return F.coalesce(F.try_divide(n.cast("double"), d.cast("double")), F.lit(0.0))
@@ -80,7 +85,7 @@ def class_weights(df: DataFrame, label: str = "label", n_classes: int = 2) -> Da
 
 
 def with_class_weights(df: DataFrame, label: str = "label", weight_col: str = "weight") -> DataFrame:
-    """Attach the balanced weight of each row's class (classes are few, so the
-    weight table is a bounded broadcast)."""
+    """Attach the balanced weight of each row's class (one row per class: a
+    broadcast after the size check)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label)
+    return df.join(bounded_broadcast(w, MAX_CLASSES), label)

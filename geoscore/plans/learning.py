@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from geoscore.functions import columns as X
 from geoscore.operators import explain, metrics, ml
+from geoscore.operators.joins import bounded_broadcast
 from geoscore.plans.catalog import register
 from geoscore.sources.testdata import load
 
@@ -64,7 +65,7 @@ def _customer_counts(spark, d):
     n = load(spark, d, "nation").select("n_nationkey", "n_regionkey")
     o = load(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).cast("double").alias("label"))
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey)
             .join(o, "c_custkey", "left")
             .select("c_custkey", F.col("c_acctbal"), F.col("c_nationkey").cast("double").alias("c_nationkey"),
                     F.col("n_regionkey").cast("double").alias("n_regionkey"),

@@ -240,7 +240,7 @@ def mean_impute(spark, d):
     lab = load(spark, d, "labels")
     j = docs.join(lab, "doc_id", "left")
     means = j.agg(F.avg("quality").alias("_mq"), F.avg("toxic").alias("_mt"))
-    return (j.crossJoin(F.broadcast(means))
+    return (j.crossJoin(F.broadcast(means))   # one-row aggregate
             .select("doc_id", "n_chars",
                     F.round(F.coalesce(F.col("quality").cast("double"), F.col("_mq")), 6).alias("quality"),
                     F.round(F.coalesce(F.col("toxic").cast("double"), F.col("_mt")), 6).alias("toxic")))
@@ -328,9 +328,9 @@ def gap_score(spark, d):
     scores = scoring.gap_scores(areas, ["c_custkey"], "predicted", "actual")
     # fan out to the "cells" (orders) of the areas of one region
     region = load(spark, d, "region").where(F.col("r_name") == "EUROPE")
-    nation = load(spark, d, "nation").join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    nation = load(spark, d, "nation").join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = (load(spark, d, "customer").select("c_custkey", "c_nationkey")
-            .join(F.broadcast(nation.select("n_nationkey")), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(bounded_broadcast(nation.select("n_nationkey")), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey"))
     cells = load(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     bridge = cells.join(cust, "c_custkey")
@@ -362,7 +362,7 @@ def residual_table(spark, d):
     areas = _areas(spark, d)
     nation = load(spark, d, "nation")
     region = load(spark, d, "region")
-    geo = (nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = (nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", (F.col("r_name") == "EUROPE").alias("na")))
     res = scoring.residual_table(areas, ["c_custkey", "c_nationkey"], "predicted", "actual")
     return (res.join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))

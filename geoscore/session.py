@@ -83,3 +83,32 @@ def materialize(df):
     costs a re-read, not a recomputation."""
     work_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+               shuffle_fraction: float = 0.25, max_partitions: int = 100_000) -> dict:
+    """SQL settings sized from the input volume, so shuffle partitions fit in
+    executor memory without spilling much: about ``partition_bytes`` per
+    shuffle partition for the part of the input that is shuffled (after
+    projection and partial aggregation, ``shuffle_fraction`` of it), AQE
+    coalescing towards the same size and splitting partitions 4x larger,
+    scans split into ``partition_bytes`` chunks, and stats-based broadcast of
+    sides up to 64 MB (size bound checked by the planner)."""
+    shuffled = max(1, int(input_bytes * shuffle_fraction))
+    parts = min(max_partitions, max(200, -(-shuffled // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, **kw) -> dict:
+    """Set :func:`scale_conf` on a running session (all are runtime SQL confs)."""
+    conf = scale_conf(input_bytes, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -39,3 +39,12 @@ def test_window_search_finds_interior_peak():
     assert best["maxDepth"] in (8, 16) or best["maxDepth"] == 12
     assert len(calls) == len(set(calls))
     assert dict(hist)[best["maxDepth"]] == max(v for _, v in hist)
+
+
+def test_scale_conf_sizes_partitions(spark):
+    from geoscore.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)       # 100 TiB input
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    c = scale_conf(10 * 1024 ** 3)        # 10 GiB input
+    assert int(c["spark.sql.shuffle.partitions"]) == 200
+    assert int(c["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
