@@ -88,3 +88,24 @@ def side(e, px, py) -> Column:
 def rect_corners(xmin, ymin, xmax, ymax):
     return [(col(xmin), col(ymin)), (col(xmax), col(ymin)),
             (col(xmax), col(ymax)), (col(xmin), col(ymax))]
+
+
+def _param_interval(p0, d, lo, hi, strict: bool):
+    """Interval of t where ``p0 + t d`` lies in (lo, hi) (``strict``) or in
+    [lo, hi]; the empty interval is returned as (1, 0) when d = 0."""
+    t1 = F.try_divide(lo - p0, d)
+    t2 = F.try_divide(hi - p0, d)
+    inside = ((p0 > lo) & (p0 < hi)) if strict else p0.between(lo, hi)
+    a = F.when(d == 0, F.when(inside, F.lit(float("-inf"))).otherwise(F.lit(1.0))).otherwise(F.least(t1, t2))
+    b = F.when(d == 0, F.when(inside, F.lit(float("inf"))).otherwise(F.lit(0.0))).otherwise(F.greatest(t1, t2))
+    return a, b
+
+
+def segment_meets_rect(x1, y1, x2, y2, xmin, ymin, xmax, ymax, open_rect: bool = False) -> Column:
+    """Segment (x1,y1)-(x2,y2) meets the closed rectangle, or with
+    ``open_rect`` passes through its interior (parametric clipping)."""
+    x1, y1, x2, y2 = col(x1), col(y1), col(x2), col(y2)
+    ax, bx = _param_interval(x1, x2 - x1, col(xmin), col(xmax), open_rect)
+    ay, by = _param_interval(y1, y2 - y1, col(ymin), col(ymax), open_rect)
+    lo, hi = F.greatest(ax, ay, F.lit(0.0)), F.least(bx, by, F.lit(1.0))
+    return (lo < hi) if open_rect else (lo <= hi)

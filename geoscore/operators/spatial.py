@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoscore.functions.geometry import rect_corners, ring_edges, side, sq_dist, tile, tile_range
+from geoscore.functions.geometry import (rect_corners, ring_edges, segment_meets_rect, side, sq_dist, tile,
+                                        tile_range)
 
 
 # ---------------------------------------------------------------------------
@@ -292,9 +293,10 @@ def cells_vs_hulls(cells: DataFrame, hulls: DataFrame, group_col: str,
     touch_sep = (F.exists("edges", lambda e: all_corners(e, lambda s: s <= 0)) & area_zone) \
         | (F.col("xmax") <= F.col("hxmin")) | (F.col("xmin") >= F.col("hxmax")) \
         | (F.col("ymax") <= F.col("hymin")) | (F.col("ymin") >= F.col("hymax"))
-    # degenerate zone (point / segment): intersects when a vertex is in the cell
-    degenerate_hit = F.exists("hull", lambda p: p["x"].between(F.col("xmin"), F.col("xmax"))
-                              & p["y"].between(F.col("ymin"), F.col("ymax")))
+    # degenerate zone: a point (one vertex) or a segment (two vertices) meets
+    # the closed cell
+    degenerate_hit = F.exists("edges", lambda e: segment_meets_rect(
+        e["x1"], e["y1"], e["x2"], e["y2"], F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")))
     intersects = F.when(area_zone, ~strict_sep).otherwise(degenerate_hit)
     zone_in_cell = F.forall("hull", lambda p: p["x"].between(F.col("xmin"), F.col("xmax"))
                             & p["y"].between(F.col("ymin"), F.col("ymax")))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoscore.functions import columns as X
-from geoscore.functions.geometry import lambert93, ring_edges, tile, tile_range
+from geoscore.functions.geometry import lambert93, ring_edges, segment_meets_rect, tile, tile_range
 from geoscore.operators import eav, ranking
 from geoscore.operators import spatial as S
 from geoscore.operators.joins import bounded_broadcast
@@ -91,17 +91,6 @@ def locate_projects(t: dict, project_ids: DataFrame | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 # J7 on general polygons: cells whose interior meets a polygon's interior
 # ---------------------------------------------------------------------------
-def _open_interval(p0, d, lo, hi):
-    """Parameter interval (as two columns) where ``p0 + t d`` lies strictly
-    between lo and hi; empty (1, 0) when d = 0 and p0 is outside."""
-    t1 = F.try_divide(lo - p0, d)
-    t2 = F.try_divide(hi - p0, d)
-    inside = (p0 > lo) & (p0 < hi)
-    a = F.when(d == 0, F.when(inside, F.lit(float("-inf"))).otherwise(F.lit(1.0))).otherwise(F.least(t1, t2))
-    b = F.when(d == 0, F.when(inside, F.lit(float("inf"))).otherwise(F.lit(0.0))).otherwise(F.greatest(t1, t2))
-    return a, b
-
-
 def cells_in_polygons(cells: DataFrame, polygons: DataFrame, poly_key: str) -> DataFrame:
     """``(cell_id, poly_key)`` where the cell's interior meets the polygon's.
 
@@ -128,10 +117,7 @@ def cells_in_polygons(cells: DataFrame, polygons: DataFrame, poly_key: str) -> D
     edges = (polygons.select(poly_key, F.explode(ring_edges("ring")).alias("e")).select(poly_key, "e.*")
              .withColumn("tx", F.explode(tile_range(F.least("x1", "x2"), F.greatest("x1", "x2"), TILE_M)))
              .withColumn("ty", F.explode(tile_range(F.least("y1", "y2"), F.greatest("y1", "y2"), TILE_M))))
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    ax, bx = _open_interval(F.col("x1"), dx, F.col("xmin"), F.col("xmax"))
-    ay, by = _open_interval(F.col("y1"), dy, F.col("ymin"), F.col("ymax"))
-    crosses = F.greatest(ax, ay, F.lit(0.0)) < F.least(bx, by, F.lit(1.0))
+    crosses = segment_meets_rect("x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax", open_rect=True)
     c = edges.join(ct, ["tx", "ty"]).where(crosses).select("cell_id", poly_key)
     return a.unionByName(b).unionByName(c).distinct()
 

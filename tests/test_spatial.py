@@ -209,3 +209,18 @@ def test_cells_in_general_polygon_exact(spark):
     exp = {r.cell_id for r in cells.collect() if clip_area(ring, r.xmin, r.ymin, r.xmax, r.ymax) > 1e-9}
     assert got == exp
     assert "c5_1" in got   # crossed by the spike only: no vertex, corner or centre inside
+
+
+def test_segment_zone_meets_crossed_cells(spark):
+    seg = spark.createDataFrame([(1, 0.01, 0.01), (1, 0.29, 0.19)], "g int, x double, y double")
+    hull = S.convex_hulls(seg, "g", "x", "y")
+    grid = spark.createDataFrame([(0, float(x), float(y)) for x in np.arange(0.0, 0.3, 0.1)
+                                  for y in np.arange(0.0, 0.3, 0.1)], "id long, x double, y double")
+    cells = S.grid_cells(grid, "x", "y", 0.1)
+    flags = {(r.cell_id): (r.intersects, r.overlaps_or_within)
+             for r in S.cells_vs_hulls(cells, hull, "g", 0.1).collect()}
+    ids = {(c.cx, c.cy): c.cell_id for c in cells.collect()}
+    hit = {k for k, v in flags.items() if v[0]}
+    # the segment y = 0.01 + (x - 0.01) * 0.18 / 0.28 crosses cells (0,0), (1,0), (1,1), (2,1)
+    assert hit == {ids[(0, 0)], ids[(1, 0)], ids[(1, 1)], ids[(2, 1)]}
+    assert not any(v[1] for v in flags.values())   # a segment has no interior
