@@ -44,6 +44,9 @@ SEED = 42
 SPARK_MAX_DEPTH = 30
 # Independent fits submitted at once (CV settings, folds, sweep steps).
 FIT_PARALLELISM = 8
+# Memory for node statistics per pass of the tree learner: more nodes per
+# pass means fewer passes over the cached training set (same trees).
+TREE_PASS_MEMORY_MB = 1024
 
 
 def spark_depths(depths) -> list[int]:
@@ -112,6 +115,7 @@ def assembler(features: list[str]) -> VectorAssembler:
 
 def rf_classifier(num_trees: int, label: str = "label", weight: str | None = "weight",
                   seed: int = SEED, **kw) -> RandomForestClassifier:
+    kw.setdefault("maxMemoryInMB", TREE_PASS_MEMORY_MB)
     est = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                  seed=seed, **kw)
     if weight:
@@ -121,6 +125,7 @@ def rf_classifier(num_trees: int, label: str = "label", weight: str | None = "we
 
 def rf_regressor(num_trees: int, label: str = "label", seed: int = SEED, **kw) -> RandomForestRegressor:
     # every feature is a split candidate at every node, as in a plain forest
+    kw.setdefault("maxMemoryInMB", TREE_PASS_MEMORY_MB)
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=num_trees,
                                  featureSubsetStrategy="all", seed=seed, **kw)
 
