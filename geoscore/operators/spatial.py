@@ -61,28 +61,74 @@ def locate_points(points: DataFrame, cells: DataFrame, key: str, x: str, y: str,
 # ---------------------------------------------------------------------------
 # Count sites within a radius (inclusive), unmatched kept as 0
 # ---------------------------------------------------------------------------
+def _radius_offsets(k: int):
+    """Bucket offsets (dx, dy) around a centre's bucket for buckets of side
+    r / k: ``full`` buckets lie within r of every point of the centre's
+    bucket ((|dx|+1)^2 + (|dy|+1)^2 <= k^2), ``partial`` ones may hold sites
+    within r ((|dx|-1)+^2 + (|dy|-1)+^2 <= k^2) and need a distance test.
+    Excluded offsets are farther than r by at least a few percent, and full
+    ones nearer by at least a few percent, so a point bucketed one ulp off
+    its true bucket cannot change the count."""
+    full, partial = [], []
+    for dx in range(-k - 1, k + 2):
+        for dy in range(-k - 1, k + 2):
+            ax, ay = abs(dx), abs(dy)
+            if (ax + 1) ** 2 + (ay + 1) ** 2 <= k * k:
+                full.append((dx, dy))
+            elif max(ax - 1, 0) ** 2 + max(ay - 1, 0) ** 2 <= k * k:
+                partial.append((dx, dy))
+    return full, partial
+
+
 def range_count(centres: DataFrame, sites: DataFrame, key: str, radius: float,
                 cx: str = "xc", cy: str = "yc", sx: str = "x", sy: str = "y",
-                out: str = "n_sites") -> DataFrame:
-    """For every centre, the number of sites at distance <= radius.
-
-    Sites are first collapsed to distinct locations with a multiplicity
-    (many establishments at one address cost one row), bucketed on a grid of
-    side ``radius`` and copied to the 3x3 neighbouring buckets; centres fall
-    in one bucket. The bucket join is an *inner* join, so AQE may split a hot
-    bucket on either side; the counts are then attached to every centre by
-    its unique key, centres without any site getting 0.
+                out: str = "n_sites", k: int = 4) -> DataFrame:
+    """For every centre, the number of sites at distance <= radius (exact).
+
+    Two levels on a grid of side ``radius / k``:
+
+    * sites are pre-aggregated per bucket; buckets that lie wholly within the
+      radius of the centre's bucket add their count with no per-site work
+      (one small table per centre bucket);
+    * only the ring of boundary buckets is tested site by site, with sites
+      collapsed to distinct locations (many establishments at one address
+      cost one row). The bucket join is an inner equi-join (AQE may split a
+      hot bucket on either side).
+
+    Counts are attached to every centre by its key; centres with no site in
+    range get 0.
     """
     r = float(radius)
-    loc = sites.groupBy(F.col(sx).alias("_sx"), F.col(sy).alias("_sy")).agg(
-        F.count(F.lit(1)).alias("_w"))
-    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    sb = (loc.withColumn("_bx", F.explode(F.transform(near, lambda d: tile("_sx", r) + d)))
-          .withColumn("_by", F.explode(F.transform(near, lambda d: tile("_sy", r) + d))))
-    c = centres.select(key, cx, cy, tile(cx, r).alias("_bx"), tile(cy, r).alias("_by"))
-    cond = ((c["_bx"] == sb["_bx"]) & (c["_by"] == sb["_by"])
-            & (sq_dist(c[cx], c[cy], sb["_sx"], sb["_sy"]) <= F.lit(r * r)))
-    hits = c.join(sb, cond).groupBy(key).agg(F.sum("_w").alias("_n"))
+    size = r / k
+    full, partial = _radius_offsets(k)
+
+    def offsets(pairs):
+        return F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in pairs])
+
+    sb = sites.select(F.col(sx).alias("_sx"), F.col(sy).alias("_sy"),
+                      tile(sx, size).alias("_bx"), tile(sy, size).alias("_by"))
+    c = centres.select(key, cx, cy, tile(cx, size).alias("_cbx"), tile(cy, size).alias("_cby"))
+    parts = []
+    if full:
+        # level 1: whole buckets, by bucket counts shifted to the centre buckets they serve
+        per_bucket = sb.groupBy("_bx", "_by").agg(F.count(F.lit(1)).alias("_n"))
+        served = (per_bucket.select("_bx", "_by", "_n", F.explode(offsets(full)).alias("o"))
+                  .select((F.col("_bx") - F.col("o.dx")).alias("_cbx"),
+                          (F.col("_by") - F.col("o.dy")).alias("_cby"), "_n"))
+        whole = served.groupBy("_cbx", "_cby").agg(F.sum("_n").alias("_full"))
+        parts.append(c.join(whole, ["_cbx", "_cby"]).select(key, F.col("_full").alias("_n")))
+    # level 2: boundary buckets, site by site (distinct locations)
+    loc = sb.groupBy("_sx", "_sy", "_bx", "_by").agg(F.count(F.lit(1)).alias("_w"))
+    ring = (loc.select("_sx", "_sy", "_w", "_bx", "_by", F.explode(offsets(partial)).alias("o"))
+            .select("_sx", "_sy", "_w", (F.col("_bx") - F.col("o.dx")).alias("_cbx"),
+                    (F.col("_by") - F.col("o.dy")).alias("_cby")))
+    parts.append(c.join(ring, ["_cbx", "_cby"])
+                 .where(sq_dist(cx, cy, "_sx", "_sy") <= F.lit(r * r))
+                 .select(key, F.col("_w").alias("_n")))
+    hits = parts[0]
+    for p in parts[1:]:
+        hits = hits.unionByName(p)
+    hits = hits.groupBy(key).agg(F.sum("_n").alias("_n"))
     return (centres.select(key).join(hits, key, "left")
             .select(key, F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias(out)))
 

@@ -224,3 +224,20 @@ def test_segment_zone_meets_crossed_cells(spark):
     # the segment y = 0.01 + (x - 0.01) * 0.18 / 0.28 crosses cells (0,0), (1,0), (1,1), (2,1)
     assert hit == {ids[(0, 0)], ids[(1, 0)], ids[(1, 1)], ids[(2, 1)]}
     assert not any(v[1] for v in flags.values())   # a segment has no interior
+
+
+def test_range_count_two_level_boundaries(spark):
+    rng = np.random.default_rng(11)
+    r = 0.3
+    # coordinates on multiples of the fine bucket side and of r, plus a dense cluster
+    grid = np.round(rng.integers(-40, 40, (500, 2)) * (r / 8), 12)
+    s = np.vstack([grid, rng.normal(0.2, 0.05, (300, 2)), np.repeat([[0.3, -0.3]], 50, axis=0)])
+    c = np.vstack([np.round(rng.integers(-40, 40, (300, 2)) * (r / 4), 12), rng.uniform(-3, 3, (200, 2))])
+    centres = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(c)],
+                                    "cid long, xc double, yc double")
+    sites = _pts(spark, s)
+    d2 = ((c[:, None, :] - s[None, :, :]) ** 2).sum(axis=2)
+    exp = (d2 <= r * r).sum(axis=1)
+    for k in (1, 3, 4, 7):
+        got = dict(S.range_count(centres, sites, "cid", r, k=k).collect())
+        assert all(got[i] == exp[i] for i in range(len(c))), k
