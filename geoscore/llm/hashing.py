@@ -116,6 +116,26 @@ def _split_runs(keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends
 
 
+def grouped_order(group: np.ndarray, rank: np.ndarray | None, h: np.ndarray, rank_bits: int = 20) -> np.ndarray:
+    """Order by (group, rank, hash); ``group`` counts up from 0.
+
+    One 64-bit sort key holds the group, the rank and the hash's top bits;
+    only when that doesn't tell two hashes apart, a full sort follows."""
+    bits = rank_bits if rank is not None else 0
+    top = int(group[-1]).bit_length() if len(group) else 0
+    left = 64 - top - bits
+    if left < 24:
+        return np.lexsort((h, group) if rank is None else (h, rank, group))
+    key = (group.astype(U) << U(64 - top) if top else np.zeros(len(h), U)) | (h >> U(64 - left))
+    if rank is not None:
+        key |= rank.astype(U) << U(left)
+    order = np.argsort(key)
+    key, hs = key[order], h[order]
+    if ((key[1:] == key[:-1]) & (hs[1:] != hs[:-1])).any():
+        return np.lexsort((h, group) if rank is None else (h, rank, group))
+    return order
+
+
 def shingles(word_hash: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingle hashes of each document, sorted by (doc, hash).
 
@@ -141,7 +161,10 @@ def shingles(word_hash: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> tup
             extra[has] += word_hash[first[short[has]] + j] * weights[j]
         h = np.concatenate([h, mix(extra + counts[short].astype(U))])
         d = np.concatenate([d, short])
-    order = np.lexsort((h, d))
+    if len(short):
+        byd = np.argsort(d, kind="stable")
+        h, d = h[byd], d[byd]
+    order = grouped_order(d, None, h)
     h, d = h[order], d[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])

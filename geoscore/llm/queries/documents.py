@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import packing, quality
+from geoscore.llm import lines, packing, quality
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -19,6 +19,14 @@ def quality_model(spark: SparkSession, docs: DataFrame, labels: DataFrame):
     return quality.train(rows)
 
 
+@register("op1_lines")
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lines.dedup_lines(docs, "lines")
+    return out.select("doc_id", "lines.n_lines", "lines.n_removed", "lines.removed",
+                      F.sha2("lines.text", 256).alias("kept_sha256"))
+
+
 @register("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
