@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import lines, packing, quality
+from geoscore.llm import lines, packing, quality, shingles
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -27,6 +27,12 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("lines.text", 256).alias("kept_sha256"))
 
 
+@register("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return shingles.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @register("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
