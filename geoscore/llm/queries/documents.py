@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import lines, packing, quality, shingles
+from geoscore.llm import decontam, lines, packing, quality, shingles
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -33,6 +33,14 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+@register("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontam.leaks(docs, load(spark, sf_dir, "benchmark").select("item_id", "text"), "leaks")
+    return out.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").cast("long").alias("n_items"),
+                      F.col("leaks.item").alias("item_ids"), F.array_min("leaks.distance").alias("least_edits"))
+
+
 @register("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
