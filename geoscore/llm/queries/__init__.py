@@ -18,5 +18,9 @@ def register(name: str, oracle: str | None = None):
 
 
 def load_all():
+    import corpus_pipeline
     from geoscore.llm.queries import documents  # noqa: F401
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
     return QUERIES, ORACLES

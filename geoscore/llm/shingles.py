@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import written
+from geoscore.llm.common import free_name, written
 from geoscore.llm.components import components
 
 RARE, VERY = 32, 512
@@ -242,3 +242,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     out = table.select("doc_id", "doc", "body", "set", size.alias("n_shingles")).join(ids, "set").join(found, "set", "left")
     group = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "id"))
     return out.select("doc_id", "doc", "body", "n_shingles", group.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """One row of each group of near duplicates: that of the smallest doc_id
+    (then of the smallest text hash). Rows equal in both count once. Documents
+    without words all stay."""
+    names = {c: free_name(docs, f"{c}_of_group") for c in ("doc", "body", "row")}
+    groups = near_duplicates(docs.select("doc_id", "text"), k, num, den).where(F.col("n_shingles") > 0)
+    first = groups.groupBy("component_id").agg(F.min(F.struct("doc", "body")).alias("f")).select("f.*")
+    first = first.select(F.col("doc").alias(names["doc"]), F.col("body").alias(names["body"]), F.lit(True).alias(names["row"]))
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.withColumns({names["doc"]: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                              names["body"]: F.xxhash64("text")})
+    kept = keyed.join(first, [names["doc"], names["body"]], "left").where(F.col(names["row"]) | wordless)
+    again = (kept.where(~wordless).groupBy(names["doc"], names["body"]).agg(F.count("*").alias(names["row"]))
+             .where(F.col(names["row"]) > 1).drop(names["row"]))
+    if not again.limit(1).count():
+        return kept.select(*docs.columns)
+    twice = kept.join(again, [names["doc"], names["body"]], "left_semi")
+    rest = kept.join(again, [names["doc"], names["body"]], "left_anti")
+    empty = twice.where(wordless)
+    once = twice.where(~wordless).dropDuplicates([names["doc"], names["body"]])
+    return rest.unionByName(once).unionByName(empty).select(*docs.columns)
