@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, shingles
+from geoscore.llm import decontam, lines, packing, quality, secrets, shingles
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -33,6 +33,15 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+@register("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", secrets.spans(F.col("text")).alias("found"))
+    base = F.filter("found", lambda s: s["kind"] < 3)
+    return docs.select("doc_id", *(secrets.count(F.col("found"), k).alias(f"n_{k}") for k in secrets.KINDS),
+                       F.sha2(secrets.written_spans(base), 256).alias("base_sha256"),
+                       secrets.written_spans(F.col("found")).alias("spans"))
+
+
 @register("op5_decontamination")
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
