@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, secrets, shingles
+from geoscore.llm import decontam, lines, packing, quality, secrets, shingles, toxicity
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -27,6 +27,19 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("lines.text", 256).alias("kept_sha256"))
 
 
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels")
+    seen = labels.where(F.col("toxic").isin(0, 1) & (id_crc(F.col("doc_id")) % 3 != 1))
+    rows = (docs.select(F.col("doc_id").alias("key"), "text")
+            .join(seen.select(F.col("doc_id").alias("key"), F.col("toxic").alias("label")), "key"))
+    model = toxicity.train(rows)
+    scored = docs.select("doc_id", (id_crc(F.col("doc_id")) % 3 == 1).alias("held_out"),
+                         toxicity.score(F.col("text"), model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @register("op3_near_duplicates")
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
