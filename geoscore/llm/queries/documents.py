@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, secrets, shingles, toxicity
+from geoscore.llm import decontam, lines, packing, quality, secrets, shingles, topk, toxicity
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -76,3 +76,24 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(packing.pieces(docs))
+
+
+@register("op10_top_k", oracle="""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 10
+""")
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
