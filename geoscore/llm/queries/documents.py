@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, secrets, sharding, shingles, topk, toxicity
+from geoscore.llm import decontam, lines, packing, quality, secrets, sharding, shingles, substrings, topk, toxicity
 from geoscore.llm.common import id_crc
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -72,6 +72,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@register("op7_substrings")
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op8_sharding")
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(load(spark, sf_dir, "documents").select("doc_id", "text"))
