@@ -6,17 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoscore.llm import decontam, lines, packing, quality, secrets, sharding, shingles, substrings, topk, toxicity
-from geoscore.llm.common import id_crc
+from geoscore.llm.common import id_crc, lookup, written
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
 
 
+def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """(key, text, label) of the documents with a label in ``column``."""
+    seen = written(labels.select(F.col("doc_id").alias("key"), F.col(column).alias("label")), "labels")
+    return docs.select(F.col("doc_id").alias("key"), "text").join(lookup(seen), "key")
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, labels: DataFrame):
     """Weights learnt from the labelled rows that are not held out."""
     seen = labels.where(F.col("quality").isin(0, 1) & (id_crc(F.col("doc_id")) % 5 != 0))
-    rows = (docs.select(F.col("doc_id").alias("key"), "text")
-            .join(seen.select(F.col("doc_id").alias("key"), F.col("quality").alias("label")), "key"))
-    return quality.train(rows)
+    return quality.train(labelled(docs, seen, "quality"))
 
 
 @register("op1_lines")
@@ -32,9 +36,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     labels = load(spark, sf_dir, "labels")
     seen = labels.where(F.col("toxic").isin(0, 1) & (id_crc(F.col("doc_id")) % 3 != 1))
-    rows = (docs.select(F.col("doc_id").alias("key"), "text")
-            .join(seen.select(F.col("doc_id").alias("key"), F.col("toxic").alias("label")), "key"))
-    model = toxicity.train(rows)
+    model = toxicity.train(labelled(docs, seen, "toxic"))
     scored = docs.select("doc_id", (id_crc(F.col("doc_id")) % 3 == 1).alias("held_out"),
                          toxicity.score(F.col("text"), model, spark).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))

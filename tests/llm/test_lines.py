@@ -1,7 +1,9 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from geoscore.llm import lines
 from geoscore.llm.lines import dedup_lines
 
 from .conftest import noisy_texts
@@ -13,15 +15,15 @@ ODD = [(None, "a b c d e"), (None, None), (5000, None), (5001, ""), (5002, "\n\n
 
 def brute(rows):
     """doc position -> removed line numbers, by comparing all lines."""
-    lines = []
+    found = []
     for k, (i, t) in enumerate(rows):
         for j, line in enumerate((t or "").split("\n")):
             words = {re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(r"[^\x20\x09-\x0D]+", line)}
             if words:
-                lines.append((i if i is not None else float("-inf"), j, k, words))
+                found.append((i if i is not None else float("-inf"), j, k, words))
     gone = {k: [] for k in range(len(rows))}
-    for a, b, k, x in lines:
-        if any((c, d) < (a, b) and len(x & y) * 5 >= len(x | y) * 4 for c, d, _, y in lines):
+    for a, b, k, x in found:
+        if any((c, d) < (a, b) and len(x & y) * 5 >= len(x | y) * 4 for c, d, _, y in found):
             gone[k].append(b)
     return gone
 
@@ -39,7 +41,10 @@ def expected(rows):
     return sorted(out, key=lambda r: (r[0], r[1], r[2]))
 
 
-def test_lines_against_all_pairs(make_docs):
+@pytest.mark.parametrize("candidates, at_once", [(3, 1 << 20), (1, 50)])
+def test_lines_against_all_pairs(make_docs, monkeypatch, candidates, at_once):
+    monkeypatch.setattr(lines, "CANDIDATES", candidates)
+    monkeypatch.setattr(lines, "PAIRS_AT_ONCE", at_once)
     rows = list(enumerate(noisy_texts(1, 250))) + ODD
     assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
 

@@ -43,12 +43,13 @@ def check(make_docs, rows):
 def test_components_against_all_pairs(make_docs, monkeypatch):
     monkeypatch.setattr(shingles, "RARE", 3)  # small data, so that all classes occur
     monkeypatch.setattr(shingles, "VERY", 8)
+    monkeypatch.setattr(shingles, "LARGE", 5)
     texts = noisy_texts(5, 260, lines=(1, 4), words=(1, 30), edits=0.12)
     base = " ".join(f"v{i}" for i in range(400))
     rnd = random.Random(9)
     family = [" ".join(w if rnd.random() > e else f"n{rnd.random()}" for w in base.split()) for e in [0.004, 0.02, 0.05] * 12]
     rows = list(enumerate(texts + family + [base] * 5 + [base.upper(), base + " x", "a b c d", "A b c d", "a", "a"]))
-    rows += [(None, base), (None, None), (7000, None), (7001, ""), (7002, " \n"), (7003, "a b c"), (7003, "a b c"), (7003, "q")]
+    rows += [(None, base), (None, None), (7000, None), (7001, ""), (7002, " \n"), (7003, "a b c"), (7003, "a b c"), (7003, "q")] + [(7004, base + " y z")] * 3
     check(make_docs, rows)
 
 
