@@ -32,10 +32,15 @@ ADDRESS = "adresse"
 COMMUNE_LEVEL = 3
 STATUS_RUNNING = "calculs en cours"
 STATUS_DONE = "disponible"
+STATUS_FAILED = "erreur"
 SCORE_3Y, SCORE_5Y, SCORE_OPPORTUNITY = "survie_3", "survie_5", "opportunite"
 VAR_COMPETITORS = "nb_concurrents"
 VAR_INHABITANTS = "nb_habitants_etablissement"
 VAR_DENSITY = "densite_pop"
+STACKED = "proba_survie_3_ans"
+MOTORISATION, RIDERSHIP = "taux_motorisation", "indice_frequentation_train"
+RECORDED = ["milieu", "zone", "caractere_employeur", "inscription_registre_metiers"]
+SCORE_SLICES = ["score", "fk_metier", "fk_projet"]  # layout of the cell score table
 # tile side of the spatial joins: a few cells wide
 TILE_M = 2_000.0
 
@@ -207,9 +212,10 @@ def _store_rows(df: DataFrame, varexp: str, now=None) -> DataFrame:
 # Feature matrices and project vectors
 # ---------------------------------------------------------------------------
 def cell_feature_matrix(t: dict, trade: str, candidates: DataFrame, dictionary: DataFrame,
-                        scale: int = 3) -> DataFrame:
+                        scale: int | None = 3, area: bool = True) -> DataFrame:
     """One row per (project, candidate cell) with every dictionary
-    feature (J4: complete cells only), plus milieu and zone code.
+    feature (J4: complete cells only), plus milieu and zone code (``area``;
+    without it only cells that belong to a commune are kept).
 
     ``dictionary`` = ``(feature, varexp, scope)``, scope ``global`` for the
     shared store and ``trade`` for the trade store; it has tens of rows and
@@ -226,6 +232,8 @@ def cell_feature_matrix(t: dict, trade: str, candidates: DataFrame, dictionary:
                      [f"{s}:{v}" for _, v, s in entries], [f for f, _, _ in entries],
                      complete=True, round_to=scale, latest_by=["date_calcul"])
     cc = t["carreaux_communes"].select("idinspire", "milieu", "code_commune")
+    if not area:
+        return candidates.join(wide.join(cc.select("idinspire"), "idinspire", "left_semi"), "idinspire")
     uu = t["unites_urbaines"].select(F.col("codgeo").alias("code_commune"), F.col("statut_2017").alias("zone"))
     wide = (wide.join(cc, "idinspire").join(bounded_broadcast(uu), "code_commune")
             .withColumn("milieu", X.milieu_flag_strict("milieu"))
@@ -233,50 +241,89 @@ def cell_feature_matrix(t: dict, trade: str, candidates: DataFrame, dictionary:
     return candidates.join(wide, "idinspire")
 
 
+def stored_scores(scores: DataFrame, score: str = SCORE_3Y, out: str = STACKED) -> DataFrame:
+    """Latest stored cell score of each (project, cell)."""
+    s = scores.where(F.col("score") == score).select(
+        "idinspire", F.col("fk_projet").alias("id_projet"), F.col("valeur").alias(out), "date_prediction")
+    return eav.latest_per_key(s, ["idinspire", "id_projet"], [out], ["date_prediction", out])
+
+
 def with_stored_score(matrix: DataFrame, scores: DataFrame, score: str = SCORE_3Y,
-                      out: str = "proba_survie_3_ans") -> DataFrame:
+                      out: str = STACKED) -> DataFrame:
     """Attach the stored cell score of the same project."""
-    s = scores.where(F.col("score") == score).select(
-        "idinspire", F.col("fk_projet").alias("id_projet"), F.col("valeur").alias(out))
-    s = eav.latest_per_key(s.withColumn("_o", F.lit(1)), ["idinspire", "id_projet"], [out], ["_o"])
-    return matrix.join(s, ["idinspire", "id_projet"])
+    return matrix.join(stored_scores(scores, score, out), ["idinspire", "id_projet"])
 
 
-def zone_vectors(t: dict, located: DataFrame, matrix: DataFrame, features: list[str]) -> DataFrame:
-    """Mean of each feature over the cells meeting the drawn zone."""
-    cells = cell_rectangles(t["insee_carreaux"])
+def zone_cells(t: dict, located: DataFrame) -> DataFrame:
+    """(id_projet, idinspire): every cell that meets the drawn zone (J6),
+    candidate or not."""
     zone = located.where(F.col("localisation_type") == DRAWN_ZONE).select("id_projet", "hull")
-    hit = S.cells_in_zones(cells, zone, "id_projet", TILE_M, mode="intersects")
-    sel = matrix.join(hit.select("id_projet", F.col("cell_id").alias("idinspire")), ["id_projet", "idinspire"])
-    return eav.group_means(sel, ["id_projet"], features, 3)
+    hit = S.cells_in_zones(cell_rectangles(t["insee_carreaux"]), zone, "id_projet", TILE_M, mode="intersects")
+    return hit.select("id_projet", F.col("cell_id").alias("idinspire")).distinct()
+
+
+def zone_vectors(t: dict, trade: str, located: DataFrame, dictionary: DataFrame, features: list[str],
+                 scores: DataFrame | None = None) -> DataFrame:
+    """Mean of each feature over all cells meeting the drawn zone,
+    rounded after the mean. With ``scores`` (the 5-year model) only over the
+    cells that have a stored 3-year score, whose mean is a feature too."""
+    m = cell_feature_matrix(t, trade, zone_cells(t, located), dictionary, scale=None, area=False)
+    if scores is not None:
+        m, features = with_stored_score(m, scores), features + [STACKED]
+    return eav.group_means(m, ["id_projet"], features, 3)
 
 
 def address_vectors(t: dict, trade: str, located: DataFrame, dictionary: DataFrame,
-                    features: list[str]) -> DataFrame:
-    """C11: features of the cell holding the address (one cell per project,
-    J5 + T4), read from the stores for that cell alone."""
+                    features: list[str], scores: DataFrame | None = None) -> DataFrame:
+    """Features of the cell holding the address (one cell per
+    project, J5 + T4), and with ``scores`` its stored 3-year score."""
     a = located.where(F.col("localisation_type") == ADDRESS).select("id_projet", "idinspire")
-    return cell_feature_matrix(t, trade, a, dictionary).select("id_projet", *features)
+    m = cell_feature_matrix(t, trade, a, dictionary, area=False)
+    if scores is not None:
+        m, features = with_stored_score(m, scores), features + [STACKED]
+    return m.select("id_projet", *features)
 
 
-def project_vectors(t: dict, trade: str, located: DataFrame, matrix: DataFrame,
-                    dictionary: DataFrame, features: list[str]) -> DataFrame:
+def project_vectors(t: dict, trade: str, located: DataFrame, dictionary: DataFrame, features: list[str],
+                    scores: DataFrame | None = None) -> DataFrame:
     """Zone or address vector per project, with the project's milieu / zone
-    recodes (P12, P13). Projects with another localisation type get no row."""
-    v = zone_vectors(t, located, matrix, features).unionByName(
-        address_vectors(t, trade, located, dictionary, features))
+    recodes (P12, P13). Projects of another localisation type have none; see
+    :func:`unknown_locations`."""
+    v = zone_vectors(t, trade, located, dictionary, features, scores).unionByName(
+        address_vectors(t, trade, located, dictionary, features, scores))
     meta = located.select("id_projet", X.milieu_flag_strict("milieu").alias("milieu"),
                           X.ordinal_recode("zone").alias("zone"))
     return v.join(meta, "id_projet")
 
 
-def prepare_for_model(df: DataFrame, features: list[str], employer_flag: int | None = None) -> DataFrame:
-    """A11 + X9 + P10: mean fill, cap, employer flag as an integer constant."""
-    if employer_flag is not None:
-        df = df.withColumn("caractere_employeur", F.lit(int(employer_flag)))
-    from geoscore.plans.features import mean_fill
-    filled = mean_fill(df, exclude=[c for c in df.columns if c not in features])
-    return filled.select(*[X.null_safe_cap(c).alias(c) if c in features else F.col(c) for c in filled.columns])
+def unknown_locations(located: DataFrame) -> DataFrame:
+    """Projects that can't be scored, with the reason."""
+    known = F.coalesce(F.col("localisation_type").isin(DRAWN_ZONE, ADDRESS), F.lit(False))
+    return located.where(~known).select("id_projet", F.concat(
+        F.lit("unknown localisation_type: "), F.coalesce("localisation_type", F.lit("NULL"))).alias("error"))
+
+
+def prepare_for_model(df: DataFrame, features: list[str], employer_flag: int | None = None,
+                      registry_flag: int | None = None) -> DataFrame:
+    """A11 + X9 + P10, project by project, so a project's scores don't depend
+    on the batch it is scored in: the motorisation rate is filled with its mean
+    within the project, the train ridership index is capped, the two flags are
+    integer constants, and what is still missing becomes 0 as in training."""
+    flags = {"caractere_employeur": employer_flag, "inscription_registre_metiers": registry_flag}
+    df = df.withColumns({c: F.lit(int(v)) for c, v in flags.items() if v is not None})
+    if MOTORISATION in df.columns:
+        df = group_mean_fill(df, ["id_projet"], MOTORISATION)
+    if RIDERSHIP in df.columns:
+        df = df.withColumn(RIDERSHIP, X.null_safe_cap(RIDERSHIP))
+    return df.na.fill(0.0, subset=[c for c in features if c in df.columns])
+
+
+def group_mean_fill(df: DataFrame, group_cols: list[str], column: str) -> DataFrame:
+    """NULLs of a column become the mean of their group (NULL if the
+    group has no value). The means are one row per group, pre-aggregated."""
+    means = df.groupBy(*group_cols).agg(F.avg(column).alias("_mean"))
+    return (df.join(means, group_cols, "left").withColumn(column, F.coalesce(F.col(column), F.col("_mean")))
+            .select(*df.columns))
 
 
 # ---------------------------------------------------------------------------
@@ -292,13 +339,10 @@ def project_opportunity(t: dict, located: DataFrame, trade: str) -> DataFrame:
     """C14: mean opportunity score of the zone cells, or the address cell's."""
     sc = t["res_carreaux_scores"].where((F.col("score") == SCORE_OPPORTUNITY) & (F.col("fk_metier") == trade))
     sc = sc.select("idinspire", "valeur")
-    cells = cell_rectangles(t["insee_carreaux"])
-    zone = located.where(F.col("localisation_type") == DRAWN_ZONE).select("id_projet", "hull")
-    hit = S.cells_in_zones(cells, zone, "id_projet", TILE_M, mode="intersects").select(
-        "id_projet", F.col("cell_id").alias("idinspire"))
+    hit = zone_cells(t, located)
     z = hit.join(sc, "idinspire").groupBy("id_projet").agg(F.round(F.avg("valeur"), 3).alias("valeur"))
     a = (located.where(F.col("localisation_type") == ADDRESS).select("id_projet", "idinspire")
-         .join(sc, "idinspire").select("id_projet", "valeur"))
+         .join(sc, "idinspire").select("id_projet", F.round("valeur", 3).alias("valeur")))
     return z.unionByName(a).select("id_projet", F.lit(SCORE_OPPORTUNITY).alias("score"), "valeur")
 
 
@@ -318,13 +362,21 @@ def project_feature_records(vectors: DataFrame, features: list[str], dictionary:
 # Full inference for a set of projects
 # ---------------------------------------------------------------------------
 def infer_projects(spark, t: dict, trade: str, project_ids: DataFrame, dictionary: DataFrame,
-                   model_3y, features_3y: list[str], model_5y=None, features_5y: list[str] | None = None,
-                   employer_flag: int = 1, out_dir: str | None = None) -> dict:
+                   model_3y=None, features_3y: list[str] | None = None, model_5y=None,
+                   features_5y: list[str] | None = None, employer_flag: int = 1, registry_flag: int = 1,
+                   out_dir: str | None = None, base: str | None = None) -> dict:
     """Locate, candidate cells, missing attributes, 3-year then 5-year
     cell and project scores, project opportunity. Returns the result frames;
     with ``out_dir`` they are also written (cell scores replace their
-    (project, score) slice; everything else is appended)."""
+    (score, trade, project) slice; everything else is appended).
+
+    Models and their selected features are those of the newest runs below
+    ``base`` (C13) unless they are passed."""
     from geoscore.operators.ml import score
+    if base is not None and model_3y is None:
+        from geoscore.plans.training import KIND_3Y, KIND_5Y, load_latest_model
+        _, model_3y, features_3y = load_latest_model(spark, base, trade, KIND_3Y)
+        _, model_5y, features_5y = load_latest_model(spark, base, trade, KIND_5Y)
     if out_dir:
         T.log_status(spark, f"{out_dir}/statut_projets", project_ids, STATUS_RUNNING)
     located = locate_projects(t, project_ids)
@@ -335,42 +387,45 @@ def infer_projects(spark, t: dict, trade: str, project_ids: DataFrame, dictionar
     t[f"res_carreaux_varexp_{trade}"] = (t[f"res_carreaux_varexp_{trade}"]
                                          .select("idinspire", "varexp", "valeur", "reel", "date_calcul")
                                          .unionByName(comp).unionByName(inh))
-    results = {"located": located, "candidates": cand, "new_varexp": comp.unionByName(inh)}
+    errors = unknown_locations(located)
+    results = {"located": located, "candidates": cand, "new_varexp": comp.unionByName(inh), "errors": errors}
     feats = [r["feature"] for r in dictionary.collect()]
+    flags = {"employer_flag": employer_flag, "registry_flag": registry_flag}
     matrix = materialize(cell_feature_matrix(t, trade, cand, dictionary))
-    vec = materialize(project_vectors(t, trade, located, matrix, dictionary, feats))
-    cell_in = prepare_for_model(matrix.withColumn("caractere_employeur", F.lit(employer_flag)), features_3y)
-    proj_in = prepare_for_model(vec, features_3y, employer_flag)
-    cell3 = score(model_3y, cell_in, "valeur").select(
-        "idinspire", F.lit(SCORE_3Y).alias("score"), "valeur", F.lit(trade).alias("fk_metier"),
-        F.col("id_projet").alias("fk_projet"), F.current_timestamp().alias("date_prediction"),
-        F.lit(True).alias("reel"))
-    proj3 = score(model_3y, proj_in, "valeur").select("id_projet", F.lit(SCORE_3Y).alias("score"), "valeur")
-    results.update(cell_scores_3y=cell3, project_scores_3y=proj3,
-                   project_records=project_feature_records(vec, feats, dictionary))
-    if model_5y is not None:
-        stacked = with_stored_score(matrix, cell3, SCORE_3Y)
-        zone_p = proj3.select("id_projet", F.col("valeur").alias("proba_survie_3_ans"))
-        f5 = features_5y or features_3y + ["proba_survie_3_ans"]
-        cell_in5 = prepare_for_model(stacked.withColumn("caractere_employeur", F.lit(employer_flag)), f5)
-        proj_in5 = prepare_for_model(vec.join(zone_p, "id_projet"), f5, employer_flag)
-        results["cell_scores_5y"] = score(model_5y, cell_in5, "valeur").select(
-            "idinspire", F.lit(SCORE_5Y).alias("score"), "valeur", F.lit(trade).alias("fk_metier"),
+
+    def cell_scores(model, rows, features, name):
+        return materialize(score(model, prepare_for_model(rows, features, **flags), "valeur").select(
+            "idinspire", F.lit(name).alias("score"), "valeur", F.lit(trade).alias("fk_metier"),
             F.col("id_projet").alias("fk_projet"), F.current_timestamp().alias("date_prediction"),
-            F.lit(True).alias("reel"))
-        results["project_scores_5y"] = score(model_5y, proj_in5, "valeur").select(
-            "id_projet", F.lit(SCORE_5Y).alias("score"), "valeur")
+            F.lit(True).alias("reel")))
+
+    def project_scores(model, rows, features, name):
+        return score(model, prepare_for_model(rows, features, **flags), "valeur").select(
+            "id_projet", F.lit(name).alias("score"), "valeur")
+
+    vec = materialize(project_vectors(t, trade, located, dictionary, feats))
+    cell3 = cell_scores(model_3y, matrix, features_3y, SCORE_3Y)
+    records = prepare_for_model(vec, [], **flags)
+    records = records.withColumns({c: F.col(c).cast("double") for c in RECORDED})
+    results.update(cell_scores_3y=cell3, project_scores_3y=project_scores(model_3y, vec, features_3y, SCORE_3Y),
+                   project_records=project_feature_records(records, feats + RECORDED, dictionary))
+    if model_5y is not None:
+        f5 = features_5y or features_3y + [STACKED]
+        vec5 = project_vectors(t, trade, located, dictionary, feats, cell3)
+        results["cell_scores_5y"] = cell_scores(model_5y, with_stored_score(matrix, cell3), f5, SCORE_5Y)
+        results["project_scores_5y"] = project_scores(model_5y, vec5, f5, SCORE_5Y)
     if "res_carreaux_scores" in t:
         results["project_opportunity"] = project_opportunity(t, located, trade)
     if out_dir:
         T.append(results["new_varexp"], f"{out_dir}/res_carreaux_varexp_{trade}")
         for k in ("cell_scores_3y", "cell_scores_5y"):
             if k in results:
-                T.replace_slices(results[k], f"{out_dir}/res_carreaux_scores", ["fk_projet", "score"])
+                T.replace_slices(results[k], f"{out_dir}/res_carreaux_scores", SCORE_SLICES)
         for k in ("project_scores_3y", "project_scores_5y", "project_opportunity"):
             if k in results:
                 T.append(results[k].withColumn("date_prediction", F.current_timestamp())
                          .withColumn("reel", F.lit(True)), f"{out_dir}/res_projets_scores")
         T.append(results["project_records"], f"{out_dir}/res_projets_varexp")
-        T.log_status(spark, f"{out_dir}/statut_projets", project_ids, STATUS_DONE)
+        T.log_status(spark, f"{out_dir}/statut_projets", project_ids.join(errors, "id_projet", "left_anti"), STATUS_DONE)
+        T.log_status(spark, f"{out_dir}/statut_projets", errors, STATUS_FAILED)
     return results

@@ -563,16 +563,16 @@ JOIN events e ON e.event_id = l.latest_id""")(run_latest)
 # Table maintenance: S7 keyed update, S8 slice replace, S13 status
 # ---------------------------------------------------------------------------
 def keyed_update(spark, d):
-    old = (load(spark, d, "orders").where(F.col("o_orderstatus") != "P")
-           .select("o_orderkey", "o_totalprice"))
+    old = load(spark, d, "orders").select("o_orderkey", "o_totalprice")
     li = load(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
-    staging = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.max(F.when(F.col("l_linestatus") == "O", F.col("l_extendedprice"))).alias("o_totalprice"))
+    # several staging rows for most keys: each key updates its row once
+    staging = li.select(F.col("l_orderkey").alias("o_orderkey"),
+                        F.when(F.col("l_linestatus") == "O", F.col("l_extendedprice")).alias("o_totalprice"))
     return tables.keyed_update(old, staging, ["o_orderkey"], ["o_totalprice"])
 
 
 register("keyed_update", oracle="""
-WITH old AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus != 'P'),
+WITH old AS (SELECT o_orderkey, o_totalprice FROM orders),
 s AS (SELECT l_orderkey, max(CASE WHEN l_linestatus = 'O' THEN l_extendedprice END) AS v
       FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
 SELECT old.o_orderkey, CASE WHEN s.l_orderkey IS NOT NULL THEN s.v ELSE old.o_totalprice END AS o_totalprice
@@ -589,7 +589,23 @@ def slice_replace(spark, d):
            .groupBy(F.col("l_orderkey").alias("idinspire"))
            .agg(F.round(F.sum("l_extendedprice"), 2).alias("valeur"))
            .select("idinspire", F.lit("1-URGENT").alias("score"), F.lit("F").alias("fk_metier"), "valeur"))
-    return tables.replaced_view(old, new, ["score", "fk_metier"])
+    return tables.replaced_view(old, new, ["score", "fk_metier"], [("1-URGENT", "F")])
+
+
+def slice_clear(spark, d):
+    """A slice whose replacement has no rows ends up empty."""
+    o = load(spark, d, "orders")
+    old = o.select(F.col("o_orderkey").alias("idinspire"), F.col("o_orderpriority").alias("score"),
+                   F.col("o_orderstatus").alias("fk_metier"), F.col("o_totalprice").alias("valeur"))
+    new = old.where(F.col("valeur") < 0)
+    return tables.replaced_view(old, new, ["score", "fk_metier"], [("2-HIGH", "O"), ("5-LOW", "F")])
+
+
+register("slice_clear", oracle="""
+SELECT o_orderkey AS idinspire, o_orderpriority AS score, o_orderstatus AS fk_metier, o_totalprice AS valeur
+FROM orders
+WHERE NOT (o_orderpriority = '2-HIGH' AND o_orderstatus = 'O') AND NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')
+""")(slice_clear)
 
 
 register("slice_replace", oracle=f"""

@@ -20,7 +20,6 @@ from geoscore.sources import tables as T
 KIND_3Y, KIND_5Y, KIND_OPP = "survie_3_ans", "survie_5_ans", "opportunite"
 REGION_CODE = 51010         # region whose cells receive opportunity scores
 ATTRIBUTION_FEATURES = 15   # survival models are explained on their top features
-ATTRIBUTION_ROWS = 1000     # reference sample size (None = every row)
 
 
 @dataclass
@@ -85,6 +84,7 @@ def train_survival(spark: SparkSession, t: dict, trade: str, base: str, kind: st
     run_id = T.register_run(spark, paths["registry"], trade, kind, params, ev)
     final = ml.fit(weighted, chosen, est)
     T.save_model(final, paths["artifacts"], trade, kind, run_id)
+    T.save_artifacts(spark, paths["artifacts"], trade, kind, run_id, chosen, params, imp, data)
     return TrainedModel(run_id, final, chosen, ev, imp,
                         {"maxDepth": params["maxDepth"], "oof": oof, "data": data})
 
@@ -100,16 +100,17 @@ def best_run(spark: SparkSession, base: str, trade: str, kind: str, metric: str
     return T.with_active_flag(reg, best, ["fk_metier", "fk_modele"])
 
 
-def load_latest_model(spark: SparkSession, base: str, trade: str, kind: str) -> tuple[int, PipelineModel]:
-    """C13 + S15: newest run id of (trade, kind) from the registry, and its
-    saved pipeline."""
+def load_latest_model(spark: SparkSession, base: str, trade: str, kind: str) -> tuple[int, PipelineModel, list[str]]:
+    """C13 + S15: newest run id of (trade, kind) from the registry, its saved
+    pipeline and its selected features."""
     from geoscore.plans.inference import latest_model_run
     reg = T.read_table(spark, _paths(base)["registry"])
     row = latest_model_run(reg, trade, kind).first()
     if row is None:
         raise LookupError(f"no run for {trade}/{kind}")
     rid = int(row["latest_id"])
-    return rid, T.load_model(PipelineModel, _paths(base)["artifacts"], trade, kind, rid)
+    where = _paths(base)["artifacts"]
+    return rid, T.load_model(PipelineModel, where, trade, kind, rid), T.load_features(spark, where, trade, kind, rid)
 
 
 # ---------------------------------------------------------------------------
@@ -138,6 +139,8 @@ def train_opportunity(spark: SparkSession, t: dict, trade: str, base: str,
     run_id = T.register_run(spark, paths["registry"], trade, KIND_OPP,
                             {"maxDepth": int(tuned.best_params.get("maxDepth", 5)), "numTrees": num_trees}, ev)
     T.save_model(final, paths["artifacts"], trade, KIND_OPP, run_id)
+    T.save_artifacts(spark, paths["artifacts"], trade, KIND_OPP, run_id, feats,
+                     {"maxDepth": int(tuned.best_params.get("maxDepth", 5)), "numTrees": num_trees}, imp, data)
     preds = (insample.select("code_iris", F.col("pred").alias(trade))
              .join(oof.select("code_iris", F.col("prediction").alias(f"{trade}_cv")), "code_iris"))
     return TrainedModel(run_id, final, feats, ev, imp, {"predictions": preds, "data": data})
@@ -168,6 +171,14 @@ def opportunity_cell_scores(t: dict, predictions: DataFrame, trade: str,
         F.lit(trade).alias("fk_metier"), ts.alias("date_prediction"), F.lit(True).alias("reel"))
 
 
+def write_opportunity_scores(scores: DataFrame, path: str, trade: str) -> None:
+    """Replace the trade's opportunity slice of the cell score table
+    (layout score / trade / project; opportunity scores belong to no project)."""
+    from geoscore.plans.inference import SCORE_SLICES
+    T.replace_slices(scores.withColumn("fk_projet", F.lit(None).cast("long")), path, SCORE_SLICES,
+                     [("opportunite", trade, None)])
+
+
 def residual_tables(t: dict, predictions: DataFrame, trade: str, cv: bool = False,
                     region_code: int = REGION_CODE, bins: int = 20) -> tuple[DataFrame, DataFrame]:
     """C4 + A13: per IRIS residuals (in-sample or out-of-fold) with the
@@ -182,8 +193,8 @@ def residual_tables(t: dict, predictions: DataFrame, trade: str, cv: bool = Fals
     ic = t["iris_communes"].select("code_iris").distinct()
     areas = counts.join(p, "code_iris").join(m, "code_iris").join(ic, "code_iris")
     res = (scoring.residual_table(areas, ["code_iris", "na"], "predicted", "actual")
-           .orderBy(F.desc("nb_effectif"), "code_iris"))
-    return res, scoring.histogram(res, "ecart_relatif", bins)
+           )
+    return res.orderBy(F.desc("nb_effectif"), "code_iris"), scoring.histogram(res, "ecart_relatif", bins)
 
 
 # ---------------------------------------------------------------------------
@@ -191,7 +202,7 @@ def residual_tables(t: dict, predictions: DataFrame, trade: str, cv: bool = Fals
 # ---------------------------------------------------------------------------
 def explain_model(spark: SparkSession, trained: TrainedModel, data: DataFrame, key: str,
                   classifier: bool = True, refit_top: int | None = ATTRIBUTION_FEATURES,
-                  sample: int | None = ATTRIBUTION_ROWS) -> tuple[DataFrame, DataFrame]:
+                  sample: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(M15) refit on the top features, (T10) optional seeded sample,
     (M14) per-row attributions, (A18) mean |phi| per feature."""
     model, feats = trained.model, trained.features
@@ -210,7 +221,7 @@ def explain_model(spark: SparkSession, trained: TrainedModel, data: DataFrame, k
 
 
 def train_trade(spark: SparkSession, t: dict, trade: str, base: str,
-                attribution_rows: int | None = ATTRIBUTION_ROWS, **kw) -> dict:
+                attribution_rows: int | None = None, **kw) -> dict:
     """3-year -> 5-year (stacked) -> attribution -> opportunity ->
     attribution, in dependency order, each stage handing over its result."""
     m3 = train_survival(spark, t, trade, base, KIND_3Y, **kw)

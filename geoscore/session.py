@@ -60,6 +60,8 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="geoscore-ckpt-")
         sc.setCheckpointDir(base)
     elif not sc.getCheckpointDir():
@@ -86,7 +88,7 @@ def materialize(df):
 
 
 def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
-               shuffle_fraction: float = 0.25, max_partitions: int = 100_000) -> dict:
+               shuffle_fraction: float = 0.25) -> dict:
     """SQL settings sized from the input volume, so shuffle partitions fit in
     executor memory without spilling much: about ``partition_bytes`` per
     shuffle partition for the part of the input that is shuffled (after
@@ -95,7 +97,7 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
     scans split into ``partition_bytes`` chunks, and stats-based broadcast of
     sides up to 64 MB (size bound checked by the planner)."""
     shuffled = max(1, int(input_bytes * shuffle_fraction))
-    parts = min(max_partitions, max(200, -(-shuffled // partition_bytes)))
+    parts = max(200, -(-shuffled // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

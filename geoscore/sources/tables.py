@@ -37,26 +37,63 @@ def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df
 
 
-def replace_slices(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Delete-then-insert of the slices present in ``df``.
-
-    The table is partitioned by the slice keys (e.g. score, trade) and
-    written with dynamic partition overwrite: exactly the partitions that
-    occur in ``df`` are replaced, all others stay.
+def replace_slices(df: DataFrame, path: str, partition_by: list[str],
+                   slices: list[tuple] | None = None) -> None:
+    """Delete-then-insert of slices.
+
+    The table is partitioned by the slice keys (e.g. score, trade, project)
+    and written with dynamic partition overwrite: exactly the partitions that
+    occur in ``df`` are replaced, all others stay. ``slices`` (a few key
+    tuples, in the order of ``partition_by``) names slices that are to be
+    replaced even if ``df`` holds no row for them; those end up empty.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+    if slices:
+        key = F.struct(*partition_by)
+        kept = {tuple(r) for r in df.where(_in_slices(partition_by, slices)).select(key.alias("k")).select("k.*").distinct().collect()}
+        for values in slices:
+            if tuple(values) not in kept:
+                _delete(df.sparkSession, path + "/" + _partition_path(df.sparkSession, partition_by, values))
+
+
+def _in_slices(cols: list[str], slices: list[tuple]):
+    """Condition on literal slice keys (null-safe)."""
+    out = F.lit(False)
+    for values in slices:
+        one = F.lit(True)
+        for c, v in zip(cols, values):
+            one = one & F.col(c).eqNullSafe(F.lit(v))
+        out = out | one
+    return out
+
+
+def _partition_path(spark: SparkSession, cols: list[str], values: tuple) -> str:
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(named.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(cols, values))
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path, whatever its scheme."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
 
 
-def replaced_view(old: DataFrame, new: DataFrame, slice_cols: list[str]) -> DataFrame:
-    """S8 as a DataFrame: ``old`` without the slices in ``new``, plus ``new``."""
-    slices = new.select(*slice_cols).distinct()
-    return old.join(slices, slice_cols, "left_anti").unionByName(new)
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def replaced_view(old: DataFrame, new: DataFrame, slice_cols: list[str],
+                  slices: list[tuple] | None = None) -> DataFrame:
+    """S8 as a DataFrame: ``old`` without the replaced slices, plus ``new``.
+
+    With ``slices`` (literal key tuples) the old rows are filtered, which
+    reaches the scan, and a slice without new rows is cleared; else the slices
+    are those that occur in ``new``."""
+    if slices is not None:
+        return old.where(~_in_slices(slice_cols, slices)).unionByName(new)
+    return old.join(new.select(*slice_cols).distinct(), slice_cols, "left_anti").unionByName(new)
 
 
 # ---------------------------------------------------------------------------
@@ -68,9 +105,11 @@ def keyed_update(old: DataFrame, staging: DataFrame, key_cols: list[str],
 
     Unmatched old rows keep their values; staging rows without a match are
     not inserted; a matched NULL overwrites (a match marker, not coalesce).
+    A key staged several times updates its row once, with the greatest of its
+    value tuples (NULL lowest), so an update never adds rows.
     """
-    s = staging.select(*key_cols, *[F.col(c).alias(f"_new_{c}") for c in value_cols],
-                       F.lit(True).alias("_matched"))
+    s = (staging.groupBy(*key_cols).agg(F.max(F.struct(*value_cols)).alias("_v"))
+         .select(*key_cols, *[F.col(f"_v.{c}").alias(f"_new_{c}") for c in value_cols], F.lit(True).alias("_matched")))
     j = old.join(s, key_cols, "left")
     for c in value_cols:
         j = j.withColumn(c, F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)))
@@ -81,13 +120,14 @@ def keyed_update(old: DataFrame, staging: DataFrame, key_cols: list[str],
 # Run registry
 # ---------------------------------------------------------------------------
 def next_run_id(spark: SparkSession, path: str) -> int:
-    """``coalesce(max(id), 0) + 1`` (single writer per registry)."""
-    if not os.path.exists(path) and not path.startswith(("hdfs:", "s3", "gs:", "abfs")):
-        return 1
-    try:
-        m = read_table(spark, path).agg(F.max("id")).first()[0]
-    except Exception:  # noqa: BLE001 - empty or absent registry
+    """``coalesce(max(id), 0) + 1`` (single writer per registry).
+
+    Only a registry that doesn't exist starts at 1; one that can't be read
+    raises, so an earlier run is never overwritten."""
+    fs, where = _file_system(spark, path)
+    if not fs.exists(where):
         return 1
+    m = read_table(spark, path).agg(F.max("id")).first()[0]
     return int(m or 0) + 1
 
 
@@ -175,3 +215,23 @@ def save_model(model, base: str, trade: str, kind: str, run_id: int) -> str:
 def load_model(loader, base: str, trade: str, kind: str, run_id: int):
     """Load the artifact of a run (``loader`` is e.g. ``PipelineModel``)."""
     return loader.load(os.path.join(base, trade, kind, str(run_id)))
+
+
+def save_artifacts(spark: SparkSession, base: str, trade: str, kind: str, run_id: int,
+                   features: list[str], params: dict, importances: DataFrame | None = None,
+                   data: DataFrame | None = None) -> None:
+    """What a run was trained with, beside its model: selected features,
+    parameters, importances and the training rows (X and y)."""
+    path = os.path.join(base, trade, kind, f"{run_id}_artifacts")
+    row = spark.createDataFrame([(json.dumps(features), json.dumps(params, sort_keys=True))], "features string, params string")
+    row.write.mode("overwrite").parquet(f"{path}/settings")
+    if importances is not None:
+        importances.write.mode("overwrite").parquet(f"{path}/importances")
+    if data is not None:
+        data.write.mode("overwrite").parquet(f"{path}/data")
+
+
+def load_features(spark: SparkSession, base: str, trade: str, kind: str, run_id: int) -> list[str]:
+    """The selected features of a run, in training order."""
+    path = os.path.join(base, trade, kind, f"{run_id}_artifacts", "settings")
+    return json.loads(spark.read.parquet(path).first()["features"])

@@ -1,5 +1,7 @@
 """End-to-end jobs on a synthetic world in the location model's schema."""
 
+import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -76,7 +78,7 @@ def test_feature_matrix_vectors_records(spark, t, located):
     # complete-case rule: a cell missing a global attribute is absent
     missing = t["res_carreaux_varexp"].groupBy("idinspire").count().where("count < 3")
     assert m.join(missing, "idinspire").count() == 0
-    v = INF.project_vectors(t2, world.TRADE, located, m, d, feats)
+    v = INF.project_vectors(t2, world.TRADE, located, d, feats)
     assert {r.id_projet for r in v.collect()} == {1, 2, 3}
     rec = INF.project_feature_records(v, feats, d)
     assert rec.count() == 3 * len(feats)
@@ -111,8 +113,8 @@ def test_train_infer_explain_end_to_end(spark, t, tmp_path):
     assert set(m3.metrics) >= {"accuracy", "kappa", "f1", "confusion_matrix"}
     best = TR.best_run(spark, base, world.TRADE, TR.KIND_3Y)
     assert best.where("actif").count() == 1
-    rid, loaded = TR.load_latest_model(spark, base, world.TRADE, TR.KIND_5Y)
-    assert rid == 2 and loaded.stages[0].getInputCols() == m5.features
+    rid, loaded, chosen = TR.load_latest_model(spark, base, world.TRADE, TR.KIND_5Y)
+    assert rid == 2 and loaded.stages[0].getInputCols() == m5.features == chosen
     assert m3.metrics["n_rows"] > 0
     preds = opp.extra["predictions"]
     table = t["nb_etablissements_iris"].select("code_iris")
@@ -131,27 +133,52 @@ def test_train_infer_explain_end_to_end(spark, t, tmp_path):
                                   F.sum("phi").alias("s")).toPandas()
     assert len(agg) == 50 and np.allclose(agg.b + agg.s, agg.p)
     assert summary.count() == 3
-    # inference with the trained models, features aligned with the dictionary
-    d = world.dictionary(spark)
-    feats = [r.feature for r in d.collect()]
-    from geoscore.operators import metrics, ml
-    cand = INF.candidate_cells(t, INF.locate_projects(t))
-    comp = INF.competitor_counts(t, world.TRADE, cand)
+    # inference with the models just trained: every feature they kept is stored for every cell
+    names = sorted(set(m3.features + m5.features) - {INF.STACKED, *INF.RECORDED})
+    d = spark.createDataFrame([(f, f, "global") for f in names], "feature string, varexp string, scope string")
+    rng = np.random.default_rng(5)
+    cells = [r.idinspire for r in t["insee_carreaux"].collect()]
+    rows = [(c, f, float(v), True, datetime.datetime(2021, 1, 1)) for f in names
+            for c, v in zip(cells, rng.uniform(0, 50, len(cells)).round(5))]
     t2 = dict(t)
-    t2[f"res_carreaux_varexp_{world.TRADE}"] = (t[f"res_carreaux_varexp_{world.TRADE}"].unionByName(comp)
-                                                .unionByName(INF.inhabitants_per_establishment(t, world.TRADE, cand, comp)))
-    mat = INF.cell_feature_matrix(t2, world.TRADE, cand, d)
-    train = (mat.select(*feats).na.fill(0.0)
-             .withColumn("label", (F.col("densite") > 25).cast("double")))
-    mdl3 = ml.fit(metrics.with_class_weights(train, "label"), feats, ml.rf_classifier(5, "label", "weight", maxDepth=3))
-    train5 = train.withColumn("proba_survie_3_ans", F.rand(1))
-    mdl5 = ml.fit(metrics.with_class_weights(train5, "label"), feats + ["proba_survie_3_ans"],
-                  ml.rf_classifier(5, "label", "weight", maxDepth=3))
-    out = INF.infer_projects(spark, t, world.TRADE, t["projets"].select("id_projet"), d, mdl3, feats,
-                             mdl5, feats + ["proba_survie_3_ans"], employer_flag=1, out_dir=base + "/out")
-    p3 = {r.id_projet: r.valeur for r in out["project_scores_3y"].collect()}
-    assert set(p3) == {1, 2, 3} and all(0 <= v <= 1 for v in p3.values())
+    t2["res_carreaux_varexp"] = t["res_carreaux_varexp"].unionByName(spark.createDataFrame(rows, t["res_carreaux_varexp"].schema))
+    ids = t["projets"].select("id_projet")
+    out = INF.infer_projects(spark, t2, world.TRADE, ids, d, base=base, out_dir=base + "/out")
+    p3, p5 = ({r.id_projet: r.valeur for r in out[f"project_scores_{k}y"].collect()} for k in (3, 5))
+    assert set(p3) == set(p5) == {1, 2, 3} and all(0 <= v <= 1 for v in [*p3.values(), *p5.values()])
     assert out["cell_scores_5y"].count() == out["cell_scores_3y"].count() > 0
     status = spark.read.parquet(base + "/out/statut_projets")
     from geoscore.sources import tables as T
     assert {r.status for r in T.current_status(status, ["id_projet"]).collect()} == {INF.STATUS_DONE}
+    # a project scored alone gets what it gets in a batch
+    alone = INF.infer_projects(spark, t2, world.TRADE, ids.where("id_projet = 2"), d, base=base)
+    assert {r.id_projet: r.valeur for r in alone["project_scores_3y"].collect()} == {2: p3[2]}
+    assert {r.id_projet: r.valeur for r in alone["project_scores_5y"].collect()} == {2: p5[2]}
+    # zone means: over all cells that meet the hull; for the 5-year model over those with a 3-year score
+    zone = {r.idinspire for r in INF.zone_cells(t2, out["located"]).collect()}
+    values = {(c, f): v for c, f, v, *_ in rows}
+    vec = INF.zone_vectors(t2, world.TRADE, out["located"], d, names).first()
+    for f in names[:5]:
+        assert abs(vec[f] - np.mean([values[c, f] for c in zone])) <= 0.000501
+    stored = {r.idinspire: r.valeur for r in out["cell_scores_3y"].where("fk_projet = 2").collect()}
+    five = INF.zone_vectors(t2, world.TRADE, out["located"], d, names, out["cell_scores_3y"]).first()
+    scored = [c for c in zone if c in stored]
+    assert abs(five[INF.STACKED] - np.mean([stored[c] for c in scored])) <= 0.000501
+    assert abs(five[names[0]] - np.mean([values[c, names[0]] for c in scored])) <= 0.000501
+    # records hold the constants too; unknown locations are reported
+    recorded = {r.varexp for r in out["project_records"].select("varexp").distinct().collect()}
+    assert set(INF.RECORDED) <= recorded
+    odd = out["located"].withColumn("localisation_type", F.lit("ailleurs"))
+    assert INF.unknown_locations(odd).count() == 3 and out["errors"].count() == 0
+    # opportunity scores share the cell score table
+    TR.write_opportunity_scores(scores, base + "/out/res_carreaux_scores", world.TRADE)
+    TR.write_opportunity_scores(scores.limit(0), base + "/out/res_carreaux_scores", world.TRADE)
+    table = spark.read.parquet(base + "/out/res_carreaux_scores")
+    assert {r.score for r in table.select("score").distinct().collect()} == {INF.SCORE_3Y, INF.SCORE_5Y}
+
+
+def test_fill_is_per_project(spark):
+    df = spark.createDataFrame([(1, 10.0, 3e9), (1, None, 1.0), (2, None, 2.0)], "id_projet int, taux_motorisation double, indice_frequentation_train double")
+    rows = {(r.id_projet, r.indice_frequentation_train): r for r in INF.prepare_for_model(df, ["taux_motorisation"], 1, 0).collect()}
+    assert rows[1, 1.0].taux_motorisation == 10.0 and rows[2, 2.0].taux_motorisation == 0.0
+    assert rows[1, 2140000000.0].caractere_employeur == 1 and rows[2, 2.0].inscription_registre_metiers == 0

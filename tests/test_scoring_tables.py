@@ -95,3 +95,27 @@ def test_ensure_columns(spark):
     df = spark.createDataFrame([(1,)], "a int")
     out = tables.ensure_columns(df, {"a": "int", "b": "double"})
     assert out.columns == ["a", "b"] and out.first().b is None
+
+
+def test_update_with_duplicate_staging_keys(spark):
+    old = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
+    new = spark.createDataFrame([(1, 5.0), (1, 7.0), (1, None), (3, 9.0)], "k int, v double")
+    assert sorted(map(tuple, tables.keyed_update(old, new, ["k"], ["v"]).collect())) == [(1, 7.0), (2, 2.0)]
+
+
+def test_replacing_with_nothing_clears_the_slice(spark, tmp_path):
+    path, cols = str(tmp_path / "scores"), ["score", "fk_metier"]
+    a = spark.createDataFrame([(1, "o p", "x"), (2, "o p", "y"), (3, "q", None)], "id int, score string, fk_metier string")
+    tables.replace_slices(a, path, cols)
+    tables.replace_slices(a.where("id = 2"), path, cols, [("o p", "x"), ("q", None), ("o p", "y")])
+    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_unreadable_registry_raises(spark, tmp_path):
+    import pytest
+    path = tmp_path / "registry"
+    assert tables.next_run_id(spark, str(path)) == 1
+    path.mkdir()
+    (path / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        tables.next_run_id(spark, str(path))
