@@ -234,31 +234,29 @@ def random_grid(space: dict, n: int, seed: int = SEED) -> dict:
     return [{k: rnd.choice(v) for k, v in space.items()} for _ in range(n)]
 
 
-def window_search(evaluate, start: dict, param: str, max_rounds: int = 6) -> tuple[dict, list]:
-    """Widen a numeric parameter window until the best value is interior.
+def window_search(evaluate, start: dict, param: str, limits: tuple[int, int] = (1, 1 << 20)) -> tuple[dict, list, str]:
+    """Widen a numeric parameter window until the best value is interior
+    or stands at the parameter's legal limit.
 
     ``evaluate(params) -> score`` (higher is better) runs one distributed
-    cross-validation; the window (v/2, v, 2v) is shifted by doubling or
-    halving while the best value sits on its edge. Returns the best params
-    and the (value, score) history."""
-    v = start[param]
+    cross-validation; the window (v/2, v, 2v), cut to ``limits``, is shifted by
+    halving or doubling while the best value sits on its edge. Returns the best
+    params, the (value, score) history and how the search ended: ``interior``,
+    ``lower limit`` or ``upper limit``."""
+    low, high = limits
+    v = min(max(int(start[param]), low), high)
     seen = {}
-    for _ in range(max_rounds):
-        window = sorted({max(1, int(v // 2)), int(v), int(v * 2)})
+    while True:
+        window = sorted({max(low, v // 2), v, min(high, v * 2)})
         for w in window:
             if w not in seen:
                 seen[w] = evaluate(dict(start, **{param: w}))
         best = max(window, key=lambda w: (seen[w], -w))
-        if best == window[0] and best > 1:
-            v = best // 2 if best // 2 >= 1 else 1
-        elif best == window[-1]:
-            v = best * 2
-        else:
+        if best == v:
             break
-        if v == best:
-            break
-    best = max(seen, key=lambda w: (seen[w], -w))
-    return dict(start, **{param: best}), sorted(seen.items())
+        v = best
+    end = "lower limit" if v == low else "upper limit" if v == high else "interior"
+    return dict(start, **{param: v}), sorted(seen.items()), end
 
 
 # ---------------------------------------------------------------------------

@@ -181,7 +181,9 @@ def tree_attribution(spark, d, max_features: int = 15):
     imp = ml.feature_importances(spark, full, DOC_FEATURES)
     chosen = [r["feature"] for r in imp.orderBy("rank").limit(max_features).collect()]
     model = ml.fit(data, chosen, ml.rf_classifier(QUERY_TREES, "label", "weight", maxDepth=5))
-    return explain.shap_values(model.stages[-1], data, "doc_id", chosen, classifier=True)
+    # attribution needs no label: every document is explained
+    rows = ml.materialize(doc_features(spark, d))
+    return explain.shap_values(model.stages[-1], rows, "doc_id", chosen, classifier=True)
 
 
 register("tree_attribution", note="base + sum(phi) = prediction; rows-only")(tree_attribution)
@@ -192,3 +194,24 @@ def attribution_summary(spark, d):
 
 
 register("attribution_summary", note="mean |phi| per feature; rows-only")(attribution_summary)
+
+
+def attribution_additivity(spark, d):
+    """base + sum(phi) - prediction of every document."""
+    sv = tree_attribution(spark, d)
+    off = F.first("base") + F.sum("phi") - F.first("prediction")
+    return sv.groupBy("doc_id").agg((F.round(off, 6) + F.lit(0.0)).alias("difference"))
+
+
+register("attribution_additivity", oracle="SELECT doc_id, CAST(0 AS DOUBLE) AS difference FROM documents")(attribution_additivity)
+
+
+def oof_coverage(spark, d):
+    """Rows of the out-of-fold table per label; every labelled document once."""
+    return oof_predictions(spark, d).groupBy("label").agg(
+        F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_documents"))
+
+
+register("oof_coverage", oracle="""
+SELECT CAST(l.quality AS DOUBLE) AS label, count(*) AS n, count(DISTINCT doc_id) AS n_documents
+FROM labels l JOIN documents USING (doc_id) GROUP BY 1""")(oof_coverage)

@@ -631,3 +631,19 @@ SELECT id_projet, status, n_updates FROM (
     count(*) OVER (PARTITION BY user_id) AS n_updates,
     row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) WHERE rn = 1""")(status_current)
+
+
+# ---------------------------------------------------------------------------
+# A11 within groups (one project's cells at inference)
+# ---------------------------------------------------------------------------
+def group_mean_fill(spark, d):
+    from geoscore.plans.inference import group_mean_fill as fill
+    o = load(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("price"))
+    return fill(o, ["o_custkey"], "price").select("o_orderkey", F.round("price", 2).alias("price"))
+
+
+register("group_mean_fill", oracle=f"""
+WITH o AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority != '5-LOW' THEN o_totalprice END AS price FROM orders),
+m AS (SELECT o_custkey, avg(price) AS mean FROM o GROUP BY 1)
+SELECT o_orderkey, {R('coalesce(price, mean)', 2)} AS price FROM o JOIN m USING (o_custkey)""")(group_mean_fill)

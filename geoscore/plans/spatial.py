@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geoscore.functions import columns as X
+from geoscore.operators import eav
 from geoscore.operators import spatial as S
-from geoscore.plans.catalog import R, register
+from geoscore.plans.catalog import ORACLES, R, register
 from geoscore.sources.testdata import load
 
 CELL = 0.05          # grid cell side
@@ -280,3 +281,19 @@ f AS (
 SELECT cell_id, zone_id, NOT strict_sep AS intersects,
   (NOT (touch_sep OR bbox_touch)) AND (NOT zone_in_cell OR cell_in_zone) AS overlaps_or_within
 FROM f""")(cell_zone_flags)
+
+
+# ---------------------------------------------------------------------------
+# zone_mean_score: C10 / C14, mean of a stored cell score over a zone's cells
+# ---------------------------------------------------------------------------
+def zone_mean_score(spark, d):
+    cells = S.grid_cells(_points(spark, d), "x", "y", CELL)
+    hit = S.cells_vs_hulls(cells, _zones(spark), "zone_id", CELL).where("intersects").select("zone_id", "cell_id")
+    scores = cells.select("cell_id", F.abs(F.col("ymin") + F.col("xmin")).alias("valeur"))
+    return eav.group_means(hit.join(scores, "cell_id"), ["zone_id"], ["valeur"], 3)
+
+
+register("zone_mean_score", oracle=f"""
+SELECT z.zone_id, {R('avg(abs(c.ymin + c.xmin))', 3)} AS valeur
+FROM ({ORACLES["cell_zone_flags"]}) z JOIN ({_P_SQL + _cells_sql("cells")} SELECT * FROM cells) c ON z.cell_id = c.cell_id
+WHERE z.intersects GROUP BY z.zone_id""")(zone_mean_score)

@@ -35,7 +35,10 @@ def test_window_search_finds_interior_peak():
         calls.append(p["maxDepth"])
         return -abs(p["maxDepth"] - 12)
 
-    best, hist = ml.window_search(score, {"maxDepth": 2}, "maxDepth")
+    best, hist, end = ml.window_search(score, {"maxDepth": 2}, "maxDepth")
+    assert end == "interior"
+    assert ml.window_search(lambda p: p["maxDepth"], {"maxDepth": 2}, "maxDepth", (1, 30))[::2] == ({"maxDepth": 30}, "upper limit")
+    assert ml.window_search(lambda p: -p["maxDepth"], {"maxDepth": 9}, "maxDepth", (1, 30))[::2] == ({"maxDepth": 1}, "lower limit")
     assert best["maxDepth"] in (8, 16) or best["maxDepth"] == 12
     assert len(calls) == len(set(calls))
     assert dict(hist)[best["maxDepth"]] == max(v for _, v in hist)
@@ -44,7 +47,7 @@ def test_window_search_finds_interior_peak():
 def test_scale_conf_sizes_partitions(spark):
     from geoscore.session import scale_conf
     c = scale_conf(100 * 1024 ** 4)       # 100 TiB input
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(c["spark.sql.shuffle.partitions"]) == 102_400
     c = scale_conf(10 * 1024 ** 3)        # 10 GiB input
     assert int(c["spark.sql.shuffle.partitions"]) == 200
     assert int(c["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
