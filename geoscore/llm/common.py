@@ -14,7 +14,22 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     Cuts the lineage: a lost executor costs a re-read only."""
     path = fresh_path(df.sparkSession, f"llm-{kind}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a written table that no later step reads."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written_path)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def lookup(table: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A written narrow table (a few numbers a row) as the side of a join:
+    broadcast when it has ``most`` rows at most, joined by shuffle beyond."""
+    return F.broadcast(table) if table.count() <= most else table
 
 
 def free_name(df: DataFrame, base: str) -> str:

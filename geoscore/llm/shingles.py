@@ -18,12 +18,15 @@ ordered by their hash.
    tokens then leaves one whole signature, so partners share one. The number
    of blocks follows the size class; each set signs for its own class and the
    next one, which joins any two sizes that can be similar.
-5. The sets of a signature meet the one with the fewest tokens of its own;
-   candidates pass the length and the overlap bound and are verified on the
-   whole sets. Connected components follow, and only signatures whose sets
-   are still in different components form the pairs among them that are left.
-   Pairs inside a component can't change it, so families of thousands of
-   copies are never expanded.
+5. The sets of a signature meet its pivot, the one with the fewest tokens of
+   its own; candidates pass the length and the overlap bound and are verified
+   on the whole sets. Connected components follow, and only sets that are
+   still in different components form the pairs that are left; pairs inside a
+   component can't change it, so families of thousands of copies are never
+   expanded. In large buckets the known overlaps with the pivot bound those of
+   a pair: |A n B| <= min(|A n P|, |B n P|) + min(a, b), where a and b count the
+   tokens outside P that a second set has; and the buckets of one pivot meet
+   once, not once for each signature.
 
 Defined results: texts without words (null, empty) have an empty set and link
 with nothing; repeated rows are copies of each other; a null doc_id never is a
@@ -43,10 +46,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import free_name, written
+from geoscore.llm.common import forget, free_name, lookup, written
 from geoscore.llm.components import components
 
 RARE, VERY = 32, 512
+LARGE = 48  # buckets from this size on meet by their pivot
 SLACK_SHARE = 20  # slack: 1 + max(1, size / SLACK_SHARE)
 NO_ID = -(1 << 63)
 U = np.uint64
@@ -78,12 +82,14 @@ def _sets(column: pa.Array, k: int):
 
 
 def _lists(values: np.ndarray, lens: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(values.view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(values if values.dtype == np.int32 else values.view(np.int64)))
 
 
 def set_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, doc, body, set, size, low) of each document; low: the first
-    tau + slack tokens, nothing for sets too small for an unequal partner."""
+    """(doc_id, doc, body, set, size, low) of each document; low: the top halves
+    of the first tau + slack tokens, nothing for sets too small for an unequal
+    partner. Two tokens with one top half only seem shared, which keeps a set
+    in the running."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in H.slices(batch, "text"):
@@ -93,11 +99,11 @@ def set_table(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 keep = np.arange(len(s)) - start[d] < lead[d]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("doc"), part.column("body"), pa.array(key),
-                     pa.array(size.astype(np.int64)), _lists(s[keep], lead)],
+                     pa.array(size.astype(np.int64)), _lists((s[keep] >> U(32)).astype(np.uint32).view(np.int32), lead)],
                     names=["doc_id", "doc", "body", "set", "size", "low"])
 
     return docs.select("doc_id", "doc", "body", "text").mapInArrow(
-        run, "doc_id long, doc long, body long, set long, size long, low array<long>")
+        run, "doc_id long, doc long, body long, set long, size long, low array<int>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -109,7 +115,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(size.astype(np.int64)), _lists(s, size)],
                                                  names=["set", "size", "tokens"])
 
-    return (docs.join(wanted.select("doc", "body"), ["doc", "body"]).dropDuplicates(["doc", "body"])
+    return (docs.join(lookup(wanted.select("doc", "body")), ["doc", "body"])
             .select("text").mapInArrow(run, "set long, size long, tokens array<long>"))
 
 
@@ -182,12 +188,16 @@ def _possible(num: int, den: int):
     return best * (num + den) >= (xs + ys) * num
 
 
-def _links(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of sets that are similar enough."""
+def _overlaps(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(a, b, common, total) of pairs of sets: sizes of intersection and sum."""
     side = {c: tokens.select(F.col("set").alias(c), F.col("tokens").alias(f"{c}_tokens")) for c in "ab"}
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     return (pairs.join(side["a"], "a").join(side["b"], "b")
-            .where(common * (num + den) >= (F.size("a_tokens") + F.size("b_tokens")) * num).select("a", "b"))
+            .select("a", "b", F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long").alias("common"),
+                    (F.size("a_tokens") + F.size("b_tokens")).alias("total")))
+
+
+def _similar(overlaps: DataFrame, num: int, den: int) -> DataFrame:
+    return overlaps.where(F.col("common") * (num + den) >= F.col("total") * num).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -202,17 +212,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     slack = F.greatest(F.lit(1), F.floor(size / SLACK_SHARE)) + 1
     lead = F.least(size, size - F.ceil(size * num / den) + slack)
     dead = _alone(table.select("set", F.explode("low").alias("token")))
-    first = (sets.join(dead, "set", "left").where(lead - F.coalesce("alone", F.lit(0)) >= F.least(slack, lead)))
+    first = written(sets.join(dead, "set", "left").where(lead - F.coalesce("alone", F.lit(0)) >= F.least(slack, lead)), "first")
     whole = written(whole_sets(docs, first, k), "whole")
+    if whole.count() > first.count():  # rows that repeat an id and its text
+        whole = written(whole.dropDuplicates(["set"]), "whole")
     rows = whole.select("set", F.explode("tokens").alias("token"))
-    counts = written(rows.groupBy("token").agg(F.min("set").alias("set"), F.max("set").alias("last"), F.count("*").alias("n"))
-                     .where((F.col("set") == F.col("last")) | (F.col("n") >= RARE)), "tokens")
-    alone = counts.where(F.col("set") == F.col("last")).groupBy("set").agg(F.count("*").alias("alone"))
-    left = (whole.join(alone, "set", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    alone = written(_alone(rows.select("set", F.shiftright("token", 32).cast("int").alias("token"))), "alone")
+    left = (whole.join(lookup(alone), "set", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
             .where((size - F.col("alone")) * den >= size * num))
     left = written(left, "left")
-    frequent = counts.where(F.col("n") >= RARE).select("token", "n")
-    classes = (left.select("set", F.explode("tokens").alias("token")).join(frequent, "token").groupBy("set")
+    forget(whole)
+    rows = left.select("set", F.explode("tokens").alias("token"))
+    frequent = written(rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= RARE), "frequent")
+    classes = (rows.join(lookup(frequent), "token").groupBy("set")
                .agg(F.collect_list(F.when(F.col("n") < VERY, F.col("token"))).alias("pairs"),
                     F.collect_list(F.when(F.col("n") >= VERY, F.col("token"))).alias("triples")))
     signed = _signed(left.join(classes, "set", "left"), num, den)
@@ -224,17 +236,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     buckets = written(buckets, "buckets")
     pair = (F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b"))
     met = written(buckets.where((F.col("x.set") != F.col("y.set")) & _possible(num, den)).select(*pair).distinct(), "pairs")
-    links = written(_links(met, left, num, den), "links")
+    met = written(_overlaps(met, left), "overlaps")
+    links = _similar(met, num, den)
     comp = components(links)
-    placed = (buckets.select("sig", "x", F.col("x.set").alias("node")).join(comp, "node", "left")
-              .select("sig", "x", F.coalesce("component", "node").alias("c")))
-    mixed = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") != F.col("hi"))
-    placed = written(placed.join(mixed.select("sig"), "sig"), "mixed")
-    rest = (placed.join(placed.select("sig", F.col("x").alias("y"), F.col("c").alias("d")), "sig")
-            .where((F.col("x.set") < F.col("y.set")) & (F.col("c") != F.col("d")) & _possible(num, den))
-            .select(*pair).distinct().join(met, ["a", "b"], "left_anti"))
-    rest = written(_links(written(rest, "pairs"), left, num, den), "links")
-    comp = components(links.unionByName(rest))
+    placed = (buckets.select("sig", "x", F.col("x.set").alias("node"), F.col("y.set").alias("pivot")).join(comp, "node", "left")
+              .withColumn("c", F.coalesce("component", "node")).select("sig", "x", "pivot", "c"))
+    mixed = (placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"))
+             .where(F.col("lo") != F.col("hi")).select("sig", "n"))
+    known = (met.select(F.col("a").alias("pivot"), F.col("b").alias("member"), "common")
+             .unionByName(met.select(F.col("b").alias("pivot"), F.col("a").alias("member"), "common")))
+    key = F.when(F.col("n") >= LARGE, F.xxhash64(F.lit("pivot"), "pivot")).otherwise(F.col("sig"))
+    placed = (placed.join(mixed, "sig").select(key.alias("key"), "x", "pivot", "c", F.col("x.set").alias("member")).distinct()
+              .join(known, ["pivot", "member"], "left")
+              .withColumn("common", F.when(F.col("pivot") == F.col("member"), F.col("x.size")).otherwise(F.col("common"))))
+    placed = written(placed, "mixed")
+    mate = placed.select("key", F.col("x").alias("y"), F.col("c").alias("d"), F.col("common").alias("y_common"))
+    loose = [F.greatest(F.col(f"{s}.size") - F.col(f"{s}.alone") - k, F.lit(0)) for s, k in (("x", F.col("common")), ("y", F.col("y_common")))]
+    most = F.least("common", "y_common") + F.least(*loose)
+    unknown = F.col("common").isNull() | F.col("y_common").isNull()
+    bound = unknown | (most * (num + den) >= (F.col("x.size") + F.col("y.size")) * num)
+    rest = (placed.join(mate, "key")
+            .where((F.col("x.set") < F.col("y.set")) & (F.col("c") != F.col("d")) & _possible(num, den) & bound)
+            .select(*pair).distinct())
+    rest = written(_overlaps(written(rest, "pairs"), left), "overlaps")
+    comp = components(links.unionByName(_similar(rest, num, den)))
     ids = table.groupBy("set").agg(F.min("doc_id").alias("id"))
     comp = ids.join(comp, ids["set"] == comp["node"]).select("set", "component", "id")
     smallest = comp.groupBy("component").agg(F.min("id").alias("least"))
