@@ -17,8 +17,9 @@ from geoscore.operators.joins import bounded_broadcast
 def latest_per_key(df: DataFrame, key_cols: list[str], value_cols: list[str],
                    order_cols: list[str]) -> DataFrame:
     """Keep, per key, the values of the row with the largest ``order_cols``
-    (e.g. latest ``date_calcul``, then highest id). A hash aggregate with
-    ``max_by`` on a struct: partial aggregation, no sort, no per-key task."""
+    (e.g. latest ``date_calcul``, then highest id). One aggregate with
+    ``max_by`` on a struct: partial aggregation over one shuffle (a sort
+    aggregate, as a struct ordering needs an immutable buffer), no per-key task."""
     order = F.struct(*[F.col(c) for c in order_cols])
     aggs = [F.max_by(F.col(c), order).alias(c) for c in value_cols]
     return df.groupBy(*key_cols).agg(*aggs)

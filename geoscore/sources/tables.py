@@ -155,8 +155,8 @@ def best_runs(runs: DataFrame, group_cols: list[str], metric, higher_is_better:
     """Best run per group, ties to the newest id.
 
     ``candidates`` (ids of this session's runs) restricts the search - a
-    semi join, so the id list can be any size. One hash aggregate with
-    ``max_by`` over ``(metric, id)``: no sort, no per-group task.
+    semi join, so the id list can be any size. One aggregate with
+    ``max_by`` over ``(metric, id)``, no per-group task.
     """
     if candidates is not None:
         runs = runs.join(candidates.select(id_col).distinct(), id_col, "left_semi")
