@@ -46,8 +46,8 @@ from geoscore.llm.common import lookup, shuffle_partitions, written
 
 LENGTH = 100
 GRAM = 16
-SLICE = 4 << 20
-CHUNK_BYTES = 6 << 20
+SLICE = 2 << 20
+CHUNK_BYTES = 2 << 20
 TASK_BYTES = 24 << 20
 MOST_BROADCAST = 4_000_000
 NO_ID = -(1 << 63)
