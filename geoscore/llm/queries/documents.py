@@ -93,13 +93,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op10_top_k", oracle="""
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-           list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS score
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS score
     FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 100 = 0
 ), r AS (
