@@ -125,8 +125,7 @@ def _alone(rows: DataFrame) -> DataFrame:
             .where(F.col("set") == F.col("last")).groupBy("set").agg(F.count("*").alias("alone")))
 
 
-def signatures(tokens: np.ndarray, pairs: np.ndarray, triples: np.ndarray, alone: np.ndarray | None,
-               num: int, den: int) -> np.ndarray:
+def signatures(tokens: np.ndarray, pairs: np.ndarray, triples: np.ndarray, num: int, den: int) -> np.ndarray:
     """Signatures of one set (tokens in order of hash, classes as flags)."""
     size = len(tokens)
     credits = size - needed(size, num, den) + 1
@@ -170,7 +169,7 @@ def _signed(sets: DataFrame, num: int, den: int) -> DataFrame:
             out = []
             for i in range(len(batch)):
                 t, p, q = (np.asarray(cols[n][i].values).view(U) if cols[n][i].is_valid else np.zeros(0, U) for n in cols)
-                out.append(np.unique(signatures(t, np.isin(t, p), np.isin(t, q), None, num, den)))
+                out.append(np.unique(signatures(t, np.isin(t, p), np.isin(t, q), num, den)))
             lens = np.array([len(x) for x in out], np.int64)
             at = pa.array(np.repeat(np.arange(len(batch)), lens))
             yield pa.RecordBatch.from_arrays(

@@ -74,6 +74,6 @@ def test_whole_sets_always_reach_their_credits():
                 if len(rest) * 5 < size * 4 or len(rest) < 4:
                     continue
                 keep = np.isin(tokens, rest)
-                a = signatures(tokens, kind == 2, kind == 3, None, 4, 5)
-                b = signatures(rest, (kind == 2)[keep], (kind == 3)[keep], None, 4, 5)
+                a = signatures(tokens, kind == 2, kind == 3, 4, 5)
+                b = signatures(rest, (kind == 2)[keep], (kind == 3)[keep], 4, 5)
                 assert np.isin(a, b).any()
