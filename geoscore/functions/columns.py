@@ -36,10 +36,9 @@ INHABITANTS_DEN = 4
 COMPETITOR_RADIUS_M = {URBAN: 500.0, RURAL: 10_000.0}
 # Employer flag value.
 EMPLOYER_YES = "O"
-# Census columns never used as features.
-CENSUS_EXCLUDED = ["id_carr1km", "i_est_cr", "id_carr_n", "groupe", "depcom",
-                   "i_pauv", "id_car2010", "i_est_1km", "log_inc", "ind_inc",
-                   "idinspire"]
+# Census columns never used as features.
+CENSUS_EXCLUDED = ["idinspire", "id_carr1km", "i_est_cr", "id_carr_n", "groupe", "depcom",
+                   "i_pauv", "id_car2010", "i_est_1km", "log_inc", "ind_inc"]
 # Piecewise score anchor values for min, lower mean, mean, upper mean, max.
 SCORE_ANCHORS = [0.0, 0.25, 0.5, 0.75, 1.0]
 # Legacy fixed-breakpoint score: breakpoints and segment (slope, intercept).

@@ -5,11 +5,5 @@ from geoscore.plans.catalog import NOTES, ORACLES, QUERIES
 
 def load_all():
     """Import every query module so their registrations run."""
-    from geoscore.plans import relational  # noqa: F401
-    for mod in ("spatial", "learning"):
-        try:
-            __import__(f"geoscore.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"geoscore.plans.{mod}":
-                raise
+    from geoscore.plans import learning, relational, spatial  # noqa: F401
     return QUERIES, ORACLES, NOTES
