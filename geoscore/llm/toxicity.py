@@ -133,9 +133,10 @@ def fit_tables(rows: DataFrame, table: int = TABLE) -> Tables | None:
         return F.when(F.col(mass) > 0, (1 - back) * left(c) / F.col(mass) + back * shared).otherwise(shared)
 
     kept = nodes.where((F.col("toxic") * table >= n["t"]) | (F.col("plain") * table >= n["p"])).join(contexts, "parent")
-    got = kept.select("node", "parent", (F.log(chance("toxic", "mt")) - F.log(chance("plain", "mp"))).alias("r")).toPandas()
+    got = kept.select("node", "parent", (F.log(chance("toxic", "mt")) - F.log(chance("plain", "mp"))).alias("r")).toArrow()
     total = {b"": 0.0}
-    for node, parent, r in sorted(zip(map(bytes, got["node"]), map(bytes, got["parent"]), got["r"]), key=lambda x: (len(x[0]), x[0])):
+    rows = zip(*(got[c].to_pylist() for c in ("node", "parent", "r")))
+    for node, parent, r in sorted(rows, key=lambda x: (len(x[0]), x[0])):
         total[node] = total.get(parent, 0.0) + r
     names = sorted(total)[1:]
     ends = np.cumsum([len(x) for x in names])
@@ -239,7 +240,7 @@ def train(labelled: DataFrame, table: int = TABLE) -> Tables | float:
     share = max(1, -(-rows // MAX_CALIBRATION))
     got = (aside.where(F.floor(part / 4) % share == 0)
            .select("label", evidence_of(F.col("text"), tables, labelled.sparkSession).alias("e"))
-           .select("label", "e.*").toPandas().sort_values(["label", *FEATURES]))
+           .select("label", "e.*").toArrow().to_pandas().sort_values(["label", *FEATURES]))
     y = got["label"].to_numpy(float)
     if len(y) and 0 < y.mean() < 1:
         tables.weights = logistic(got[FEATURES].to_numpy(float), y)
