@@ -49,7 +49,7 @@ GRAM = 16
 SLICE = 2 << 20
 CHUNK_BYTES = 2 << 20
 TASK_BYTES = 24 << 20
-MOST_BROADCAST = 4_000_000
+MOST_BROADCAST = 2_000_000
 NO_ID = -(1 << 63)
 U = np.uint64
 _PLACE = U((1 << 34) - 1)
@@ -365,7 +365,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wi
     texts = docs.where(~F.col("copy") & (F.octet_length("text") >= length))
     repeated = written(anchor_counts(texts, length, gram).where(F.col("n") > 1).select("anchor"), "anchors")
     if repeated.count() <= MOST_BROADCAST:
-        known = np.sort(repeated.toPandas()["anchor"].to_numpy(np.int64).view(U))
+        known = np.sort(repeated.toArrow()["anchor"].to_numpy().view(U))
     else:
         known = None
         texts = _marked(texts, repeated, length, gram)
