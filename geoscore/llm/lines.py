@@ -8,18 +8,21 @@ removed themselves. Lines without words are kept.
 
 Steps:
 
-1. Corpus counts of words. A partition leaves out words that make up less than
-   1 / TABLE of its words, so a sum is low by that share at most; words of at
-   least that share of the corpus, at most TABLE of them, form the rarity
-   table that is broadcast. Words not in it rank rarest.
-2. Each line's tokens in order of rarity; equal sets collapse to their first
-   line (hash aggregation, so a line repeated a million times is one row).
-3. Prefix tokens bucket the sets. In each bucket every set meets the bucket's
-   first one if length and position allow; most sets of a large family are
-   settled there without forming pairs among themselves.
-4. Sets that stay undecided meet all earlier sets of their buckets.
-5. Candidates are verified on their whole token sets, which are read again from
-   the texts of the lines concerned.
+1. Corpus counts of words in 2**BITS hash buckets. A partition leaves out
+   buckets that make up less than 1 / TABLE of its words, so a sum is low by
+   that share at most. The ranks of the buckets, an array of fixed size, are
+   broadcast as the order of rarity; ties go by hash.
+2. Each line's prefix: its rarest size - ceil(4/5 size) + 1 tokens. Similar
+   lines share a token of their prefixes. Equal token sets count as one line,
+   first within the tasks, so a line repeated a million times sends a few rows.
+3. Prefix rows meet by token. Pairs pass the length filter, the positional
+   filter (tokens left after the shared one) and a parity bitmap: the bits in
+   which two bitmaps differ are a lower bound of the tokens that only one line
+   has. For each line its earliest CANDIDATES partners per token go on.
+4. Candidates, first each line's earliest, pass a wider bitmap and are verified
+   on their whole token sets, read again from the texts of the lines concerned.
+5. Lines that had more partners than that and are still undecided meet all of
+   them.
 
 Any order of tokens gives the same rows; rarity only makes buckets small.
 
@@ -36,14 +39,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import free_name, written
+from geoscore.llm.common import free_name, lookup, shuffle_partitions, written
 
+BITS = 22
 TABLE = 1 << 20
+CANDIDATES = 3
+PAIRS_AT_ONCE = 1 << 20
+MOST_BROADCAST = 2_000_000
+WIDE = 4  # words of the wider bitmap that candidate pairs pass before they are verified
+WIDE_BITS = [f"wide{k}" for k in range(WIDE)]
 U = np.uint64
 NO_ID = -(1 << 63)
 
@@ -56,43 +64,28 @@ def line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, doc, breaks[starts] - breaks[off[doc]]
 
 
-def word_counts(docs: DataFrame, table: int = TABLE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes in order, rank from 1) of the corpus's frequent words."""
+def word_ranks(docs: DataFrame, table: int = TABLE) -> np.ndarray:
+    """Rank of each hash bucket of words: 0 for rare ones, then by count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts, n, loose = [], [], 0, 0
-
-        def merge():
-            h, at = np.unique(np.concatenate(hashes), return_inverse=True)
-            return [h], [np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)]
-
+        counts = np.zeros(1 << BITS, np.int64)
         for batch in batches:
             for part in H.slices(batch, "text"):
-                h, c = np.unique(line_words(part.column(0))[0], return_counts=True)
-                hashes.append(h)
-                counts.append(c)
-                n += int(c.sum())
-                loose += len(h)
-                if loose > 1_500_000:
-                    hashes, counts = merge()
-                    loose = 0
-        if n:
-            (h,), (c,) = merge()
-            keep = c * table >= n
-            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(c[keep])], names=["token", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([-n], pa.int64())], names=["token", "n"])
-
-    got = written(docs.select("text").mapInArrow(run, "token long, n long").groupBy("token", (F.col("n") < 0).alias("all"))
-                  .agg(F.sum("n").alias("n")), "words")
-    total = got.where("all").agg(F.sum("n")).first()[0] or 0
-    top = got.where(~F.col("all") & (F.col("n") * table >= -total)).select("token", "n").toPandas()
-    h, n = top["token"].to_numpy(np.int64).view(U), top["n"].to_numpy(np.int64)
-    rank = np.empty(len(h), np.int64)
-    rank[np.lexsort((h, n))] = np.arange(1, len(h) + 1)
-    order = np.argsort(h)
-    return h[order], rank[order]
-
-
-def _line_sets(column: pa.Array, known: np.ndarray, ranks: np.ndarray):
+                counts += np.bincount(line_words(part.column(0))[0] >> U(64 - BITS), minlength=1 << BITS)
+        n = int(counts.sum())
+        keep = np.flatnonzero((counts > 0) & (counts * table >= n))
+        buckets = np.append(keep, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(np.append(counts[keep], n))], names=["bucket", "n"])
+
+    got = written(docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "words")
+    total = got.where("bucket < 0").agg(F.sum("n")).first()[0] or 0
+    top = got.where((F.col("bucket") >= 0) & (F.col("n") * table >= total)).toArrow()
+    bucket, n = top["bucket"].to_numpy(), top["n"].to_numpy()
+    ranks = np.zeros(1 << BITS, np.uint32)
+    ranks[bucket[np.lexsort((bucket, n))]] = np.arange(1, len(bucket) + 1)
+    return ranks
+
+
+def _line_sets(column: pa.Array, ranks: np.ndarray):
     """Distinct tokens of each line in order of rarity: hashes, their line's
     index, and (doc, line number) of each line index."""
     h, doc, line = line_words(column)
@@ -101,117 +94,189 @@ def _line_sets(column: pa.Array, known: np.ndarray, ranks: np.ndarray):
     new = np.ones(len(h), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
     at = np.cumsum(new) - 1
-    rank = np.zeros(len(h), np.int64)
-    if len(known):
-        pos = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        hit = known[pos] == h
-        rank[hit] = ranks[pos[hit]]
-    order = H.grouped_order(at, rank, h, TABLE.bit_length())
+    order = H.grouped_order(at, ranks[h >> U(64 - BITS)] if len(ranks) else None, h, BITS)
     hs, ats = h[order], at[order]
     first = np.ones(len(hs), bool)
     first[1:] = (hs[1:] != hs[:-1]) | (ats[1:] != ats[:-1])
     return hs[first], ats[first], doc[new], line[new]
 
 
-def line_table(docs: DataFrame, known: np.ndarray, ranks: np.ndarray, num: int, den: int) -> DataFrame:
-    """(doc, body, line, set, size, prefix) of every line with words."""
-    table = docs.sparkSession.sparkContext.broadcast((known, ranks))
+def _set_keys(h: np.ndarray, size: np.ndarray) -> np.ndarray:
+    start = np.cumsum(size) - size
+    total = np.add.reduceat(H.mix(h ^ U(0x5DEECE66D)), start) if len(h) else np.zeros(0, U)
+    return H.mix(total + size.astype(U)).view(np.int64)
+
+
+def line_table(docs: DataFrame, ranks: np.ndarray, num: int, den: int) -> DataFrame:
+    """(doc, body, line, set, size, bits, WIDE_BITS, prefix) of every line with words."""
+    table = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in H.slices(batch, "text"):
-                h, at, doc, line = _line_sets(part.column("text"), *table.value)
+                h, at, doc, line = _line_sets(part.column("text"), table.value)
                 n = len(doc)
                 size = np.bincount(at, minlength=n)
                 start = np.cumsum(size) - size
-                total = np.zeros(n, U)
-                if n:
-                    total = np.add.reduceat(H.mix(h ^ U(0x5DEECE66D)), start)
+                bits = [np.bitwise_xor.reduceat(U(1) << (h & U(63)), start) if n else np.zeros(0, U)]
+                for k in range(WIDE):
+                    mine = np.where((h >> U(16)) % U(WIDE) == U(k), U(1) << ((h >> U(8)) & U(63)), U(0))
+                    bits.append(np.bitwise_xor.reduceat(mine, start) if n else np.zeros(0, U))
                 lead = size - -(-num * size // den) + 1
                 lead[size * (den - num) < num] = 0  # so small that only an equal set is similar enough
-                pos = np.arange(len(h)) - start[at]
-                keep = pos < lead[at]
+                keep = np.arange(len(h)) - start[at] < lead[at]
                 ends = np.concatenate([[0], np.cumsum(lead)])
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc").take(pa.array(doc)), part.column("body").take(pa.array(doc)),
-                    pa.array(line.astype(np.int32)), pa.array(H.mix(total + size.astype(U)).view(np.int64)),
-                    pa.array(size.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[keep].view(np.int64)))],
-                    names=["doc", "body", "line", "set", "size", "prefix"])
+                    pa.array(line.astype(np.int32)), pa.array(_set_keys(h, size)), pa.array(size.astype(np.int32)), *(pa.array(b.view(np.int64)) for b in bits),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((h[keep] >> U(32)).astype(np.uint32).view(np.int32)))],
+                    names=["doc", "body", "line", "set", "size", "bits", *WIDE_BITS, "prefix"])
 
-    schema = "doc long, body long, line int, set long, size int, prefix array<long>"
+    wide = "".join(f"{c} long, " for c in WIDE_BITS)
+    schema = f"doc long, body long, line int, set long, size int, bits long, {wide}prefix array<int>"
     return docs.select("doc", "body", "text").mapInArrow(run, schema)
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, tokens) of the wanted lines (doc, body, line, set)."""
-    per_doc = wanted.groupBy("doc", "body").agg(F.collect_set("line").alias("want"))
+def _trimmed(token, key, size_pos, bits, doc):
+    """One row for each (token, set): the one of the smallest doc."""
+    order = np.lexsort((doc, key, token))
+    token, key = token[order], key[order]
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+    return [token[new], key[new], *(x[order][new] for x in (size_pos, bits, doc))]
+
+
+def prefix_rows(lines: DataFrame) -> DataFrame:
+    """(token, set, size_pos, bits, doc): prefix tokens, equal sets once per task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            lens = np.diff(prefix.offsets.to_numpy()) if len(batch) else np.zeros(0, np.int64)
+            at = np.repeat(np.arange(len(batch)), lens)
+            col = {c: batch.column(c).to_numpy(zero_copy_only=False)[at] for c in ("set", "size", "bits", "doc")}
+            pos = np.arange(len(at)) - np.repeat(np.cumsum(lens) - lens, lens)
+            rows = _trimmed(prefix.flatten().to_numpy(), col["set"], col["size"].astype(np.int64) << 32 | pos, col["bits"], col["doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "set", "size_pos", "bits", "doc"])
+
+    return lines.select("doc", "set", "size", "bits", "prefix").where(F.size("prefix") > 0).mapInArrow(
+        run, "token int, set long, size_pos long, bits long, doc long")
+
+
+def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
+    """(x, y, at, more) of the sets that share a prefix token and pass the
+    filters, y not of a later document than x: for each x and token the
+    ``most`` earliest y and their doc, ``more`` if there are others. A task holds the rows
+    of its tokens and works through their pairs PAIRS_AT_ONCE at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches if b.num_rows]
+        if not held:
+            return
+        token, key, size_pos, bits, doc = _trimmed(*(np.concatenate(x) for x in zip(*held)))
+        size, pos = size_pos >> 32, size_pos & 0xFFFFFFFF
+        order = np.lexsort((size, token))
+        token, key, size, pos, bits, doc = (x[order] for x in (token, key, size, pos, bits.view(U), doc))
+        place = token.astype(np.int64) << 32
+        last = np.searchsorted(place | size, place | np.minimum(size * den // num, (1 << 32) - 1), "right")
+        count = last - np.arange(len(token)) - 1
+        sums = np.concatenate([[0], np.cumsum(count)])
+        best: list[np.ndarray] = [np.zeros(0, np.int64)] * 5  # token, x, doc of y, y, others
+        i, n = 0, len(token)
+
+        def shortened(parts):
+            tok, x, ydoc, y, others = (np.concatenate(c) for c in zip(*parts))
+            o = np.lexsort((y, ydoc, x, tok))
+            tok, x, ydoc, y, others = (c[o] for c in (tok, x, ydoc, y, others))
+            new = np.ones(len(x), bool)
+            new[1:] = (x[1:] != x[:-1]) | (tok[1:] != tok[:-1])
+            group = np.cumsum(new) - 1
+            nth = np.arange(len(x)) - np.flatnonzero(new)[group] if len(x) else np.zeros(0, np.int64)
+            keep = nth < most if most else np.ones(len(x), bool)
+            lost = np.bincount(group, weights=others + ~keep, minlength=group[-1] + 1 if len(x) else 0)
+            total = np.where(nth == 0, lost[group] if len(x) else 0, 0)
+            return [c[keep] for c in (tok, x, ydoc, y, total.astype(np.int64))]
+
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(sums, sums[i] + PAIRS_AT_ONCE, "right")) - 1)
+            a = np.repeat(np.arange(i, j), count[i:j])
+            b = a + 1 + np.arange(len(a)) - np.repeat(sums[i:j] - sums[i], count[i:j])
+            both = size[a] + size[b]
+            need = -(-num * both // (num + den))
+            good = (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= both - 2 * need)
+            a, b = a[good], b[good]
+            x, y = np.concatenate([a[doc[a] >= doc[b]], b[doc[b] >= doc[a]]]), np.concatenate([b[doc[a] >= doc[b]], a[doc[b] >= doc[a]]])
+            if len(x):
+                best = shortened([best, [token[x].astype(np.int64), key[x], doc[y], key[y], np.zeros(len(x), np.int64)]])
+            i = j
+        more = np.isin(best[1], best[1][best[4] > 0])
+        yield pa.RecordBatch.from_arrays([pa.array(best[1]), pa.array(best[3]), pa.array(best[2]), pa.array(more)], names=["x", "y", "at", "more"])
+
+    return rows.mapInArrow(run, "x long, y long, at long, more boolean")
+
+
+def pair_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pair, tokens) of the wanted lines (doc, body, line, pair)."""
+    per_doc = written(wanted.groupBy("doc", "body").agg(F.collect_list(F.struct("line", "pair")).alias("want")), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, U), np.zeros(0, np.int64)
         for batch in batches:
             for part in H.slices(batch, "text"):
-                h, at, doc, line = _line_sets(part.column("text"), *none)
+                h, at, doc, line = _line_sets(part.column("text"), np.zeros(0, np.uint32))
+                size = np.bincount(at, minlength=len(doc))
+                start = np.cumsum(size) - size
                 want = part.column("want")
                 lens = np.diff(want.offsets.to_numpy()) if len(part) else np.zeros(0, int)
-                keys = np.repeat(np.arange(len(part)), lens) << 32 | want.flatten().to_numpy()
-                use = np.isin(doc.astype(np.int64) << 32 | line, keys)
-                size = np.bincount(at, minlength=len(doc))
-                total = np.add.reduceat(H.mix(h ^ U(0x5DEECE66D)), np.cumsum(size) - size) if len(h) else np.zeros(0, U)
-                ends = np.concatenate([[0], np.cumsum(size[use])])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(H.mix(total + size.astype(U))[use].view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[use[at]].view(np.int64)))],
-                    names=["set", "tokens"])
-
-    return docs.join(per_doc, ["doc", "body"]).select("text", "want").mapInArrow(run, "set long, tokens array<long>").dropDuplicates(["set"])
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Sets x of the pairs (x, y) that reach the similarity."""
-    sides = [pairs.select(F.col(f"{s}.*")) for s in "xy"]
-    sets = written(token_sets(docs, sides[0].unionByName(sides[1]).select("doc", "body", "line", "set").distinct()), "sets")
-    common = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    return (pairs.select(F.col("x.set").alias("x"), F.col("y.set").alias("y"))
-            .join(sets.select(F.col("set").alias("x"), F.col("tokens").alias("x_tokens")), "x")
-            .join(sets.select(F.col("set").alias("y"), F.col("tokens").alias("y_tokens")), "y")
-            .where(common * den >= num * (F.size("x_tokens") + F.size("y_tokens") - common))
-            .select(F.col("x").alias("set")).distinct())
-
-
-def _possible(num: int, den: int):
-    """Length and position filters for rows x and y that share a token."""
-    xs, ys, xp, yp = F.col("x.size"), F.col("y.size"), F.col("x.pos"), F.col("y.pos")
-    best = F.least(xs - xp, ys - yp)
-    return (F.least(xs, ys) * den >= F.greatest(xs, ys) * num) & (best * den >= num * (xs + ys - best))
+                asked = want.flatten()
+                key = np.repeat(np.arange(len(part)), lens) << 32 | asked.field("line").to_numpy()
+                row = np.searchsorted(doc.astype(np.int64) << 32 | line, key)  # every wanted line has words
+                ends = np.concatenate([[0], np.cumsum(size[row])])
+                take = np.repeat(start[row] - ends[:-1], size[row]) + np.arange(ends[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [asked.field("pair"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[take].view(np.int64)))],
+                    names=["pair", "tokens"])
+
+    return docs.join(lookup(per_doc), ["doc", "body"]).select("text", "want").mapInArrow(run, "pair long, tokens array<long>")
+
+
+def _late(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
+    """Sets x of the pairs (x, y) whose y comes first and is similar enough."""
+    at = {s: firsts.select(F.col("set").alias(s), F.struct("doc", "line").alias(f"{s}_at"),
+                           *(F.col(c).alias(f"{s}_{c}") for c in ("body", "size", *WIDE_BITS))) for s in "xy"}
+    both = F.col("x_size") + F.col("y_size")
+    differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in WIDE_BITS), F.lit(0))
+    pairs = (pairs.join(at["x"], "x").join(at["y"], "y").where(F.col("y_at") < F.col("x_at"))
+             .where(differ <= both - 2 * F.ceil(both * num / (num + den))))
+    pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body", F.xxhash64("x", "y").alias("pair")), "pairs")
+    wanted = [pairs.select(f"{s}_at.doc", F.col(f"{s}_body").alias("body"), f"{s}_at.line", "pair") for s in "xy"]
+    both = pair_tokens(docs, wanted[0].unionByName(wanted[1])).groupBy("pair").agg(F.collect_set("tokens").alias("t"))
+    x, y = F.col("t")[0], F.col("t")[1]
+    common = F.size(F.array_intersect(x, y))
+    similar = both.where((F.size("t") == 2) & (common * (num + den) >= num * (F.size(x) + F.size(y)))).select("pair")
+    return written(pairs.select("x", "pair").join(similar, "pair", "left_semi").select(F.col("x").alias("set")).distinct(), "late")
 
 
 def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """(doc, body, line) of the lines to remove; docs: doc, body, text."""
-    lines = written(line_table(docs, *word_counts(docs), num, den), "lines")
-    place = ("doc", "line", "body")
-    sets = (lines.groupBy("set").agg(F.min(F.struct(*place, "size", "prefix")).alias("f"), F.count("*").alias("n"))
-            .select("set", "n", "f.*"))
-    rows = sets.select("set", *place, "size", F.posexplode("prefix").alias("pos", "token"))
-    bucket = W.partitionBy("token").orderBy("doc", "line", "body", "set")
-    me = F.struct(*place, "set", "size", "pos")
-    rows = (rows.select("token", me.alias("x"), *place, "set")
-            .withColumn("y", F.first("x").over(bucket.rowsBetween(W.unboundedPreceding, 0)))
-            .withColumn("next", F.lead("set").over(bucket))
-            .where(F.col("next").isNotNull() | (F.col("x.set") != F.col("y.set")))
-            .select("token", "x", "y"))
-    rows = written(rows, "buckets")
-    earlier = F.struct("y.doc", "y.line") < F.struct("x.doc", "x.line")
-    first = rows.where(earlier & _possible(num, den)).select("x", "y")
-    first = written(_distinct_pairs(first), "pairs")
-    late = written(_verified(docs, first, num, den), "late")
-    open_rows = (rows.select("token", "x").withColumn("set", F.col("x.set")).join(late, "set", "left_anti").drop("set"))
-    met = first.select(F.col("x.set").alias("xs"), F.col("y.set").alias("ys"))
-    rest = (open_rows.join(rows.select("token", F.col("x").alias("y")), "token")
-            .where(earlier & _possible(num, den)).select("x", "y"))
-    rest = _distinct_pairs(rest).withColumns({"xs": F.col("x.set"), "ys": F.col("y.set")}).join(met, ["xs", "ys"], "left_anti")
-    late = late.unionByName(_verified(docs, written(rest.select("x", "y"), "pairs"), num, den))
-    firsts = (sets.select("set", "n", F.col("doc").alias("fdoc"), F.col("line").alias("fline"))
+    parts = shuffle_partitions(docs.sparkSession)
+    lines = written(line_table(docs, word_ranks(docs), num, den), "lines")
+    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line", "body", "size", *WIDE_BITS)).alias("f"), F.count("*").alias("n"))
+                     .select("set", "n", "f.*"), "firsts")
+    rows = prefix_rows(lines)
+    met = written(meetings(rows.repartition(parts, "token"), num, den, CANDIDATES), "met")
+    # the earliest partner settles most lines; the others' remaining partners follow
+    best = met.groupBy("x").agg(F.min(F.struct("at", "y")).alias("b")).select("x", "b.y")
+    late = _late(docs, best, firsts, num, den)
+    undecided = met.join(late.withColumnRenamed("set", "x"), "x", "left_anti")
+    rest = undecided.select("x", "y").distinct().join(best, ["x", "y"], "left_anti")
+    late = late.unionByName(_late(docs, rest, firsts, num, den))
+    still = met.where("more").select(F.col("x").alias("set")).distinct().join(late, "set", "left_anti")
+    still = written(still, "open")
+    if still.limit(1).count():
+        tokens = rows.join(still, "set", "left_semi").select("token").distinct()
+        again = meetings(rows.join(tokens, "token", "left_semi").repartition(parts, "token"), num, den, None)
+        again = (again.select("x", "y").distinct().join(still.withColumnRenamed("set", "x"), "x", "left_semi")
+                 .join(met.select("x", "y"), ["x", "y"], "left_anti"))
+        late = late.unionByName(_late(docs, again, firsts, num, den))
+    firsts = (firsts.select("set", "n", F.col("doc").alias("fdoc"), F.col("line").alias("fline"))
               .join(late.withColumn("late", F.lit(True)), "set", "left")
               .where((F.col("n") > 1) | F.col("late")))
     after = F.struct("doc", "line") > F.struct(F.col("fdoc").alias("doc"), F.col("fline").alias("line"))
@@ -219,12 +284,6 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
             .where(after | F.col("late")).select("doc", "body", "line").distinct())
 
 
-def _distinct_pairs(pairs: DataFrame) -> DataFrame:
-    """One row for each pair of sets (position left out)."""
-    keep = ("doc", "line", "body", "set")
-    return pairs.select(*(F.struct(*(F.col(f"{s}.{c}") for c in keep)).alias(s) for s in "xy")).distinct()
-
-
 KEPT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
                      T.StructField("n_removed", T.LongType())])
 
@@ -253,8 +312,11 @@ def dedup_lines(docs: DataFrame, result: str, num: int = 4, den: int = 5) -> Dat
     body = F.xxhash64("text")
     gone = (removed_lines(docs.select(doc.alias("doc"), body.alias("body"), "text"), num, den)
             .groupBy("doc", "body").agg(F.sort_array(F.collect_list("line")).alias("gone")))
+    gone = written(gone, "gone")
+    small = (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= MOST_BROADCAST
     names = {c: free_name(docs, f"{c}_of_line") for c in ("doc", "body", "gone")}
     gone = gone.withColumnsRenamed(names)
+    gone = F.broadcast(gone) if small else gone  # line numbers, a few bytes each
     kept = docs.withColumns({names["doc"]: doc, names["body"]: body}).join(gone, [names["doc"], names["body"]], "left")
     kept = kept.withColumn(result, _without("text", names["gone"]))
     whole = F.struct(*(F.col(f"{result}.{c}") for c in ("text", "n_lines", "n_removed")),
