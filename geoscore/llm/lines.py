@@ -18,7 +18,9 @@ Steps:
 3. Prefix rows meet by token. Pairs pass the length filter, the positional
    filter (tokens left after the shared one) and a parity bitmap: the bits in
    which two bitmaps differ are a lower bound of the tokens that only one line
-   has. For each line its earliest CANDIDATES partners per token go on.
+   has. For each line its earliest CANDIDATES partners per token go on. The
+   rows of a frequent token are dealt into blocks of about BLOCK rows; each
+   pair of blocks meets in a task, and its pairs pass the wider bitmap too.
 4. Candidates, first each line's earliest, pass a wider bitmap and are verified
    on their whole token sets, read again from the texts of the lines concerned.
 5. Lines that had more partners than that and are still undecided meet all of
@@ -35,6 +37,7 @@ result; extra columns are kept whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,9 @@ BITS = 22
 TABLE = 1 << 20
 CANDIDATES = 3
 PAIRS_AT_ONCE = 1 << 20
+BLOCK = 1 << 13  # prefix rows of a frequent token that a block holds; a task meets two blocks at a time
+BUCKETS = 1 << 22  # in which the prefix rows of tokens are counted
+ROWS_AT_ONCE = 1 << 18
 MOST_BROADCAST = 2_000_000
 WIDE = 4  # words of the wider bitmap that candidate pairs pass before they are verified
 WIDE_BITS = [f"wide{k}" for k in range(WIDE)]
@@ -137,49 +143,165 @@ def line_table(docs: DataFrame, ranks: np.ndarray, num: int, den: int) -> DataFr
     return docs.select("doc", "body", "text").mapInArrow(run, schema)
 
 
-def _trimmed(token, key, size_pos, bits, doc):
+def _trimmed(token, key, size_pos, bits, doc, *others):
     """One row for each (token, set): the one of the smallest doc."""
     order = np.lexsort((doc, key, token))
     token, key = token[order], key[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-    return [token[new], key[new], *(x[order][new] for x in (size_pos, bits, doc))]
+    return [token[new], key[new], *(x[order][new] for x in (size_pos, bits, doc, *others))]
 
 
-def prefix_rows(lines: DataFrame) -> DataFrame:
-    """(token, set, size_pos, bits, doc): prefix tokens, equal sets once per task."""
+def _prefix_of(batch: pa.RecordBatch, columns: list[str]):
+    """(token, position in the prefix, the columns) of each prefix token of a batch of lines."""
+    prefix = batch.column("prefix")
+    lens = np.diff(prefix.offsets.to_numpy()) if len(batch) else np.zeros(0, np.int64)
+    at = np.repeat(np.arange(len(batch)), lens)
+    pos = np.arange(len(at)) - np.repeat(np.cumsum(lens) - lens, lens)
+    return prefix.flatten().to_numpy(), pos, {c: batch.column(c).to_numpy(zero_copy_only=False)[at] for c in columns}
+
+
+def _bucket(token: np.ndarray) -> np.ndarray:
+    return token.view(np.uint32).astype(np.int64) % BUCKETS
+
+
+Blocks = tuple[np.ndarray, np.ndarray]
+
+
+def _blocks_of(token: np.ndarray, blocks: Blocks) -> np.ndarray:
+    """Number of blocks of each token."""
+    bucket, n = blocks
+    if not len(bucket):
+        return np.ones(len(token), np.int64)
+    mine = _bucket(token)
+    pos = np.minimum(np.searchsorted(bucket, mine), len(bucket) - 1)
+    return np.where(bucket[pos] == mine, n[pos], 1)
+
+
+def token_blocks(lines: DataFrame, block: int) -> tuple[Blocks, int]:
+    """Buckets of tokens with many prefix rows and their number of blocks, and
+    the rows that these send. A partition leaves out buckets of less than its
+    share of a block, so a count is low by a block at most."""
+    share = block / max(1, lines.rdd.getNumPartitions())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held = np.zeros(BUCKETS, np.int32), []
+
+        def add():
+            bucket, n = np.unique(np.concatenate(held), return_counts=True)
+            counts[bucket] += n.astype(np.int32)
+            held.clear()
+
+        for batch in batches:
+            held.append(_bucket(batch.column("prefix").flatten().to_numpy()))
+            if sum(map(len, held)) > ROWS_AT_ONCE:
+                add()
+        if held:
+            add()
+        keep = np.flatnonzero((counts > 0) & (counts >= share))
+        yield pa.RecordBatch.from_arrays([pa.array(keep.astype(np.int32)), pa.array(counts[keep].astype(np.int64))], names=["bucket", "n"])
+
+    got = (lines.select("prefix").where(F.size("prefix") > 0).mapInArrow(run, "bucket int, n long")
+           .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > block).orderBy("bucket").toArrow())
+    bucket, n = got["bucket"].to_numpy().astype(np.int64), got["n"].to_numpy()
+    blocks = -(-n // block) + 1
+    return (bucket, blocks), int((n * blocks).sum())
+
+
+def prefix_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
+    """(token, set, size_pos, bits, doc): tokens of one block, equal sets once per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefix = batch.column("prefix")
-            lens = np.diff(prefix.offsets.to_numpy()) if len(batch) else np.zeros(0, np.int64)
-            at = np.repeat(np.arange(len(batch)), lens)
-            col = {c: batch.column(c).to_numpy(zero_copy_only=False)[at] for c in ("set", "size", "bits", "doc")}
-            pos = np.arange(len(at)) - np.repeat(np.cumsum(lens) - lens, lens)
-            rows = _trimmed(prefix.flatten().to_numpy(), col["set"], col["size"].astype(np.int64) << 32 | pos, col["bits"], col["doc"])
+            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc"])
+            one = _blocks_of(token, shared.value) == 1
+            rows = _trimmed(*(x[one] for x in (token, col["set"], col["size"].astype(np.int64) << 32 | pos, col["bits"], col["doc"])))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "set", "size_pos", "bits", "doc"])
 
+    shared = lines.sparkSession.sparkContext.broadcast(blocks)
     return lines.select("doc", "set", "size", "bits", "prefix").where(F.size("prefix") > 0).mapInArrow(
         run, "token int, set long, size_pos long, bits long, doc long")
 
 
+def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
+    """(token, cell, side, set, size_pos, bits, doc, WIDE_BITS) of the tokens
+    of several blocks. A set's row goes to the cell of each pair of blocks
+    that its own is in; side: 0 where a block meets itself, else 1 and 2."""
+    shared = lines.sparkSession.sparkContext.broadcast(blocks)
+    names = ["token", "cell", "side", "set", "size_pos", "bits", "doc", *WIDE_BITS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc", *WIDE_BITS])
+            n = _blocks_of(token, shared.value)
+            many = n > 1
+            if not many.any():
+                continue
+            size_pos = col["size"].astype(np.int64) << 32 | pos
+            token, key, size_pos, *rest = _trimmed(*(x[many] for x in (
+                token, col["set"], size_pos, col["bits"], col["doc"], *(col[c] for c in WIDE_BITS))))
+            n = _blocks_of(token, shared.value)
+            mine = (H.mix(key.view(U) ^ U(0x9E3779B9)) % n.astype(U)).astype(np.int64)
+            ends = np.cumsum(n)
+            i = 0
+            while i < len(n):
+                base = ends[i] - n[i]
+                j = max(i + 1, int(np.searchsorted(ends, base + ROWS_AT_ONCE, "right")))
+                at = np.repeat(np.arange(i, j), n[i:j])
+                other = np.arange(len(at)) - (ends - n - base)[at]
+                own = mine[at]
+                cell = np.minimum(own, other) * n[at] + np.maximum(own, other)
+                side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token[at], cell, side, key[at], size_pos[at], *(x[at] for x in rest))], names=names)
+                i = j
+
+    wide = "".join(f", {c} long" for c in WIDE_BITS)
+    return lines.select("doc", "set", "size", "bits", "prefix", *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
+        run, f"token int, cell long, side int, set long, size_pos long, bits long, doc long{wide}")
+
+
 def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
     """(x, y, at, more) of the sets that share a prefix token and pass the
-    filters, y not of a later document than x: for each x and token the
-    ``most`` earliest y and their doc, ``more`` if there are others. A task holds the rows
-    of its tokens and works through their pairs PAIRS_AT_ONCE at a time."""
+    filters, y not of a later document than x: for each x and token (and cell)
+    the ``most`` earliest y and their doc, ``more`` if there are others. A task
+    holds the rows of its tokens or cells, works through their pairs
+    PAIRS_AT_ONCE at a time and hands them on when a token is done, or at once
+    if all are wanted."""
+    cells = "cell" in rows.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches if b.num_rows]
+        held = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)] for b in batches if b.num_rows]
         if not held:
             return
-        token, key, size_pos, bits, doc = _trimmed(*(np.concatenate(x) for x in zip(*held)))
+        token, *cols = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        if cells:
+            cell, side, *cols = cols
+            order = np.lexsort((cell, token))
+            new = np.ones(len(token), bool)
+            new[1:] = (token[order][1:] != token[order][:-1]) | (cell[order][1:] != cell[order][:-1])
+            token[order] = np.cumsum(new) - 1  # a token's cell from now on
+        else:
+            side = np.zeros(len(token), np.int32)
+        key, size_pos, bits, doc, *wide = cols
+        del cols
+        token, key, size_pos, bits, doc, side, *wide = _trimmed(token, key, size_pos, bits, doc, side, *wide)
         size, pos = size_pos >> 32, size_pos & 0xFFFFFFFF
-        order = np.lexsort((size, token))
-        token, key, size, pos, bits, doc = (x[order] for x in (token, key, size, pos, bits.view(U), doc))
-        place = token.astype(np.int64) << 32
-        last = np.searchsorted(place | size, place | np.minimum(size * den // num, (1 << 32) - 1), "right")
-        count = last - np.arange(len(token)) - 1
+        order = np.lexsort((size, side, token))
+        token, key, size, pos, bits, doc, side, *wide = (
+            x[order] for x in (token, key, size, pos, bits.view(U), doc, side, *(w.view(U) for w in wide)))
+        group = np.cumsum(np.append(True, token[1:] != token[:-1])) - 1
+        place = (group * 4 + side) << 32
+        # partners: the larger ones after a row in its own block, those of similar size in the other block
+        upto = np.minimum(size * den // num, (1 << 32) - 1)
+        begin = np.arange(len(token)) + 1
+        last = np.searchsorted(place | size, place | upto, "right")
+        if cells:
+            over = place + (1 << 32)
+            begin = np.where(side == 1, np.searchsorted(place | size, over | -(-num * size // den), "left"), begin)
+            last = np.where(side == 1, np.searchsorted(place | size, over | upto, "right"), last)
+        count = np.where(side == 2, 0, last - begin)
         sums = np.concatenate([[0], np.cumsum(count)])
-        best: list[np.ndarray] = [np.zeros(0, np.int64)] * 5  # token, x, doc of y, y, others
+        best: list[np.ndarray] = [np.zeros(0, np.int64)] * 5  # group, x, doc of y, y, others
         i, n = 0, len(token)
 
         def shortened(parts):
@@ -188,27 +310,39 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
             tok, x, ydoc, y, others = (c[o] for c in (tok, x, ydoc, y, others))
             new = np.ones(len(x), bool)
             new[1:] = (x[1:] != x[:-1]) | (tok[1:] != tok[:-1])
-            group = np.cumsum(new) - 1
-            nth = np.arange(len(x)) - np.flatnonzero(new)[group] if len(x) else np.zeros(0, np.int64)
-            keep = nth < most if most else np.ones(len(x), bool)
-            lost = np.bincount(group, weights=others + ~keep, minlength=group[-1] + 1 if len(x) else 0)
-            total = np.where(nth == 0, lost[group] if len(x) else 0, 0)
-            return [c[keep] for c in (tok, x, ydoc, y, total.astype(np.int64))]
+            at = np.cumsum(new) - 1
+            nth = np.arange(len(x)) - np.flatnonzero(new)[at]
+            keep = nth < most
+            lost = np.bincount(at, weights=others + ~keep)
+            return [c[keep] for c in (tok, x, ydoc, y, np.where(nth == 0, lost[at], 0).astype(np.int64))]
+
+        def out(x, ydoc, y, others):
+            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(ydoc), pa.array(others > 0)], names=["x", "y", "at", "more"])
 
         while i < n:
             j = max(i + 1, int(np.searchsorted(sums, sums[i] + PAIRS_AT_ONCE, "right")) - 1)
             a = np.repeat(np.arange(i, j), count[i:j])
-            b = a + 1 + np.arange(len(a)) - np.repeat(sums[i:j] - sums[i], count[i:j])
+            b = begin[a] + np.arange(len(a)) - np.repeat(sums[i:j] - sums[i], count[i:j])
             both = size[a] + size[b]
             need = -(-num * both // (num + den))
-            good = (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= both - 2 * need)
-            a, b = a[good], b[good]
+            apart = both - 2 * need
+            good = (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= apart)
+            a, b, apart = a[good], b[good], apart[good]
+            if wide:
+                good = sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in wide) <= apart
+                a, b = a[good], b[good]
             x, y = np.concatenate([a[doc[a] >= doc[b]], b[doc[b] >= doc[a]]]), np.concatenate([b[doc[a] >= doc[b]], a[doc[b] >= doc[a]]])
-            if len(x):
-                best = shortened([best, [token[x].astype(np.int64), key[x], doc[y], key[y], np.zeros(len(x), np.int64)]])
             i = j
-        more = np.isin(best[1], best[1][best[4] > 0])
-        yield pa.RecordBatch.from_arrays([pa.array(best[1]), pa.array(best[3]), pa.array(best[2]), pa.array(more)], names=["x", "y", "at", "more"])
+            if not most:
+                if len(x):
+                    yield out(key[x], doc[y], key[y], np.zeros(len(x), np.int64))
+                continue
+            if len(x):
+                best = shortened([best, [group[x], key[x], doc[y], key[y], np.zeros(len(x), np.int64)]])
+            done = best[0] < group[i] if i < n else np.ones(len(best[0]), bool)
+            if done.any():
+                yield out(*(c[done] for c in best[1:]))
+                best = [c[~done] for c in best]
 
     return rows.mapInArrow(run, "x long, y long, at long, more boolean")
 
@@ -260,8 +394,17 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     lines = written(line_table(docs, word_ranks(docs), num, den), "lines")
     firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line", "body", "size", *WIDE_BITS)).alias("f"), F.count("*").alias("n"))
                      .select("set", "n", "f.*"), "firsts")
-    rows = prefix_rows(lines)
-    met = written(meetings(rows.repartition(parts, "token"), num, den, CANDIDATES), "met")
+    blocks, sent = token_blocks(lines, BLOCK)
+    dealt = [(prefix_rows(lines, blocks), parts, ["token"])]
+    if sent:
+        dealt.append((block_rows(lines, blocks), max(parts, -(-sent // ROWS_AT_ONCE)), ["token", "cell"]))
+
+    def meet(most: int | None, tokens: DataFrame | None = None) -> DataFrame:
+        found = [meetings((r if tokens is None else r.join(tokens, "token", "left_semi")).repartition(n, *by), num, den, most)
+                 for r, n, by in dealt]
+        return reduce(DataFrame.unionByName, found)
+
+    met = written(meet(CANDIDATES), "met")
     # the earliest partner settles most lines; the others' remaining partners follow
     best = met.groupBy("x").agg(F.min(F.struct("at", "y")).alias("b")).select("x", "b.y")
     late = _late(docs, best, firsts, num, den)
@@ -271,8 +414,8 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     still = met.where("more").select(F.col("x").alias("set")).distinct().join(late, "set", "left_anti")
     still = written(still, "open")
     if still.limit(1).count():
-        tokens = rows.join(still, "set", "left_semi").select("token").distinct()
-        again = meetings(rows.join(tokens, "token", "left_semi").repartition(parts, "token"), num, den, None)
+        tokens = (lines.join(still, "set", "left_semi").select(F.explode("prefix").alias("token")).distinct())
+        again = meet(None, written(tokens, "tokens"))
         again = (again.select("x", "y").distinct().join(still.withColumnRenamed("set", "x"), "x", "left_semi")
                  .join(met.select("x", "y"), ["x", "y"], "left_anti"))
         late = late.unionByName(_late(docs, again, firsts, num, den))

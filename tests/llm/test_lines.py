@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import pytest
@@ -57,3 +58,26 @@ def test_clashing_columns_and_empty_table(make_docs):
     assert got.columns == docs.columns + ["r"]
     assert {(r["doc_id"], r["r"]["text"]) for r in got.collect()} == {(1, "a b c"), (2, "d")}
     assert dedup_lines(docs.limit(0), "r").count() == 0
+
+
+def family(words=14):
+    """Distinct lines of one template with two variable words that are more common than its fixed ones."""
+    common = [f"v{i}" for i in range(words)]
+    rows = [" ".join([f"fix{i}" for i in range(15)] + list(c)) for c in itertools.combinations(common, 2)]
+    return rows + [f"{c} alone{i}" for i in range(words * words // 2) for c in common]
+
+
+def test_frequent_token_meets_in_blocks(make_docs, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK", 8, raising=False)
+    monkeypatch.setattr(lines, "ROWS_AT_ONCE", 100, raising=False)
+    largest, real = [], lines.meetings
+
+    def spy(rows, *args):
+        key = [c for c in ("token", "cell") if c in rows.columns]
+        largest.append(rows.distinct().groupBy(*key).count().agg(F.max("count")).first()[0] or 0)
+        return real(rows, *args)
+
+    monkeypatch.setattr(lines, "meetings", spy)
+    rows = list(enumerate(noisy_texts(5, 120, words=(9, 14)))) + [(i + 1000, t) for i, t in enumerate(family())]
+    assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
+    assert max(largest) <= 5 * 8
