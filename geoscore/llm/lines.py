@@ -22,7 +22,8 @@ Steps:
    rows of a frequent token are dealt into blocks of about BLOCK rows; each
    pair of blocks meets in a task, and its pairs pass the wider bitmap too.
 4. Candidates, first each line's earliest, pass a wider bitmap and are verified
-   on their whole token sets, read again from the texts of the lines concerned.
+   on their whole token sets, read again, once for each line concerned, and
+   joined to the pairs; a line of many pairs is dealt over several keys.
 5. Lines that had more partners than that and are still undecided meet all of
    them.
 
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import free_name, lookup, shuffle_partitions, written
+from geoscore.llm.common import forget, free_name, lookup, shuffle_partitions, written
 
 BITS = 22
 TABLE = 1 << 20
@@ -56,6 +57,7 @@ BLOCK = 1 << 13  # prefix rows of a frequent token that a block holds; a task me
 BUCKETS = 1 << 22  # in which the prefix rows of tokens are counted
 ROWS_AT_ONCE = 1 << 18
 MOST_BROADCAST = 2_000_000
+PAIRS_AT_A_KEY = 1 << 10  # candidate pairs of a set that one key of the verifying join holds
 WIDE = 4  # words of the wider bitmap that candidate pairs pass before they are verified
 WIDE_BITS = [f"wide{k}" for k in range(WIDE)]
 U = np.uint64
@@ -347,9 +349,12 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
     return rows.mapInArrow(run, "x long, y long, at long, more boolean")
 
 
-def pair_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(pair, tokens) of the wanted lines (doc, body, line, pair)."""
-    per_doc = written(wanted.groupBy("doc", "body").agg(F.collect_list(F.struct("line", "pair")).alias("want")), "wanted")
+def set_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set, tokens) of the wanted lines (doc, body, line), each read once."""
+    per_doc = written(wanted.groupBy("doc", "body").agg(F.collect_set("line").alias("want")), "wanted")
+    # line numbers, no more than a document has: the bound is on their sum
+    asked = per_doc.agg(F.sum(F.size("want"))).first()[0] or 0
+    side = F.broadcast(per_doc) if asked <= MOST_BROADCAST else per_doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,16 +364,31 @@ def pair_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 start = np.cumsum(size) - size
                 want = part.column("want")
                 lens = np.diff(want.offsets.to_numpy()) if len(part) else np.zeros(0, int)
-                asked = want.flatten()
-                key = np.repeat(np.arange(len(part)), lens) << 32 | asked.field("line").to_numpy()
+                key = np.repeat(np.arange(len(part)), lens) << 32 | want.flatten().to_numpy()
                 row = np.searchsorted(doc.astype(np.int64) << 32 | line, key)  # every wanted line has words
                 ends = np.concatenate([[0], np.cumsum(size[row])])
                 take = np.repeat(start[row] - ends[:-1], size[row]) + np.arange(ends[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [asked.field("pair"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[take].view(np.int64)))],
-                    names=["pair", "tokens"])
+                    [pa.array(_set_keys(h, size)[row]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[take].view(np.int64)))],
+                    names=["set", "tokens"])
 
-    return docs.join(lookup(per_doc), ["doc", "body"]).select("text", "want").mapInArrow(run, "pair long, tokens array<long>")
+    out = written(docs.join(side, ["doc", "body"]).select("text", "want").mapInArrow(run, "set long, tokens array<long>"), "tokens")
+    forget(per_doc)
+    # rows that repeat a doc_id and its text read their lines again
+    twice = out.groupBy("set").agg(F.count("*").alias("n")).where(F.col("n") > 1).limit(1).count()
+    return out.groupBy("set").agg(F.first("tokens").alias("tokens")) if twice else out
+
+
+def _dealt(pairs: DataFrame, tokens: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` with a salt for the join by ``side``, and the tokens once for
+    each salt: a set of many pairs is dealt out, PAIRS_AT_A_KEY to a salt."""
+    many = F.ceil(F.col("count") / PAIRS_AT_A_KEY).cast("int")
+    often = lookup(written(pairs.groupBy(side).count().where(F.col("count") > PAIRS_AT_A_KEY).select(side, many.alias("salts")), "often"))
+    salts = F.coalesce("salts", F.lit(1))
+    pairs = pairs.join(often, side, "left").withColumn(f"{side}_salt", F.pmod(F.xxhash64("x", "y"), salts).cast("int")).drop("salts")
+    copies = (tokens.withColumnRenamed("set", side).join(often, side, "left")
+              .select(side, F.col("tokens").alias(f"{side}_tokens"), F.explode(F.sequence(F.lit(0), salts - 1)).alias(f"{side}_salt")))
+    return pairs, copies
 
 
 def _late(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
@@ -379,13 +399,16 @@ def _late(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, num: int, den: i
     differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in WIDE_BITS), F.lit(0))
     pairs = (pairs.join(at["x"], "x").join(at["y"], "y").where(F.col("y_at") < F.col("x_at"))
              .where(differ <= both - 2 * F.ceil(both * num / (num + den))))
-    pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body", F.xxhash64("x", "y").alias("pair")), "pairs")
-    wanted = [pairs.select(f"{s}_at.doc", F.col(f"{s}_body").alias("body"), f"{s}_at.line", "pair") for s in "xy"]
-    both = pair_tokens(docs, wanted[0].unionByName(wanted[1])).groupBy("pair").agg(F.collect_set("tokens").alias("t"))
-    x, y = F.col("t")[0], F.col("t")[1]
+    pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body"), "pairs")
+    wanted = [pairs.select(f"{s}_at.doc", F.col(f"{s}_body").alias("body"), f"{s}_at.line") for s in "xy"]
+    tokens = set_tokens(docs, wanted[0].unionByName(wanted[1]).distinct())
+    pairs, of_x = _dealt(pairs.select("x", "y"), tokens, "x")
+    pairs, of_y = _dealt(pairs, tokens, "y")
+    x, y = F.col("x_tokens"), F.col("y_tokens")
     common = F.size(F.array_intersect(x, y))
-    similar = both.where((F.size("t") == 2) & (common * (num + den) >= num * (F.size(x) + F.size(y)))).select("pair")
-    return written(pairs.select("x", "pair").join(similar, "pair", "left_semi").select(F.col("x").alias("set")).distinct(), "late")
+    similar = (pairs.join(of_x, ["x", "x_salt"]).join(of_y, ["y", "y_salt"])
+               .where(common * (num + den) >= num * (F.size(x) + F.size(y))))
+    return written(similar.select(F.col("x").alias("set")).distinct(), "late")
 
 
 def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:

@@ -81,3 +81,21 @@ def test_frequent_token_meets_in_blocks(make_docs, monkeypatch):
     rows = list(enumerate(noisy_texts(5, 120, words=(9, 14)))) + [(i + 1000, t) for i, t in enumerate(family())]
     assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
     assert max(largest) <= 5 * 8
+
+
+def test_line_of_many_pairs_is_read_once(make_docs, monkeypatch):
+    monkeypatch.setattr(lines, "PAIRS_AT_A_KEY", 10, raising=False)
+    wanted, real = [], lines.written
+
+    def spy(df, kind):
+        out = real(df, kind)
+        if kind == "wanted":
+            wanted.append(out.agg(F.max(F.size("want"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(lines, "written", spy)
+    base = [f"b{i}" for i in range(20)]
+    rows = [(0, " ".join(base))] + [(i, " ".join(base[:i % 20] + [f"c{i}"] + base[i % 20 + 1:])) for i in range(1, 60)]
+    rows += [(0, " ".join(base)), (70, "p q r s t u v w x\np q r s t u v w x z"), (70, "p q r s t u v w x\np q r s t u v w x z")]
+    assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
+    assert max(wanted) <= 2
