@@ -20,11 +20,13 @@ fitted on labelled rows that were left out of the counts, turns it into a
 score between 0 and 1.
 
 All labelled training rows are counted, so what is gathered grows with the
-input: words are counted within tasks, then summed by a shuffle. The table
-that scoring broadcasts holds beginnings and words that make up at least
-1 / TABLE of a class's words (2 * TABLE for each length at most); the others
-count as rare. Scoring reads every row and whole texts. Calibration collects
-three numbers for each of about MAX_CALIBRATION rows.
+input: words are counted within tasks, then summed by a shuffle. Every
+beginning and word stays in a written table. Scoring broadcasts as a cache
+those that make up at least 1 / TABLE of a class's words (2 * TABLE for each
+length at most); the other words of the texts are joined to the whole table
+and meet their texts again by the text's hash. Scoring reads every row and
+whole texts. Calibration collects three numbers for each of about
+MAX_CALIBRATION rows.
 
 Defined results: null and empty texts have no evidence (all features 0);
 null or other labels are not learnt from; with labels of one class only, every
@@ -43,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import spread, written
+from geoscore.llm.common import free_name, spread, written
 
 U = np.uint64
 TABLE = 1 << 17
@@ -99,24 +101,37 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class Tables:
-    """Log-likelihood ratio of beginnings and whole words (with a blank at
-    the end), by hash; weights: intercept and features."""
+    """Log-likelihood ratio of frequent beginnings and whole words (with a
+    blank at the end), by hash; weights: intercept and features."""
 
     nodes: np.ndarray
     ratio: np.ndarray
     weights: np.ndarray
 
 
-def fit_tables(rows: DataFrame, table: int = TABLE) -> Tables | None:
-    """Tables from labelled rows, without calibration; None if a class is missing."""
+@dataclass
+class Model:
+    """``table``: the step's log-likelihood ratio r of every node; ``cache``:
+    the frequent ones, ``whole`` if there are no others."""
+
+    cache: Tables
+    table: DataFrame
+    whole: bool
+
+
+def _beginnings(word: str) -> Column:
+    """The nodes of a word: its beginnings up to DEPTH and, with a blank, the whole of it."""
+    steps = F.transform(F.sequence(F.lit(2), F.lit(DEPTH)), lambda k: F.when(k <= F.length(word), F.substring(word, F.lit(1), k)))
+    return F.array_append(F.array_compact(steps), F.concat(word, F.lit(b" ")))
+
+
+def fit_tables(rows: DataFrame, table: int = TABLE) -> Model | None:
+    """Model from labelled rows, without calibration; None if a class is missing."""
     counts = written(word_counts(rows), "words")
     n = counts.agg(F.sum("toxic").alias("t"), F.sum("plain").alias("p")).first()
     if not n["t"] or not n["p"]:
         return None
-    size = F.length("word")
-    steps = F.transform(F.sequence(F.lit(2), F.lit(DEPTH)), lambda k: F.when(k <= size, F.substring("word", F.lit(1), k)))
-    whole = F.concat("word", F.lit(b" "))
-    nodes = (counts.select(F.explode(F.array_append(F.array_compact(steps), whole)).alias("node"), "toxic", "plain")
+    nodes = (counts.select(F.explode(_beginnings("word")).alias("node"), "toxic", "plain")
              .groupBy("node").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.count("*").alias("types")))
     length = F.length("node")
     ended = F.substring("node", length, F.lit(1)) == F.lit(b" ")
@@ -132,8 +147,11 @@ def fit_tables(rows: DataFrame, table: int = TABLE) -> Tables | None:
     def chance(c, mass):
         return F.when(F.col(mass) > 0, (1 - back) * left(c) / F.col(mass) + back * shared).otherwise(shared)
 
-    kept = nodes.where((F.col("toxic") * table >= n["t"]) | (F.col("plain") * table >= n["p"])).join(contexts, "parent")
-    got = kept.select("node", "parent", (F.log(chance("toxic", "mt")) - F.log(chance("plain", "mp"))).alias("r")).toArrow()
+    frequent = (F.col("toxic") * table >= n["t"]) | (F.col("plain") * table >= n["p"])
+    rated = nodes.join(contexts, "parent").select(
+        "node", "parent", (F.log(chance("toxic", "mt")) - F.log(chance("plain", "mp"))).alias("r"), frequent.alias("frequent"))
+    rated = written(rated, "rated")
+    got = rated.where("frequent").toArrow()  # with a node its parent is frequent too
     total = {b"": 0.0}
     rows = zip(*(got[c].to_pylist() for c in ("node", "parent", "r")))
     for node, parent, r in sorted(rows, key=lambda x: (len(x[0]), x[0])):
@@ -142,14 +160,16 @@ def fit_tables(rows: DataFrame, table: int = TABLE) -> Tables | None:
     ends = np.cumsum([len(x) for x in names])
     h = H.span_hashes(np.frombuffer(b"".join(names), np.uint8), ends - [len(x) for x in names], ends)
     order = np.argsort(h)
-    return Tables(h[order], np.array([total[x] for x in names])[order], np.zeros(4))
+    cache = Tables(h[order], np.array([total[x] for x in names])[order], np.zeros(4))
+    return Model(cache, rated.select("node", "r"), not rated.where(~F.col("frequent")).limit(1).count())
 
 
-def _ratios(data: np.ndarray, a: np.ndarray, b: np.ndarray, t: Tables) -> np.ndarray:
-    """Ratio of each word: that of its longest known beginning."""
-    out = np.zeros(len(a))
+def _ratios(data: np.ndarray, a: np.ndarray, b: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
+    """Ratio of each word, that of its longest beginning in the cache, and
+    whether that is the word itself, so that no other node matters."""
+    out, settled = np.zeros(len(a)), np.zeros(len(a), bool)
     if not len(t.nodes) or not len(a):
-        return out
+        return out, settled
     n = b - a
     shape = np.empty(int((n + 1).sum()), np.uint8)  # the words, each with a blank after it
     ends = np.cumsum(n + 1)
@@ -172,19 +192,68 @@ def _ratios(data: np.ndarray, a: np.ndarray, b: np.ndarray, t: Tables) -> np.nda
         out[fits[hit]] = t.ratio[pos[hit]]
         done = np.zeros(len(a), bool)
         done[fits[hit]] = True
+        if k is None:
+            settled = done
         open_ = open_[~done[open_]]
-    return out
+    return out, settled
+
 
+def open_words(rows: DataFrame, cache: Tables) -> DataFrame:
+    """(body, word, hash) of the texts' distinct words that the cache doesn't
+    settle; rows: body, text."""
+    shared = rows.sparkSession.sparkContext.broadcast(cache)
 
-def evidence(column: pa.Array, t: Tables) -> np.ndarray:
-    """Rows of (strongest window's mean, mean, sum by root of length) log-likelihood ratio."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in H.slices(batch, "text"):
+                data, a, b, d = words(part.column("text"))
+                if not len(a):
+                    continue
+                h, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
+                rare = np.flatnonzero(~_ratios(data, a[at], b[at], shared.value)[1][which])
+                _, first = np.unique(d[rare] * len(h) + which[rare], return_index=True)
+                rare = rare[first]
+                raw = data.tobytes()
+                yield pa.RecordBatch.from_arrays([
+                    part.column("body").take(pa.array(d[rare])), pa.array([raw[s:e] for s, e in zip(a[rare].tolist(), b[rare].tolist())], pa.binary()),
+                    pa.array(h[which[rare]].view(np.int64))], names=["body", "word", "hash"])
+
+    return rows.select("body", "text").mapInArrow(run, "body long, word binary, hash long")
+
+
+def with_rare(rows: DataFrame, model: Model, column: str) -> DataFrame:
+    """``rows`` (text and others) with the (hash, ratio) of those words of the
+    text that the cache doesn't settle, from the whole table by joins."""
+    if model.whole:
+        return rows.withColumn(column, F.lit(None).cast("array<struct<hash:long,ratio:double>>"))
+    body = free_name(rows, "body_of_text")
+    rows = rows.withColumn(body, F.xxhash64("text"))
+    found = written(open_words(rows.select(F.col(body).alias("body"), "text"), model.cache), "open")
+    steps = (found.select("word").distinct().select("word", F.explode(_beginnings("word")).alias("node")).join(model.table, "node")
+             .groupBy("word").agg(F.sort_array(F.collect_list(F.struct(F.length("node").alias("n"), "r"))).alias("steps")))
+    ratio = F.aggregate("steps", F.lit(0.0), lambda total, s: total + s["r"]).alias("ratio")
+    rated = written(steps.select("word", ratio), "ratios")
+    rare = found.join(rated, "word").groupBy(F.col("body").alias(body)).agg(F.collect_set(F.struct("hash", "ratio")).alias(column))
+    return rows.join(rare, body, "left").drop(body)
+
+
+def evidence(column: pa.Array, t: Tables, rare: pa.Array) -> np.ndarray:
+    """Rows of (strongest window's mean, mean, sum by root of length)
+    log-likelihood ratio; rare: what ``with_rare`` found."""
     data, a, b, d = words(column)
     n_docs = len(column)
     out = np.zeros((n_docs, 3))
     if not len(a):
         return out
-    _, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
-    ratio = _ratios(data, a[at], b[at], t)[which]
+    h, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
+    ratio = _ratios(data, a[at], b[at], t)[0]
+    listed = rare.flatten()  # a word's ratio is the same in each text
+    if len(listed):
+        known, first = np.unique(listed.field("hash").to_numpy().view(U), return_index=True)
+        pos = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        hit = known[pos] == h
+        ratio[hit] = listed.field("ratio").to_numpy()[first[pos[hit]]]
+    ratio = ratio[which]
     n = np.bincount(d, minlength=n_docs)
     total = np.concatenate([[0], np.cumsum(ratio)])
     some = np.flatnonzero(n)
@@ -200,17 +269,22 @@ def evidence(column: pa.Array, t: Tables) -> np.ndarray:
     return out
 
 
-def evidence_of(text: Column, tables: Tables, spark) -> Column:
+def _pieces(text: pa.Array, rare: pa.Array, t: Tables) -> np.ndarray:
+    batch = pa.record_batch([text, rare], ["t", "rare"])
+    parts = [evidence(p.column(0), t, p.column(1)) for p in H.slices(batch, "t")]
+    return np.concatenate(parts) if parts else np.zeros((0, 3))
+
+
+def evidence_of(text: Column, rare: Column, tables: Tables, spark) -> Column:
     """Struct (window, whole, root) of each text."""
     shared = spark.sparkContext.broadcast(tables)
 
     @F.arrow_udf("window double, whole double, root double")
-    def run(column: pa.Array) -> pa.Array:
-        parts = [evidence(p.column(0), shared.value) for p in H.slices(pa.record_batch([column], ["t"]), "t")]
-        both = np.concatenate(parts) if parts else np.zeros((0, 3))
+    def run(column: pa.Array, listed: pa.Array) -> pa.Array:
+        both = _pieces(column, listed, shared.value)
         return pa.StructArray.from_arrays([pa.array(both[:, i].copy()) for i in range(3)], FEATURES)
 
-    return run(text)
+    return run(text, rare)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, turns: int = 50, ridge: float = 1e-3) -> np.ndarray:
@@ -227,39 +301,53 @@ def logistic(x: np.ndarray, y: np.ndarray, turns: int = 50, ridge: float = 1e-3)
     return w
 
 
-def train(labelled: DataFrame, table: int = TABLE) -> Tables | float:
+def train(labelled: DataFrame, table: int = TABLE) -> Model | float:
     """Model from rows (key, text, label 0/1): three quarters are counted, the
     rest calibrate. Returns the label's share if a class is missing."""
     usable = labelled.where(F.col("label").isin(0, 1))
     part = spread(F.lit("calibrate"), F.col("key").cast("string"))
     aside = usable.where(part % 4 == 0)
-    tables = fit_tables(usable.where(part % 4 != 0), table)
-    if tables is None:
+    model = fit_tables(usable.where(part % 4 != 0), table)
+    if model is None:
         return float(usable.agg(F.avg("label")).first()[0] or 0.0)
     rows = aside.count()
     share = max(1, -(-rows // MAX_CALIBRATION))
-    got = (aside.where(F.floor(part / 4) % share == 0)
-           .select("label", evidence_of(F.col("text"), tables, labelled.sparkSession).alias("e"))
+    sample = with_rare(aside.where(F.floor(part / 4) % share == 0).select("label", "text"), model, "rare")
+    got = (sample.select("label", evidence_of(F.col("text"), F.col("rare"), model.cache, labelled.sparkSession).alias("e"))
            .select("label", "e.*").toArrow().to_pandas().sort_values(["label", *FEATURES]))
     y = got["label"].to_numpy(float)
     if len(y) and 0 < y.mean() < 1:
-        tables.weights = logistic(got[FEATURES].to_numpy(float), y)
+        model.cache.weights = logistic(got[FEATURES].to_numpy(float), y)
     else:
-        tables.weights = np.array([-2.0, 2.0, 0.0, 0.0])
-    return tables
+        model.cache.weights = np.array([-2.0, 2.0, 0.0, 0.0])
+    return model
+
 
+def _score(text: Column, rare: Column, model: Model, spark) -> Column:
+    shared = spark.sparkContext.broadcast(model.cache)
 
-def score(text: Column, model: Tables | float, spark) -> Column:
-    """Probability that a text is toxic (double in 0..1)."""
+    @F.arrow_udf("double")
+    def run(column: pa.Array, listed: pa.Array) -> pa.Array:
+        w = shared.value.weights
+        return pa.array(1 / (1 + np.exp(-np.clip(w[0] + _pieces(column, listed, shared.value) @ w[1:], -35, 35))))
+
+    return run(text, rare)
+
+
+def score(text: Column, model: Model | float, spark) -> Column:
+    """Probability that a text is toxic (double in 0..1), by a model that the
+    cache holds whole; ``score_rows`` takes any."""
     if isinstance(model, float):
         return F.lit(model)
-    shared = spark.sparkContext.broadcast(model)
+    if not model.whole:
+        raise ValueError("the model has nodes outside the cache: use score_rows")
+    return _score(text, F.lit(None).cast("array<struct<hash:long,ratio:double>>"), model, spark)
 
-    @F.arrow_udf("double")
-    def run(column: pa.Array) -> pa.Array:
-        t = shared.value
-        parts = [evidence(p.column(0), t) for p in H.slices(pa.record_batch([column], ["t"]), "t")]
-        both = np.concatenate(parts) if parts else np.zeros((0, 3))
-        return pa.array(1 / (1 + np.exp(-np.clip(t.weights[0] + both @ t.weights[1:], -35, 35))))
 
-    return run(text)
+def score_rows(rows: DataFrame, model: Model | float, result: str) -> DataFrame:
+    """``rows`` (text and others) with the probability that the text is toxic."""
+    if isinstance(model, float):
+        return rows.withColumn(result, F.lit(model))
+    rare = free_name(rows, "rare_of_text")
+    found = with_rare(rows, model, rare)
+    return found.withColumn(result, _score(F.col("text"), F.col(rare), model, rows.sparkSession)).drop(rare)

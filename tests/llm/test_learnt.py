@@ -47,3 +47,18 @@ def test_odd_rows(spark, make_docs, kind):
         assert len({r["s"] for r in scored if r["doc_id"] == 3}) == 1
         assert len({r["s"] for r in scored if r["doc_id"] in (1, 2)}) == 1
     assert docs.limit(0).withColumn("s", module.score(F.col("text"), module.train(rows), spark)).count() == 0
+
+
+def test_toxicity_rare_words_do_not_depend_on_the_cache(spark):
+    ordinary = [(i, f"plain words here number{i} again", 0) for i in range(60)]
+    rows = ordinary + [(100 + i, f"plain words zqrare{i} here", 1) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "key long, text string, label int")
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows] + [(500, None), (501, ""), (501, "")], "doc_id long, text string")
+    ratios = []
+    for table in (1 << 17, 4):  # with 4, the cache holds the most common words only
+        model = toxicity.train(labelled, table)
+        got = toxicity.score_rows(docs, model, "s") if hasattr(toxicity, "score_rows") else docs.withColumn("s", toxicity.score(F.col("text"), model, spark))
+        ratios.append(sorted((r["doc_id"], r["s"]) for r in got.collect()))
+    assert len(ratios[0]) == len(rows) + 3
+    assert [d for d, _ in ratios[0]] == [d for d, _ in ratios[1]]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(*ratios)) < 1e-9
