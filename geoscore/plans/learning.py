@@ -3,9 +3,8 @@
 Classification: documents joined with labels (``quality`` as the survival
 target, ``toxic = 0`` as the second, stacked target), text statistics as
 features. Regression: customers with their order count as the
-establishment count. Tree counts of the registered queries are smaller than
-the library defaults (which equal the reference's grids) so that the whole
-query set stays quick at sf0.01; every depth of the grids is kept.
+establishment count. Tree counts and grids are the library defaults, which
+equal the reference's; where a job refits at the tuned depth, so do they.
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ DOC_FEATURES = ["n_chars", "n_words", "n_lines", "upper_frac", "digit_frac", "pu
 CUST_FEATURES = ["c_acctbal", "c_nationkey", "n_regionkey", "segment_code", "name_len"]
 LANG_CODES = {"en": 1, "fr": 2, "de": 3, "es": 4}
 SEGMENT_CODES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
-QUERY_TREES = 20
 
 
 def doc_features(spark, d):
@@ -81,7 +79,7 @@ def _customer_counts(spark, d):
 # ---------------------------------------------------------------------------
 def rf_tune(spark, d):
     res = ml.tune_rf_classifier(labelled_docs(spark, d), DOC_FEATURES, "doc_id", "label",
-                                depths=ml.SURVIVAL_DEPTHS, num_trees=QUERY_TREES)
+                                depths=ml.SURVIVAL_DEPTHS)
     return res.grid
 
 
@@ -90,7 +88,7 @@ register("rf_tune", note="grid metrics; rows-only")(rf_tune)
 
 def rf_regress_tune(spark, d):
     res = ml.tune_rf_regressor(customer_counts(spark, d), CUST_FEATURES, "c_custkey", "label",
-                               depths=ml.OPPORTUNITY_DEPTHS, num_trees=QUERY_TREES)
+                               depths=ml.OPPORTUNITY_DEPTHS)
     return res.grid
 
 
@@ -98,8 +96,7 @@ register("rf_regress_tune", note="grid metrics; rows-only")(rf_regress_tune)
 
 
 def gbt_tune(spark, d):
-    grid = {"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3, 5]}
-    res = ml.tune_gbt(labelled_docs(spark, d), DOC_FEATURES, "doc_id", "label", True, grid)
+    res = ml.tune_gbt(labelled_docs(spark, d), DOC_FEATURES, "doc_id", "label", True, ml.GBT_CLASSIFIER_GRID)
     return res.grid
 
 
@@ -109,8 +106,8 @@ register("gbt_tune", note="grid metrics; rows-only")(gbt_tune)
 # ---------------------------------------------------------------------------
 # M6 / M7 / M8 / M9 / M13
 # ---------------------------------------------------------------------------
-def _survival_estimator(depth: int = 10):
-    return ml.rf_classifier(QUERY_TREES, "label", "weight", maxDepth=depth)
+def _survival_estimator(depth: int = 10, trees: int = ml.SURVIVAL_TREES_3Y):
+    return ml.rf_classifier(trees, "label", "weight", maxDepth=depth)
 
 
 def feature_importances(spark, d):
@@ -127,7 +124,7 @@ def feature_sweep(spark, d):
     w = metrics.with_class_weights(data, "label")
     model = ml.fit(w, DOC_FEATURES, _survival_estimator())
     imp = ml.feature_importances(spark, model, DOC_FEATURES)
-    return ml.feature_sweep(data, DOC_FEATURES, imp, "doc_id", "label", QUERY_TREES, 10, step=3)
+    return ml.feature_sweep(data, DOC_FEATURES, imp, "doc_id", "label", step=3)
 
 
 register("feature_sweep", note="hold-out metrics per k; rows-only")(feature_sweep)
@@ -150,9 +147,10 @@ register("oof_report", note="report on out-of-fold predictions; rows-only")(oof_
 
 
 def regression_oof(spark, d):
-    oof = ml.out_of_fold(customer_counts(spark, d), CUST_FEATURES,
-                         ml.rf_regressor(QUERY_TREES, "label", maxDepth=5), "c_custkey", "label",
-                         ml.EVALUATION_FOLDS, stratified=False)
+    data = customer_counts(spark, d)
+    tuned = ml.tune_rf_regressor(data, CUST_FEATURES, "c_custkey")
+    est = ml.rf_regressor(ml.OPPORTUNITY_TREES, "label", maxDepth=int(tuned.best_params.get("maxDepth", 5)))
+    oof = ml.out_of_fold(data, CUST_FEATURES, est, "c_custkey", "label", ml.EVALUATION_FOLDS, stratified=False)
     return metrics.regression_errors(oof, "label", "prediction")
 
 
@@ -161,10 +159,11 @@ register("regression_oof", note="out-of-fold MSE/MAE; rows-only")(regression_oof
 
 def stacked_score(spark, d):
     data = metrics.with_class_weights(labelled_docs(spark, d), "label")
-    stacked = ml.stack(data, DOC_FEATURES, _survival_estimator(), "doc_id", "label", "p_first")
+    est = _survival_estimator(trees=ml.SURVIVAL_TREES_5Y)
+    stacked = ml.stack(data, DOC_FEATURES, est, "doc_id", "label", "p_first")
     second = (stacked.drop("weight", "label").withColumnRenamed("label_2", "label"))
     second = metrics.with_class_weights(second, "label")
-    oof = ml.out_of_fold(second, DOC_FEATURES + ["p_first"], _survival_estimator(), "doc_id",
+    oof = ml.out_of_fold(second, DOC_FEATURES + ["p_first"], est, "doc_id",
                          "label", ml.EVALUATION_FOLDS, keep=["p_first"])
     return oof.select("doc_id", "label", "p_first", F.col("p1").alias("p_second"), "prediction")
 
@@ -176,11 +175,12 @@ register("stacked_score", note="model 1 probability feeds model 2; rows-only")(s
 # attribution
 # ---------------------------------------------------------------------------
 def tree_attribution(spark, d, max_features: int = 15):
-    data = metrics.with_class_weights(labelled_docs(spark, d), "label")
-    full = ml.fit(data, DOC_FEATURES, _survival_estimator())
-    imp = ml.feature_importances(spark, full, DOC_FEATURES)
+    docs = labelled_docs(spark, d)
+    data = metrics.with_class_weights(docs, "label")
+    tuned = ml.tune_rf_classifier(docs, DOC_FEATURES, "doc_id")
+    imp = ml.feature_importances(spark, tuned.model, DOC_FEATURES)
     chosen = [r["feature"] for r in imp.orderBy("rank").limit(max_features).collect()]
-    model = ml.fit(data, chosen, ml.rf_classifier(QUERY_TREES, "label", "weight", maxDepth=5))
+    model = ml.fit(data, chosen, _survival_estimator(int(tuned.best_params.get("maxDepth", 10))))
     # attribution needs no label: every document is explained
     rows = ml.materialize(doc_features(spark, d))
     return explain.shap_values(model.stages[-1], rows, "doc_id", chosen, classifier=True)

@@ -117,3 +117,32 @@ def test_attribution_equals_brute_force_shapley(spark):
                       for k in range(m) for s in itertools.combinations(others, k))
             got = sv[(sv.doc_id == row.doc_id) & (sv.feature == feats[i])].phi.iloc[0]
             assert abs(got - phi) < 1e-12
+
+
+def test_registered_queries_have_the_library_trees_and_grids(spark, monkeypatch):
+    seen = []
+
+    class Done(Exception):
+        pass
+
+    def stop(*args, **kw):
+        seen.append(args)
+        raise Done
+
+    def caught(query):
+        seen.clear()
+        try:
+            query(spark, SF_CHECK)
+        except Done:
+            return seen[0]
+
+    for name in ("tune", "fit", "out_of_fold", "stack"):
+        monkeypatch.setattr(ml, name, stop)
+    trees = {"rf_tune": 200, "rf_regress_tune": 200, "feature_importances": 200, "oof_predictions": 200,
+             "regression_oof": 200, "stacked_score": ml.SURVIVAL_TREES_5Y, "tree_attribution": 200}
+    for query, n in trees.items():
+        assert caught(getattr(L, query))[2].getNumTrees() == n, query
+    assert caught(L.gbt_tune)[3] == ml.GBT_CLASSIFIER_GRID
+    # the attribution and the regression's folds go by the tuned depth
+    assert caught(L.tree_attribution)[3]["maxDepth"] == ml.spark_depths(ml.SURVIVAL_DEPTHS)
+    assert caught(L.regression_oof)[3]["maxDepth"] == ml.OPPORTUNITY_DEPTHS
