@@ -146,3 +146,15 @@ def test_registered_queries_have_the_library_trees_and_grids(spark, monkeypatch)
     # the attribution and the regression's folds go by the tuned depth
     assert caught(L.tree_attribution)[3]["maxDepth"] == ml.spark_depths(ml.SURVIVAL_DEPTHS)
     assert caught(L.regression_oof)[3]["maxDepth"] == ml.OPPORTUNITY_DEPTHS
+
+
+def test_attribution_has_no_node_limit(spark, monkeypatch):
+    data = metrics.with_class_weights(L.labelled_docs(spark, SF_CHECK), "label")
+    feats = L.DOC_FEATURES[:4]
+    model = ml.fit(data, feats, ml.rf_classifier(3, "label", "weight", maxDepth=5))
+    monkeypatch.setattr(explain, "MAX_NODES", 1, raising=False)
+    monkeypatch.setattr(explain, "MAX_LEAVES_PER_PASS", 11)  # cuts trees too
+    monkeypatch.setattr(explain, "_tree_nodes", lambda *args: 1 / 0)  # the forest doesn't go to the driver
+    sv = explain.shap_values(model.stages[-1], data, "doc_id", feats)
+    agg = sv.groupBy("doc_id").agg((F.first("base") + F.sum("phi") - F.first("prediction")).alias("off")).collect()
+    assert len(agg) == data.count() and max(abs(r["off"]) for r in agg) < 1e-9
