@@ -16,8 +16,8 @@ where nothing is known both classes give the same and the step tells nothing.
 A text's evidence is the log-likelihood ratio of its words, normalised by the
 length: that of the strongest WINDOW words, that of the whole text by its
 number of words, and by the root of it. A logistic regression on these three,
-fitted on labelled rows that were left out of the counts, turns it into a
-score between 0 and 1.
+fitted on a sample of labelled rows that a first model leaves out of its
+counts, turns it into a score between 0 and 1.
 
 All labelled training rows are counted, so what is gathered grows with the
 input: words are counted within tasks, then summed by a shuffle. Every
@@ -302,24 +302,25 @@ def logistic(x: np.ndarray, y: np.ndarray, turns: int = 50, ridge: float = 1e-3)
 
 
 def train(labelled: DataFrame, table: int = TABLE) -> Model | float:
-    """Model from rows (key, text, label 0/1): three quarters are counted, the
-    rest calibrate. Returns the label's share if a class is missing."""
+    """Model from rows (key, text, label 0/1). A sample of a quarter of the
+    rows, about MAX_CALIBRATION at most, calibrates a model of the others; then
+    all rows are counted. Returns the label's share if a class is missing."""
     usable = labelled.where(F.col("label").isin(0, 1))
     part = spread(F.lit("calibrate"), F.col("key").cast("string"))
-    aside = usable.where(part % 4 == 0)
-    model = fit_tables(usable.where(part % 4 != 0), table)
+    rows = usable.where(part % 4 == 0).count()
+    share = max(1, -(-rows // MAX_CALIBRATION))
+    aside = (part % 4 == 0) & (F.floor(part / 4) % share == 0)
+    model = fit_tables(usable.where(~aside), table)
     if model is None:
         return float(usable.agg(F.avg("label")).first()[0] or 0.0)
-    rows = aside.count()
-    share = max(1, -(-rows // MAX_CALIBRATION))
-    sample = with_rare(aside.where(F.floor(part / 4) % share == 0).select("label", "text"), model, "rare")
+    sample = with_rare(usable.where(aside).select("label", "text"), model, "rare")
     got = (sample.select("label", evidence_of(F.col("text"), F.col("rare"), model.cache, labelled.sparkSession).alias("e"))
            .select("label", "e.*").toArrow().to_pandas().sort_values(["label", *FEATURES]))
     y = got["label"].to_numpy(float)
-    if len(y) and 0 < y.mean() < 1:
-        model.cache.weights = logistic(got[FEATURES].to_numpy(float), y)
-    else:
-        model.cache.weights = np.array([-2.0, 2.0, 0.0, 0.0])
+    known = len(y) and 0 < y.mean() < 1
+    weights = logistic(got[FEATURES].to_numpy(float), y) if known else np.array([-2.0, 2.0, 0.0, 0.0])
+    model = fit_tables(usable, table)
+    model.cache.weights = weights
     return model
 
 

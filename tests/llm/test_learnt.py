@@ -62,3 +62,10 @@ def test_toxicity_rare_words_do_not_depend_on_the_cache(spark):
     assert len(ratios[0]) == len(rows) + 3
     assert [d for d, _ in ratios[0]] == [d for d, _ in ratios[1]]
     assert max(abs(a - b) for (_, a), (_, b) in zip(*ratios)) < 1e-9
+
+
+def test_toxicity_counts_all_labelled_rows(spark):
+    own = ["own" + chr(97 + i // 9) + chr(97 + i % 9) for i in range(80)]
+    rows = spark.createDataFrame([(i, f"same words {w}", i % 2) for i, w in enumerate(own)], "key long, text string, label int")
+    have = {bytes(r["node"]) for r in toxicity.train(rows).table.collect()}
+    assert {w.encode() + b" " for w in own} <= have
