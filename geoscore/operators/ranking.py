@@ -18,10 +18,10 @@ distributed prefix sum instead:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscore.session import work_dir
+from geoscore.session import materialize, work_dir
 
 
 def value_ranks(df: DataFrame, group_cols: list[str], order_col: str,
@@ -81,3 +81,22 @@ def row_number_unique(df: DataFrame, group_cols: list[str], order_col: str,
     unique within each group (a key), computed without a per-group task."""
     r = with_value_ranks(df, group_cols, order_col)
     return r.withColumn(out, F.col("rank_lt") + F.lit(1)).drop("rank_lt", "n_eq", "n_group")
+
+
+def numbered(df: DataFrame, order: list[Column], out: str = "row_number") -> DataFrame:
+    """``df`` with its rows numbered 1, 2, 3... in the given order.
+
+    One shuffle: the rows are range-partitioned, sorted inside their range and
+    checkpointed with their place in it; the row counts of the ranges (one row
+    a partition, broadcast) give each range its offset. Rows that the order
+    can't tell apart get numbers in any order."""
+    place = "_place" + out
+    ranged = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                         .withColumn(place, F.monotonically_increasing_id()))
+    # the id holds the partition above bit 33 and the row's place below it
+    part, within = F.shiftright(F.col(place), 33), F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    return (ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(out, F.col("_offset") + within + F.lit(1)).drop("_part", "_offset", place))

@@ -95,3 +95,12 @@ def test_widen_latest_in_one_aggregate(spark):
     two = eav.widen(eav.latest_per_key(long, ["k", "varexp"], ["valeur"], ["t"]), ["k"], "varexp",
                     "valeur", ["a", "b"])
     assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, two.collect())) == [(1, None, 5.0), (2, 4.0, 6.0)]
+
+
+def test_numbered_is_one_shuffle_and_gapless(spark):
+    rows = [(i, (i * 37) % 11) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(7)
+    got = ranking.numbered(df, [F.col("v").desc(), F.col("k")], "n")
+    want = {k: n + 1 for n, (k, v) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
+    assert {r["k"]: r["n"] for r in got.collect()} == want
+    assert ranking.numbered(df.where("k < 0"), [F.col("k")]).count() == 0
