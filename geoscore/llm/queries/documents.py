@@ -5,12 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, secrets, sharding, shingles, substrings, topk, toxicity
+from geoscore.llm import decontam, lines, packing, quality, resample, secrets, sharding, shingles, substrings, topk, toxicity
 from geoscore.llm.common import id_crc, lookup, written
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
 
 
+# CRC-32 in SQL: ``crc_table`` lists the 256 steps of the reflected polynomial,
+# ``crc_sql(x)`` is the checksum of a string's UTF-8 bytes.
+CRC_TABLE = """
+crc_steps(i, k, c) AS (
+    SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM crc_steps WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_steps WHERE k = 8)
+"""
+
+
+def crc_sql(x: str) -> str:
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+        range(CAST(octet_length(encode({x})) AS BIGINT)),
+        lambda i: CAST('0x' || substr(hex(encode({x})), 2 * i + 1, 2) AS BIGINT))),
+        lambda a, b: xor(a // 256, steps[1 + xor(a % 256, b)])), 4294967295)"""
+
+
+LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """(key, text, label) of the documents with a label in ``column``."""
     seen = written(labels.select(F.col("doc_id").alias("key"), F.col(column).alias("label")), "labels")
@@ -109,3 +130,42 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+@register("op13_resampling", oracle=f"""
+WITH RECURSIVE {CRC_TABLE}, texts AS (
+    SELECT 0 AS side, doc_id AS id, text FROM documents
+    UNION ALL SELECT 1, NULL, text FROM benchmark
+), split AS (
+    SELECT side, id, regexp_extract_all({LOWER_SQL('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM texts WHERE text IS NOT NULL
+), features AS (
+    SELECT side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS f
+    FROM split
+), counted AS (SELECT side, id, f, count(*) AS n FROM features GROUP BY ALL),
+names AS (SELECT DISTINCT f FROM counted),
+hashed AS (SELECT f, {crc_sql('f')} % 10000 AS bucket FROM names, crc_table),
+placed AS (SELECT side, id, bucket, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+totals AS (
+    SELECT coalesce(sum(n) FILTER (side = 0), 0) AS big_s, coalesce(sum(n) FILTER (side = 1), 0) AS big_t FROM placed
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(sum(n) FILTER (side = 1), 0) + 1 AS DOUBLE) * CAST(any_value(big_s) + 10000 AS DOUBLE)
+        / (CAST(coalesce(sum(n) FILTER (side = 0), 0) + 1 AS DOUBLE) * CAST(any_value(big_t) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM placed, totals GROUP BY bucket
+), sums AS (
+    SELECT id AS doc_id, CAST(sum(n) AS BIGINT) AS n_features,
+           CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+    FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+), scored AS (
+    SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+        + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM documents AS d LEFT JOIN sums AS s ON d.doc_id = s.doc_id
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 39
+)
+SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM scored AS s LEFT JOIN ranked AS r ON s.doc_id = r.doc_id
+""")
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, load(spark, sf_dir, "benchmark").select("text"))
