@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, resample, secrets, sharding, shingles, substrings, topk, toxicity
+from geoscore.llm import decontam, lines, packing, quality, resample, secrets, sharding, shingles, spelling, substrings, topk, toxicity
 from geoscore.llm.common import id_crc, lookup, written
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -132,6 +132,42 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+@register("op12_variants", oracle=f"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER_SQL('text')}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents
+), seen AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), named AS (SELECT *, doc_id || ':' || run AS name FROM seen),
+hashed AS (SELECT run, n, {crc_sql('name')} AS h FROM named, crc_table),
+damaged AS (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+cuts AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+pairs AS (
+    SELECT a.word, b.word AS near FROM cuts AS a JOIN cuts AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM cuts AS a JOIN words AS b ON a.rest = b.word
+    UNION SELECT b.word, a.word FROM cuts AS a JOIN words AS b ON a.rest = b.word
+), best AS (
+    SELECT p.word, p.near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+           row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS r
+    FROM pairs AS p JOIN words AS w ON w.word = p.near
+), forms AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form,
+           CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n
+    FROM words AS w LEFT JOIN best AS b ON b.word = w.word AND b.r = 1
+), followed(word, last) AS (
+    SELECT word, word FROM forms
+    UNION ALL SELECT f.word, g.form FROM followed AS f JOIN forms AS g ON f.last = g.word WHERE g.form IS NOT NULL
+)
+SELECT f.word, f.form, r.last AS root, f.n, f.n_near, f.form_n
+FROM forms AS f JOIN followed AS r ON r.word = f.word JOIN forms AS e ON e.word = r.last AND e.form IS NULL
+""")
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op13_resampling", oracle=f"""
 WITH RECURSIVE {CRC_TABLE}, texts AS (
     SELECT 0 AS side, doc_id AS id, text FROM documents
