@@ -11,8 +11,9 @@ word's search therefore starts in either trie at the node of its untouched
 half, as a state (word, position, node, edits) with no edits, and never
 branches above it, where the tries are dense. Each level joins the states with
 the edges of their nodes: a label is passed unchanged, or with the one edit
-allowed. A state that ends a word with one edit names a near word; pairs are
-verified. Levels go on until no state is left, one written table a level.
+allowed. After its edit a state must go on unchanged, so it is kept only if the
+rest of its word is among the (hashed) tails below the child. A state that ends
+a word with one edit names a near word; pairs are verified. Levels go on until no state is left, one written table a level.
 
 A node with very many words below it is split: its states are dealt over salts
 and its edges repeated for each salt. The table of such nodes is broadcast; it
@@ -36,23 +37,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscore.llm import crc
 from geoscore.llm import hashing as H
-from geoscore.llm.common import forget, written
+from geoscore.llm.common import forget, lookup, written
+from geoscore.operators.ranking import numbered
 
 SLICE = 512 << 10
 LEAST_LETTERS = 7
 LEAST_COUNT = 2
 FORM_TIMES = 10
+FEW = 250_000  # states that are joined by broadcast (a word and three numbers each)
+TAIL = 32  # letters of a word's rest that its hash takes in, beside its length
+TAILS = 128  # tail hashes, kept as sets of bits
 DAMAGE = 31  # a run loses a letter when this divides its checksum
 HOT = 20_000  # words below a node before its states are dealt over salts
 HOT_NODES = 100_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
+# One ASCII letter for each of U+00C0 to U+00FF: words inside the tries have one byte a letter.
+ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+ASCII = "".join(map(chr, range(0x20, 0x60)))
 _BACK = np.uint64(0x5851F42D4C957F2D)  # tells nodes of the reversed trie apart
 
 
@@ -111,13 +119,14 @@ def untouched(length, backward):
 
 
 def _prefixes(words: DataFrame) -> DataFrame:
-    """(id, backward, depth, node, next, start): a word's prefixes from the
-    depth where a search for a near word may reach it; ``next`` is the letter
-    that follows (0: the word ends), ``start`` marks the word's own start."""
+    """(id, backward, depth, node, next, start, tail): a word's prefixes from
+    the depth where a search for a near word may reach it; ``next`` is the
+    letter that follows (0: the word ends), ``start`` marks the word's own
+    start, ``tail`` is the hash of what follows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in H.slices(batch, "word", SLICE // 4):
-                values, off, *_ = letters(part.column(1))
+            for part in H.slices(batch, "s", SLICE // 4):
+                values, off = H.text_bytes(part.column(1))
                 size = np.diff(off)
                 ids = part.column(0).to_numpy()
                 for backward in (False, True):
@@ -128,18 +137,19 @@ def _prefixes(words: DataFrame) -> DataFrame:
                     n = size - least + 1
                     w = np.repeat(np.arange(len(size)), n)
                     depth = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n) + least[w]
-                    node = H.span_hashes(values, off[w], off[w] + depth)
+                    at, end = off[w] + depth, off[w + 1]
+                    node = H.span_hashes(values, off[w], at)
                     if backward:
                         node ^= _BACK
-                    ended = depth == size[w]
-                    following = np.where(ended, 0, np.append(values, 0)[off[w] + depth]).astype(np.int16)
+                    following = np.where(at == end, 0, np.append(values, 0)[at]).astype(np.int8)
+                    tail = (crc.span_crc(values, at, np.minimum(at + TAIL, end)) + (end - at)) % TAILS
                     yield pa.record_batch(
                         [pa.array(ids[w]), pa.array(np.full(len(w), backward)), pa.array(depth.astype(np.int32)), pa.array(node.view(np.int64)),
-                         pa.array(following), pa.array(depth == untouched(size[w], backward))],
-                        ["id", "backward", "depth", "node", "next", "start"])
+                         pa.array(following), pa.array(depth == untouched(size[w], backward)), pa.array(tail.astype(np.int8))],
+                        ["id", "backward", "depth", "node", "next", "start", "tail"])
 
-    return words.select("id", "word").mapInArrow(
-        run, "id long, backward boolean, depth int, node long, next short, start boolean")
+    return words.select("id", "s").mapInArrow(
+        run, "id long, backward boolean, depth int, node long, next byte, start boolean, tail byte")
 
 
 def _dealt(rows: DataFrame, hot: DataFrame, by: str) -> DataFrame:
@@ -154,75 +164,92 @@ def _repeated(rows: DataFrame, hot: DataFrame) -> DataFrame:
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts").cast("int"), F.lit(1)) - 1))).drop("salts"))
 
 
-def _oriented(word: str, backward: str) -> Column:
-    return F.when(F.col(backward), F.reverse(word)).otherwise(F.col(word))
+def _both_ways(words: DataFrame) -> DataFrame:
+    """(id, backward, s) with the word as each trie spells it."""
+    return (words.select("id", "s", F.explode(F.array(F.lit(False), F.lit(True))).alias("backward"))
+            .withColumn("s", F.when(F.col("backward"), F.reverse("s")).otherwise(F.col("s"))))
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Starts (id, backward, node), edges (node, salt, label, child, ends) and
-    hot nodes (node, salts) of the tries of ``words`` (id, word); ``ends`` is
-    the word that ends at the child, as the trie spells it."""
+    """Starts (backward, node, s), edges (node, salt, label, child, ends, low,
+    high) and hot nodes (node, salts) of the tries of ``words`` (id, s), whose
+    ids grow with their length.
+
+    ``ends`` is the word that ends at the child, ``low`` and ``high`` the set of
+    tail hashes below it. A node's shortest word, the one of least id, gives
+    the edge that leads to it: no other word reaches further up."""
     prefixes = written(_prefixes(words), "trie-prefixes")
+    tail = F.col("tail").cast("int")
     nodes = written(prefixes.groupBy("node").agg(
-        F.count(F.lit(1)).alias("below"),
-        (F.max("start") | (F.min("next") == 0) | (F.min("next") != F.max("next"))).alias("kept")), "trie-nodes")
+        F.count(F.lit(1)).alias("below"), F.min("id").alias("owner"),
+        (F.max("start") | (F.min("next") == 0) | (F.min("next") != F.max("next"))).alias("kept"),
+        F.bit_or(F.when(tail < 64, F.expr("shiftleft(1L, int(tail))")).otherwise(F.lit(0))).alias("low"),
+        F.bit_or(F.when(tail >= 64, F.expr("shiftleft(1L, int(tail) - 64)")).otherwise(F.lit(0))).alias("high")), "trie-nodes")
     total = nodes.agg(F.coalesce(F.sum("below"), F.lit(0))).first()[0]
     limit = max(HOT, total // HOT_NODES)
     hot = written(nodes.where(F.col("below") > limit).select("node", F.ceil(F.col("below") / limit).alias("salts")), "trie-hot")
-    kept = _repeated(nodes.where("kept").select("node"), hot)
+    kept = _repeated(nodes.where("kept").select("node", "owner", "low", "high"), hot)
+    own = F.col("id") == F.col("owner")
     path = (_dealt(prefixes.select("id", "backward", "depth", "node"), hot, "id").join(kept, ["node", "salt"])
-            .groupBy("id", "backward").agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("path")))
-    spelt = path.join(words.select("id", "word"), "id").withColumn("s", _oriented("word", "backward"))
-
-    def step(k: Column) -> Column:
-        a, b = F.get("path", k), F.get("path", k + 1)
-        return F.struct(a["node"].alias("node"), F.substring("s", a["depth"] + 1, b["depth"] - a["depth"]).alias("label"),
-                        b["node"].alias("child"), F.when(b["depth"] == F.length("s"), F.col("s")).alias("ends"))
-
-    edges = (spelt.where(F.size("path") > 1)
-             .select(F.explode(F.transform(F.sequence(F.lit(0), F.size("path") - 2), step)).alias("e")).select("e.*")
-             .groupBy("node", "label", "child").agg(F.max("ends").alias("ends")))
+            .select("id", "backward", "depth", F.col("node").alias("child"), own.alias("own"),
+                    F.when(own, F.col("low")).alias("low"), F.when(own, F.col("high")).alias("high")))
+    above = Window.partitionBy("id", "backward").orderBy("depth")  # a word's prefixes
+    edges = (path.withColumn("node", F.lag("child").over(above)).withColumn("from", F.lag("depth").over(above))
+             .where("own AND node IS NOT NULL").join(_both_ways(words), ["id", "backward"])
+             .select("node", "child", F.expr("substring(s, from + 1, depth - from)").alias("label"),
+                     F.when(F.col("depth") == F.length("s"), F.col("s")).alias("ends"), "low", "high"))
     edges = written(_repeated(edges, hot), "trie-edges")
-    starts = written(prefixes.where("start").select("id", "backward", "node"), "trie-starts")
+    starts = written(prefixes.where("start").select("id", "backward", "node").join(_both_ways(words), ["id", "backward"])
+                     .select("backward", "node", "s"), "trie-starts")
     forget(prefixes)
     forget(nodes)
     return starts, edges, hot
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """Ordered pairs (word, near) of ``words`` (id, word) that differ by exactly
-    one inserted, deleted or replaced letter."""
+    """Ordered pairs (word, near) of ``words`` (id, word, s) that differ by
+    exactly one inserted, deleted or replaced letter."""
     starts, edges, hot = trie(words)
     s, pos, label = F.col("s"), F.col("pos"), F.col("label")
     size, span = F.length("s"), F.length("label")
 
     def passes(shift: int, edits: int) -> Column:
-        """The label is met by as many letters plus ``shift``, at ``edits`` edits."""
+        """The label is met by as many letters plus ``shift``, at ``edits``
+        edits; after the edit, what is left of the word must be among the tails
+        below the child."""
+        to = pos + span + shift
         part = F.substring(s, pos + 1, span + shift)
-        same = part == label if edits == 0 else F.levenshtein(part, label, 1) == 1
-        return F.when((pos + span + shift <= size) & same,
-                      F.struct((pos + span + shift).alias("pos"), (F.col("edits") + edits).cast("byte").alias("edits")))
+        good = to <= size
+        if edits:
+            tail = F.pmod(F.crc32(F.substring(s, to + 1, F.lit(TAIL))) + size - to, F.lit(TAILS)).cast("int")
+            known = F.when(tail < 64, F.getbit("low", F.when(tail < 64, tail).otherwise(0))).otherwise(F.getbit("high", F.when(tail < 64, 0).otherwise(tail - 64)))
+            good = good & (known == 1) & (F.levenshtein(part, label, 1) == 1)
+        else:
+            good = good & (part == label)
+        return F.when(good, F.struct(to.alias("pos"), (F.col("edits") + edits).cast("byte").alias("edits")))
 
     first = F.col("edits") == 0
-    moves = F.array_compact(F.array(passes(0, 0), F.when(first, passes(0, 1)), F.when(first, passes(1, 1)), F.when(first, passes(-1, 1))))
-    states = (starts.join(words.select("id", "word"), "id").withColumn("s", _oriented("word", "backward"))
-              .select("backward", "node", "s", F.when(F.col("backward"), size - F.floor(size / 2)).otherwise(F.floor(size / 2)).cast("int").alias("pos"),
-                      F.lit(0).cast("byte").alias("edits")))
+    moves = F.array_compact(F.array(passes(0, 0), *(F.when(first, passes(shift, 1)) for shift in (0, 1, -1))))
+    half = F.floor(size / 2).cast("int")
+    states = starts.select("backward", "node", "s", F.when(F.col("backward"), size - half).otherwise(half).alias("pos"),
+                           F.lit(0).cast("byte").alias("edits"))
     levels = []
     while True:
-        met = _dealt(states, hot, "s").join(edges, ["node", "salt"]).where(F.size(moves) > 0)
-        level = written(met.select("backward", F.col("child").alias("node"), "s", "ends", F.explode(moves).alias("m"))
-                        .select("backward", "node", "s", "ends", "m.pos", "m.edits").distinct(), "trie-level")
+        met = _dealt(lookup(states, FEW), hot, "s").join(edges, ["node", "salt"])
+        met = met.select("backward", F.col("child").alias("node"), "s", "ends", F.explode(moves).alias("m"))
+        level = written(met.select("backward", "node", "s", "ends", "m.pos", "m.edits"), "trie-level")
         levels.append(level)
         states = level.where((pos < size) | (F.col("edits") == 0)).drop("ends")
         if states.isEmpty():
             break
-    pairs = None
+    found = None
     for level in levels:
-        found = level.where(F.col("ends").isNotNull() & (pos + 1 - F.col("edits") == size))
-        found = found.select(_oriented("s", "backward").alias("word"), _oriented("ends", "backward").alias("near"))
-        pairs = found if pairs is None else pairs.unionAll(found)
-    out = written(pairs.where(F.levenshtein("word", "near", 1) == 1).distinct(), "near-words")
+        part = level.where(F.col("ends").isNotNull() & (pos + 1 - F.col("edits") == size)).select("backward", "s", "ends")
+        found = part if found is None else found.unionAll(part)
+    pairs = found.where(F.levenshtein("s", "ends", 1) == 1).select(*(
+        F.translate(F.when(F.col("backward"), F.reverse(c)).otherwise(F.col(c)), ASCII, ACCENTED).alias(name)
+        for c, name in (("s", "word"), ("ends", "near"))))
+    out = written(pairs.distinct(), "near-words")
     for table in [*levels, starts, edges, hot]:
         forget(table)
     return out
@@ -231,8 +258,8 @@ def near_words(words: DataFrame) -> DataFrame:
 def variants(docs: DataFrame) -> DataFrame:
     """word, form, root, n, n_near and form_n of each word of ``docs``
     (doc_id, text)."""
-    words = written(word_counts(docs).where(F.col("n") >= LEAST_COUNT)
-                    .withColumn("id", F.monotonically_increasing_id()), "words")
+    counted = word_counts(docs).where(F.col("n") >= LEAST_COUNT).withColumn("s", F.translate("word", ACCENTED, ASCII))
+    words = written(numbered(counted.withColumn("size", F.length("s")), [F.col("size"), F.col("s")], "id"), "words")
     pairs = near_words(words)
     best = (pairs.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
             .groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), "near")).alias("best")))
