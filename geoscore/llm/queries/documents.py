@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoscore.llm import decontam, lines, packing, quality, resample, secrets, sharding, shingles, spelling, substrings, topk, toxicity
+from geoscore.llm import decontam, lines, packing, pii, quality, resample, secrets, sharding, shingles, spelling, substrings, topk, toxicity
 from geoscore.llm.common import id_crc, lookup, written
 from geoscore.llm.queries import register
 from geoscore.sources.testdata import load
@@ -132,6 +132,19 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+@register("op11_pii")
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.find(load(spark, sf_dir, "documents").select("doc_id", "text"), "found")
+    base = F.filter("found", lambda s: s["base"])
+
+    def count(k: int):
+        return F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+
+    return docs.select("doc_id", *(count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)),
+                       F.sha2(pii.written_spans(base), 256).alias("base_sha256"), pii.written_spans(F.col("found")).alias("spans"),
+                       (F.size("found") - F.size(base)).cast("long").alias("n_added"))
+
+
 @register("op12_variants", oracle=f"""
 WITH RECURSIVE {CRC_TABLE}, runs AS (
     SELECT doc_id, unnest(regexp_extract_all({LOWER_SQL('text')}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents
