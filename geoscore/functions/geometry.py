@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from geoscore.functions.columns import col
 
@@ -67,12 +68,54 @@ def lambert93(lon, lat) -> tuple[Column, Column]:
     return x, y
 
 
+def has_rings(df, geom: str) -> bool:
+    """Whether a geometry column holds several rings (holes, parts) rather than one."""
+    return isinstance(df.schema[geom].dataType.elementType, ArrayType)
+
+
+def geometry_edges(df, geom: str) -> Column:
+    """Edges of all rings of a geometry: one ring ``array<struct<x,y>>``, or
+    ``array<array<struct<x,y>>>`` with the outer rings of all parts and their
+    holes in any order and direction. A point is inside when a ray from it
+    crosses an odd number of these edges, which needs no ring roles."""
+    if not has_rings(df, geom):
+        return ring_edges(geom)
+    return F.flatten(F.transform(F.col(geom), ring_edges))
+
+
+def geometry_points(df, geom: str) -> Column:
+    """Vertices of all rings of a geometry."""
+    return F.flatten(F.col(geom)) if has_rings(df, geom) else F.col(geom)
+
+
+def segment_tiles(x1, y1, x2, y2, size: float) -> Column:
+    """Tiles that a closed segment passes through, ``array<struct<tx,ty>>``:
+    for each tile column only the rows between the segment's ends in it, so a
+    long slanted edge takes tiles along its length, not all of its box."""
+    x1, y1, x2, y2 = col(x1), col(y1), col(x2), col(y2)
+    s = F.lit(float(size))
+    margin = F.lit(1e-9) * (F.abs(y1) + F.abs(y2) + s)
+
+    def rows(tx):
+        def at(x):
+            return F.when(x1 == x2, None).otherwise(y1 + F.try_divide((x - x1) * (y2 - y1), x2 - x1))
+        left = F.greatest(tx * s, F.least(x1, x2))
+        right = F.least((tx + 1) * s, F.greatest(x1, x2))
+        lo = F.coalesce(F.least(at(left), at(right)) - margin, F.least(y1, y2))
+        hi = F.coalesce(F.greatest(at(left), at(right)) + margin, F.greatest(y1, y2))
+        lo = F.greatest(lo, F.least(y1, y2))
+        hi = F.least(hi, F.greatest(y1, y2))
+        return F.transform(F.sequence(tile(F.least(lo, hi), size), tile(hi, size)), lambda ty: F.struct(tx.alias("tx"), ty.alias("ty")))
+
+    return F.flatten(F.transform(tile_range(F.least(x1, x2), F.greatest(x1, x2), size), rows))
+
+
 def ring_edges(ring) -> Column:
     """Edges of a ring (implicitly closed) as ``array<struct<x1,y1,x2,y2>>``."""
     r = col(ring)
     n = F.size(r)
     return F.transform(
-        F.sequence(F.lit(0), n - 1),
+        F.slice(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), F.lit(1), n),
         lambda i: F.struct(
             F.element_at(r, i + 1)["x"].alias("x1"), F.element_at(r, i + 1)["y"].alias("y1"),
             F.element_at(r, ((i + 1) % n) + 1)["x"].alias("x2"),

@@ -8,13 +8,16 @@ candidates only meet inside their tile.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscore.functions.geometry import (rect_corners, ring_edges, segment_meets_rect, side, sq_dist, tile,
-                                        tile_range)
+from geoscore.functions.geometry import (geometry_edges, geometry_points, rect_corners, ring_edges, segment_meets_rect,
+                                        segment_tiles, side, sq_dist, tile, tile_range)
+from geoscore.session import materialize
 
 
 # ---------------------------------------------------------------------------
@@ -85,15 +88,17 @@ def range_count(centres: DataFrame, sites: DataFrame, key: str, radius: float,
                 out: str = "n_sites", k: int = 4) -> DataFrame:
     """For every centre, the number of sites at distance <= radius (exact).
 
-    Two levels on a grid of side ``radius / k``:
+    Two levels on a grid of side ``radius / k``; sites are counted per bucket
+    first, and the work beyond that follows the centres' buckets:
 
-    * sites are pre-aggregated per bucket; buckets that lie wholly within the
-      radius of the centre's bucket add their count with no per-site work
-      (one small table per centre bucket);
-    * only the ring of boundary buckets is tested site by site, with sites
-      collapsed to distinct locations (many establishments at one address
-      cost one row). The bucket join is an inner equi-join (AQE may split a
-      hot bucket on either side).
+    * in each grid row the buckets that lie wholly within the radius of a
+      centre's bucket are neighbours, so their sites are the difference of two
+      running sums along that row: two values a row are read, no bucket is
+      copied;
+    * only the ring of boundary buckets is tested site by site. The centre
+      buckets name the ring buckets they need; a site meets each centre bucket
+      that needs it and no other, and sites far from any centre leave there.
+      Sites are collapsed to distinct locations first.
 
     Counts are attached to every centre by its key; centres with no site in
     range get 0.
@@ -102,27 +107,34 @@ def range_count(centres: DataFrame, sites: DataFrame, key: str, radius: float,
     size = r / k
     full, partial = _radius_offsets(k)
 
-    def offsets(pairs):
-        return F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in pairs])
+    def offsets(rows, names):
+        return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
 
     sb = sites.select(F.col(sx).alias("_sx"), F.col(sy).alias("_sy"),
                       tile(sx, size).alias("_bx"), tile(sy, size).alias("_by"))
     c = centres.select(key, cx, cy, tile(cx, size).alias("_cbx"), tile(cy, size).alias("_cby"))
+    cb = c.select("_cbx", "_cby").distinct()
     parts = []
     if full:
-        # level 1: whole buckets, by bucket counts shifted to the centre buckets they serve
-        per_bucket = sb.groupBy("_bx", "_by").agg(F.count(F.lit(1)).alias("_n"))
-        served = (per_bucket.select("_bx", "_by", "_n", F.explode(offsets(full)).alias("o"))
-                  .select((F.col("_bx") - F.col("o.dx")).alias("_cbx"),
-                          (F.col("_by") - F.col("o.dy")).alias("_cby"), "_n"))
-        whole = served.groupBy("_cbx", "_cby").agg(F.sum("_n").alias("_full"))
+        # level 1: (row, first bucket - 1, last bucket) of the whole buckets, as signed reads of the running sum
+        reach = {dy: max(dx for dx, d in full if d == dy) for dy in sorted({d for _, d in full})}
+        reads = offsets([(dy, w, 1) for dy, w in reach.items()] + [(dy, -w - 1, -1) for dy, w in reach.items()], ("dy", "dx", "sign"))
+        ask = (cb.withColumn("o", F.explode(reads))
+               .select((F.col("_cby") + F.col("o.dy")).alias("_by"), (F.col("_cbx") + F.col("o.dx")).alias("_bx"),
+                       F.lit(None).cast("long").alias("_n"), F.col("o.sign").alias("_sign"), "_cbx", "_cby"))
+        per_bucket = (sb.groupBy("_by", "_bx").agg(F.count(F.lit(1)).alias("_n"))
+                      .select("_by", "_bx", "_n", F.lit(None).cast("int").alias("_sign"),
+                              F.lit(None).cast("long").alias("_cbx"), F.lit(None).cast("long").alias("_cby")))
+        # a row holds one entry a bucket and the reads of nearby centre buckets, never single sites
+        along = Window.partitionBy("_by").orderBy("_bx").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = (per_bucket.unionByName(ask).withColumn("_sum", F.sum("_n").over(along)).where("_sign IS NOT NULL")
+                 .groupBy("_cbx", "_cby").agg(F.sum(F.col("_sign") * F.coalesce("_sum", F.lit(0))).alias("_full")))
         parts.append(c.join(whole, ["_cbx", "_cby"]).select(key, F.col("_full").alias("_n")))
     # level 2: boundary buckets, site by site (distinct locations)
+    ring = (cb.withColumn("o", F.explode(offsets(partial, ("dx", "dy"))))
+            .select("_cbx", "_cby", (F.col("_cbx") + F.col("o.dx")).alias("_bx"), (F.col("_cby") + F.col("o.dy")).alias("_by")))
     loc = sb.groupBy("_sx", "_sy", "_bx", "_by").agg(F.count(F.lit(1)).alias("_w"))
-    ring = (loc.select("_sx", "_sy", "_w", "_bx", "_by", F.explode(offsets(partial)).alias("o"))
-            .select("_sx", "_sy", "_w", (F.col("_bx") - F.col("o.dx")).alias("_cbx"),
-                    (F.col("_by") - F.col("o.dy")).alias("_cby")))
-    parts.append(c.join(ring, ["_cbx", "_cby"])
+    parts.append(loc.join(ring, ["_bx", "_by"]).select("_cbx", "_cby", "_sx", "_sy", "_w").join(c, ["_cbx", "_cby"])
                  .where(sq_dist(cx, cy, "_sx", "_sy") <= F.lit(r * r))
                  .select(key, F.col("_w").alias("_n")))
     hits = parts[0]
@@ -137,15 +149,15 @@ def range_count(centres: DataFrame, sites: DataFrame, key: str, radius: float,
 # Point strictly within polygon (ring parity, boundary excluded)
 # ---------------------------------------------------------------------------
 def polygon_edges(polygons: DataFrame, poly_key: str, ring: str, strip: float) -> DataFrame:
-    """Edges of every polygon, each copied to the horizontal strips its
-    y-range covers: ``poly_key, strip, x1, y1, x2, y2``."""
-    e = polygons.select(poly_key, F.explode(ring_edges(ring)).alias("e")).select(poly_key, "e.*")
+    """Edges of every polygon (all its rings), each copied to the horizontal
+    strips its y-range covers: ``poly_key, strip, x1, y1, x2, y2``."""
+    e = polygons.select(poly_key, F.explode(geometry_edges(polygons, ring)).alias("e")).select(poly_key, "e.*")
     return e.withColumn("strip", F.explode(tile_range(F.least("y1", "y2"),
                                                       F.greatest("y1", "y2"), strip)))
 
 
 def polygon_bboxes(polygons: DataFrame, poly_key: str, ring: str) -> DataFrame:
-    r = F.col(ring)
+    r = geometry_points(polygons, ring)
     return polygons.select(
         poly_key,
         F.array_min(F.transform(r, lambda p: p["x"])).alias("pxmin"),
@@ -156,7 +168,8 @@ def polygon_bboxes(polygons: DataFrame, poly_key: str, ring: str) -> DataFrame:
 
 def points_within(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str,
                   poly_key: str, ring: str, tile_size: float) -> DataFrame:
-    """Pairs ``(key, poly_key)`` with the point strictly inside the polygon.
+    """Pairs ``(key, poly_key)`` with the point strictly inside the polygon,
+    which may have holes and several parts (see ``geometry_edges``).
 
     Candidates: point tile joined with the tiles of the polygon's bounding box.
     Refine: a ray to +x crosses the ring an odd number of times (half-open
@@ -188,17 +201,58 @@ def points_within(points: DataFrame, polygons: DataFrame, key: str, x: str, y: s
 
 
 # ---------------------------------------------------------------------------
-# Neighbouring areas (shared boundary point, different area)
+# Tiles for joins of points and segments, finer where they crowd
+# ---------------------------------------------------------------------------
+def crowded_tiles(points: DataFrame, segments: DataFrame, x: str, y: str, size: float,
+                  most: int = 4096, finer: int = 8, levels: int = 4) -> tuple[DataFrame, DataFrame]:
+    """``points`` and ``segments`` (``x1, y1, x2, y2``) with ``level, tx, ty``.
+
+    Both start on tiles of side ``size``; what lies in a tile with more than
+    ``most`` rows of either goes on to tiles ``finer`` times smaller, at most
+    ``levels`` times. A point and a segment through it always meet."""
+    done_p, done_s = [], []
+    for level in range(levels):
+        pt = points.withColumn("level", F.lit(level)).withColumn("tx", tile(x, size)).withColumn("ty", tile(y, size))
+        st = (segments.withColumn("t", F.explode(segment_tiles("x1", "y1", "x2", "y2", size)))
+              .withColumn("level", F.lit(level)).withColumn("tx", F.col("t.tx")).withColumn("ty", F.col("t.ty")).drop("t")
+              .join(pt.select("tx", "ty").distinct(), ["tx", "ty"], "left_semi"))
+        if level == levels - 1:
+            crowd = None
+        else:
+            crowd = materialize(pt.select("tx", "ty").unionAll(st.select("tx", "ty")).groupBy("tx", "ty").count()
+                                .where(F.col("count") > most).select("tx", "ty"))
+        if crowd is None or crowd.isEmpty():
+            done_p.append(pt)
+            done_s.append(st)
+            break
+        done_p.append(pt.join(crowd, ["tx", "ty"], "left_anti"))
+        done_s.append(st.join(crowd, ["tx", "ty"], "left_anti"))
+        points = pt.join(crowd, ["tx", "ty"], "left_semi").select(*points.columns)
+        # a segment may pass several crowded tiles: once is enough
+        segments = st.join(crowd, ["tx", "ty"], "left_semi").select(*segments.columns).distinct()
+        size = size / finer
+    return reduce(DataFrame.unionByName, done_p), reduce(DataFrame.unionByName, done_s)
+
+
+# ---------------------------------------------------------------------------
+# Neighbouring areas (boundaries in contact, different area)
 # ---------------------------------------------------------------------------
-def touching_areas(areas: DataFrame, area_key: str, ring: str) -> DataFrame:
-    """Pairs of areas of one planar partition (shared topology: neighbours
-    have identical vertex coordinates) that share at least one vertex.
-    Vertex degree in a partition is small, so the vertex join stays local."""
-    v = areas.select(area_key, F.explode(F.col(ring)).alias("p")).select(
-        area_key, F.col("p.x").alias("vx"), F.col("p.y").alias("vy")).distinct()
-    a = v.select(F.col(area_key).alias("a"), "vx", "vy")
-    b = v.select(F.col(area_key).alias("b"), "vx", "vy")
-    return a.join(b, ["vx", "vy"]).where(F.col("a") != F.col("b")).select("a", "b").distinct()
+def touching_areas(areas: DataFrame, area_key: str, ring: str, tile_size: float) -> DataFrame:
+    """Pairs ``(a, b)``, both ways, of areas whose boundaries share a point.
+
+    Areas are those of a planar partition (interiors apart); rings may have
+    holes and parts. Where two such boundaries meet, a vertex of one lies on
+    an edge of the other: at a shared vertex, at a T-junction in the middle of
+    the other's edge, or at the end of a shared stretch. Vertices therefore
+    meet the edges of their tile, and only exact contacts stay."""
+    e = areas.select(area_key, F.explode(geometry_edges(areas, ring)).alias("e")).select(F.col(area_key).alias("b"), "e.*")
+    v = e.select(F.col("b").alias("a"), F.col("x1").alias("vx"), F.col("y1").alias("vy")).distinct()
+    pt, st = crowded_tiles(v, e, "vx", "vy", tile_size)
+    vx, vy, x1, y1, x2, y2 = (F.col(c) for c in ("vx", "vy", "x1", "y1", "x2", "y2"))
+    on_edge = (((x2 - x1) * (vy - y1) - (y2 - y1) * (vx - x1)) == 0) \
+        & vx.between(F.least(x1, x2), F.greatest(x1, x2)) & vy.between(F.least(y1, y2), F.greatest(y1, y2))
+    met = pt.join(st, ["level", "tx", "ty"]).where((F.col("a") != F.col("b")) & on_edge).select("a", "b").distinct()
+    return met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
 def rect_ring(xmin, ymin, xmax, ymax):
@@ -353,6 +407,35 @@ def cells_vs_hulls(cells: DataFrame, hulls: DataFrame, group_col: str,
                        ow.alias("overlaps_or_within"))
 
 
+def cells_meet_polygons(cells: DataFrame, polygons: DataFrame, poly_key: str, geom: str,
+                        tile_size: float) -> DataFrame:
+    """``(cell_id, poly_key)`` where the cell's interior meets the polygon's,
+    which may have holes and several parts.
+
+    Interiors meet iff a polygon edge passes through the open cell, a vertex
+    is strictly inside the cell, or the cell's centre is strictly inside the
+    polygon (a cell in a hole has none of these). The three tests are tile
+    joins: edges and vertices against the cells of their tiles, centres
+    against polygons."""
+    centres = cells.select("cell_id", F.col("xc").alias("x"), F.col("yc").alias("y"))
+    a = points_within(centres, polygons, "cell_id", "x", "y", poly_key, geom, tile_size)
+    ct = (cells.withColumn("tx", F.explode(tile_range("xmin", "xmax", tile_size)))
+          .withColumn("ty", F.explode(tile_range("ymin", "ymax", tile_size))))
+    verts = polygons.select(poly_key, F.explode(geometry_points(polygons, geom)).alias("v")).select(
+        poly_key, F.col("v.x").alias("vx"), F.col("v.y").alias("vy"),
+        tile("v.x", tile_size).alias("tx"), tile("v.y", tile_size).alias("ty"))
+    b = (verts.join(ct, ["tx", "ty"])
+         .where((F.col("vx") > F.col("xmin")) & (F.col("vx") < F.col("xmax"))
+                & (F.col("vy") > F.col("ymin")) & (F.col("vy") < F.col("ymax")))
+         .select("cell_id", poly_key))
+    edges = (polygons.select(poly_key, F.explode(geometry_edges(polygons, geom)).alias("e")).select(poly_key, "e.*")
+             .withColumn("t", F.explode(segment_tiles("x1", "y1", "x2", "y2", tile_size)))
+             .withColumn("tx", F.col("t.tx")).withColumn("ty", F.col("t.ty")).drop("t"))
+    crosses = segment_meets_rect("x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax", open_rect=True)
+    c = edges.join(ct, ["tx", "ty"]).where(crosses).select("cell_id", poly_key)
+    return a.unionByName(b).unionByName(c).distinct()
+
+
 def cells_in_zones(cells: DataFrame, hulls: DataFrame, group_col: str,
                    tile_size: float, mode: str = "overlaps_or_within") -> DataFrame:
     """Cells selected by a zone: ``mode`` is ``intersects`` (J6) or

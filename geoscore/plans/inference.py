@@ -6,7 +6,8 @@ score: candidate cells are one DataFrame ``(id_projet, idinspire)``
 written once to the shared folder and reused by every later step.
 
 Geometry: cells are 200 m squares given by their Lambert-93 centre
-(``x_m, y_m``); communes are rings in the same metres; project clicks and
+(``x_m, y_m``); communes are geometries in the same metres (one ring, or all
+rings of their parts and holes); project clicks and
 addresses arrive as longitude / latitude and are projected on the fly (X23).
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoscore.functions import columns as X
-from geoscore.functions.geometry import lambert93, ring_edges, segment_meets_rect, tile, tile_range
+from geoscore.functions.geometry import lambert93
 from geoscore.operators import eav, ranking
 from geoscore.operators import spatial as S
 from geoscore.operators.joins import bounded_broadcast
@@ -93,40 +94,6 @@ def locate_projects(t: dict, project_ids: DataFrame | None = None) -> DataFrame:
     return materialize(out)
 
 
-# ---------------------------------------------------------------------------
-# J7 on general polygons: cells whose interior meets a polygon's interior
-# ---------------------------------------------------------------------------
-def cells_in_polygons(cells: DataFrame, polygons: DataFrame, poly_key: str) -> DataFrame:
-    """``(cell_id, poly_key)`` where the cell's interior meets the polygon's.
-
-    Exact for simple polygons: interiors meet iff a polygon edge passes
-    through the open cell, or the cell lies inside the polygon (its centre
-    is strictly inside), or the polygon lies inside the cell (a vertex is
-    strictly inside the cell). The three tests are tile joins: edges and
-    vertices against the cells of their tiles, centres against polygons.
-    """
-    # (1) cell centre strictly inside the polygon
-    centres = cells.select("cell_id", F.col("xc").alias("x"), F.col("yc").alias("y"))
-    a = S.points_within(centres, polygons, "cell_id", "x", "y", poly_key, "ring", TILE_M)
-    ct = (cells.withColumn("tx", F.explode(tile_range("xmin", "xmax", TILE_M)))
-          .withColumn("ty", F.explode(tile_range("ymin", "ymax", TILE_M))))
-    # (2) polygon vertex strictly inside the cell
-    verts = polygons.select(poly_key, F.explode("ring").alias("v")).select(
-        poly_key, F.col("v.x").alias("vx"), F.col("v.y").alias("vy"),
-        tile("v.x", TILE_M).alias("tx"), tile("v.y", TILE_M).alias("ty"))
-    b = (verts.join(ct, ["tx", "ty"])
-         .where((F.col("vx") > F.col("xmin")) & (F.col("vx") < F.col("xmax"))
-                & (F.col("vy") > F.col("ymin")) & (F.col("vy") < F.col("ymax")))
-         .select("cell_id", poly_key))
-    # (3) polygon edge through the open cell (Liang-Barsky on open intervals)
-    edges = (polygons.select(poly_key, F.explode(ring_edges("ring")).alias("e")).select(poly_key, "e.*")
-             .withColumn("tx", F.explode(tile_range(F.least("x1", "x2"), F.greatest("x1", "x2"), TILE_M)))
-             .withColumn("ty", F.explode(tile_range(F.least("y1", "y2"), F.greatest("y1", "y2"), TILE_M))))
-    crosses = segment_meets_rect("x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax", open_rect=True)
-    c = edges.join(ct, ["tx", "ty"]).where(crosses).select("cell_id", poly_key)
-    return a.unionByName(b).unionByName(c).distinct()
-
-
 # ---------------------------------------------------------------------------
 # Candidate cells
 # ---------------------------------------------------------------------------
@@ -140,12 +107,12 @@ def candidate_cells(t: dict, located: DataFrame, cap: int | None = None) -> Data
     own = S.points_within(located.select("id_projet", "ax", "ay"), com, "id_projet", "ax", "ay",
                           "id_geo", "ring", TILE_M)
     # Communes touching the project's commune
-    touch = S.touching_areas(com.select("id_geo", "ring"), "id_geo", "ring")
+    touch = S.touching_areas(com.select("id_geo", "ring"), "id_geo", "ring", TILE_M)
     neigh = own.join(touch, own.id_geo == touch.a).select("id_projet", F.col("b").alias("id_geo"))
     census = t["insee_donnees_carroyees_niveau_200m"].select(F.col("idinspire").alias("cell_id")).distinct()
     # cells by commune, once for all communes involved
     involved = own.select("id_geo").union(neigh.select("id_geo")).distinct()
-    com_cells = cells_in_polygons(cells, com.join(involved, "id_geo", "left_semi"), "id_geo")
+    com_cells = S.cells_meet_polygons(cells, com.join(involved, "id_geo", "left_semi"), "id_geo", "ring", TILE_M)
     own_cells = (own.join(com_cells, "id_geo").select("id_projet", "cell_id")
                  .join(census, "cell_id", "left_semi"))
     hull = located.where(F.col("hull").isNotNull()).select("id_projet", "hull")

@@ -184,7 +184,7 @@ def neighbour_areas(spark, d):
     p = _points(spark, d)
     cells = S.grid_cells(p, "x", "y", CELL)
     areas = cells.select("cell_id", S.rect_ring("xmin", "ymin", "xmax", "ymax").alias("ring"))
-    return S.touching_areas(areas, "cell_id", "ring")
+    return S.touching_areas(areas, "cell_id", "ring", CELL)
 
 
 register("neighbour_areas", oracle=_P_SQL + _cells_sql("cells") + """
@@ -192,6 +192,125 @@ SELECT a.cell_id AS a, b.cell_id AS b FROM cells a JOIN cells b
   ON abs(a.cx - b.cx) <= 1 AND abs(a.cy - b.cy) <= 1 AND a.cell_id != b.cell_id""")(neighbour_areas)
 
 
+# ---------------------------------------------------------------------------
+# neighbour_areas_mixed: J8 over areas without shared vertices
+# ---------------------------------------------------------------------------
+# Areas in whole grid units: a block of 2 x 2 cells stays whole where it has
+# few points, is cut along its diagonal where it has some, and into cells
+# where it has many; larger ones then touch the middle of others' edges.
+SOME, MANY = 4, 8
+
+
+def mixed_areas(points):
+    """``area, ring`` of the blocks' areas; area = block id x 10 + part."""
+    blocks = (points.groupBy(F.floor(F.col("x") / (2 * CELL)).alias("bx"), F.floor(F.col("y") / (2 * CELL)).alias("by"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select("n", S.grid_cell_id(F.col("bx"), F.col("by")).alias("block"),
+                      (2.0 * F.col("bx")).alias("x"), (2.0 * F.col("by")).alias("y")))
+
+    def part(k, *corners):
+        ring = F.array(*[F.struct((F.col("x") + a).alias("x"), (F.col("y") + b).alias("y")) for a, b in corners])
+        return F.struct((F.col("block") * 10 + k).alias("area"), ring.alias("ring"))
+
+    whole = F.array(part(0, (0, 0), (2, 0), (2, 2), (0, 2)))
+    halves = F.array(part(1, (0, 0), (2, 0), (2, 2)), part(2, (0, 0), (2, 2), (0, 2)))
+    cells = F.array(*[part(3 + 2 * i + j, (i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1)) for i in (0, 1) for j in (0, 1)])
+    return blocks.select(F.explode(F.when(F.col("n") >= MANY, cells).when(F.col("n") >= SOME, halves).otherwise(whole)).alias("a")).select("a.*")
+
+
+def neighbour_areas_mixed(spark, d):
+    return S.touching_areas(mixed_areas(_points(spark, d)), "area", "ring", 4.0)
+
+
+def _mixed_edges_sql() -> str:
+    shapes = {"n < %d" % SOME: {0: [(0, 0), (2, 0), (2, 2), (0, 2)]},
+              "n >= %d AND n < %d" % (SOME, MANY): {1: [(0, 0), (2, 0), (2, 2)], 2: [(0, 0), (2, 2), (0, 2)]},
+              "n >= %d" % MANY: {3 + 2 * i + j: [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1)] for i in (0, 1) for j in (0, 1)}}
+    out = []
+    for where, parts in shapes.items():
+        for k, ring in parts.items():
+            for (a, b), (c, e) in zip(ring, ring[1:] + ring[:1]):
+                out.append(f"SELECT block * 10 + {k} AS area, x + {a} AS x1, y + {b} AS y1, x + {c} AS x2, y + {e} AS y2 FROM blocks WHERE {where}")
+    return "\nUNION ALL ".join(out)
+
+
+register("neighbour_areas_mixed", oracle=_P_SQL + f"""
+, blocks AS (
+  SELECT (bx + 50000) * 100000 + (by + 50000) AS block, 2 * bx AS x, 2 * by AS y, n
+  FROM (SELECT CAST(floor(x / {D(2 * CELL)}) AS BIGINT) AS bx, CAST(floor(y / {D(2 * CELL)}) AS BIGINT) AS by, count(*) AS n
+        FROM p GROUP BY 1, 2)),
+e AS ({_mixed_edges_sql()}),
+hit AS (
+  SELECT v.area AS a, e.area AS b FROM (SELECT DISTINCT area, x1 AS x, y1 AS y FROM e) v JOIN e
+    ON v.area != e.area AND (e.x2 - e.x1) * (v.y - e.y1) = (e.y2 - e.y1) * (v.x - e.x1)
+   AND v.x BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND v.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))
+SELECT a, b FROM hit UNION SELECT b, a FROM hit""")(neighbour_areas_mixed)
+
+
+# ---------------------------------------------------------------------------
+# point_in_parts (J9), cells_in_parts (J7 X21): areas with holes and parts
+# ---------------------------------------------------------------------------
+# Rings of each area, outer ones and holes alike.
+PARTS = {
+    1: [[(-0.32, -0.3), (0.3, -0.31), (0.28, 0.3), (-0.3, 0.27)], [(-0.1, -0.12), (0.16, -0.1), (0.06, 0.17)]],
+    2: [[(-0.35, 0.05), (-0.05, 0.32), (-0.33, 0.33)], [(0.05, 0.1), (0.3, 0.1), (0.3, 0.25), (0.05, 0.25)]],
+    3: [[(-0.2, -0.2), (0.2, -0.2), (0.2, 0.2), (-0.2, 0.2)], [(-0.15, -0.15), (-0.15, 0.15), (0.15, 0.15), (0.15, -0.15)],
+        [(-0.05, -0.05), (0.05, -0.05), (0.05, 0.05), (-0.05, 0.05)]],
+}
+
+
+def _parts(spark):
+    rows = [(k, [[{"x": float(a), "y": float(b)} for a, b in ring] for ring in rings]) for k, rings in PARTS.items()]
+    return spark.createDataFrame(rows, "poly_id int, rings array<array<struct<x:double,y:double>>>")
+
+
+def point_in_parts(spark, d):
+    return S.points_within(_points(spark, d), _parts(spark), "vec_id", "x", "y", "poly_id", "rings", CELL)
+
+
+def cells_in_parts(spark, d):
+    cells = S.grid_cells(_points(spark, d), "x", "y", CELL)
+    return S.cells_meet_polygons(cells, _parts(spark), "poly_id", "rings", CELL)
+
+
+def _part_edges() -> str:
+    return ", ".join(f"({k}, {D(float(x1))}, {D(float(y1))}, {D(float(x2))}, {D(float(y2))})"
+                     for k, rings in PARTS.items() for ring in rings for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]))
+
+
+def _inside_sql(points: str, key: str) -> str:
+    """Points strictly inside the areas of ``e``: odd crossings, on no edge."""
+    return f"""SELECT q.{key}, e.poly_id FROM {points} q CROSS JOIN e
+  GROUP BY q.{key}, e.poly_id
+  HAVING sum(CASE WHEN (e.y1 > q.y) != (e.y2 > q.y)
+                  AND q.x < e.x1 + (q.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) THEN 1 ELSE 0 END) % 2 = 1
+    AND max(CASE WHEN (e.x2 - e.x1) * (q.y - e.y1) - (e.y2 - e.y1) * (q.x - e.x1) = 0
+                  AND q.x BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+                  AND q.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) THEN 1 ELSE 0 END) = 0"""
+
+
+def _param_sql(p: str, q: str, lo: str, hi: str) -> tuple[str, str]:
+    """Parameters between which the line p + t (q - p) lies in (lo, hi)."""
+    ends = f"({lo} - {p}) / ({q} - {p}), ({hi} - {p}) / ({q} - {p})"
+    flat = f"CASE WHEN {p} > {lo} AND {p} < {hi} THEN {{}} ELSE {{}} END"
+    return (f"CASE WHEN {p} = {q} THEN {flat.format('-1e300', '1.0')} ELSE least({ends}) END",
+            f"CASE WHEN {p} = {q} THEN {flat.format('1e300', '0.0')} ELSE greatest({ends}) END")
+
+
+_PARTS_SQL = _P_SQL + f", e(poly_id, x1, y1, x2, y2) AS (VALUES {_part_edges()})"
+_AX, _BX = _param_sql("e.x1", "e.x2", "c.xmin", "c.xmax")
+_AY, _BY = _param_sql("e.y1", "e.y2", "c.ymin", "c.ymax")
+
+register("point_in_parts", oracle=_PARTS_SQL + _inside_sql("p", "vec_id"))(point_in_parts)
+register("cells_in_parts", oracle=_PARTS_SQL + _cells_sql("cells") + f"""
+, centres AS (SELECT cell_id, xc AS x, yc AS y FROM cells)
+{_inside_sql("centres", "cell_id")}
+UNION
+SELECT c.cell_id, e.poly_id FROM cells c JOIN e
+  ON (e.x1 > c.xmin AND e.x1 < c.xmax AND e.y1 > c.ymin AND e.y1 < c.ymax)
+  OR greatest({_AX}, {_AY}, 0.0) < least({_BX}, {_BY}, 1.0)""")(cells_in_parts)
+
+
 # ---------------------------------------------------------------------------
 # cell_zone_intersect: X18 J6 J7 ; zone_centre_cell: X19 C5
 # ---------------------------------------------------------------------------
@@ -287,13 +406,16 @@ FROM f""")(cell_zone_flags)
 # zone_mean_score: C10 / C14, mean of a stored cell score over a zone's cells
 # ---------------------------------------------------------------------------
 def zone_mean_score(spark, d):
+    """Scores are whole grid units, whose sums are exact in any order; the
+    mean is scaled to a score once."""
     cells = S.grid_cells(_points(spark, d), "x", "y", CELL)
     hit = S.cells_vs_hulls(cells, _zones(spark), "zone_id", CELL).where("intersects").select("zone_id", "cell_id")
-    scores = cells.select("cell_id", F.abs(F.col("ymin") + F.col("xmin")).alias("valeur"))
-    return eav.group_means(hit.join(scores, "cell_id"), ["zone_id"], ["valeur"], 3)
+    units = cells.select("cell_id", F.abs(F.col("cy") + F.col("cx")).cast("double").alias("valeur"))
+    means = eav.group_means(hit.join(units, "cell_id"), ["zone_id"], ["valeur"], scale=None)
+    return means.withColumn("valeur", F.round(F.col("valeur") * CELL, 3))
 
 
 register("zone_mean_score", oracle=f"""
-SELECT z.zone_id, {R('avg(abs(c.ymin + c.xmin))', 3)} AS valeur
+SELECT z.zone_id, {R(f'CAST(sum(abs(c.cy + c.cx)) AS DOUBLE) / CAST(count(*) AS DOUBLE) * {D(CELL)}', 3)} AS valeur
 FROM ({ORACLES["cell_zone_flags"]}) z JOIN ({_P_SQL + _cells_sql("cells")} SELECT * FROM cells) c ON z.cell_id = c.cell_id
 WHERE z.intersects GROUP BY z.zone_id""")(zone_mean_score)

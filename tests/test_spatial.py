@@ -75,7 +75,7 @@ def test_neighbours(spark):
     areas = spark.createDataFrame(
         [(1, ring(0, 0, 1, 1)), (2, ring(1, 0, 2, 1)), (3, ring(2, 1, 3, 2)), (4, ring(5, 5, 6, 6))],
         "aid int, ring array<struct<x:double,y:double>>")
-    got = sorted(map(tuple, S.touching_areas(areas, "aid", "ring").collect()))
+    got = sorted(map(tuple, S.touching_areas(areas, "aid", "ring", 1.0).collect()))
     assert got == [(1, 2), (2, 1), (2, 3), (3, 2)]  # shared edge, shared corner; far one none
 
 
@@ -170,7 +170,6 @@ def test_lambert93_known_point(spark):
 
 
 def test_cells_in_general_polygon_exact(spark):
-    from geoscore.plans.inference import cells_in_polygons
     # concave ring with a thin spike that crosses cells without any vertex,
     # corner or centre inside them
     ring = [(0.0, 0.0), (1000.0, 0.0), (1000.0, 300.0), (1390.0, 305.0), (1000.0, 310.0),
@@ -181,7 +180,7 @@ def test_cells_in_general_polygon_exact(spark):
         [(f"c{i}_{j}", i * 200.0 + 100, j * 200.0 + 100, i * 200.0, j * 200.0, i * 200.0 + 200, j * 200.0 + 200)
          for i in range(-1, 7) for j in range(-1, 5)],
         "cell_id string, xc double, yc double, xmin double, ymin double, xmax double, ymax double")
-    got = {r.cell_id for r in cells_in_polygons(cells, polys, "pid").collect()}
+    got = {r.cell_id for r in S.cells_meet_polygons(cells, polys, "pid", "ring", 2000.0).collect()}
 
     def clip_area(poly, x0, y0, x1, y1):
         def clip(pts, inside, cut):
@@ -241,3 +240,93 @@ def test_range_count_two_level_boundaries(spark):
     for k in (1, 3, 4, 7):
         got = dict(S.range_count(centres, sites, "cid", r, k=k).collect())
         assert all(got[i] == exp[i] for i in range(len(c))), k
+
+
+def _areas(spark, rings):
+    return spark.createDataFrame([(k, [{"x": float(a), "y": float(b)} for a, b in r]) for k, r in rings.items()],
+                                 "aid int, ring array<struct<x:double,y:double>>")
+
+
+def _touch_brute(rings):
+    def edges(r):
+        return list(zip(r, r[1:] + r[:1]))
+
+    def on(p, e):
+        (x1, y1), (x2, y2) = e
+        return ((x2 - x1) * (p[1] - y1) == (y2 - y1) * (p[0] - x1)
+                and min(x1, x2) <= p[0] <= max(x1, x2) and min(y1, y2) <= p[1] <= max(y1, y2))
+    out = set()
+    for a in rings:
+        for b in rings:
+            if a != b and any(on(p, e) for p in rings[a] for e in edges(rings[b])):
+                out |= {(a, b), (b, a)}
+    return out
+
+
+def test_neighbours_without_shared_vertices(spark):
+    """Squares of several sizes in a partition, a slanted pair, a far one."""
+    rnd = np.random.default_rng(4)
+    rings = {}
+
+    def split(x, y, side):
+        if side > 1 and rnd.random() < 0.7:
+            for i in (0, 1):
+                for j in (0, 1):
+                    split(x + i * side // 2, y + j * side // 2, side // 2)
+        elif rnd.random() < 0.2:  # two triangles
+            rings[len(rings)] = [(x, y), (x + side, y), (x + side, y + side)]
+            rings[len(rings)] = [(x, y), (x + side, y + side), (x, y + side)]
+        else:
+            rings[len(rings)] = [(x, y), (x + side, y), (x + side, y + side), (x, y + side)]
+    split(0, 0, 16)
+    rings[900] = [(100, 0), (104, 8), (100, 8)]
+    rings[901] = [(102, 4), (103, 6), (110, 3)]       # both vertices inside the slanted edge
+    rings[902] = [(200, 200), (201, 200), (201, 201)]
+    want = _touch_brute(rings)
+    for size in (0.5, 3.0, 500.0):
+        got = S.touching_areas(_areas(spark, rings), "aid", "ring", size).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want), size
+    assert (900, 901) in want and not any(902 in p for p in want)
+
+
+def test_crowded_tiles_split(spark):
+    """A tile with most vertices is split; every contact is still found."""
+    rnd = np.random.default_rng(8)
+    pts = np.vstack([rnd.integers(0, 64, (400, 2)) / 64.0, rnd.integers(0, 64, (30, 2)) * 1.0])
+    segs = np.hstack([pts[rnd.permutation(430)], pts[rnd.permutation(430)]])
+    p = _pts(spark, pts)
+    s = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(segs)], "sid int, x1 double, y1 double, x2 double, y2 double")
+    pt, st = S.crowded_tiles(p, s, "x", "y", 16.0, most=40, finer=4, levels=3)
+    assert pt.select("level").distinct().count() > 1 and pt.count() == 430
+    got = pt.join(st, ["level", "tx", "ty"]).select("id", "sid")
+    near = {tuple(r) for r in got.collect()}
+    for i, (x, y) in enumerate(pts):
+        for k, (x1, y1, x2, y2) in enumerate(segs):
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                assert (i, k) in near
+
+
+def test_areas_with_holes_and_parts(spark):
+    rings = [[(0, 0), (6, 0), (6, 6), (0, 6)], [(1, 1), (5, 1), (5, 5), (1, 5)],   # a frame
+             [(2, 2), (4, 2), (4, 4), (2, 4)],                                        # an island in its hole
+             [(10, 0), (14, 1), (11, 5)]]                                             # a part further off
+    polys = spark.createDataFrame([(1, [[{"x": float(a), "y": float(b)} for a, b in r] for r in rings])],
+                                  "pid int, rings array<array<struct<x:double,y:double>>>")
+    rng = np.random.default_rng(2)
+    xy = np.vstack([rng.uniform(-1, 15, (700, 2)), [[3, 3], [1.5, 1.5], [3, 1.5], [0.5, 3], [1, 3], [4, 4]]])
+    got = {r.id for r in S.points_within(_pts(spark, xy), polys, "id", "x", "y", "pid", "rings", 0.9).collect()}
+
+    def crossings(p):
+        return sum((y1 > p[1]) != (y2 > p[1]) and p[0] < x1 + (p[1] - y1) * (x2 - x1) / (y2 - y1)
+                   for r in rings for (x1, y1), (x2, y2) in zip(r, r[1:] + r[:1]))
+    want = {i for i, p in enumerate(xy[:-2]) if crossings(p) % 2}
+    assert got == want and {700, 703} <= got and not {702, 704, 705} & got
+
+    cells = spark.createDataFrame([(i * 100 + j, i + 0.5, j + 0.5, float(i), float(j), i + 1.0, j + 1.0) for i in range(-1, 15) for j in range(-1, 8)],
+                                  "cell_id long, xc double, yc double, xmin double, ymin double, xmax double, ymax double")
+    met = {r.cell_id for r in S.cells_meet_polygons(cells, polys, "pid", "rings", 2.5).collect()}
+    # by a dense lattice inside each cell
+    step = (np.arange(40) + 0.5) / 40
+    for r in cells.collect():
+        inside = any(crossings((r.xmin + a, r.ymin + b)) % 2 for a in step for b in step)
+        assert (r.cell_id in met) == inside or (r.cell_id in met and not inside and r.xmin >= 9), r
