@@ -34,6 +34,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -210,41 +211,53 @@ def near_words(words: DataFrame) -> DataFrame:
     """Ordered pairs (word, near) of ``words`` (id, word, s) that differ by
     exactly one inserted, deleted or replaced letter."""
     starts, edges, hot = trie(words)
-    s, pos, label = F.col("s"), F.col("pos"), F.col("label")
+    s, pos, label, edits = F.col("s"), F.col("pos"), F.col("label"), F.col("edits")
     size, span = F.length("s"), F.length("label")
 
-    def passes(shift: int, edits: int) -> Column:
-        """The label is met by as many letters plus ``shift``, at ``edits``
-        edits; after the edit, what is left of the word must be among the tails
-        below the child."""
-        to = pos + span + shift
-        part = F.substring(s, pos + 1, span + shift)
-        good = to <= size
-        if edits:
-            tail = F.pmod(F.crc32(F.substring(s, to + 1, F.lit(TAIL))) + size - to, F.lit(TAILS)).cast("int")
-            known = F.when(tail < 64, F.getbit("low", F.when(tail < 64, tail).otherwise(0))).otherwise(F.getbit("high", F.when(tail < 64, 0).otherwise(tail - 64)))
-            good = good & (known == 1) & (F.levenshtein(part, label, 1) == 1)
-        else:
-            good = good & (part == label)
-        return F.when(good, F.struct(to.alias("pos"), (F.col("edits") + edits).cast("byte").alias("edits")))
-
-    first = F.col("edits") == 0
-    moves = F.array_compact(F.array(passes(0, 0), *(F.when(first, passes(shift, 1)) for shift in (0, 1, -1))))
+    def tail(at: Column) -> Column:
+        return F.pmod(F.crc32(F.substring(s, at + 1, F.lit(TAIL))) + size - at, F.lit(TAILS)).cast("int")
+
+    def known(shift: int) -> Column:
+        """What is left of the word is among the tails below the child."""
+        t = F.when(span == 1, F.col(f"tail{shift + 1}")).otherwise(tail(pos + span + shift))
+        return F.getbit(F.when(t < 64, F.col("low")).otherwise(F.col("high")), t % 64) == 1
+
+    def letter(at: int) -> Column:
+        return F.substring(s, pos + (1 + at), F.lit(1))
+
+    def near(shift: int) -> Column:
+        return F.levenshtein(F.substring(s, pos + 1, span + shift), label, 1) == 1
+
+    first, one = edits == 0, span == 1
+    # a letter too many or too few in a run of equal ones counts at the run's end only
+    moves = {
+        (0, 0): (F.substring(s, pos + 1, span) == label) & (first | known(0)),
+        (0, 1): first & known(0) & F.when(one, letter(0) != label).otherwise(near(0)),
+        (1, 1): first & known(1) & F.when(one, (letter(0) != label) & (letter(1) == label)).otherwise(near(1)),
+        (-1, 1): first & known(-1) & F.when(one, letter(0) != label).otherwise(near(-1)),
+    }
+    moves = {k: (pos + span + k[0] <= size) & good for k, good in moves.items()}
+    taken = F.array(*(F.when(good, F.struct((pos + span + shift).alias("pos"), (edits + more).cast("byte").alias("edits")))
+                      for (shift, more), good in moves.items()))
+
+    def ready(states: DataFrame) -> DataFrame:
+        return states.select("backward", "node", "s", "pos", "edits", *(tail(pos + k).alias(f"tail{k}") for k in range(3)))
+
     half = F.floor(size / 2).cast("int")
-    states = starts.select("backward", "node", "s", F.when(F.col("backward"), size - half).otherwise(half).alias("pos"),
-                           F.lit(0).cast("byte").alias("edits"))
+    states = ready(starts.select("backward", "node", "s", F.when(F.col("backward"), size - half).otherwise(half).alias("pos"),
+                                 F.lit(0).cast("byte").alias("edits")))
     levels = []
     while True:
-        met = _dealt(lookup(states, FEW), hot, "s").join(edges, ["node", "salt"])
-        met = met.select("backward", F.col("child").alias("node"), "s", "ends", F.explode(moves).alias("m"))
+        met = _dealt(lookup(states, FEW), hot, "s").join(edges, ["node", "salt"]).where(reduce(Column.__or__, moves.values()))
+        met = met.select("backward", F.col("child").alias("node"), "s", "ends", F.explode(taken).alias("m")).where("m IS NOT NULL")
         level = written(met.select("backward", "node", "s", "ends", "m.pos", "m.edits"), "trie-level")
         levels.append(level)
-        states = level.where((pos < size) | (F.col("edits") == 0)).drop("ends")
+        states = ready(level.where((pos < size) | (edits == 0)))
         if states.isEmpty():
             break
     found = None
     for level in levels:
-        part = level.where(F.col("ends").isNotNull() & (pos + 1 - F.col("edits") == size)).select("backward", "s", "ends")
+        part = level.where(F.col("ends").isNotNull() & (pos + 1 - edits == size)).select("backward", "s", "ends")
         found = part if found is None else found.unionAll(part)
     pairs = found.where(F.levenshtein("s", "ends", 1) == 1).select(*(
         F.translate(F.when(F.col("backward"), F.reverse(c)).otherwise(F.col(c)), ASCII, ACCENTED).alias(name)
