@@ -1,9 +1,9 @@
 """Entity-attribute-value operators.
 
 The reference widens a long ``(entity, attribute, value)`` table with one
-inner self-join per attribute (70 joins per feature matrix). Here that is a
-single conditional aggregation keyed by the entity: one shuffle, with
-map-side partial aggregation, whatever the number of attributes.
+inner self-join per attribute (70 joins per feature matrix). Here that is two
+hash aggregations, by (entity, attribute) and by entity, whatever the number
+of attributes.
 """
 
 from __future__ import annotations
@@ -11,16 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoscore.functions.ordering import packed_order
 from geoscore.operators.joins import bounded_broadcast
 
 
 def latest_per_key(df: DataFrame, key_cols: list[str], value_cols: list[str],
                    order_cols: list[str]) -> DataFrame:
     """Keep, per key, the values of the row with the largest ``order_cols``
-    (e.g. latest ``date_calcul``, then highest id). One aggregate with
-    ``max_by`` on a struct: partial aggregation over one shuffle (a sort
-    aggregate, as a struct ordering needs an immutable buffer), no per-key task."""
-    order = F.struct(*[F.col(c) for c in order_cols])
+    (e.g. latest ``date_calcul``, then highest id). One hash aggregate: the
+    ordering is packed into one number (``packed_order``), rows are combined
+    before the shuffle, and no task holds a key's rows."""
+    order = packed_order(df, order_cols)
     aggs = [F.max_by(F.col(c), order).alias(c) for c in value_cols]
     return df.groupBy(*key_cols).agg(*aggs)
 
@@ -31,39 +32,34 @@ def widen(long: DataFrame, key_cols: list[str], attr_col: str, value_col: str,
           latest_by: list[str] | None = None) -> DataFrame:
     """One row per entity, one column per attribute.
 
-    With ``latest_by`` (e.g. ``["date_calcul", "id"]``) duplicate
-    (entity, attribute) rows are resolved inside the same aggregate: each
-    attribute takes the value of its row with the largest ordering
-    (``max_by``), NULL included - one shuffle for dedupe and widening.
-    Without it, ``long`` must hold at most one row per (entity, attribute).
+    Two hash aggregates, each combined before its shuffle: the first leaves one
+    row per (entity, attribute), the second spreads these over columns, so a
+    row is compared with the attribute names once and no buffer holds more
+    columns than the entity has rows. With ``latest_by`` (e.g.
+    ``["date_calcul", "id"]``) the first takes, of duplicate rows, the value of
+    the one with the largest ordering, NULL included; without it ``long`` must
+    hold at most one row per (entity, attribute), and the first aggregate only
+    counts it once.
     With ``complete=True`` only entities that have a row for *every*
     attribute survive, even when the stored value is NULL - the semantics of
     the chain of inner self-joins. ``names`` renames the output columns.
     """
     names = list(attrs) if names is None else list(names)
-    a = F.col(attr_col)
+    keys = list(key_cols)
     v = F.col(value_col)
-    order = F.struct(*[F.col(c) for c in latest_by]) if latest_by else None
+    known = long.where(F.col(attr_col).isin(list(attrs)))
+    value = F.max_by(v, packed_order(known, latest_by)) if latest_by else F.first(v, ignorenulls=True)
+    single = known.groupBy(*keys, attr_col).agg(value.alias(value_col))
     values = []
     for attr, name in zip(attrs, names):
-        if order is not None:
-            val = F.max_by(v, F.when(a == attr, order))
-        else:
-            val = F.first(F.when(a == attr, v), ignorenulls=True)
+        val = F.max(F.when(F.col(attr_col) == attr, v))
         if round_to is not None:
             val = F.round(val, round_to)
         values.append(val.alias(name))
-    aggs = list(values)
-    if complete:
-        present = [F.max(F.when(a == attr, F.lit(1)).otherwise(F.lit(0))) for attr in attrs]
-        n_present = present[0]
-        for p in present[1:]:
-            n_present = n_present + p
-        aggs.append(n_present.alias("_n_present"))
-    wide = long.where(a.isin(list(attrs))).groupBy(*key_cols).agg(*aggs)
-    if complete:
-        wide = wide.where(F.col("_n_present") == len(attrs)).drop("_n_present")
-    return wide
+    if not complete:
+        return single.groupBy(*keys).agg(*values)
+    wide = single.groupBy(*keys).agg(*values, F.count(F.lit(1)).alias("_n_present"))
+    return wide.where(F.col("_n_present") == len(set(attrs))).drop("_n_present")
 
 
 def group_means(wide: DataFrame, group_cols: list[str], cols: list[str],

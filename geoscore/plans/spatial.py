@@ -236,8 +236,8 @@ def _mixed_edges_sql() -> str:
 
 register("neighbour_areas_mixed", oracle=_P_SQL + f"""
 , blocks AS (
-  SELECT (bx + 50000) * 100000 + (by + 50000) AS block, 2 * bx AS x, 2 * by AS y, n
-  FROM (SELECT CAST(floor(x / {D(2 * CELL)}) AS BIGINT) AS bx, CAST(floor(y / {D(2 * CELL)}) AS BIGINT) AS by, count(*) AS n
+  SELECT (cx + 50000) * 100000 + (cy + 50000) AS block, 2 * cx AS x, 2 * cy AS y, n
+  FROM (SELECT CAST(floor(x / {D(2 * CELL)}) AS BIGINT) AS cx, CAST(floor(y / {D(2 * CELL)}) AS BIGINT) AS cy, count(*) AS n
         FROM p GROUP BY 1, 2)),
 e AS ({_mixed_edges_sql()}),
 hit AS (

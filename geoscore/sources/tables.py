@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoscore.functions.ordering import packed_order
+from geoscore.operators.joins import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # Append, schema evolution, slice replace
@@ -155,18 +157,21 @@ def best_runs(runs: DataFrame, group_cols: list[str], metric, higher_is_better:
     """Best run per group, ties to the newest id.
 
     ``candidates`` (ids of this session's runs) restricts the search - a
-    semi join, so the id list can be any size. One aggregate with
-    ``max_by`` over ``(metric, id)``, no per-group task.
+    semi join, so the id list can be any size. Two hash aggregates: the best
+    metric of each group, then the newest id among the runs that have it (the
+    groups' bests are broadcast when few enough).
     """
     if candidates is not None:
         runs = runs.join(candidates.select(id_col).distinct(), id_col, "left_semi")
     m = metric if not isinstance(metric, str) else F.col(metric)
     key = m if higher_is_better else -m
-    ranked = runs.where(m.isNotNull()).withColumn("_m", m).withColumn("_key", key)
-    order = F.struct(F.col("_key"), F.col(id_col))
-    return ranked.groupBy(*group_cols).agg(
-        F.max_by(F.col(id_col), order).alias("best_id"),
-        F.max_by(F.col("_m"), order).alias("best_metric"))
+    ranked = runs.where(m.isNotNull()).select(*group_cols, id_col, m.alias("_m"), key.alias("_key"))
+    tops = ranked.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)]).agg(F.max("_key").alias("_top"))
+    same = F.col("_key") == F.col("_top")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return ranked.join(bounded_broadcast(tops), same).groupBy(*group_cols).agg(
+        F.max(id_col).alias("best_id"), F.max("_m").alias("best_metric"))
 
 
 def latest_runs(runs: DataFrame, group_cols: list[str], id_col: str = "id") -> DataFrame:
@@ -188,11 +193,16 @@ def with_active_flag(runs: DataFrame, best: DataFrame, group_cols: list[str],
 # ---------------------------------------------------------------------------
 def current_status(log: DataFrame, key_cols: list[str], status_col: str = "status",
                    ts_col: str = "ts", tiebreak: str | None = None) -> DataFrame:
-    """Current status per project = status of its latest log entry."""
-    order = [F.col(ts_col)] + ([F.col(tiebreak)] if tiebreak else [])
-    return log.groupBy(*key_cols).agg(
-        F.max_by(F.col(status_col), F.struct(*order)).alias(status_col),
+    """Current status per project = status of its latest log entry.
+
+    The statuses' hashes go through one hash aggregate, under a packed
+    ordering; the few distinct statuses are looked up by hash afterwards."""
+    name = F.xxhash64(status_col)
+    latest = log.groupBy(*key_cols).agg(
+        F.max_by(name, packed_order(log, [ts_col] + ([tiebreak] if tiebreak else []))).alias("_status"),
         F.count(F.lit(1)).alias("n_updates"))
+    names = log.select(F.col(status_col), name.alias("_status")).distinct()
+    return latest.join(bounded_broadcast(names), "_status").select(*key_cols, status_col, "n_updates")
 
 
 def log_status(spark: SparkSession, path: str, project_ids: DataFrame, status: str,

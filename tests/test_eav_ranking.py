@@ -104,3 +104,46 @@ def test_numbered_is_one_shuffle_and_gapless(spark):
     want = {k: n + 1 for n, (k, v) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
     assert {r["k"]: r["n"] for r in got.collect()} == want
     assert ranking.numbered(df.where("k < 0"), [F.col("k")]).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_values_use_hash_aggregates(spark):
+    from geoscore.plans.catalog import QUERIES
+    from geoscore.plans import load_all
+    load_all()
+    for name in ("eav_wide_complete", "eav_group_mean", "run_best", "status_current"):
+        plan = _plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, name
+
+
+def test_packed_order_is_the_struct_order(spark):
+    import datetime as dt
+    import itertools
+    from geoscore.functions.ordering import packed_order
+    times = [None, dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2024, 2, 29, 1, 2, 3, 4), dt.datetime(9999, 12, 31)]
+    ids = [None, -2 ** 63, -1, 0, 5, 2 ** 63 - 1]
+    small = [None, -2 ** 31, 0, 2 ** 31 - 1]
+    days = [None, dt.date(1, 1, 1), dt.date(1970, 1, 1), dt.date(9999, 12, 31)]
+    for (values, kinds) in (((times, ids), "timestamp,bigint"), ((times, ids), "timestamp_ntz,bigint"), ((days, small, [None, True, False]), "date,int,boolean"), ((ids,), "bigint")):
+        names = [f"c{i}" for i in range(len(values))]
+        schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds.split(",")))
+        df = spark.createDataFrame(list(itertools.product(*values)), schema)
+        order = packed_order(df, names)
+        assert "struct" not in df.select(order.alias("o")).schema["o"].dataType.simpleString()
+        rows = df.select(order.alias("o"), F.struct(*names).alias("s")).withColumn("t", F.to_json("s", {"ignoreNullFields": "false"}))
+        by_packed = [r.t for r in rows.orderBy("o").select("t").collect()]
+        assert by_packed == [r.t for r in rows.orderBy("s").select("t").collect()]
+        assert rows.select("o").distinct().count() == len(by_packed) and rows.where("o IS NULL").count() == 0
+    floats = spark.createDataFrame([(1.0, 1)], "a double, b int")
+    assert floats.select(packed_order(floats, ["a", "b"]).alias("o")).schema["o"].dataType.typeName() == "struct"
+
+
+def test_status_of_hot_project_and_nulls(spark):
+    from geoscore.sources.tables import current_status
+    rows = [(1, f"s{i % 3}", i // 2, i) for i in range(3000)] + [(2, None, 5, 1), (2, "x", 4, 9), (None, "y", 1, 1)]
+    log = spark.createDataFrame(rows, "p int, status string, ts long, id long").withColumn("ts", F.timestamp_seconds("ts"))
+    got = {r.p: (r.status, r.n_updates) for r in current_status(log, ["p"], "status", "ts", "id").collect()}
+    assert got == {1: ("s2", 3000), 2: (None, 2), None: ("y", 1)}
