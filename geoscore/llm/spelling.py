@@ -172,11 +172,11 @@ def _both_ways(words: DataFrame) -> DataFrame:
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Starts (backward, node, s), edges (node, salt, label, child, ends, low,
-    high) and hot nodes (node, salts) of the tries of ``words`` (id, s), whose
-    ids grow with their length.
+    """Starts (backward, node, s), edges (node, salt, out) and hot nodes (node,
+    salts) of the tries of ``words`` (id, s), whose ids grow with their length.
 
-    ``ends`` is the word that ends at the child, ``low`` and ``high`` the set of
+    A node has one row, with the map ``out`` from a label's first letter to
+    (label, child, ends, low, high); the alphabet bounds it. ``ends`` is the word that ends at the child, ``low`` and ``high`` the set of
     tail hashes below it. A node's shortest word, the one of least id, gives
     the edge that leads to it: no other word reaches further up."""
     prefixes = written(_prefixes(words), "trie-prefixes")
@@ -197,8 +197,9 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     above = Window.partitionBy("id", "backward").orderBy("depth")  # a word's prefixes
     edges = (path.withColumn("node", F.lag("child").over(above)).withColumn("from", F.lag("depth").over(above))
              .where("own AND node IS NOT NULL").join(_both_ways(words), ["id", "backward"])
-             .select("node", "child", F.expr("substring(s, from + 1, depth - from)").alias("label"),
-                     F.when(F.col("depth") == F.length("s"), F.col("s")).alias("ends"), "low", "high"))
+             .select("node", F.struct(F.expr("substring(s, from + 1, depth - from)").alias("label"), "child",
+                                      F.when(F.col("depth") == F.length("s"), F.col("s")).alias("ends"), "low", "high").alias("e"))
+             .groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct(F.substring("e.label", 1, 1), "e"))).alias("out")))
     edges = written(_repeated(edges, hot), "trie-edges")
     starts = written(prefixes.where("start").select("id", "backward", "node").join(_both_ways(words), ["id", "backward"])
                      .select("backward", "node", "s"), "trie-starts")
@@ -211,48 +212,54 @@ def near_words(words: DataFrame) -> DataFrame:
     """Ordered pairs (word, near) of ``words`` (id, word, s) that differ by
     exactly one inserted, deleted or replaced letter."""
     starts, edges, hot = trie(words)
-    s, pos, label, edits = F.col("s"), F.col("pos"), F.col("label"), F.col("edits")
-    size, span = F.length("s"), F.length("label")
+    s, pos, edits, low, high = (F.col(c) for c in ("s", "pos", "edits", "e.low", "e.high"))
+    label, span, size = F.col("e.label"), F.length("e.label"), F.length("s")
+    first, one, here, after = edits == 0, F.length("e.label") == 1, F.col("here"), F.col("after")
 
-    def tail(at: Column) -> Column:
-        return F.pmod(F.crc32(F.substring(s, at + 1, F.lit(TAIL))) + size - at, F.lit(TAILS)).cast("int")
-
-    def known(shift: int) -> Column:
-        """What is left of the word is among the tails below the child."""
-        t = F.when(span == 1, F.col(f"tail{shift + 1}")).otherwise(tail(pos + span + shift))
-        return F.getbit(F.when(t < 64, F.col("low")).otherwise(F.col("high")), t % 64) == 1
+    def ready(states: DataFrame) -> DataFrame:
+        """States with the two letters at their position and the hashes of
+        what follows from it on: computed once, not for every edge."""
+        def tail(at: Column) -> Column:
+            return F.pmod(F.crc32(F.substring(s, at + 1, F.lit(TAIL))) + size - at, F.lit(TAILS)).cast("int")
+        return states.select("backward", "node", "s", "pos", "edits", F.substring(s, pos + 1, F.lit(1)).alias("here"),
+                             F.substring(s, pos + 2, F.lit(1)).alias("after"), *(tail(pos + k).alias(f"tail{k}") for k in range(3)))
 
-    def letter(at: int) -> Column:
-        return F.substring(s, pos + (1 + at), F.lit(1))
+    def known(k: int) -> Column:
+        t = F.col(f"tail{k}")
+        return F.getbit(F.when(t < 64, low).otherwise(high), t % 64) == 1
 
     def near(shift: int) -> Column:
-        return F.levenshtein(F.substring(s, pos + 1, span + shift), label, 1) == 1
-
-    first, one = edits == 0, span == 1
-    # a letter too many or too few in a run of equal ones counts at the run's end only
-    moves = {
-        (0, 0): (F.substring(s, pos + 1, span) == label) & (first | known(0)),
-        (0, 1): first & known(0) & F.when(one, letter(0) != label).otherwise(near(0)),
-        (1, 1): first & known(1) & F.when(one, (letter(0) != label) & (letter(1) == label)).otherwise(near(1)),
-        (-1, 1): first & known(-1) & F.when(one, letter(0) != label).otherwise(near(-1)),
-    }
-    moves = {k: (pos + span + k[0] <= size) & good for k, good in moves.items()}
-    taken = F.array(*(F.when(good, F.struct((pos + span + shift).alias("pos"), (edits + more).cast("byte").alias("edits")))
-                      for (shift, more), good in moves.items()))
-
-    def ready(states: DataFrame) -> DataFrame:
-        return states.select("backward", "node", "s", "pos", "edits", *(tail(pos + k).alias(f"tail{k}") for k in range(3)))
-
+        return (pos + span + shift <= size) & (F.levenshtein(F.substring(s, pos + 1, span + shift), label, 1) == 1)
+
+    # A label is met unchanged, or with a letter replaced, too many or too few in the
+    # word; in a run of equal letters one too many or too few counts at the run's end.
+    # The moves' numbers make up a mask, whose members are its row of a table: each
+    # condition is evaluated once, and the generated code stays small enough to be compiled.
+    moves = [
+        F.when(one, (here == label) & (first | known(1))).otherwise(F.substring(s, pos + 1, span) == label),
+        first & F.when(one, (here != label) & (here != "") & known(1)).otherwise(near(0)),
+        first & F.when(one, (here != label) & (after == label) & known(2)).otherwise(near(1)),
+        first & F.when(one, (here != label) & known(0)).otherwise(near(-1)),
+    ]
+    shifts = [0, 0, 1, -1]
+    mask = reduce(Column.__add__, (F.when(good, 1 << k).otherwise(0) for k, good in enumerate(moves)))
+    members = F.lit([[k for k in range(4) if m >> k & 1] or [-1] for m in range(16)])
+    move = F.col("move")
     half = F.floor(size / 2).cast("int")
     states = ready(starts.select("backward", "node", "s", F.when(F.col("backward"), size - half).otherwise(half).alias("pos"),
                                  F.lit(0).cast("byte").alias("edits")))
     levels = []
     while True:
-        met = _dealt(lookup(states, FEW), hot, "s").join(edges, ["node", "salt"]).where(reduce(Column.__or__, moves.values()))
-        met = met.select("backward", F.col("child").alias("node"), "s", "ends", F.explode(taken).alias("m")).where("m IS NOT NULL")
-        level = written(met.select("backward", "node", "s", "ends", "m.pos", "m.edits"), "trie-level")
+        # before its edit a state tries every edge, after it the one that its next letter names
+        tried = F.when(first, F.map_values("out")).otherwise(F.array(F.try_element_at("out", here)))
+        met = _dealt(lookup(states, FEW), hot, "s").join(edges, ["node", "salt"])
+        met = met.select(*states.columns, F.explode(tried).alias("e"))
+        met = met.select("backward", "s", "pos", "edits", "e", F.explode(F.get(members, mask)).alias("move")).where("move >= 0")
+        level = written(met.select("backward", F.col("e.child").alias("node"), "s", F.col("e.ends").alias("ends"),
+                                   (pos + span + F.get(F.lit(shifts), move)).alias("pos"),
+                                   F.when(move > 0, F.lit(1)).otherwise(edits).cast("byte").alias("edits")), "trie-level")
         levels.append(level)
-        states = ready(level.where((pos < size) | (edits == 0)))
+        states = ready(level.where((pos < size) | first))
         if states.isEmpty():
             break
     found = None
