@@ -82,7 +82,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 256 << 10) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of about ``limit`` text bytes (one text at least),
     which bounds the numpy scratch arrays whatever the batch size."""
     col = batch.column(batch.schema.get_field_index(column))
