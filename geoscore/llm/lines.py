@@ -13,13 +13,18 @@ Steps:
    that share at most. The ranks of the buckets, an array of fixed size, are
    broadcast as the order of rarity; ties go by hash.
 2. Each line's prefix: its rarest size - ceil(4/5 size) + 1 tokens. Similar
-   lines share a token of their prefixes. Equal token sets count as one line,
-   first within the tasks, so a line repeated a million times sends a few rows.
-3. Prefix rows meet by token. Pairs pass the length filter, the positional
+   lines share a token of their prefixes, and two if each is a token longer. A
+   line's keys are the rare tokens of its prefix and the pairs of frequent ones
+   of the longer one: two similar lines share the first token they have in
+   common if it is rare, else a pair. Lines above PAIRED tokens take frequent
+   tokens singly, and lines within similarity of that size do both. Equal
+   token sets count as one line, first within the tasks, so a line repeated a
+   million times sends a few rows.
+3. Prefix rows meet by key. Pairs pass the length filter, the positional
    filter (tokens left after the shared one) and a parity bitmap: the bits in
    which two bitmaps differ are a lower bound of the tokens that only one line
-   has. For each line its earliest CANDIDATES partners per token go on. The
-   rows of a frequent token are dealt into blocks of about BLOCK rows; each
+   has. For each line its earliest CANDIDATES partners per key go on. The
+   rows of a frequent key are dealt into blocks of about BLOCK rows; each
    pair of blocks meets in a task, and its pairs pass the wider bitmap too.
 4. Candidates, first each line's earliest, pass a wider bitmap and are verified
    on their whole token sets, read again, once for each line concerned, and
@@ -49,12 +54,13 @@ from pyspark.sql import types as T
 from geoscore.llm import hashing as H
 from geoscore.llm.common import forget, free_name, lookup, shuffle_partitions, written
 
-BITS = 22
+BITS = 20
 TABLE = 1 << 20
 CANDIDATES = 3
 PAIRS_AT_ONCE = 1 << 20
-BLOCK = 1 << 13  # prefix rows of a frequent token that a block holds; a task meets two blocks at a time
-BUCKETS = 1 << 22  # in which the prefix rows of tokens are counted
+BLOCK = 1 << 13  # prefix rows of a frequent key that a block holds; a task meets two blocks at a time
+BUCKETS = 1 << 20  # in which the prefix rows of keys are counted
+PAIRED = 64  # tokens of the longest lines that use pairs of frequent tokens as keys
 ROWS_AT_ONCE = 1 << 18
 MOST_BROADCAST = 2_000_000
 PAIRS_AT_A_KEY = 1 << 10  # candidate pairs of a set that one key of the verifying join holds
@@ -72,13 +78,15 @@ def line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, doc, breaks[starts] - breaks[off[doc]]
 
 
-def word_ranks(docs: DataFrame, table: int = TABLE) -> np.ndarray:
-    """Rank of each hash bucket of words: 0 for rare ones, then by count."""
+def word_ranks(docs: DataFrame, block: int, table: int = TABLE) -> tuple[np.ndarray, int]:
+    """Rank of each hash bucket of words: 0 for rare ones, then by count; and
+    the first rank of frequent words, seen more often than ``block``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BITS, np.int64)
         for batch in batches:
             for part in H.slices(batch, "text"):
-                counts += np.bincount(line_words(part.column(0))[0] >> U(64 - BITS), minlength=1 << BITS)
+                bucket, n = np.unique(line_words(part.column(0))[0] >> U(64 - BITS), return_counts=True)
+                counts[bucket] += n
         n = int(counts.sum())
         keep = np.flatnonzero((counts > 0) & (counts * table >= n))
         buckets = np.append(keep, -1)
@@ -90,7 +98,8 @@ def word_ranks(docs: DataFrame, table: int = TABLE) -> np.ndarray:
     bucket, n = top["bucket"].to_numpy(), top["n"].to_numpy()
     ranks = np.zeros(1 << BITS, np.uint32)
     ranks[bucket[np.lexsort((bucket, n))]] = np.arange(1, len(bucket) + 1)
-    return ranks
+    forget(got)
+    return ranks, 1 + int((n <= block).sum())
 
 
 def _line_sets(column: pa.Array, ranks: np.ndarray):
@@ -115,8 +124,28 @@ def _set_keys(h: np.ndarray, size: np.ndarray) -> np.ndarray:
     return H.mix(total + size.astype(U)).view(np.int64)
 
 
-def line_table(docs: DataFrame, ranks: np.ndarray, num: int, den: int) -> DataFrame:
-    """(doc, body, line, set, size, bits, WIDE_BITS, prefix) of every line with words."""
+def _keys(h: np.ndarray, at: np.ndarray, size: np.ndarray, lead: np.ndarray, often: np.ndarray, num: int, den: int):
+    """(key, position of its first token, line index) of the keys under which
+    lines meet, by line: the rare tokens of the prefix and, with the token that
+    follows the prefix, the pairs of frequent ones. Long lines have frequent
+    tokens as they are; those of nearly PAIRED tokens have both."""
+    nth = np.arange(len(h)) - (np.cumsum(size) - size)[at]
+    one = (nth < lead[at]) & (~often | (size[at] * den >= num * PAIRED))
+    two = (nth < lead[at] + (lead[at] > 0)) & often & (size[at] <= PAIRED)
+    h2, at2, nth2 = h[two], at[two], nth[two]
+    # a frequent token goes with each later one of its line
+    left = np.cumsum(np.bincount(at2, minlength=len(size)))[at2] - np.arange(len(h2)) - 1
+    a = np.repeat(np.arange(len(h2)), left)
+    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(left) - left, left)
+    pair = H.mix(h2[a] * U(0x9E3779B97F4A7C15) + h2[b])
+    key, pos, line = np.concatenate([h[one], pair]), np.concatenate([nth[one], nth2[a]]), np.concatenate([at[one], at2[a]])
+    order = np.argsort(line, kind="stable")
+    return key[order], pos[order], line[order]
+
+
+def line_table(docs: DataFrame, ranks: np.ndarray, frequent: int, num: int, den: int) -> DataFrame:
+    """(doc, body, line, set, size, bits, WIDE_BITS, prefix, place) of every
+    line with words: ``prefix`` its keys, ``place`` their first tokens' positions."""
     table = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,16 +161,17 @@ def line_table(docs: DataFrame, ranks: np.ndarray, num: int, den: int) -> DataFr
                     bits.append(np.bitwise_xor.reduceat(mine, start) if n else np.zeros(0, U))
                 lead = size - -(-num * size // den) + 1
                 lead[size * (den - num) < num] = 0  # so small that only an equal set is similar enough
-                keep = np.arange(len(h)) - start[at] < lead[at]
-                ends = np.concatenate([[0], np.cumsum(lead)])
+                key, pos, owner = _keys(h, at, size, lead, table.value[h >> U(64 - BITS)] >= frequent, num, den)
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]), pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc").take(pa.array(doc)), part.column("body").take(pa.array(doc)),
                     pa.array(line.astype(np.int32)), pa.array(_set_keys(h, size)), pa.array(size.astype(np.int32)), *(pa.array(b.view(np.int64)) for b in bits),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((h[keep] >> U(32)).astype(np.uint32).view(np.int32)))],
-                    names=["doc", "body", "line", "set", "size", "bits", *WIDE_BITS, "prefix"])
+                    pa.ListArray.from_arrays(ends, pa.array((key >> U(32)).astype(np.uint32).view(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(pos.astype(np.int32)))],
+                    names=["doc", "body", "line", "set", "size", "bits", *WIDE_BITS, "prefix", "place"])
 
     wide = "".join(f"{c} long, " for c in WIDE_BITS)
-    schema = f"doc long, body long, line int, set long, size int, bits long, {wide}prefix array<int>"
+    schema = f"doc long, body long, line int, set long, size int, bits long, {wide}prefix array<int>, place array<int>"
     return docs.select("doc", "body", "text").mapInArrow(run, schema)
 
 
@@ -155,11 +185,11 @@ def _trimmed(token, key, size_pos, bits, doc, *others):
 
 
 def _prefix_of(batch: pa.RecordBatch, columns: list[str]):
-    """(token, position in the prefix, the columns) of each prefix token of a batch of lines."""
+    """(key, position of its first token, the columns) of each key of a batch of lines."""
     prefix = batch.column("prefix")
     lens = np.diff(prefix.offsets.to_numpy()) if len(batch) else np.zeros(0, np.int64)
     at = np.repeat(np.arange(len(batch)), lens)
-    pos = np.arange(len(at)) - np.repeat(np.cumsum(lens) - lens, lens)
+    pos = batch.column("place").flatten().to_numpy().astype(np.int64)
     return prefix.flatten().to_numpy(), pos, {c: batch.column(c).to_numpy(zero_copy_only=False)[at] for c in columns}
 
 
@@ -220,7 +250,7 @@ def prefix_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "set", "size_pos", "bits", "doc"])
 
     shared = lines.sparkSession.sparkContext.broadcast(blocks)
-    return lines.select("doc", "set", "size", "bits", "prefix").where(F.size("prefix") > 0).mapInArrow(
+    return lines.select("doc", "set", "size", "bits", "prefix", "place").where(F.size("prefix") > 0).mapInArrow(
         run, "token int, set long, size_pos long, bits long, doc long")
 
 
@@ -257,7 +287,7 @@ def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
                 i = j
 
     wide = "".join(f", {c} long" for c in WIDE_BITS)
-    return lines.select("doc", "set", "size", "bits", "prefix", *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
+    return lines.select("doc", "set", "size", "bits", "prefix", "place", *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
         run, f"token int, cell long, side int, set long, size_pos long, bits long, doc long{wide}")
 
 
@@ -399,7 +429,7 @@ def _late(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, num: int, den: i
     differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in WIDE_BITS), F.lit(0))
     pairs = (pairs.join(at["x"], "x").join(at["y"], "y").where(F.col("y_at") < F.col("x_at"))
              .where(differ <= both - 2 * F.ceil(both * num / (num + den))))
-    pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body"), "pairs")
+    whole = pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body"), "pairs")
     wanted = [pairs.select(f"{s}_at.doc", F.col(f"{s}_body").alias("body"), f"{s}_at.line") for s in "xy"]
     tokens = set_tokens(docs, wanted[0].unionByName(wanted[1]).distinct())
     pairs, of_x = _dealt(pairs.select("x", "y"), tokens, "x")
@@ -408,13 +438,15 @@ def _late(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, num: int, den: i
     common = F.size(F.array_intersect(x, y))
     similar = (pairs.join(of_x, ["x", "x_salt"]).join(of_y, ["y", "y_salt"])
                .where(common * (num + den) >= num * (F.size(x) + F.size(y))))
-    return written(similar.select(F.col("x").alias("set")).distinct(), "late")
+    late = written(similar.select(F.col("x").alias("set")).distinct(), "late")
+    forget(whole)
+    return late
 
 
 def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """(doc, body, line) of the lines to remove; docs: doc, body, text."""
     parts = shuffle_partitions(docs.sparkSession)
-    lines = written(line_table(docs, word_ranks(docs), num, den), "lines")
+    lines = written(line_table(docs, *word_ranks(docs, BLOCK), num, den), "lines")
     firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line", "body", "size", *WIDE_BITS)).alias("f"), F.count("*").alias("n"))
                      .select("set", "n", "f.*"), "firsts")
     blocks, sent = token_blocks(lines, BLOCK)

@@ -50,6 +50,15 @@ def test_lines_against_all_pairs(make_docs, monkeypatch, candidates, at_once):
     assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
 
 
+@pytest.mark.parametrize("block, paired", [(1, 64), (10, 10), (40, 4)])
+def test_frequent_tokens_meet_in_pairs(make_docs, monkeypatch, block, paired):
+    """Lines on both sides of the length from which frequent tokens are taken singly."""
+    monkeypatch.setattr(lines, "BLOCK", block)
+    monkeypatch.setattr(lines, "PAIRED", paired)
+    rows = list(enumerate(noisy_texts(7, 160, words=(3, 24), edits=0.3))) + ODD
+    assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
+
+
 def test_clashing_columns_and_empty_table(make_docs):
     docs = make_docs([(1, "a b c"), (2, "a b c\nd")])
     for c in ("doc_of_line", "body", "line", "set", "doc", "gone_of_line", "size", "x"):
