@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from geoscore.session import fresh_path
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back.
+def written(df: DataFrame, kind: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back; ``by``
+    names a column whose values get folders of their own.
 
     Cuts the lineage: a lost executor costs a re-read only."""
     path = fresh_path(df.sparkSession, f"llm-{kind}")
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_path = path
     return out

@@ -82,33 +82,49 @@ def letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return values, np.concatenate([[0], np.cumsum(keep)])[off], low, at - second[at], at + 1
 
 
+def _spans(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Array:
+    """The UTF-8 spans ``data[a:b]`` as strings."""
+    ends = np.concatenate([[0], np.cumsum(b - a)])
+    at = np.repeat(a - ends[:-1], b - a) + np.arange(ends[-1])
+    return pa.StringArray.from_buffers(len(a), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[at])))
+
+
+def _runs(part: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray, list[str]]:
+    """Distinct runs of letters of a slice of (doc_id, text) by hash, the number
+    of times each stays whole, and the runs that lost a letter."""
+    values, off, low, first, last = letters(part.column(1))
+    a, b = H._split_runs(values != 0, off)
+    long = b - a >= LEAST_LETTERS
+    a, b = a[long], b[long]
+    prefix = np.array([zlib.crc32(f"{'' if i is None else i}:".encode()) for i in part.column(0).to_pylist()], np.uint32)
+    hashes, one, back = np.unique(H.span_hashes(values, a, b), return_index=True, return_inverse=True)
+    begin, end = first[a[one]], last[b[one] - 1]
+    h = crc.joined(prefix[np.searchsorted(off, a, "right") - 1], crc.span_crc(low, begin, end)[back], (end - begin)[back])
+    hit = h % DAMAGE == 0
+    n = np.bincount(back[~hit], minlength=len(one))
+    hit &= b - a > LEAST_LETTERS
+    lost = []
+    for s, e, drop in zip(a[hit].tolist(), b[hit].tolist(), (h[hit] % (b - a)[hit]).tolist()):
+        run = values[s:e].tobytes()
+        lost.append((run[:drop] + run[drop + 1:]).decode("latin-1"))
+    some = n > 0
+    return hashes[some], _spans(low, begin[some], end[some]), n[some], lost
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) of every word of LEAST_LETTERS or more over all texts, after
-    the deletion rule."""
+    the deletion rule; added up within a batch of texts first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in H.slices(batch, "text", SLICE):
-                values, off, low, first, last = letters(part.column(1))
-                a, b = H._split_runs(values != 0, off)
-                long = b - a >= LEAST_LETTERS
-                a, b = a[long], b[long]
-                if not len(a):
-                    continue
-                prefix = np.array([zlib.crc32(f"{'' if i is None else i}:".encode()) for i in part.column(0).to_pylist()], np.uint32)
-                _, one, back = np.unique(H.span_hashes(values, a, b), return_index=True, return_inverse=True)
-                begin, end = first[a[one]], last[b[one] - 1]
-                h = crc.joined(prefix[np.searchsorted(off, a, "right") - 1], crc.span_crc(low, begin, end)[back], (end - begin)[back])
-                hit = h % DAMAGE == 0
-                n = np.bincount(back[~hit], minlength=len(one))
-                found = Counter()
-                for k in np.flatnonzero(n):
-                    found[values[a[one[k]]: b[one[k]]].tobytes()] += int(n[k])
-                hit &= b - a > LEAST_LETTERS
-                for s, e, drop in zip(a[hit].tolist(), b[hit].tolist(), (h[hit] % (b - a)[hit]).tolist()):
-                    run = values[s:e].tobytes()
-                    found[run[:drop] + run[drop + 1:]] += 1
-                yield pa.record_batch([pa.array([w.decode("latin-1") for w in found], pa.string()),
-                                       pa.array(list(found.values()), pa.int64())], ["word", "n"])
+            found = [_runs(part) for part in H.slices(batch, "text", SLICE)]
+            if not found:
+                continue
+            hashes, words, counts, lost = zip(*found)
+            _, one, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            total = np.bincount(back, weights=np.concatenate(counts), minlength=len(one)).astype(np.int64)
+            lost = Counter(w for part in lost for w in part)
+            yield pa.record_batch([pa.concat_arrays([pa.concat_arrays(words).take(pa.array(one)), pa.array(list(lost), pa.string())]),
+                                   pa.array(np.concatenate([total, np.array(list(lost.values()), np.int64)]))], ["word", "n"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -146,11 +162,11 @@ def _prefixes(words: DataFrame) -> DataFrame:
                     tail = (crc.span_crc(values, at, np.minimum(at + TAIL, end)) + (end - at)) % TAILS
                     yield pa.record_batch(
                         [pa.array(ids[w]), pa.array(np.full(len(w), backward)), pa.array(depth.astype(np.int32)), pa.array(node.view(np.int64)),
-                         pa.array(following), pa.array(depth == untouched(size[w], backward)), pa.array(tail.astype(np.int8))],
+                         pa.array(following), pa.array(depth == untouched(size[w], backward)), pa.array(tail.astype(np.int16))],
                         ["id", "backward", "depth", "node", "next", "start", "tail"])
 
     return words.select("id", "s").mapInArrow(
-        run, "id long, backward boolean, depth int, node long, next byte, start boolean, tail byte")
+        run, "id long, backward boolean, depth int, node long, next byte, start boolean, tail short")
 
 
 def _dealt(rows: DataFrame, hot: DataFrame, by: str) -> DataFrame:
@@ -176,29 +192,28 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     salts) of the tries of ``words`` (id, s), whose ids grow with their length.
 
     A node has one row, with the map ``out`` from a label's first letter to
-    (label, child, ends, low, high); the alphabet bounds it. ``ends`` is the word that ends at the child, ``low`` and ``high`` the set of
-    tail hashes below it. A node's shortest word, the one of least id, gives
+    (label, child, ends, tails); the alphabet bounds it. ``ends`` is the word
+    that ends at the child, ``tails`` the set of tail hashes below it. A node's shortest word, the one of least id, gives
     the edge that leads to it: no other word reaches further up."""
     prefixes = written(_prefixes(words), "trie-prefixes")
     tail = F.col("tail").cast("int")
     nodes = written(prefixes.groupBy("node").agg(
         F.count(F.lit(1)).alias("below"), F.min("id").alias("owner"),
         (F.max("start") | (F.min("next") == 0) | (F.min("next") != F.max("next"))).alias("kept"),
-        F.bit_or(F.when(tail < 64, F.expr("shiftleft(1L, int(tail))")).otherwise(F.lit(0))).alias("low"),
-        F.bit_or(F.when(tail >= 64, F.expr("shiftleft(1L, int(tail) - 64)")).otherwise(F.lit(0))).alias("high")), "trie-nodes")
+        F.array(*(F.bit_or(F.when(F.shiftright(tail, 6) == k, F.expr("shiftleft(1L, int(tail) & 63)")).otherwise(F.lit(0)))
+                  for k in range(TAILS // 64))).alias("tails")), "trie-nodes")
     total = nodes.agg(F.coalesce(F.sum("below"), F.lit(0))).first()[0]
     limit = max(HOT, total // HOT_NODES)
     hot = written(nodes.where(F.col("below") > limit).select("node", F.ceil(F.col("below") / limit).alias("salts")), "trie-hot")
-    kept = _repeated(nodes.where("kept").select("node", "owner", "low", "high"), hot)
+    kept = _repeated(nodes.where("kept").select("node", "owner", "tails"), hot)
     own = F.col("id") == F.col("owner")
     path = (_dealt(prefixes.select("id", "backward", "depth", "node"), hot, "id").join(kept, ["node", "salt"])
-            .select("id", "backward", "depth", F.col("node").alias("child"), own.alias("own"),
-                    F.when(own, F.col("low")).alias("low"), F.when(own, F.col("high")).alias("high")))
+            .select("id", "backward", "depth", F.col("node").alias("child"), own.alias("own"), F.when(own, F.col("tails")).alias("tails")))
     above = Window.partitionBy("id", "backward").orderBy("depth")  # a word's prefixes
     edges = (path.withColumn("node", F.lag("child").over(above)).withColumn("from", F.lag("depth").over(above))
              .where("own AND node IS NOT NULL").join(_both_ways(words), ["id", "backward"])
              .select("node", F.struct(F.expr("substring(s, from + 1, depth - from)").alias("label"), "child",
-                                      F.when(F.col("depth") == F.length("s"), F.col("s")).alias("ends"), "low", "high").alias("e"))
+                                      F.when(F.col("depth") == F.length("s"), F.col("s")).alias("ends"), "tails").alias("e"))
              .groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct(F.substring("e.label", 1, 1), "e"))).alias("out")))
     edges = written(_repeated(edges, hot), "trie-edges")
     starts = written(prefixes.where("start").select("id", "backward", "node").join(_both_ways(words), ["id", "backward"])
@@ -212,7 +227,7 @@ def near_words(words: DataFrame) -> DataFrame:
     """Ordered pairs (word, near) of ``words`` (id, word, s) that differ by
     exactly one inserted, deleted or replaced letter."""
     starts, edges, hot = trie(words)
-    s, pos, edits, low, high = (F.col(c) for c in ("s", "pos", "edits", "e.low", "e.high"))
+    s, pos, edits = F.col("s"), F.col("pos"), F.col("edits")
     label, span, size = F.col("e.label"), F.length("e.label"), F.length("s")
     first, one, here, after = edits == 0, F.length("e.label") == 1, F.col("here"), F.col("after")
 
@@ -226,7 +241,7 @@ def near_words(words: DataFrame) -> DataFrame:
 
     def known(k: int) -> Column:
         t = F.col(f"tail{k}")
-        return F.getbit(F.when(t < 64, low).otherwise(high), t % 64) == 1
+        return F.getbit(F.get("e.tails", F.shiftright(t, 6)), t.bitwiseAND(F.lit(63))) == 1
 
     def near(shift: int) -> Column:
         return (pos + span + shift <= size) & (F.levenshtein(F.substring(s, pos + 1, span + shift), label, 1) == 1)
@@ -255,16 +270,18 @@ def near_words(words: DataFrame) -> DataFrame:
         met = _dealt(lookup(states, FEW), hot, "s").join(edges, ["node", "salt"])
         met = met.select(*states.columns, F.explode(tried).alias("e"))
         met = met.select("backward", "s", "pos", "edits", "e", F.explode(F.get(members, mask)).alias("move")).where("move >= 0")
-        level = written(met.select("backward", F.col("e.child").alias("node"), "s", F.col("e.ends").alias("ends"),
-                                   (pos + span + F.get(F.lit(shifts), move)).alias("pos"),
-                                   F.when(move > 0, F.lit(1)).otherwise(edits).cast("byte").alias("edits")), "trie-level")
+        met = met.select("backward", F.col("e.child").alias("node"), "s", F.col("e.ends").alias("ends"),
+                         (pos + span + F.get(F.lit(shifts), move)).alias("pos"),
+                         F.when(move > 0, F.lit(1)).otherwise(edits).cast("byte").alias("edits"))
+        # words found lie in a folder of their own, which alone is read in the end
+        level = written(met.withColumn("found", F.col("ends").isNotNull() & (pos + 1 - edits == size)), "trie-level", by="found")
         levels.append(level)
         states = ready(level.where((pos < size) | first))
         if states.isEmpty():
             break
     found = None
     for level in levels:
-        part = level.where(F.col("ends").isNotNull() & (pos + 1 - edits == size)).select("backward", "s", "ends")
+        part = level.where("found").select("backward", "s", "ends")
         found = part if found is None else found.unionAll(part)
     pairs = found.where(F.levenshtein("s", "ends", 1) == 1).select(*(
         F.translate(F.when(F.col("backward"), F.reverse(c)).otherwise(F.col(c)), ASCII, ACCENTED).alias(name)
