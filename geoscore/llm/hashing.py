@@ -82,6 +82,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
+def span_array(data: np.ndarray, a: np.ndarray, b: np.ndarray, kind: pa.DataType = pa.binary()) -> pa.Array:
+    """The spans ``data[a:b]`` as an Arrow array of bytes (or strings)."""
+    ends = np.concatenate([[0], np.cumsum(b - a)])
+    at = np.repeat(a - ends[:-1], b - a) + np.arange(ends[-1])
+    return pa.Array.from_buffers(kind, len(a), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[at]))])
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 256 << 10) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices of about ``limit`` text bytes (one text at least),
     which bounds the numpy scratch arrays whatever the batch size."""

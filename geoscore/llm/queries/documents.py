@@ -58,7 +58,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = load(spark, sf_dir, "labels")
     seen = labels.where(F.col("toxic").isin(0, 1) & (id_crc(F.col("doc_id")) % 3 != 1))
     model = toxicity.train(labelled(docs, seen, "toxic"))
-    scored = toxicity.score_rows(docs, model, "score").select("doc_id", (id_crc(F.col("doc_id")) % 3 == 1).alias("held_out"), "score")
+    scored = toxicity.score_rows(docs, model, "score")
+    scored = scored.select("doc_id", (id_crc(F.col("doc_id")) % 3 == 1).alias("held_out"), "score")
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 

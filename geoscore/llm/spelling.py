@@ -82,13 +82,6 @@ def letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return values, np.concatenate([[0], np.cumsum(keep)])[off], low, at - second[at], at + 1
 
 
-def _spans(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Array:
-    """The UTF-8 spans ``data[a:b]`` as strings."""
-    ends = np.concatenate([[0], np.cumsum(b - a)])
-    at = np.repeat(a - ends[:-1], b - a) + np.arange(ends[-1])
-    return pa.StringArray.from_buffers(len(a), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[at])))
-
-
 def _runs(part: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray, list[str]]:
     """Distinct runs of letters of a slice of (doc_id, text) by hash, the number
     of times each stays whole, and the runs that lost a letter."""
@@ -108,7 +101,7 @@ def _runs(part: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray, list[
         run = values[s:e].tobytes()
         lost.append((run[:drop] + run[drop + 1:]).decode("latin-1"))
     some = n > 0
-    return hashes[some], _spans(low, begin[some], end[some]), n[some], lost
+    return hashes[some], H.span_array(low, begin[some], end[some], pa.string()), n[some], lost
 
 
 def word_counts(docs: DataFrame) -> DataFrame:

@@ -19,19 +19,30 @@ number of words, and by the root of it. A logistic regression on these three,
 fitted on a sample of labelled rows that a first model leaves out of its
 counts, turns it into a score between 0 and 1.
 
-All labelled training rows are counted, so what is gathered grows with the
-input: words are counted within tasks, then summed by a shuffle. Every
-beginning and word stays in a written table. Scoring broadcasts as a cache
-those that make up at least 1 / TABLE of a class's words (2 * TABLE for each
-length at most); the other words of the texts are joined to the whole table
-and meet their texts again by the text's hash. Scoring reads every row and
-whole texts. Calibration collects three numbers for each of about
-MAX_CALIBRATION rows.
+How it runs:
+
+1. All labelled training rows are counted, so what is gathered grows with the
+   input: words are counted within batches, then summed by a shuffle.
+2. The distinct words of the texts to score are counted in the same way.
+3. Both lists are dealt by a word's first NEAR bytes. A task has them sorted,
+   so all words that share a longer beginning follow each other, and windows
+   over them give every beginning's counts, the sums of its steps, and each
+   word's ratio, whether it was seen in training or not; nothing is exploded or
+   joined. Beginnings up to NEAR bytes come from a table of one row each.
+4. The ratios of the most frequent words (CACHE at most) are broadcast. A pass
+   over the texts adds up their words' ratios. Of the other, rare words only
+   the stretches around them leave the texts: their neighbours' ratios and
+   their hashes, which meet the rest of the ratios by a join and come back as
+   one list a text. The cache's size doesn't change a result.
+
+Scoring reads every row and whole texts. Calibration collects three numbers
+for each of about MAX_CALIBRATION rows.
 
 Defined results: null and empty texts have no evidence (all features 0);
 null or other labels are not learnt from; with labels of one class only, every
 score is that class's share; repeated rows score alike; an empty table gives
-an empty result; extra columns are not read.
+an empty result; very long texts are read whole, a rare word of theirs sends
+2 * WINDOW numbers at most; other columns are kept and not read.
 """
 
 from __future__ import annotations
@@ -41,19 +52,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import free_name, spread, written
+from geoscore.llm.common import forget, lookup, spread, written
 
 U = np.uint64
-TABLE = 1 << 17
+CACHE = 1 << 21
 DISCOUNT = 0.9
 DEPTH = 8
+NEAR = 4
 WINDOW = 8
 MAX_CALIBRATION = 40_000
 FEATURES = ["window", "whole", "root"]
+COUNTS = ["toxic", "plain", "types"]
 
 _LETTER = np.zeros(256, bool)
 for _lo, _hi in ((65, 91), (97, 123), (128, 256)):
@@ -67,224 +81,250 @@ def words(column: pa.Array):
     return H.LOWER[data], starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, toxic, plain) counts; rows: text, label (1 toxic)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list[int]] = {}
-
-        def batch_of():
-            t, p = zip(*held.values())
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(t, pa.int64()), pa.array(p, pa.int64())],
-                                              names=["word", "toxic", "plain"])
+def word_sums(rows: DataFrame, classes: int) -> DataFrame:
+    """(word, hash, n0, n1...): how often each word occurs in the texts of each
+    class; rows: text, class. Added up within a batch of texts first."""
+    names = [f"n{k}" for k in range(classes)]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = []
             for part in H.slices(batch, "text"):
                 data, a, b, d = words(part.column("text"))
-                if not len(a):
-                    continue
-                toxic = part.column("label").to_numpy(zero_copy_only=False)[d].astype(np.int64)
-                _, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
-                raw = data.tobytes()
-                for s, e, t, n in zip(a[at].tolist(), b[at].tolist(), np.bincount(which, toxic).astype(int).tolist(), np.bincount(which).tolist()):
-                    counts = held.setdefault(raw[s:e], [0, 0])
-                    counts[0] += t
-                    counts[1] += n - t
-                if len(held) > 300_000:
-                    yield batch_of()
-                    held.clear()
-        if held:
-            yield batch_of()
-
-    return (rows.select("text", "label").mapInArrow(run, "word binary, toxic long, plain long")
-            .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
+                h, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
+                kind = part.column("class").to_numpy(zero_copy_only=False)[d].astype(np.int64)
+                n = np.bincount(which * classes + kind, minlength=len(h) * classes).reshape(-1, classes)
+                found.append((h, H.span_array(data, a[at], b[at]), n))
+            if not found:
+                continue
+            hashes, spelt, counts = zip(*found)
+            h, one, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            total = np.zeros((len(h), classes), np.int64)
+            np.add.at(total, which, np.concatenate(counts))
+            yield pa.record_batch([pa.concat_arrays(spelt).take(pa.array(one)), pa.array(h.view(np.int64)), *(pa.array(total[:, k].copy()) for k in range(classes))],
+                                  ["word", "hash", *names])
+
+    counted = rows.select("text", "class").mapInArrow(run, f"word binary, hash long, {', '.join(c + ' long' for c in names)}")
+    return counted.groupBy("word", "hash").agg(*(F.sum(c).alias(c) for c in names))
 
 
 @dataclass
-class Tables:
-    """Log-likelihood ratio of frequent beginnings and whole words (with a
-    blank at the end), by hash; weights: intercept and features."""
+class Model:
+    """``counts``: (word, toxic, plain) of the training rows; ``weights``:
+    intercept and features of the calibration."""
 
-    nodes: np.ndarray
-    ratio: np.ndarray
+    counts: DataFrame
     weights: np.ndarray
 
 
-@dataclass
-class Model:
-    """``table``: the step's log-likelihood ratio r of every node; ``cache``:
-    the frequent ones, ``whole`` if there are no others."""
-
-    cache: Tables
-    table: DataFrame
-    whole: bool
-
-
-def _beginnings(word: str) -> Column:
-    """The nodes of a word: its beginnings up to DEPTH and, with a blank, the whole of it."""
-    steps = F.transform(F.sequence(F.lit(2), F.lit(DEPTH)), lambda k: F.when(k <= F.length(word), F.substring(word, F.lit(1), k)))
-    return F.array_append(F.array_compact(steps), F.concat(word, F.lit(b" ")))
-
-
-def fit_tables(rows: DataFrame, table: int = TABLE) -> Model | None:
-    """Model from labelled rows, without calibration; None if a class is missing."""
-    counts = written(word_counts(rows), "words")
-    n = counts.agg(F.sum("toxic").alias("t"), F.sum("plain").alias("p")).first()
-    if not n["t"] or not n["p"]:
-        return None
-    nodes = (counts.select(F.explode(_beginnings("word")).alias("node"), "toxic", "plain")
-             .groupBy("node").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.count("*").alias("types")))
-    length = F.length("node")
-    ended = F.substring("node", length, F.lit(1)) == F.lit(b" ")
-    up = F.when(ended, F.least(length - 1, F.lit(DEPTH))).otherwise(length - 1)
-    nodes = written(nodes.withColumn("parent", F.substring("node", F.lit(1), F.when(up < 2, 0).otherwise(up))), "nodes")
-    left = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
-    contexts = nodes.groupBy("parent").agg(
-        F.sum(left("toxic")).alias("mt"), F.sum(left("plain")).alias("mp"), F.count("*").alias("kinds"),
-        F.sum(F.col("toxic") + F.col("plain")).alias("n"), F.sum("types").alias("all_types"))
-    back = F.col("kinds") * DISCOUNT / F.col("n")
-    shared = F.col("types") / F.col("all_types")
-
-    def chance(c, mass):
-        return F.when(F.col(mass) > 0, (1 - back) * left(c) / F.col(mass) + back * shared).otherwise(shared)
-
-    frequent = (F.col("toxic") * table >= n["t"]) | (F.col("plain") * table >= n["p"])
-    rated = nodes.join(contexts, "parent").select(
-        "node", "parent", (F.log(chance("toxic", "mt")) - F.log(chance("plain", "mp"))).alias("r"), frequent.alias("frequent"))
-    rated = written(rated, "rated")
-    got = rated.where("frequent").toArrow()  # with a node its parent is frequent too
-    total = {b"": 0.0}
-    rows = zip(*(got[c].to_pylist() for c in ("node", "parent", "r")))
-    for node, parent, r in sorted(rows, key=lambda x: (len(x[0]), x[0])):
-        total[node] = total.get(parent, 0.0) + r
-    names = sorted(total)[1:]
-    ends = np.cumsum([len(x) for x in names])
-    h = H.span_hashes(np.frombuffer(b"".join(names), np.uint8), ends - [len(x) for x in names], ends)
+def _left(count: Column) -> Column:
+    return F.greatest(count - DISCOUNT, F.lit(0.0))
+
+
+class _Sums:
+    """Sums over a context's steps: discounted counts of both classes, kinds of
+    steps, counts, and different words."""
+
+    NAMES = ["mass_t", "mass_p", "kinds", "all_counts", "all_types"]
+
+    @staticmethod
+    def of(toxic: Column, plain: Column, types: Column, there: Column) -> list[Column]:
+        """What one step adds; nothing where it isn't ``there``."""
+        there = there & (toxic + plain > 0)
+        return [F.when(there, v).otherwise(0.0) for v in (_left(toxic), _left(plain), F.lit(1.0), (toxic + plain).cast("double"), types.cast("double"))]
+
+    @staticmethod
+    def ratio(toxic: Column, plain: Column, types: Column) -> Column:
+        """Log-likelihood ratio of a step in the context whose sums are at hand."""
+        mass_t, mass_p, kinds, n, all_types = map(F.col, _Sums.NAMES)
+        back = kinds * DISCOUNT / n
+        shared = types / all_types
+
+        def chance(count, mass):
+            return F.when(mass > 0, (1 - back) * _left(count) / mass + back * shared).otherwise(shared)
+
+        r = F.log(chance(toxic, mass_t)) - F.log(chance(plain, mass_p))
+        return F.when(toxic + plain > 0, r).otherwise(0.0)
+
+
+def _climbed(rows: DataFrame, low: int, high: int, whole: range) -> DataFrame:
+    """``rows`` (word, b{low}, size, toxic, plain, types) with ``ratio``: the sum
+    of the steps from the beginning of ``low`` bytes to those of up to ``high``,
+    and of the step that ends the word if its context's length (the word's own,
+    DEPTH at most) is in ``whole``. Dealt by the first ``low`` bytes; a word may
+    have a row with its counts and others without."""
+    size = F.col("size")
+    place = {k: F.col(f"b{k}") for k in range(low, high + 1)}
+    rows = rows.withColumns({f"b{k}": F.substring("word", 1, k) for k in range(low + 1, high + 1)}).withColumn("ratio", F.lit(0.0))
+    columns = {k: [f"b{j}" for j in range(low, k + 1)] for k in place}
+    order = Window.partitionBy(f"b{low}").orderBy(*columns[high][1:], "word")
+    # the first row of each beginning stands for it in its context's sums
+    rows = rows.withColumns({f"first{k}": (size >= k) & ~F.coalesce(F.lag(f"b{k}").over(order) == place[k], F.lit(False))
+                             for k in range(low + 1, high + 1)})
+    for k in range(low + 1, high + 1):
+        rows = rows.withColumns({f"{c}{k}": F.sum(c).over(Window.partitionBy(*columns[k])) for c in COUNTS})
+    rows = rows.withColumns({f"{c}_own": F.sum(c).over(Window.partitionBy(*columns[high], "word")) for c in COUNTS})
+
+    def counts(k):
+        return [F.col(f"{c}{k}") for c in COUNTS]
+
+    for m in range(low, max(high, whole[-1] + 1)):
+        ends = (F.least(size, F.lit(DEPTH)) == m) if m in whole else F.lit(False)
+        steps = _Sums.of(*map(F.col, COUNTS), ends)
+        if m < high:
+            steps = [a + b for a, b in zip(steps, _Sums.of(*counts(m + 1), F.col(f"first{m + 1}")))]
+        over = Window.partitionBy(*columns[min(m, high)])
+        rows = rows.withColumns({c: F.sum(s).over(over) for s, c in zip(steps, _Sums.NAMES)})
+        step = F.when(ends, _Sums.ratio(*(F.col(f"{c}_own") for c in COUNTS))).otherwise(0.0)
+        if m < high:
+            step = step + F.when(size > m, _Sums.ratio(*counts(m + 1))).otherwise(0.0)
+        rows = rows.withColumn("ratio", F.col("ratio") + step)
+    return rows
+
+
+def rated(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(hash, n, ratio) of the words ``asked`` (word, hash, n) by the model of
+    ``counts`` (word, toxic, plain)."""
+    none = F.lit(0).cast("long")
+    near = F.substring("word", 1, NEAR)
+    both = (counts.select("word", "toxic", "plain", none.alias("hash"), none.alias("n"))
+            .unionAll(asked.select("word", none.alias("toxic"), none.alias("plain"), "hash", "n"))
+            .withColumn("types", (F.col("toxic") + F.col("plain") > 0).cast("long")))
+    # beginnings of up to NEAR bytes: a row for each, words shorter than that among them
+    upper = both.groupBy(near.alias("word")).agg(*(F.sum(c).alias(c) for c in COUNTS))
+    upper = upper.withColumn("size", F.length("word")).withColumn("b2", F.substring("word", 1, 2)).repartition("b2")
+    upper = _climbed(upper, 2, NEAR, range(2, NEAR))
+    upper = written(upper.select("word", "b2", "ratio", *(F.sum(c).over(Window.partitionBy("b2")).alias(c) for c in COUNTS)), "toxic-upper")
+    # the empty beginning goes on with each first pair of bytes, or with a word of one byte
+    heads = upper.groupBy("b2").agg(*(F.first(c).alias(c) for c in COUNTS))
+    sums = heads.agg(*(F.sum(s).alias(c) for s, c in zip(_Sums.of(*map(F.col, COUNTS), F.lit(True)), _Sums.NAMES)))
+    upper = upper.crossJoin(F.broadcast(sums)).select(  # one row of sums
+        F.col("word").alias("b4"), (F.col("ratio") + _Sums.ratio(*map(F.col, COUNTS))).alias("upper"))
+    upper = written(upper, "toxic-upper")
+    lower = both.withColumn("size", F.length("word")).withColumn("b4", near).repartition("b4")
+    lower = _climbed(lower, NEAR, DEPTH, range(NEAR, DEPTH + 1)).where("n > 0")
+    # single precision, so that sums of some of them are the same in any order
+    ratio = (F.col("upper") + F.when(F.col("size") >= NEAR, F.col("ratio")).otherwise(0.0)).cast("float")
+    return written(lower.select("b4", "hash", "n", "size", "ratio").join(lookup(upper), "b4")
+                   .select("hash", "n", ratio.alias("ratio")), "toxic-ratios")
+
+
+def _cached(ratios: DataFrame, most: int) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame | None]:
+    """Hashes and ratios of the most frequent words, ``most`` at most; and the
+    (hash, ratio) of the others, if there are any."""
+    level = F.when(F.col("n") < 64, F.col("n")).otherwise(64 + F.floor(F.log2("n")))  # 128 levels at most
+    sizes = ratios.groupBy(level.cast("int").alias("level")).count().orderBy(F.desc("level")).collect()
+    cut, total = 1 << 30, 0
+    for r in sizes:
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["level"]
+    got = ratios.where(level >= cut).select("hash", "ratio").toArrow()
+    h, r = got["hash"].to_numpy().view(U), got["ratio"].to_numpy()
     order = np.argsort(h)
-    cache = Tables(h[order], np.array([total[x] for x in names])[order], np.zeros(4))
-    return Model(cache, rated.select("node", "r"), not rated.where(~F.col("frequent")).limit(1).count())
-
-
-def _ratios(data: np.ndarray, a: np.ndarray, b: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
-    """Ratio of each word, that of its longest beginning in the cache, and
-    whether that is the word itself, so that no other node matters."""
-    out, settled = np.zeros(len(a)), np.zeros(len(a), bool)
-    if not len(t.nodes) or not len(a):
-        return out, settled
-    n = b - a
-    shape = np.empty(int((n + 1).sum()), np.uint8)  # the words, each with a blank after it
-    ends = np.cumsum(n + 1)
-    begins = ends - n - 1
-    shape[ends - 1] = 32
-    inner = np.ones(len(shape), bool)
-    inner[ends - 1] = False
-    shape[inner] = data[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    open_ = np.arange(len(a))
-    for k in (None, *range(DEPTH, 1, -1)):
-        stop = ends[open_] if k is None else begins[open_] + k
-        fits = open_ if k is None else open_[n[open_] >= k]
-        if k is not None:
-            stop = begins[fits] + k
-        if not len(fits):
-            continue
-        h = H.span_hashes(shape, begins[fits], stop)
-        pos = np.minimum(np.searchsorted(t.nodes, h), len(t.nodes) - 1)
-        hit = t.nodes[pos] == h
-        out[fits[hit]] = t.ratio[pos[hit]]
-        done = np.zeros(len(a), bool)
-        done[fits[hit]] = True
-        if k is None:
-            settled = done
-        open_ = open_[~done[open_]]
-    return out, settled
-
-
-def open_words(rows: DataFrame, cache: Tables) -> DataFrame:
-    """(body, word, hash) of the texts' distinct words that the cache doesn't
-    settle; rows: body, text."""
-    shared = rows.sparkSession.sparkContext.broadcast(cache)
+    return (h[order], r[order]), (ratios.where(level < cut).select("hash", "ratio") if total > most else None)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in H.slices(batch, "text"):
-                data, a, b, d = words(part.column("text"))
-                if not len(a):
-                    continue
-                h, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
-                rare = np.flatnonzero(~_ratios(data, a[at], b[at], shared.value)[1][which])
-                _, first = np.unique(d[rare] * len(h) + which[rare], return_index=True)
-                rare = rare[first]
-                raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    part.column("body").take(pa.array(d[rare])), pa.array([raw[s:e] for s, e in zip(a[rare].tolist(), b[rare].tolist())], pa.binary()),
-                    pa.array(h[which[rare]].view(np.int64))], names=["body", "word", "hash"])
-
-    return rows.select("body", "text").mapInArrow(run, "body long, word binary, hash long")
-
-
-def with_rare(rows: DataFrame, model: Model, column: str) -> DataFrame:
-    """``rows`` (text and others) with the (hash, ratio) of those words of the
-    text that the cache doesn't settle, from the whole table by joins."""
-    if model.whole:
-        return rows.withColumn(column, F.lit(None).cast("array<struct<hash:long,ratio:double>>"))
-    body = free_name(rows, "body_of_text")
-    rows = rows.withColumn(body, F.xxhash64("text"))
-    found = written(open_words(rows.select(F.col(body).alias("body"), "text"), model.cache), "open")
-    steps = (found.select("word").distinct().select("word", F.explode(_beginnings("word")).alias("node")).join(model.table, "node")
-             .groupBy("word").agg(F.sort_array(F.collect_list(F.struct(F.length("node").alias("n"), "r"))).alias("steps")))
-    ratio = F.aggregate("steps", F.lit(0.0), lambda total, s: total + s["r"]).alias("ratio")
-    rated = written(steps.select("word", ratio), "ratios")
-    rare = found.join(rated, "word").groupBy(F.col("body").alias(body)).agg(F.collect_set(F.struct("hash", "ratio")).alias(column))
-    return rows.join(rare, body, "left").drop(body)
-
-
-def evidence(column: pa.Array, t: Tables, rare: pa.Array) -> np.ndarray:
-    """Rows of (strongest window's mean, mean, sum by root of length)
-    log-likelihood ratio; rare: what ``with_rare`` found."""
+
+def _summed(column: pa.Array, cache: tuple[np.ndarray, np.ndarray]) -> list[pa.Array]:
+    """Of each text: its number of words, the sum of the known ratios, the best
+    mean of a window without rare words, and the stretches of the windows with
+    some: ratios (NaN for rare words), and the rare words' places and hashes."""
     data, a, b, d = words(column)
     n_docs = len(column)
-    out = np.zeros((n_docs, 3))
-    if not len(a):
-        return out
-    h, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
-    ratio = _ratios(data, a[at], b[at], t)[0]
-    listed = rare.flatten()  # a word's ratio is the same in each text
-    if len(listed):
-        known, first = np.unique(listed.field("hash").to_numpy().view(U), return_index=True)
-        pos = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        hit = known[pos] == h
-        ratio[hit] = listed.field("ratio").to_numpy()[first[pos[hit]]]
-    ratio = ratio[which]
+    h = H.span_hashes(data, a, b)
+    known, ratios = cache
+    pos = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+    hit = known[pos] == h if len(known) else np.zeros(len(h), bool)
+    ratio = np.where(hit, ratios[pos], np.float32(np.nan)).astype(np.float32) if len(known) else np.full(len(h), np.nan, np.float32)
     n = np.bincount(d, minlength=n_docs)
-    total = np.concatenate([[0], np.cumsum(ratio)])
-    some = np.flatnonzero(n)
     end = np.cumsum(n)
     start = end - n
-    out[some, 1] = (total[end[some]] - total[start[some]]) / n[some]
-    out[some, 2] = out[some, 1] * np.sqrt(n[some])
-    place = np.arange(len(a))
+    total = np.concatenate([[0], np.cumsum(np.where(hit, ratio, 0).astype(float))])
+    lost = np.concatenate([[0], np.cumsum(~hit)])
+    place = np.arange(len(h))
     stop = np.minimum(place + WINDOW, end[d])
     inside = (stop - place == WINDOW) | (place == start[d])
-    mean = np.where(inside, (total[stop] - total[place]) / np.minimum(WINDOW, n[d]), -np.inf)
-    out[some, 0] = np.maximum.reduceat(mean, start[some])
-    return out
-
-
-def _pieces(text: pa.Array, rare: pa.Array, t: Tables) -> np.ndarray:
-    batch = pa.record_batch([text, rare], ["t", "rare"])
-    parts = [evidence(p.column(0), t, p.column(1)) for p in H.slices(batch, "t")]
-    return np.concatenate(parts) if parts else np.zeros((0, 3))
-
-
-def evidence_of(text: Column, rare: Column, tables: Tables, spark) -> Column:
-    """Struct (window, whole, root) of each text."""
-    shared = spark.sparkContext.broadcast(tables)
-
-    @F.arrow_udf("window double, whole double, root double")
-    def run(column: pa.Array, listed: pa.Array) -> pa.Array:
-        both = _pieces(column, listed, shared.value)
-        return pa.StructArray.from_arrays([pa.array(both[:, i].copy()) for i in range(3)], FEATURES)
+    bare = lost[stop] > lost[place]
+    mean = np.where(inside & ~bare, (total[stop] - total[place]) / np.minimum(WINDOW, n[d]), -np.inf)
+    best = np.full(n_docs, -np.inf)
+    some = np.flatnonzero(n)
+    if len(some):
+        best[some] = np.maximum.reduceat(mean, start[some])
+    open_ = inside & bare
+    cover = np.zeros(len(h) + 1, np.int64)
+    np.add.at(cover, place[open_], 1)
+    np.add.at(cover, stop[open_], -1)
+    sa, sb = H._split_runs(np.cumsum(cover[:-1]) > 0, np.append(start, len(h)))
+    lens = sb - sa
+    ends = np.concatenate([[0], np.cumsum(lens)])
+    at = np.repeat(sa - ends[:-1], lens) + np.arange(ends[-1])
+    rare = np.flatnonzero(~hit)
+    of = np.searchsorted(sa, rare, "right") - 1
+    gaps = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(sa)))]), pa.int32())
+    stretches = pa.StructArray.from_arrays([
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ratio[at])),
+        pa.ListArray.from_arrays(gaps, pa.array((rare - sa[of]).astype(np.int32))),
+        pa.ListArray.from_arrays(gaps, pa.array(h[rare].view(np.int64)))], ["ratios", "at", "hash"])
+    per_doc = np.concatenate([[0], np.cumsum(np.bincount(d[sa], minlength=n_docs))]) if len(sa) else np.zeros(n_docs + 1, np.int64)
+    sums = total[end] - total[start]
+    return [pa.array(n), pa.array(sums), pa.array(best), pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), stretches)]
+
+
+STRETCHES = "array<struct<ratios:array<float>,at:array<int>,hash:array<long>>>"
+
+
+@F.arrow_udf(T.StructType([T.StructField("total", T.DoubleType()), T.StructField("best", T.DoubleType())]))
+def _completed(stretches: pa.Array, rare: pa.Array) -> pa.Array:
+    """Sum of the rare words' ratios and the best window of the stretches."""
+    totals, bests = [], []
+    for parts, found in zip(stretches.to_pylist(), rare.to_pylist()):
+        total, best = 0.0, -np.inf
+        values = [np.array(p["ratios"], float) for p in parts or []]
+        for f in sorted(found or [], key=lambda f: (f["part"], f["at"])):
+            values[f["part"]][f["at"]] = f["ratio"]
+            total += f["ratio"]
+        for v in values:
+            sums = np.concatenate([[0], np.cumsum(v)])
+            w = min(WINDOW, len(v))
+            best = max(best, float(((sums[w:] - sums[:-w]) / w).max()))
+        totals.append(total)
+        bests.append(best)
+    return pa.StructArray.from_arrays([pa.array(totals, pa.float64()), pa.array(bests, pa.float64())], ["total", "best"])
+
+
+def evidence(rows: DataFrame, counts: DataFrame, cache: int | None = None) -> DataFrame:
+    """``rows`` without their ``text``, with struct column ``evidence`` (window,
+    whole, root) by the model of ``counts``."""
+    asked = written(word_sums(rows.select("text", F.lit(0).alias("class")), 1).withColumnRenamed("n0", "n"), "toxic-asked")
+    ratios = rated(counts, asked)
+    forget(asked)
+    table, rest = _cached(ratios, CACHE if cache is None else cache)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+    kept = [c for c in rows.columns if c != "text"]
+    names = [f"c{i}" for i in range(len(kept))]
+    kinds = [f.dataType.simpleString() for f in rows.select(*kept).schema] if kept else []
 
-    return run(text, rare)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in H.slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *_summed(part.column("text"), shared.value)],
+                                                 names=[*names, "n", "total", "best", "stretches"])
+
+    schema = "".join(f"{c} {k}, " for c, k in zip(names, kinds)) + f"n long, total double, best double, stretches {STRETCHES}"
+    known = written(rows.select(*(F.col(c).alias(a) for c, a in zip(kept, names)), F.col("text").cast("string").alias("text"))
+                    .mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "toxic-known")
+    if rest is not None:
+        asking = (known.select("row", F.posexplode("stretches").alias("part", "s"))
+                  .select("row", "part", F.explode(F.arrays_zip("s.at", "s.hash")).alias("z")).select("row", "part", "z.at", "z.hash"))
+        answers = (asking.join(rest, "hash").groupBy("row")
+                   .agg(F.collect_list(F.struct("part", "at", "ratio")).alias("rare")))
+        known = (known.join(answers, "row", "left").withColumn("more", _completed("stretches", "rare"))
+                 .withColumn("total", F.col("total") + F.col("more.total")).withColumn("best", F.greatest("best", "more.best")))
+    n = F.col("n")
+    whole = F.when(n > 0, F.col("total") / n).otherwise(0.0)
+    found = F.struct(F.when(n > 0, F.col("best")).otherwise(0.0).alias("window"), whole.alias("whole"), (whole * F.sqrt(n)).alias("root"))
+    return known.select(*(F.col(a).alias(c) for c, a in zip(kept, names)), found.alias("evidence"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, turns: int = 50, ridge: float = 1e-3) -> np.ndarray:
@@ -301,54 +341,38 @@ def logistic(x: np.ndarray, y: np.ndarray, turns: int = 50, ridge: float = 1e-3)
     return w
 
 
-def train(labelled: DataFrame, table: int = TABLE) -> Model | float:
+def train(labelled: DataFrame) -> Model | float:
     """Model from rows (key, text, label 0/1). A sample of a quarter of the
     rows, about MAX_CALIBRATION at most, calibrates a model of the others; then
-    all rows are counted. Returns the label's share if a class is missing."""
-    usable = labelled.where(F.col("label").isin(0, 1))
+    all rows count. Returns the label's share if a class is missing."""
+    usable = labelled.where(F.col("label").isin(0, 1)).select("key", "text", F.col("label").cast("int").alias("label"))
     part = spread(F.lit("calibrate"), F.col("key").cast("string"))
     rows = usable.where(part % 4 == 0).count()
     share = max(1, -(-rows // MAX_CALIBRATION))
     aside = (part % 4 == 0) & (F.floor(part / 4) % share == 0)
-    model = fit_tables(usable.where(~aside), table)
-    if model is None:
+    sums = written(word_sums(usable.select("text", (F.col("label") + F.when(aside, 2).otherwise(0)).alias("class")), 4), "toxic-counts")
+    n = sums.agg(*(F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}") for k in range(4))).first()
+    every = sums.select("word", (F.col("n1") + F.col("n3")).alias("toxic"), (F.col("n0") + F.col("n2")).alias("plain"))
+    if not n["n1"] + n["n3"] or not n["n0"] + n["n2"]:
         return float(usable.agg(F.avg("label")).first()[0] or 0.0)
-    sample = with_rare(usable.where(aside).select("label", "text"), model, "rare")
-    got = (sample.select("label", evidence_of(F.col("text"), F.col("rare"), model.cache, labelled.sparkSession).alias("e"))
-           .select("label", "e.*").toArrow().to_pandas().sort_values(["label", *FEATURES]))
-    y = got["label"].to_numpy(float)
-    known = len(y) and 0 < y.mean() < 1
-    weights = logistic(got[FEATURES].to_numpy(float), y) if known else np.array([-2.0, 2.0, 0.0, 0.0])
-    model = fit_tables(usable, table)
-    model.cache.weights = weights
-    return model
-
-
-def _score(text: Column, rare: Column, model: Model, spark) -> Column:
-    shared = spark.sparkContext.broadcast(model.cache)
-
-    @F.arrow_udf("double")
-    def run(column: pa.Array, listed: pa.Array) -> pa.Array:
-        w = shared.value.weights
-        return pa.array(1 / (1 + np.exp(-np.clip(w[0] + _pieces(column, listed, shared.value) @ w[1:], -35, 35))))
-
-    return run(text, rare)
-
-
-def score(text: Column, model: Model | float, spark) -> Column:
-    """Probability that a text is toxic (double in 0..1), by a model that the
-    cache holds whole; ``score_rows`` takes any."""
-    if isinstance(model, float):
-        return F.lit(model)
-    if not model.whole:
-        raise ValueError("the model has nodes outside the cache: use score_rows")
-    return _score(text, F.lit(None).cast("array<struct<hash:long,ratio:double>>"), model, spark)
-
-
-def score_rows(rows: DataFrame, model: Model | float, result: str) -> DataFrame:
-    """``rows`` (text and others) with the probability that the text is toxic."""
+    weights = np.array([-2.0, 2.0, 0.0, 0.0])
+    if n["n1"] and n["n0"]:
+        others = sums.where(F.col("n0") + F.col("n1") > 0).select("word", F.col("n1").alias("toxic"), F.col("n0").alias("plain"))
+        got = (evidence(usable.where(aside).select("label", "text"), others).select("label", "evidence.*")
+               .toArrow().to_pandas().sort_values(["label", *FEATURES]))
+        y = got["label"].to_numpy(float)
+        if len(y) and 0 < y.mean() < 1:
+            weights = logistic(got[FEATURES].to_numpy(float), y)
+    return Model(every, weights)
+
+
+def score_rows(rows: DataFrame, model: Model | float, result: str, cache: int | None = None) -> DataFrame:
+    """``rows`` without their ``text``, with the probability (double in 0..1)
+    that the text is toxic as column ``result``."""
     if isinstance(model, float):
-        return rows.withColumn(result, F.lit(model))
-    rare = free_name(rows, "rare_of_text")
-    found = with_rare(rows, model, rare)
-    return found.withColumn(result, _score(F.col("text"), F.col(rare), model, rows.sparkSession)).drop(rare)
+        return rows.drop("text").withColumn(result, F.lit(model))
+    w = [F.lit(float(x)) for x in model.weights]
+    found = evidence(rows, model.counts, cache)
+    logit = w[0] + sum((x * F.col(f"evidence.{c}") for x, c in zip(w[1:], FEATURES)), F.lit(0.0))
+    clipped = F.greatest(F.lit(-35.0), F.least(F.lit(35.0), logit))
+    return found.withColumn(result, 1 / (1 + F.exp(-clipped))).drop("evidence")
