@@ -24,11 +24,13 @@ How it runs:
 1. All labelled training rows are counted, so what is gathered grows with the
    input: words are counted within batches, then summed by a shuffle.
 2. The distinct words of the texts to score are counted in the same way.
-3. Both lists are dealt by a word's first NEAR bytes. A task has them sorted,
-   so all words that share a longer beginning follow each other, and windows
-   over them give every beginning's counts, the sums of its steps, and each
-   word's ratio, whether it was seen in training or not; nothing is exploded or
-   joined. Beginnings up to NEAR bytes come from a table of one row each.
+3. A word is known by its hash and its first DEPTH bytes, one number. Counts
+   are rolled up to the beginnings of 8, 6, 4 and 2 bytes. From the top down,
+   the beginnings of two more bytes are dealt by the shorter one, so a group has
+   at most as many rows as there are pairs of bytes, and a task rates all steps
+   of its groups with numpy; the steps that end longer words need only sums
+   over each 8-byte beginning. Every word asked for, seen in training or not,
+   gets the sum of its steps.
 4. The ratios of the most frequent words (CACHE at most) are broadcast. A pass
    over the texts adds up their words' ratios. Of the other, rare words only
    the stretches around them leave the texts: their neighbours' ratios and
@@ -52,22 +54,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoscore.llm import hashing as H
-from geoscore.llm.common import forget, lookup, spread, written
+from geoscore.llm.common import forget, lookup, shuffle_partitions, spread, written
 
 U = np.uint64
 CACHE = 1 << 21
 DISCOUNT = 0.9
 DEPTH = 8
-NEAR = 4
 WINDOW = 8
 MAX_CALIBRATION = 40_000
 FEATURES = ["window", "whole", "root"]
 COUNTS = ["toxic", "plain", "types"]
+SUMS = ["mass_t", "mass_p", "kinds", "all_counts", "all_types"]
+TIER_ROWS = 1 << 18  # rows of beginnings in a task
 
 _LETTER = np.zeros(256, bool)
 for _lo, _hi in ((65, 91), (97, 123), (128, 256)):
@@ -81,9 +84,19 @@ def words(column: pa.Array):
     return H.LOWER[data], starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
+def packed(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first DEPTH bytes of each word as one number, padded with zeros."""
+    out = np.zeros(len(a), U)
+    for k in range(DEPTH):
+        at = np.minimum(a + k, len(data) - 1)
+        out = (out << U(8)) | np.where(a + k < b, data[at], 0).astype(U)
+    return out
+
+
 def word_sums(rows: DataFrame, classes: int) -> DataFrame:
-    """(word, hash, n0, n1...): how often each word occurs in the texts of each
-    class; rows: text, class. Added up within a batch of texts first."""
+    """(hash, head, long, n0, n1...): how often each word occurs in the texts of
+    each class; head: its first DEPTH bytes, long: whether it has that many or
+    more; rows: text, class. Added up within a batch of texts first."""
     names = [f"n{k}" for k in range(classes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,119 +107,162 @@ def word_sums(rows: DataFrame, classes: int) -> DataFrame:
                 h, at, which = np.unique(H.span_hashes(data, a, b), return_index=True, return_inverse=True)
                 kind = part.column("class").to_numpy(zero_copy_only=False)[d].astype(np.int64)
                 n = np.bincount(which * classes + kind, minlength=len(h) * classes).reshape(-1, classes)
-                found.append((h, H.span_array(data, a[at], b[at]), n))
+                found.append((h, packed(data, a[at], b[at]), (b - a)[at] >= DEPTH, n))
             if not found:
                 continue
-            hashes, spelt, counts = zip(*found)
-            h, one, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-            total = np.zeros((len(h), classes), np.int64)
-            np.add.at(total, which, np.concatenate(counts))
-            yield pa.record_batch([pa.concat_arrays(spelt).take(pa.array(one)), pa.array(h.view(np.int64)), *(pa.array(total[:, k].copy()) for k in range(classes))],
-                                  ["word", "hash", *names])
+            h, head, long, n = map(np.concatenate, zip(*found))
+            h, one, which = np.unique(h, return_index=True, return_inverse=True)
+            total = [np.bincount(which, weights=n[:, k], minlength=len(h)).astype(np.int64) for k in range(classes)]
+            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(head[one].view(np.int64)), pa.array(long[one]), *map(pa.array, total)],
+                                  ["hash", "head", "long", *names])
 
-    counted = rows.select("text", "class").mapInArrow(run, f"word binary, hash long, {', '.join(c + ' long' for c in names)}")
-    return counted.groupBy("word", "hash").agg(*(F.sum(c).alias(c) for c in names))
+    counted = rows.select("text", "class").mapInArrow(run, f"hash long, head long, long boolean, {', '.join(c + ' long' for c in names)}")
+    return counted.groupBy("hash", "head", "long").agg(*(F.sum(c).alias(c) for c in names))
 
 
 @dataclass
 class Model:
-    """``counts``: (word, toxic, plain) of the training rows; ``weights``:
-    intercept and features of the calibration."""
+    """``counts``: (hash, head, long, toxic, plain) of the training rows' words;
+    ``weights``: intercept and features of the calibration."""
 
     counts: DataFrame
     weights: np.ndarray
 
 
-def _left(count: Column) -> Column:
-    return F.greatest(count - DISCOUNT, F.lit(0.0))
+def _ratio(toxic, plain, types, mass_t, mass_p, kinds, n, all_types, lib):
+    """Log-likelihood ratio of a step with these counts, in a context with
+    these sums over its steps: discounted counts of both classes, kinds of
+    steps, counts, different words. ``lib``: where, log, maximum."""
+    back = kinds * DISCOUNT / n
+    shared = types / all_types
 
+    def chance(count, mass):
+        kept = (1 - back) * lib.maximum(count - DISCOUNT, 0.0) / lib.where(mass > 0, mass, 1.0)
+        return lib.where(mass > 0, kept + back * shared, shared)
 
-class _Sums:
-    """Sums over a context's steps: discounted counts of both classes, kinds of
-    steps, counts, and different words."""
+    return lib.log(chance(toxic, mass_t)) - lib.log(chance(plain, mass_p))
 
-    NAMES = ["mass_t", "mass_p", "kinds", "all_counts", "all_types"]
+
+class _Columns:
+    """``_ratio`` over Spark columns."""
 
     @staticmethod
-    def of(toxic: Column, plain: Column, types: Column, there: Column) -> list[Column]:
-        """What one step adds; nothing where it isn't ``there``."""
-        there = there & (toxic + plain > 0)
-        return [F.when(there, v).otherwise(0.0) for v in (_left(toxic), _left(plain), F.lit(1.0), (toxic + plain).cast("double"), types.cast("double"))]
+    def where(test, yes, no):
+        return F.when(test, yes).otherwise(no)
 
     @staticmethod
-    def ratio(toxic: Column, plain: Column, types: Column) -> Column:
-        """Log-likelihood ratio of a step in the context whose sums are at hand."""
-        mass_t, mass_p, kinds, n, all_types = map(F.col, _Sums.NAMES)
-        back = kinds * DISCOUNT / n
-        shared = types / all_types
-
-        def chance(count, mass):
-            return F.when(mass > 0, (1 - back) * _left(count) / mass + back * shared).otherwise(shared)
-
-        r = F.log(chance(toxic, mass_t)) - F.log(chance(plain, mass_p))
-        return F.when(toxic + plain > 0, r).otherwise(0.0)
-
-
-def _climbed(rows: DataFrame, low: int, high: int, whole: range) -> DataFrame:
-    """``rows`` (word, b{low}, size, toxic, plain, types) with ``ratio``: the sum
-    of the steps from the beginning of ``low`` bytes to those of up to ``high``,
-    and of the step that ends the word if its context's length (the word's own,
-    DEPTH at most) is in ``whole``. Dealt by the first ``low`` bytes; a word may
-    have a row with its counts and others without."""
-    size = F.col("size")
-    place = {k: F.col(f"b{k}") for k in range(low, high + 1)}
-    rows = rows.withColumns({f"b{k}": F.substring("word", 1, k) for k in range(low + 1, high + 1)}).withColumn("ratio", F.lit(0.0))
-    columns = {k: [f"b{j}" for j in range(low, k + 1)] for k in place}
-    order = Window.partitionBy(f"b{low}").orderBy(*columns[high][1:], "word")
-    # the first row of each beginning stands for it in its context's sums
-    rows = rows.withColumns({f"first{k}": (size >= k) & ~F.coalesce(F.lag(f"b{k}").over(order) == place[k], F.lit(False))
-                             for k in range(low + 1, high + 1)})
-    for k in range(low + 1, high + 1):
-        rows = rows.withColumns({f"{c}{k}": F.sum(c).over(Window.partitionBy(*columns[k])) for c in COUNTS})
-    rows = rows.withColumns({f"{c}_own": F.sum(c).over(Window.partitionBy(*columns[high], "word")) for c in COUNTS})
-
-    def counts(k):
-        return [F.col(f"{c}{k}") for c in COUNTS]
-
-    for m in range(low, max(high, whole[-1] + 1)):
-        ends = (F.least(size, F.lit(DEPTH)) == m) if m in whole else F.lit(False)
-        steps = _Sums.of(*map(F.col, COUNTS), ends)
-        if m < high:
-            steps = [a + b for a, b in zip(steps, _Sums.of(*counts(m + 1), F.col(f"first{m + 1}")))]
-        over = Window.partitionBy(*columns[min(m, high)])
-        rows = rows.withColumns({c: F.sum(s).over(over) for s, c in zip(steps, _Sums.NAMES)})
-        step = F.when(ends, _Sums.ratio(*(F.col(f"{c}_own") for c in COUNTS))).otherwise(0.0)
-        if m < high:
-            step = step + F.when(size > m, _Sums.ratio(*counts(m + 1))).otherwise(0.0)
-        rows = rows.withColumn("ratio", F.col("ratio") + step)
-    return rows
+    def maximum(x, y):
+        return F.greatest(x, F.lit(y))
+
+    log = staticmethod(F.log)
+
+
+def _cut(head, k: int):
+    """The first ``k`` of DEPTH bytes."""
+    return head & U(((1 << 8 * k) - 1) << 8 * (DEPTH - k))
+
+
+def _steps(head: np.ndarray, counts: np.ndarray, base: np.ndarray, low: int, high: int) -> np.ndarray:
+    """``base`` plus the ratios of the steps from ``low`` bytes to ``high``, and
+    of the step that ends a word of fewer bytes than ``high``. ``head``: the
+    beginnings of ``high`` bytes and shorter words, ``counts``: their (toxic,
+    plain, types), all of them that share their first ``low`` bytes."""
+    size = sum((_cut(head, k) != _cut(head, k - 1)).astype(np.int64) for k in range(1, high + 1))
+    out = base.copy()
+    seen = counts[:, 0] + counts[:, 1] > 0
+    for m in range(low, high):
+        if m == 1:
+            continue  # words start with two bytes at once, or one
+        deeper = m + 1 if m else 2
+        inner = size >= deeper
+        ends = (size == m) if m else (size == 1)
+        node, at = np.unique(_cut(head[inner], deeper), return_inverse=True)
+        sums = np.stack([np.bincount(at, weights=counts[inner, c], minlength=len(node)) for c in range(3)], 1)
+        last = ends & seen
+        # a context's steps: the longer beginnings, and the end of the word itself
+        parent = np.concatenate([_cut(node, m), _cut(head[last], m)])
+        step = np.concatenate([sums, counts[last]])
+        there = step[:, 0] + step[:, 1] > 0
+        parent, step = parent[there], step[there]
+        context, of = np.unique(parent, return_inverse=True)
+        left = np.maximum(step[:, :2] - DISCOUNT, 0)
+        total = [np.bincount(of, weights=w, minlength=len(context))
+                 for w in (left[:, 0], left[:, 1], np.ones(len(of)), step[:, 0] + step[:, 1], step[:, 2])]
+        r = _ratio(*step.T, *(t[of] for t in total), np)
+        rated = np.zeros(len(there))
+        rated[there] = r
+        out[inner] += rated[:len(node)][at]
+        out[last] += rated[len(node):]
+    return out
+
+
+def _tier(rows: DataFrame, size: int, low: int, high: int) -> DataFrame:
+    """(head, base): ``rows`` (head, toxic, plain, types, base, part; ``size`` of
+    them at most) rated from ``low`` to ``high`` bytes; ``part``: what they are
+    dealt by."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[b.column(c).to_numpy() for c in ("head", "toxic", "plain", "types", "base")] for b in batches if b.num_rows]
+        if held:
+            head, *counts, base = map(np.concatenate, zip(*held))
+            base = _steps(head.view(U), np.stack(counts, 1).astype(float), base, low, high)
+            yield pa.record_batch([pa.array(head), pa.array(base)], ["head", "base"])
+
+    parts = max(shuffle_partitions(rows.sparkSession), -(-size // TIER_ROWS))
+    return rows.repartition(parts, "part").select("head", "toxic", "plain", "types", "base").mapInArrow(run, "head long, base double")
 
 
 def rated(counts: DataFrame, asked: DataFrame) -> DataFrame:
-    """(hash, n, ratio) of the words ``asked`` (word, hash, n) by the model of
-    ``counts`` (word, toxic, plain)."""
+    """(hash, n, ratio) of the words ``asked`` (hash, head, long, n) by the model
+    of ``counts`` (hash, head, long, toxic, plain)."""
     none = F.lit(0).cast("long")
-    near = F.substring("word", 1, NEAR)
-    both = (counts.select("word", "toxic", "plain", none.alias("hash"), none.alias("n"))
-            .unionAll(asked.select("word", none.alias("toxic"), none.alias("plain"), "hash", "n"))
-            .withColumn("types", (F.col("toxic") + F.col("plain") > 0).cast("long")))
-    # beginnings of up to NEAR bytes: a row for each, words shorter than that among them
-    upper = both.groupBy(near.alias("word")).agg(*(F.sum(c).alias(c) for c in COUNTS))
-    upper = upper.withColumn("size", F.length("word")).withColumn("b2", F.substring("word", 1, 2)).repartition("b2")
-    upper = _climbed(upper, 2, NEAR, range(2, NEAR))
-    upper = written(upper.select("word", "b2", "ratio", *(F.sum(c).over(Window.partitionBy("b2")).alias(c) for c in COUNTS)), "toxic-upper")
-    # the empty beginning goes on with each first pair of bytes, or with a word of one byte
-    heads = upper.groupBy("b2").agg(*(F.first(c).alias(c) for c in COUNTS))
-    sums = heads.agg(*(F.sum(s).alias(c) for s, c in zip(_Sums.of(*map(F.col, COUNTS), F.lit(True)), _Sums.NAMES)))
-    upper = upper.crossJoin(F.broadcast(sums)).select(  # one row of sums
-        F.col("word").alias("b4"), (F.col("ratio") + _Sums.ratio(*map(F.col, COUNTS))).alias("upper"))
-    upper = written(upper, "toxic-upper")
-    lower = both.withColumn("size", F.length("word")).withColumn("b4", near).repartition("b4")
-    lower = _climbed(lower, NEAR, DEPTH, range(NEAR, DEPTH + 1)).where("n > 0")
+    one = (counts.select("hash", "head", "long", "toxic", "plain", none.alias("n"))
+           .unionAll(asked.select("hash", "head", "long", none.alias("toxic"), none.alias("plain"), "n"))
+           .groupBy("hash", "head", "long").agg(*(F.sum(c).alias(c) for c in ("toxic", "plain", "n"))))
+    one = written(one.withColumn("types", (F.col("toxic") + F.col("plain") > 0).cast("long")), "toxic-words")
+
+    def cut(k: int) -> Column:
+        return F.col("head").bitwiseAND(F.lit(int(np.array([_cut(U((1 << 64) - 1), k)]).view(np.int64)[0])))
+
+    # counts of all beginnings of 8, 6, 4 and 2 bytes, shorter words among them
+    levels, rows = {}, one
+    for k in range(DEPTH, 0, -2):
+        rows = written(rows.withColumn("head", cut(k)).groupBy("head").agg(*(F.sum(c).alias(c) for c in COUNTS)), "toxic-heads")
+        levels[k] = rows
+    base = None
+    for k in range(2, DEPTH + 1, 2):
+        # words that end further up are rated; the others go on from their shorter beginning
+        part = cut(k - 2)
+        rows = levels[k].withColumn("part", part)
+        if base is None:
+            rows, done = rows.withColumn("base", F.lit(0.0)), None
+        else:
+            ended = _ends_before(k - 2)
+            rows = rows.where(~ended).join(lookup(base.withColumnRenamed("head", "part")), "part")
+            done = base.where(ended)
+        found = written(_tier(rows, levels[k].count(), k - 2, k), "toxic-base")
+        if base is not None:
+            found_all = written(found.unionAll(done), "toxic-base")
+            forget(found)
+            forget(base)
+            found = found_all
+        base = found
+        forget(levels[k])
+    # the end of a word of DEPTH bytes or more, in the context of these
+    left = [F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) for c in ("toxic", "plain")]
+    ends = (one.where("long AND types > 0").groupBy("head")
+            .agg(*(F.sum(v).alias(c) for v, c in zip((*left, F.lit(1.0), F.col("toxic") + F.col("plain"), F.col("types")), SUMS))))
+    last = F.when(F.col("long") & (F.col("types") > 0), _ratio(*(F.col(c).cast("double") for c in COUNTS), *(F.col(c).cast("double") for c in SUMS), _Columns))
     # single precision, so that sums of some of them are the same in any order
-    ratio = (F.col("upper") + F.when(F.col("size") >= NEAR, F.col("ratio")).otherwise(0.0)).cast("float")
-    return written(lower.select("b4", "hash", "n", "size", "ratio").join(lookup(upper), "b4")
-                   .select("hash", "n", ratio.alias("ratio")), "toxic-ratios")
+    ratio = (F.col("base") + F.coalesce(last, F.lit(0.0))).cast("float")
+    out = written(one.where("n > 0").join(base.join(ends, "head", "left"), "head").select("hash", "n", ratio.alias("ratio")), "toxic-ratios")
+    forget(one)
+    forget(base)
+    return out
+
+
+def _ends_before(k: int) -> Column:
+    """The word has fewer than ``k`` bytes."""
+    return F.shiftright("head", 8 * (DEPTH - k)).bitwiseAND(F.lit(255)) == 0
 
 
 def _cached(ratios: DataFrame, most: int) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame | None]:
@@ -352,12 +408,12 @@ def train(labelled: DataFrame) -> Model | float:
     aside = (part % 4 == 0) & (F.floor(part / 4) % share == 0)
     sums = written(word_sums(usable.select("text", (F.col("label") + F.when(aside, 2).otherwise(0)).alias("class")), 4), "toxic-counts")
     n = sums.agg(*(F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}") for k in range(4))).first()
-    every = sums.select("word", (F.col("n1") + F.col("n3")).alias("toxic"), (F.col("n0") + F.col("n2")).alias("plain"))
+    every = sums.select("hash", "head", "long", (F.col("n1") + F.col("n3")).alias("toxic"), (F.col("n0") + F.col("n2")).alias("plain"))
     if not n["n1"] + n["n3"] or not n["n0"] + n["n2"]:
         return float(usable.agg(F.avg("label")).first()[0] or 0.0)
     weights = np.array([-2.0, 2.0, 0.0, 0.0])
     if n["n1"] and n["n0"]:
-        others = sums.where(F.col("n0") + F.col("n1") > 0).select("word", F.col("n1").alias("toxic"), F.col("n0").alias("plain"))
+        others = sums.where(F.col("n0") + F.col("n1") > 0).select("hash", "head", "long", F.col("n1").alias("toxic"), F.col("n0").alias("plain"))
         got = (evidence(usable.where(aside).select("label", "text"), others).select("label", "evidence.*")
                .toArrow().to_pandas().sort_values(["label", *FEATURES]))
         y = got["label"].to_numpy(float)
