@@ -108,9 +108,11 @@ def scan(column: pa.Array) -> list[list[tuple[int, int, int]]]:
     a, b = a[long], b[long]
     raw = data.tobytes()
     low = raw.translate(_LOWER)
-    for d, s, e in zip((np.searchsorted(off, a, "right") - 1).tolist(), a.tolist(), b.tolist()):
-        before = len(raw[off[d]: s].decode("utf-8", "surrogatepass"))
-        found[d].append((KINDS.index("hex"), before, before + e - s))
+    # code points before each byte: those of all bytes that don't continue a character
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if len(a) else off
+    of = np.searchsorted(off, a, "right") - 1
+    for d, before, n in zip(of.tolist(), (points[a] - points[off[of]]).tolist(), (b - a).tolist()) if len(a) else ():
+        found[d].append((KINDS.index("hex"), before, before + n))
     for d in range(len(column)):
         lo, hi = int(off[d]), int(off[d + 1])
         if lo < hi:

@@ -2,6 +2,8 @@ import random
 import re
 import zlib
 
+from pyspark.sql import functions as F
+
 from geoscore.llm import secrets
 from geoscore.llm.queries.documents import op4_secrets
 
@@ -53,3 +55,15 @@ def test_base_spans_against_search_everywhere(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert op4_secrets(spark, str(tmp_path)).count() == 0
+
+
+def test_many_hex_runs_and_clashing_columns(spark, tmp_path):
+    """Runs in a long text of many characters of several bytes, in linear time; other columns are not read."""
+    text = ("é中😀 " + "0f" * 14 + " ") * 60000
+    docs = spark.createDataFrame([(1, text), (2, "é" + "ab" * 12)], "doc_id long, text string")
+    docs = docs.withColumn("found", F.lit(1)).withColumn("spans", F.lit("x")).withColumn("n_hex", F.lit(0))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op4_secrets(spark, str(tmp_path))
+    assert rows.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_github", "n_npm"]
+    got = {r["doc_id"]: r for r in rows.collect()}
+    assert got[1]["n_hex"] == 60000 and got[1]["spans"] == brute(text) and got[2]["spans"] == "hex:1:25"
