@@ -30,7 +30,7 @@ Steps:
    on their whole token sets, read again, once for each line concerned, and
    joined to the pairs; a line of many pairs is dealt over several keys.
 5. Lines that had more partners than that and are still undecided meet all of
-   them.
+   them: only they ask, under their own keys, and rows carry the wider bitmap.
 
 Any order of tokens gives the same rows; rarity only makes buckets small.
 
@@ -68,6 +68,7 @@ WIDE = 4  # words of the wider bitmap that candidate pairs pass before they are
 WIDE_BITS = [f"wide{k}" for k in range(WIDE)]
 U = np.uint64
 NO_ID = -(1 << 63)
+QUIET = 62  # bit of a row's size and position that says the line asks for no partners
 
 
 def line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,17 +242,28 @@ def token_blocks(lines: DataFrame, block: int) -> tuple[Blocks, int]:
 
 
 def prefix_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
-    """(token, set, size_pos, bits, doc): tokens of one block, equal sets once per task."""
+    """(token, set, size_pos, bits, doc): keys of one block, equal sets once per
+    task. Lines with a column ``quiet`` send its value in ``size_pos`` (1: the
+    line asks for no partners) and WIDE_BITS too."""
+    more = WIDE_BITS if "quiet" in lines.columns else []
+    quiet = ["quiet"] if more else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc"])
+            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc", *quiet, *more])
             one = _blocks_of(token, shared.value) == 1
-            rows = _trimmed(*(x[one] for x in (token, col["set"], col["size"].astype(np.int64) << 32 | pos, col["bits"], col["doc"])))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "set", "size_pos", "bits", "doc"])
+            rows = _trimmed(*(x[one] for x in (token, col["set"], _size_pos(col, pos), col["bits"], col["doc"], *(col[c] for c in more))))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "set", "size_pos", "bits", "doc", *more])
 
     shared = lines.sparkSession.sparkContext.broadcast(blocks)
-    return lines.select("doc", "set", "size", "bits", "prefix", "place").where(F.size("prefix") > 0).mapInArrow(
-        run, "token int, set long, size_pos long, bits long, doc long")
+    return lines.select("doc", "set", "size", "bits", "prefix", "place", *quiet, *more).where(F.size("prefix") > 0).mapInArrow(
+        run, "token int, set long, size_pos long, bits long, doc long" + "".join(f", {c} long" for c in more))
+
+
+def _size_pos(col: dict, pos: np.ndarray) -> np.ndarray:
+    """Size, position and whether the line is quiet in one number."""
+    out = col["size"].astype(np.int64) << 32 | pos
+    return out | col["quiet"].astype(np.int64) << QUIET if "quiet" in col else out
 
 
 def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
@@ -260,15 +272,16 @@ def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
     that its own is in; side: 0 where a block meets itself, else 1 and 2."""
     shared = lines.sparkSession.sparkContext.broadcast(blocks)
     names = ["token", "cell", "side", "set", "size_pos", "bits", "doc", *WIDE_BITS]
+    quiet = ["quiet"] if "quiet" in lines.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc", *WIDE_BITS])
+            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc", *quiet, *WIDE_BITS])
             n = _blocks_of(token, shared.value)
             many = n > 1
             if not many.any():
                 continue
-            size_pos = col["size"].astype(np.int64) << 32 | pos
+            size_pos = _size_pos(col, pos)
             token, key, size_pos, *rest = _trimmed(*(x[many] for x in (
                 token, col["set"], size_pos, col["bits"], col["doc"], *(col[c] for c in WIDE_BITS))))
             n = _blocks_of(token, shared.value)
@@ -287,7 +300,7 @@ def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
                 i = j
 
     wide = "".join(f", {c} long" for c in WIDE_BITS)
-    return lines.select("doc", "set", "size", "bits", "prefix", "place", *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
+    return lines.select("doc", "set", "size", "bits", "prefix", "place", *quiet, *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
         run, f"token int, cell long, side int, set long, size_pos long, bits long, doc long{wide}")
 
 
@@ -317,10 +330,11 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
         key, size_pos, bits, doc, *wide = cols
         del cols
         token, key, size_pos, bits, doc, side, *wide = _trimmed(token, key, size_pos, bits, doc, side, *wide)
-        size, pos = size_pos >> 32, size_pos & 0xFFFFFFFF
+        asks = size_pos >> QUIET == 0
+        size, pos = size_pos >> 32 & ((1 << QUIET - 32) - 1), size_pos & 0xFFFFFFFF
         order = np.lexsort((size, side, token))
-        token, key, size, pos, bits, doc, side, *wide = (
-            x[order] for x in (token, key, size, pos, bits.view(U), doc, side, *(w.view(U) for w in wide)))
+        token, key, size, pos, bits, doc, side, asks, *wide = (
+            x[order] for x in (token, key, size, pos, bits.view(U), doc, side, asks, *(w.view(U) for w in wide)))
         group = np.cumsum(np.append(True, token[1:] != token[:-1])) - 1
         place = (group * 4 + side) << 32
         # partners: the larger ones after a row in its own block, those of similar size in the other block
@@ -331,7 +345,8 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
             over = place + (1 << 32)
             begin = np.where(side == 1, np.searchsorted(place | size, over | -(-num * size // den), "left"), begin)
             last = np.where(side == 1, np.searchsorted(place | size, over | upto, "right"), last)
-        count = np.where(side == 2, 0, last - begin)
+        some = np.bincount(group, weights=asks) > 0
+        count = np.where((side == 2) | ~some[group], 0, last - begin)
         sums = np.concatenate([[0], np.cumsum(count)])
         best: list[np.ndarray] = [np.zeros(0, np.int64)] * 5  # group, x, doc of y, y, others
         i, n = 0, len(token)
@@ -358,12 +373,13 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
             both = size[a] + size[b]
             need = -(-num * both // (num + den))
             apart = both - 2 * need
-            good = (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= apart)
+            good = (asks[a] | asks[b]) & (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= apart)
             a, b, apart = a[good], b[good], apart[good]
             if wide:
                 good = sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in wide) <= apart
                 a, b = a[good], b[good]
-            x, y = np.concatenate([a[doc[a] >= doc[b]], b[doc[b] >= doc[a]]]), np.concatenate([b[doc[a] >= doc[b]], a[doc[b] >= doc[a]]])
+            back, on = asks[a] & (doc[a] >= doc[b]), asks[b] & (doc[b] >= doc[a])
+            x, y = np.concatenate([a[back], b[on]]), np.concatenate([b[back], a[on]])
             i = j
             if not most:
                 if len(x):
@@ -450,16 +466,16 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line", "body", "size", *WIDE_BITS)).alias("f"), F.count("*").alias("n"))
                      .select("set", "n", "f.*"), "firsts")
     blocks, sent = token_blocks(lines, BLOCK)
-    dealt = [(prefix_rows(lines, blocks), parts, ["token"])]
-    if sent:
-        dealt.append((block_rows(lines, blocks), max(parts, -(-sent // ROWS_AT_ONCE)), ["token", "cell"]))
 
-    def meet(most: int | None, tokens: DataFrame | None = None) -> DataFrame:
-        found = [meetings((r if tokens is None else r.join(tokens, "token", "left_semi")).repartition(n, *by), num, den, most)
+    def meet(lines: DataFrame, most: int | None, tokens: DataFrame | None = None) -> DataFrame:
+        dealt = [(prefix_rows(lines, blocks), parts, ["token"])]
+        if sent:
+            dealt.append((block_rows(lines, blocks), max(parts, -(-sent // ROWS_AT_ONCE)), ["token", "cell"]))
+        found = [meetings((r if tokens is None else r.join(lookup(tokens), "token", "left_semi")).repartition(n, *by), num, den, most)
                  for r, n, by in dealt]
         return reduce(DataFrame.unionByName, found)
 
-    met = written(meet(CANDIDATES), "met")
+    met = written(meet(lines, CANDIDATES), "met")
     # the earliest partner settles most lines; the others' remaining partners follow
     best = met.groupBy("x").agg(F.min(F.struct("at", "y")).alias("b")).select("x", "b.y")
     late = _late(docs, best, firsts, num, den)
@@ -469,11 +485,14 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     still = met.where("more").select(F.col("x").alias("set")).distinct().join(late, "set", "left_anti")
     still = written(still, "open")
     if still.limit(1).count():
-        tokens = (lines.join(still, "set", "left_semi").select(F.explode("prefix").alias("token")).distinct())
-        again = meet(None, written(tokens, "tokens"))
-        again = (again.select("x", "y").distinct().join(still.withColumnRenamed("set", "x"), "x", "left_semi")
+        # only these ask now, and under the wider bitmap at once
+        tokens = written(lines.join(lookup(still), "set", "left_semi").select(F.explode("prefix").alias("token")).distinct(), "tokens")
+        asking = (lines.join(lookup(still).withColumn("quiet", F.lit(0)), "set", "left")
+                  .withColumn("quiet", F.coalesce("quiet", F.lit(1))))
+        again = (meet(asking, None, tokens).select("x", "y").distinct()
                  .join(met.select("x", "y"), ["x", "y"], "left_anti"))
         late = late.unionByName(_late(docs, again, firsts, num, den))
+        forget(tokens)
     firsts = (firsts.select("set", "n", F.col("doc").alias("fdoc"), F.col("line").alias("fline"))
               .join(late.withColumn("late", F.lit(True)), "set", "left")
               .where((F.col("n") > 1) | F.col("late")))
