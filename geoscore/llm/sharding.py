@@ -127,6 +127,9 @@ def propagate(families: DataFrame, load: np.ndarray, capacity: int) -> DataFrame
             if r["shard"] != r["to"]:
                 asked[r["shard"], r["to"]] += r["b"]
                 pairs[r["shard"], r["to"]][r["bucket"]] = r["b"]
+        if not pairs and not closed:
+            forget(wish)
+            return state
         granted = _admitted(pairs, flows(asked, now, limit), now, limit)
         if not granted:
             forget(wish)
