@@ -7,10 +7,11 @@ result. Zero denominators give 0, as in the usual classification report.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscore.operators.joins import bounded_broadcast
+from geoscore.session import materialize
 
 # Class tables above this many labels are joined without a broadcast hint.
 MAX_CLASSES = 10_000
@@ -76,16 +77,18 @@ def regression_errors(df: DataFrame, label: str = "label",
 
 
 def class_weights(df: DataFrame, label: str = "label", n_classes: int = 2) -> DataFrame:
-    """Balanced weights ``n / (n_classes * n_class)`` per label value."""
+    """Balanced weights ``n / (n_classes * n_class)`` per label value. The
+    input is read once: the total is the sum over the classes' rows."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    total = df.agg(F.count(F.lit(1)).alias("n_total"))
-    return (counts.crossJoin(F.broadcast(total))
+    # the window holds one row a class
+    return (counts.withColumn("n_total", F.sum("n_class").over(Window.partitionBy(F.lit(0))))
             .select(label, "n_class",
                     (F.col("n_total") / (F.lit(float(n_classes)) * F.col("n_class"))).alias("weight")))
 
 
 def with_class_weights(df: DataFrame, label: str = "label", weight_col: str = "weight") -> DataFrame:
     """Attach the balanced weight of each row's class (one row per class: a
-    broadcast after the size check)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
+    broadcast after the size check). The weights are written first, so the
+    check and the join read them, not the input again."""
+    w = materialize(class_weights(df, label).select(label, F.col("weight").alias(weight_col)))
     return df.join(bounded_broadcast(w, MAX_CLASSES), label)

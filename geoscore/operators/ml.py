@@ -11,12 +11,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from itertools import product
+
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +45,29 @@ HOLDOUT_FRACTION = 0.2
 SEED = 42
 # Spark's tree learner accepts depths up to 30.
 SPARK_MAX_DEPTH = 30
+# Randomised search: the space the settings are drawn from, and the steps of
+# the local grid around the best of them (multiples of a step, lower limit).
+RANDOM_SPACE = {
+    "numTrees": [200, 400, 600, 800, 1000, 1200, 1400, 1600, 1800, 2000],
+    "featureSubsetStrategy": ["auto", "sqrt"],
+    "maxDepth": [10, 20, 30],
+    "minInstancesPerNode": [1, 2, 4],
+    "bootstrap": [True, False],
+}
+LOCAL_STEPS = {"numTrees": (100, range(-2, 3), 1), "maxDepth": (10, range(-2, 3), 1), "minInstancesPerNode": (1, range(-1, 2), 1)}
+LOCAL_VALUES = {"featureSubsetStrategy": ["2", "3"]}
+RANDOM_DRAWS = 100
+RANDOM_FOLDS = 3
 # Independent fits submitted at once (CV settings, folds, sweep steps).
 FIT_PARALLELISM = 8
 # Memory for node statistics per pass of the tree learner: more nodes per
 # pass means fewer passes over the cached training set (same trees).
 TREE_PASS_MEMORY_MB = 1024
+# Boosting iterations between two checkpoints of the residuals.
+BOOSTING_CHECKPOINT = 40
+# Training tables are read many times; each of their partitions is a task of
+# every pass, so they follow the data's size.
+TRAINING_PARTITION_BYTES = 32 << 20
 
 
 def spark_depths(depths) -> list[int]:
@@ -113,6 +134,23 @@ def assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
+def _used_columns(estimator) -> list[str]:
+    """Label and weight columns of an estimator."""
+    cols = [estimator.getLabelCol()]
+    if estimator.hasParam("weightCol") and estimator.isDefined("weightCol") and estimator.getWeightCol():
+        cols.append(estimator.getWeightCol())
+    return cols
+
+
+def prepared(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    """``features`` (assembled once) and the columns ``keep``, written to the
+    shared folder; partitions hold TRAINING_PARTITION_BYTES at most."""
+    keep = list(dict.fromkeys(keep))
+    table = materialize(assembler(features).transform(df).select("features", *keep))
+    size = table.count() * 8 * (len(features) + len(keep))
+    return table.coalesce(max(1, -(-size // TRAINING_PARTITION_BYTES)))
+
+
 def rf_classifier(num_trees: int, label: str = "label", weight: str | None = "weight",
                   seed: int = SEED, **kw) -> RandomForestClassifier:
     kw.setdefault("maxMemoryInMB", TREE_PASS_MEMORY_MB)
@@ -149,42 +187,55 @@ class TuningResult:
     metric_name: str = ""
 
 
-def _grid_frame(spark, cv_model, grid, metric_name: str, larger_better: bool):
-    rows = []
-    metrics_ = list(cv_model.avgMetrics)
+def _grid_frame(spark, settings: list[dict], metrics_: list[float], metric_name: str, larger_better: bool):
     best_i = (max if larger_better else min)(range(len(metrics_)), key=lambda i: metrics_[i])
-    for i, (pm, m) in enumerate(zip(grid, metrics_)):
-        params = {p.name: pm[p] for p in pm}
+    rows = []
+    for i, (params, m) in enumerate(zip(settings, metrics_)):
         rows.append((i, ",".join(f"{k}={params[k]}" for k in sorted(params)),
                      int(params.get("maxDepth", -1)), int(params.get("numTrees", params.get("maxIter", -1))),
                      float(params.get("stepSize", 0.0)), float(m), i == best_i))
     schema = ("setting int, params string, max_depth int, n_estimators int, step_size double, "
               f"{metric_name} double, best boolean")
-    best = {p.name: grid[best_i][p] for p in grid[best_i]}
-    return spark.createDataFrame(rows, schema), best
+    return spark.createDataFrame(rows, schema), dict(settings[best_i])
 
 
 def tune(train: DataFrame, features: list[str], estimator, grid_spec: dict, evaluator,
          fold_col: str = "fold", folds: int = TUNING_FOLDS, parallelism: int = FIT_PARALLELISM,
          metric_name: str = "metric") -> TuningResult:
-    """M1 / M3 / M4 / M5: k-fold grid search with a precomputed fold column,
-    then refit on all rows with the best setting (CrossValidator does both).
+    """M1 / M3: k-fold grid search with a precomputed fold column, then refit
+    on all rows with the best setting (CrossValidator does both). The features
+    are assembled once, for all folds and settings.
     ``grid_spec`` maps estimator param names to value lists."""
-    pipe = Pipeline(stages=[assembler(features), estimator])
     b = ParamGridBuilder()
     for name, values in grid_spec.items():
         b = b.addGrid(estimator.getParam(name), list(values))
     grid = b.build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator,
-                        foldCol=fold_col, numFolds=folds, parallelism=parallelism, seed=SEED)
-    data = train.persist()
-    try:
-        cvm = cv.fit(data)
-    finally:
-        data.unpersist()
-    frame, best = _grid_frame(train.sparkSession, cvm, grid, metric_name,
-                              evaluator.isLargerBetter())
-    return TuningResult(cvm.bestModel, frame, best, metric_name)
+    data = prepared(train, features, [*_used_columns(estimator), fold_col])
+    cvm = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, foldCol=fold_col,
+                         numFolds=folds, parallelism=parallelism, seed=SEED).fit(data)
+    settings = [{p.name: pm[p] for p in pm} for pm in grid]
+    frame, best = _grid_frame(train.sparkSession, settings, list(cvm.avgMetrics), metric_name, evaluator.isLargerBetter())
+    return TuningResult(PipelineModel(stages=[assembler(features), cvm.bestModel]), frame, best, metric_name)
+
+
+def fold_metrics(data: DataFrame, estimator, settings: list[dict], evaluator, fold_col: str, folds: int,
+                 parallelism: int = FIT_PARALLELISM, stages=None) -> list[float]:
+    """Mean metric over the folds of each setting (a dict of estimator params).
+
+    ``stages(model, setting)`` may yield (setting, model) pairs for several
+    settings that one fit serves; by default a fit serves its own."""
+    def one(job):
+        setting, fold = job
+        fitted = estimator.copy({estimator.getParam(k): v for k, v in setting.items()}).fit(data.where(F.col(fold_col) != fold))
+        held = data.where(F.col(fold_col) == fold)
+        served = [(setting, fitted)] if stages is None else stages(fitted, setting)
+        return [(tuple(sorted(k.items())), evaluator.evaluate(m.transform(held))) for k, m in served]
+
+    total = {}
+    for found in _pmap(one, list(product(settings, range(folds))), parallelism):
+        for k, m in found:
+            total.setdefault(k, []).append(m)
+    return {k: sum(v) / len(v) for k, v in total.items()}
 
 
 def tune_rf_classifier(df: DataFrame, features: list[str], key: str, label: str = "label",
@@ -211,27 +262,100 @@ def tune_rf_regressor(df: DataFrame, features: list[str], key: str, label: str =
 def tune_gbt(df: DataFrame, features: list[str], key: str, label: str = "label",
              classifier: bool = True, grid: dict | None = None,
              folds: int = TUNING_FOLDS, parallelism: int = FIT_PARALLELISM) -> TuningResult:
-    """M4 / M5: gradient-boosted trees over (iterations, step, depth)."""
+    """M4 / M5: gradient-boosted trees over (iterations, step, depth).
+
+    The first trees of a boosted model are those of a shorter one, so each
+    (step, depth, fold) is fitted once, with the most iterations, and scored
+    after each number of iterations of the grid (staged evaluation)."""
     if classifier:
         grid = grid or GBT_CLASSIFIER_GRID
         d = metrics.with_class_weights(df, label, "weight")
         d = stratified_folds(d, key, label, folds)
-        est = GBTClassifier(labelCol=label, featuresCol="features", weightCol="weight", seed=SEED)
+        est = GBTClassifier(labelCol=label, featuresCol="features", weightCol="weight", seed=SEED,
+                            checkpointInterval=BOOSTING_CHECKPOINT)
         ev, name = positive_f1(label), "f1"
     else:
         grid = grid or GBT_REGRESSOR_GRID
         d = hash_folds(df, key, folds)
-        est = GBTRegressor(labelCol=label, featuresCol="features", seed=SEED)
+        est = GBTRegressor(labelCol=label, featuresCol="features", seed=SEED, checkpointInterval=BOOSTING_CHECKPOINT)
         ev, name = mse(label), "mse"
-    return tune(d, features, est, grid, ev, folds=folds, parallelism=parallelism, metric_name=name)
+    data = prepared(d, features, [*_used_columns(est), "fold"])
+    rest = [k for k in grid if k != "maxIter"]
+    lengths = sorted(grid["maxIter"])
+    fits = [dict(zip(rest, values), maxIter=lengths[-1]) for values in product(*(grid[k] for k in rest))]
+
+    def staged(model, setting):
+        return [(dict(setting, maxIter=n), first_trees(model, n)) for n in lengths]
+
+    found = fold_metrics(data, est, fits, ev, "fold", folds, parallelism, staged)
+    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
+    frame, best = _grid_frame(df.sparkSession, settings, [found[tuple(sorted(k.items()))] for k in settings], name, ev.isLargerBetter())
+    final = est.copy({est.getParam(k): v for k, v in best.items()}).fit(data)
+    return TuningResult(PipelineModel(stages=[assembler(features), final]), frame, best, name)
+
+
+def first_trees(model, n: int):
+    """The boosted model made of the first ``n`` trees of ``model``."""
+    java = model._java_obj
+    trees = list(java.trees())[:n]
+    context = SparkContext._active_spark_context
+    jvm, gateway = context._jvm, context._gateway
+    classes = jvm.org.apache.spark.ml.regression
+    array = gateway.new_array(classes.DecisionTreeRegressionModel, len(trees))
+    weights = gateway.new_array(jvm.double, len(trees))
+    for i, (tree, w) in enumerate(zip(trees, model.treeWeights)):
+        array[i], weights[i] = tree, w
+    if isinstance(model, GBTClassificationModel):
+        short = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, array, weights))
+    else:
+        short = GBTRegressionModel(classes.GBTRegressionModel(model.uid, array, weights))
+    return short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
 
 
-def random_grid(space: dict, n: int, seed: int = SEED) -> dict:
-    """``n`` settings drawn from a space (lists of values), returned as a
-    list of param dicts usable one by one with :func:`tune`."""
+def random_settings(space: dict, n: int, seed: int = SEED) -> list[dict]:
+    """``n`` settings drawn from a space (lists of values); distinct ones."""
     import random
     rnd = random.Random(seed)
-    return [{k: rnd.choice(v) for k, v in space.items()} for _ in range(n)]
+    drawn = [{k: rnd.choice(v) for k, v in space.items()} for _ in range(n)]
+    return list({tuple(sorted(s.items())): s for s in drawn}.values())
+
+
+def local_grid(best: dict, steps: dict, values: dict, limits: dict | None = None) -> dict:
+    """Value lists around ``best``: multiples of a step for the params in
+    ``steps``, fixed lists for those in ``values``, the best value otherwise."""
+    limits = limits or {"maxDepth": SPARK_MAX_DEPTH}
+    out = {}
+    for k, v in best.items():
+        if k in values:
+            out[k] = list(values[k])
+        elif k in steps:
+            step, times, low = steps[k]
+            out[k] = sorted({min(max(low, v + step * t), limits.get(k, 1 << 30)) for t in times})
+        else:
+            out[k] = [v]
+    return out
+
+
+def random_search(df: DataFrame, features: list[str], key: str, label: str = "label", space: dict = RANDOM_SPACE,
+                  draws: int = RANDOM_DRAWS, steps: dict = LOCAL_STEPS, values: dict = LOCAL_VALUES,
+                  folds: int = RANDOM_FOLDS, local_folds: int = TUNING_FOLDS, seed: int = SEED,
+                  parallelism: int = FIT_PARALLELISM) -> TuningResult:
+    """Balanced forest by randomised search, then a grid around the best.
+
+    ``draws`` settings are scored on the same written folds; the grid around
+    the best of them goes through :func:`tune`, which refits on all rows.
+    ``grid`` of the result holds both phases (column ``phase``)."""
+    d = metrics.with_class_weights(df, label, "weight")
+    est = rf_classifier(100, label, "weight")
+    ev = positive_f1(label)
+    data = prepared(stratified_folds(d, key, label, folds), features, [*_used_columns(est), "fold"])
+    settings = random_settings(space, draws, seed)
+    found = fold_metrics(data, est, settings, ev, "fold", folds, parallelism)
+    drawn, best = _grid_frame(df.sparkSession, settings, [found[tuple(sorted(k.items()))] for k in settings], "f1", True)
+    result = tune(stratified_folds(d, key, label, local_folds), features, est, local_grid(best, steps, values), ev,
+                  folds=local_folds, parallelism=parallelism, metric_name="f1")
+    result.grid = drawn.withColumn("phase", F.lit("random")).unionByName(result.grid.withColumn("phase", F.lit("local")))
+    return result
 
 
 def window_search(evaluate, start: dict, param: str, limits: tuple[int, int] = (1, 1 << 20)) -> tuple[dict, list, str]:
@@ -294,8 +418,10 @@ def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, ke
     spark = df.sparkSession
     imp = [(r["feature"], r["importance"]) for r in importances.collect()]  # one row per feature
     d = metrics.with_class_weights(df, label, "weight")
+    size = 8 * (len(features) + 3)
+    d = materialize(d.select(key, label, "weight", *features))
+    d = d.coalesce(max(1, -(-d.count() * size // TRAINING_PARTITION_BYTES)))
     train, test = hash_split(d, key)
-    train, test = train.persist(), test.persist()
     ks = list(range(step, len(features) + 1, step)) or [len(features)]
     if ks[-1] != len(features):
         ks.append(len(features))
@@ -309,11 +435,7 @@ def feature_sweep(df: DataFrame, features: list[str], importances: DataFrame, ke
         return (k, len(chosen), ",".join(chosen), float(m["accuracy"]),
                 float(m["kappa"]), float(m["f1"]))
 
-    try:
-        rows = _pmap(one, ks, parallelism)
-    finally:
-        train.unpersist()
-        test.unpersist()
+    rows = _pmap(one, ks, parallelism)
     best_k = max(rows, key=lambda r: (r[5], r[0]))[0]
     return spark.createDataFrame(
         [r + (r[0] == best_k,) for r in rows],
@@ -328,35 +450,29 @@ def out_of_fold(df: DataFrame, features: list[str], estimator, key: str, label:
                 keep: list[str] | None = None, parallelism: int = FIT_PARALLELISM) -> DataFrame:
     """M8: every row predicted by the model fitted on the other folds.
     Output: key, label, fold, prediction (+ ``p1`` for classifiers)."""
-    d = (stratified_folds(df, key, label, folds) if stratified else hash_folds(df, key, folds))
-    d = d.persist()
     keep = [c for c in (keep or []) if c not in (key, label, "fold")]
+    d = (stratified_folds(df, key, label, folds) if stratified else hash_folds(df, key, folds))
+    d = prepared(d, features, [key, label, "fold", *keep, *_used_columns(estimator)])
 
     def one(f):
-        pipe = Pipeline(stages=[assembler(features), estimator.copy()])
-        model = pipe.fit(d.where(F.col("fold") != f))
-        pred = model.transform(d.where(F.col("fold") == f))
+        pred = estimator.copy().fit(d.where(F.col("fold") != f)).transform(d.where(F.col("fold") == f))
         cols = [key, label, "fold", *keep, "prediction"]
         if "probability" in pred.columns:
             pred = pred.withColumn("p1", prob1())
             cols.append("p1")
         return pred.select(*cols)
 
-    try:
-        parts = _pmap(one, range(folds), parallelism)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        # materialise in the shared folder so the cached input can be released
-        out = materialize(out)
-    finally:
-        d.unpersist()
-    return out
+    parts = _pmap(one, range(folds), parallelism)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return materialize(out)
 
 
 def fit(df: DataFrame, features: list[str], estimator) -> PipelineModel:
     """Final fit on all rows."""
-    return Pipeline(stages=[assembler(features), estimator]).fit(df)
+    data = prepared(df, features, _used_columns(estimator))
+    return PipelineModel(stages=[assembler(features), estimator.fit(data)])
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "p1") -> DataFrame:

@@ -14,6 +14,9 @@ distributed prefix sum instead:
 3. running sums inside each range + per-range totals; the per-range totals
    (at most groups x partitions rows) give each range its offset;
 4. join the ranks back to the rows on ``(g, v)`` (AQE splits a hot value).
+
+Row numbers by a unique value need neither the collapse nor the join back: the
+rows themselves are range-partitioned, once.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoscore.operators.joins import bounded_broadcast
 from geoscore.session import materialize, work_dir
 
 
@@ -78,9 +82,31 @@ def percent_rank_avg(df: DataFrame, group_cols: list[str], order_col: str,
 def row_number_unique(df: DataFrame, group_cols: list[str], order_col: str,
                       out: str = "row_number") -> DataFrame:
     """``row_number() over (partition by g order by v)`` for a ``v`` that is
-    unique within each group (a key), computed without a per-group task."""
-    r = with_value_ranks(df, group_cols, order_col)
-    return r.withColumn(out, F.col("rank_lt") + F.lit(1)).drop("rank_lt", "n_eq", "n_group")
+    unique within each group (a key), computed without a per-group task; rows
+    with a NULL ``v`` get a NULL number.
+
+    One shuffle of the rows: they are range-partitioned by (g, v), sorted and
+    checkpointed with their place. As the ranges are in order, a group lies in
+    consecutive ones; the rows it has in each (ranges + groups entries, counted
+    before they are shuffled) give its offsets."""
+    g = list(group_cols)
+    place, part = "_place" + out, "_part" + out
+    keys = [F.col(c) for c in [*g, order_col]]
+    known = F.col(order_col).isNotNull()
+    ranged = materialize(df.where(known).repartitionByRange(*keys).sortWithinPartitions(*keys)
+                         .withColumn(place, F.monotonically_increasing_id()))
+    ranged = ranged.withColumn(part, F.shiftright(F.col(place), 33))  # the id holds the partition above bit 33
+    before = Window.partitionBy(*[f"_g{i}" for i in range(len(g))]).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (ranged.groupBy(F.col(part).alias("_p"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)])
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    same = F.col(part) == F.col("_p")
+    for i, c in enumerate(g):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    numbers = ranged.join(bounded_broadcast(pieces), same).withColumn(
+        out, F.col("_before") + F.col(place) - F.col("_first") + F.lit(1))
+    rest = df.where(~known).withColumn(out, F.lit(None).cast("long"))
+    return numbers.select(*df.columns, out).unionByName(rest)
 
 
 def numbered(df: DataFrame, order: list[Column], out: str = "row_number") -> DataFrame:

@@ -8,6 +8,7 @@ candidates only meet inside their tile.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from geoscore.functions.geometry import (geometry_edges, geometry_points, rect_corners, ring_edges, segment_meets_rect,
                                         segment_tiles, side, sq_dist, tile, tile_range)
+from geoscore.operators.joins import bounded_broadcast
 from geoscore.session import materialize
 
 
@@ -262,8 +264,13 @@ def rect_ring(xmin, ymin, xmax, ymax):
 
 
 # ---------------------------------------------------------------------------
-# Convex hull and centroid per group (two-level, skew safe)
+# Convex hull and centroid per group (prefiltered, skew safe)
 # ---------------------------------------------------------------------------
+DIRECTIONS = 16                 # in which a group's extreme points are taken
+MAX_BROADCAST_GROUPS = 100_000  # groups whose extreme points (32 numbers each) are broadcast
+HULL_BUCKETS = 64               # buckets of partitions that merge a group's vertices first
+
+
 def _hull_np(xy: np.ndarray) -> np.ndarray:
     """Monotone-chain convex hull, counter-clockwise, no repeated vertex."""
     pts = np.unique(xy, axis=0)
@@ -302,14 +309,38 @@ def _centroid_np(h: np.ndarray) -> tuple[float, float]:
     return float(((x + xn) * c).sum() / (6 * area)), float(((y + yn) * c).sum() / (6 * area))
 
 
+def maybe_hull_points(points: DataFrame, group_col: str) -> DataFrame:
+    """``group, x, y`` of the points that can be vertices of their group's hull.
+
+    A hash aggregate finds each group's extreme points in DIRECTIONS
+    directions; what lies strictly inside the polygon they span (by a margin
+    above rounding) is no vertex. All of it are built-in expressions: of evenly
+    spread points only those near the rim are left."""
+    turns = [2 * math.pi * k / DIRECTIONS for k in range(DIRECTIONS)]
+    ahead = [F.col("x") * F.lit(math.cos(t)) + F.col("y") * F.lit(math.sin(t)) for t in turns]
+    extremes = materialize(points.groupBy(group_col).agg(
+        *[F.max_by(c, p).alias(f"_{c}{k}") for k, p in enumerate(ahead) for c in ("x", "y")]))
+    x, y = F.col("x"), F.col("y")
+    inside, spans = F.lit(True), F.lit(False)
+    for k in range(DIRECTIONS):
+        n = (k + 1) % DIRECTIONS
+        x1, y1, x2, y2 = F.col(f"_x{k}"), F.col(f"_y{k}"), F.col(f"_x{n}"), F.col(f"_y{n}")
+        left, right = (x2 - x1) * (y - y1), (y2 - y1) * (x - x1)
+        none = (x1 == x2) & (y1 == y2)
+        inside = inside & (none | (left - right > F.lit(1e-9) * (F.abs(left) + F.abs(right))))
+        spans = spans | ~none
+    return (points.join(bounded_broadcast(extremes, MAX_BROADCAST_GROUPS), group_col)
+            .where(~(inside & spans)).select(group_col, "x", "y"))
+
+
 def convex_hulls(points: DataFrame, group_col: str, x: str, y: str) -> DataFrame:
     """Convex hull and its centroid per group.
 
-    Level 1 runs inside every input partition (``mapInPandas``): each
-    partition reduces its points of each group to their hull vertices, so a
-    hot group is split by the scan itself and no point is shuffled. Level 2
-    shuffles only those vertices and hulls them per group. Output:
-    ``group, hull array<struct<x,y>> (counter-clockwise), n_vertices,
+    Points well inside are left out first (``maybe_hull_points``). The others
+    are reduced to hull vertices inside every input partition
+    (``mapInPandas``), so a hot group is split by the scan itself; these few
+    vertices are merged by (group, bucket of partitions) and then by group.
+    Output: ``group, hull array<struct<x,y>> (counter-clockwise), n_vertices,
     centroid_x, centroid_y``.
     """
     gtype = points.schema[group_col].dataType.simpleString()
@@ -328,7 +359,14 @@ def convex_hulls(points: DataFrame, group_col: str, x: str, y: str) -> DataFrame
 
     pts = points.select(group_col, F.col(x).cast("double").alias("x"),
                         F.col(y).cast("double").alias("y"))
-    level1 = pts.mapInPandas(partial, part_schema)
+    level1 = maybe_hull_points(pts, group_col).mapInPandas(partial, part_schema)
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        h = _hull_np(pdf[["x", "y"]].to_numpy(dtype=float))
+        return pd.DataFrame({group_col: [pdf[group_col].iloc[0]] * len(h), "x": h[:, 0], "y": h[:, 1]})
+
+    level2 = (level1.withColumn("_bucket", F.spark_partition_id() % HULL_BUCKETS)
+              .groupBy(group_col, "_bucket").applyInPandas(merged, part_schema))
 
     out_schema = (f"{group_col} {gtype}, hull array<struct<x:double,y:double>>, "
                   "n_vertices int, centroid_x double, centroid_y double")
@@ -340,7 +378,7 @@ def convex_hulls(points: DataFrame, group_col: str, x: str, y: str) -> DataFrame
                              "hull": [[{"x": float(a), "y": float(b)} for a, b in h]],
                              "n_vertices": [len(h)], "centroid_x": [cx], "centroid_y": [cy]})
 
-    return level1.groupBy(group_col).applyInPandas(final, out_schema)
+    return level2.groupBy(group_col).applyInPandas(final, out_schema)
 
 
 # ---------------------------------------------------------------------------
@@ -354,9 +392,9 @@ def cells_vs_hulls(cells: DataFrame, hulls: DataFrame, group_col: str,
 
     Zones are convex hulls (counter-clockwise). Separating-axis test: a
     convex zone and a rectangle are disjoint iff all four corners lie
-    strictly outside one zone edge, or the bounding boxes are apart. The
-    hull edges ride along each candidate pair as an array, so no pair is
-    exploded per edge.
+    strictly outside one zone edge, or the bounding boxes are apart. Tiles
+    carry a zone's key and box only; its edges join the candidate pairs
+    afterwards, once a pair, as an array.
     """
     h = hulls.select(
         group_col, "hull", ring_edges("hull").alias("edges"),
@@ -364,18 +402,18 @@ def cells_vs_hulls(cells: DataFrame, hulls: DataFrame, group_col: str,
         F.array_max(F.transform("hull", lambda p: p["x"])).alias("hxmax"),
         F.array_min(F.transform("hull", lambda p: p["y"])).alias("hymin"),
         F.array_max(F.transform("hull", lambda p: p["y"])).alias("hymax"))
-    ht = (h.withColumn("tx", F.explode(tile_range("hxmin", "hxmax", tile_size)))
+    box = ["hxmin", "hxmax", "hymin", "hymax"]
+    ht = (h.select(group_col, *box).withColumn("tx", F.explode(tile_range("hxmin", "hxmax", tile_size)))
           .withColumn("ty", F.explode(tile_range("hymin", "hymax", tile_size))))
     ct = (cells.withColumn("tx", F.explode(tile_range("xmin", "xmax", tile_size)))
           .withColumn("ty", F.explode(tile_range("ymin", "ymax", tile_size))))
-    # no hint: the zone side is small, and AQE turns this into a broadcast
-    # join from the measured size of its shuffle output
+    # no hint: the zone side is small, and AQE turns these into broadcast
+    # joins from the measured size of its shuffle output
     cand = (ct.join(ht, ["tx", "ty"])
             .where((F.col("xmin") <= F.col("hxmax")) & (F.col("xmax") >= F.col("hxmin"))
                    & (F.col("ymin") <= F.col("hymax")) & (F.col("ymax") >= F.col("hymin")))
-            .select(*cells.columns, group_col, "hull", "edges",
-                    "hxmin", "hxmax", "hymin", "hymax")
-            .dropDuplicates(["cell_id", group_col]))
+            .select("cell_id", "xmin", "ymin", "xmax", "ymax", group_col).distinct()
+            .join(h, group_col))
     corners = rect_corners("xmin", "ymin", "xmax", "ymax")
     n_vert = F.size("hull")
 

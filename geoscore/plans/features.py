@@ -58,6 +58,7 @@ CENSUS_RATIOS = [
 ]
 # Weighted-data series used as the population index.
 POPULATION_SERIES = 4
+MILIEUS = ("urbain", "rural")
 # Not-null requirements of the survival training rows.
 SURVIVAL_REQUIRED = ["nb_concurrents_debut", "nb_habitants_etablissement_debut", "taux_motorisation"]
 
@@ -68,14 +69,13 @@ def _t(tables: dict, name: str) -> DataFrame:
     return tables[name]
 
 
-def survival_features_milieu(tables: dict, trade: str, milieu: str, target: str = "survie_3_ans",
-                             distinct: bool = True) -> DataFrame:
-    """C2 for one milieu: the establishment star join.
+def survival_features(tables: dict, trade: str, target: str = "survie_3_ans", distinct: bool = True) -> DataFrame:
+    """The establishment star join (J1, J2, A8, X2, P3), once for the
+    establishments of both milieus.
 
-    ``milieu`` is ``urbain`` or ``rural``; trade-specific establishments come
-    from ``etablissements_cibles_{trade}``. Census columns are discovered
-    (S2); the urban/rural competition columns are taken by name.
-    """
+    Trade-specific establishments come from ``etablissements_cibles_{trade}``,
+    census columns are discovered (S2). Competition and craft indexes exist for
+    each milieu; a row takes those of its own, by name."""
     est = _t(tables, f"etablissements_cibles_{trade}").select("siret", "code_commune", "code_iris", "idinspire")
     surv = _t(tables, "taux_survie_etablissements").select("siret", "duree_vie", target)
     uu = _t(tables, "unites_urbaines").select(
@@ -102,21 +102,12 @@ def survival_features_milieu(tables: dict, trade: str, milieu: str, target: str
     sirene = _t(tables, "sirene_etablissements").select(
         "siret", F.col("caractere_employeur_etablissement").alias("caractere_employeur"),
         X.present_flag("activite_principale_registre_metiers_etablissement").alias("inscription_registre_metiers"))
-    conc = _t(tables, "indices_concurrence").select(
-        "siret", F.col(f"nb_concurrents_debut_{milieu}").alias("nb_concurrents_debut"),
-        F.col(f"nb_habitants_etablissement_debut_{milieu}").alias("nb_habitants_etablissement_debut"),
-        F.col(f"taux_etablissements_concurrents_debut_{milieu}").alias("taux_etablissements_concurrents_debut"))
+    of_milieu = ["nb_concurrents_debut", "nb_habitants_etablissement_debut", "taux_etablissements_concurrents_debut"]
+    conc = _t(tables, "indices_concurrence").select("siret", *(f"{c}_{m}" for c in of_milieu for m in MILIEUS))
     syn_raw = _t(tables, "indices_synergie_territoriale")
-    other = "rural" if milieu == "urbain" else "urbain"
-    syn_cols = []
-    for c in syn_raw.columns:
-        if c == "siret":
-            continue
-        if c.startswith("indice_artisanat_") and c.endswith(f"_{other}"):
-            continue      # craft indexes of the other milieu
-        name = c[: -len(milieu) - 1] if c.startswith("indice_artisanat_") and c.endswith(f"_{milieu}") else c
-        syn_cols.append((F.col(c).cast("double") if c.startswith("indice_") else F.col(c)).alias(name))
-    syn = syn_raw.select("siret", *syn_cols)
+    craft = [c.removesuffix("_urbain") for c in syn_raw.columns if c.startswith("indice_artisanat_") and c.endswith("_urbain")]
+    syn = syn_raw.select("siret", *((F.col(c).cast("double") if c.startswith("indice_") else F.col(c)).alias(c)
+                                    for c in syn_raw.columns if c != "siret"))
     # selective keys first; commune / IRIS dimensions are small and size-checked
     j = (est.join(surv, "siret")
          .join(bounded_broadcast(uu), "code_commune")
@@ -125,10 +116,18 @@ def survival_features_milieu(tables: dict, trade: str, milieu: str, target: str
          .join(bounded_broadcast(mot), "code_iris")
          .join(bounded_broadcast(csp), "code_iris")
          .join(grid, "idinspire").join(agg, "idinspire").join(pop, "idinspire").join(prix, "idinspire")
-         .join(sirene, "siret").join(conc, "siret").join(syn, "siret"))
-    if distinct:
-        j = j.distinct()
-    return j.where(F.col("type_milieu_2") == milieu.upper())
+         .join(sirene, "siret").join(conc, "siret").join(syn, "siret")
+         .where(F.col("type_milieu_2").isin([m.upper() for m in MILIEUS])))
+    own = {c: F.when(F.col("type_milieu_2") == MILIEUS[0].upper(), F.col(f"{c}_{MILIEUS[0]}")).otherwise(F.col(f"{c}_{MILIEUS[1]}"))
+           for c in of_milieu + craft}
+    j = j.withColumns(own).drop(*(f"{c}_{m}" for c in own for m in MILIEUS))
+    return j.distinct() if distinct else j
+
+
+def survival_features_milieu(tables: dict, trade: str, milieu: str, target: str = "survie_3_ans",
+                             distinct: bool = True) -> DataFrame:
+    """The rows of one milieu, ``urbain`` or ``rural``."""
+    return survival_features(tables, trade, target, distinct).where(F.col("type_milieu_2") == milieu.upper())
 
 
 def transform_census(df: DataFrame, census_cols: list[str]) -> DataFrame:
@@ -142,16 +141,13 @@ def transform_census(df: DataFrame, census_cols: list[str]) -> DataFrame:
 
 
 def survival_training_set(tables: dict, trade: str, target: str = "survie_3_ans") -> DataFrame:
-    """Urban and rural rows (U2) with milieu / zone recodes (P11, P13),
+    """Urban and rural rows (U2, of one join) with milieu / zone recodes (P11, P13),
     transformed census data and the not-null filter (P4)."""
     census_cols = [c for c in _t(tables, "insee_donnees_carroyees_niveau_200m").columns
                    if c not in X.CENSUS_EXCLUDED]
-    parts = []
-    for milieu, flag in (("urbain", 1), ("rural", 0)):
-        m = survival_features_milieu(tables, trade, milieu, target)
-        parts.append(m.withColumn("milieu", F.lit(flag))
-                     .withColumn("zone", X.ordinal_recode("type_milieu_4")))
-    both = parts[0].unionByName(parts[1])
+    both = (survival_features(tables, trade, target)
+            .withColumn("milieu", (F.col("type_milieu_2") == MILIEUS[0].upper()).cast("int"))
+            .withColumn("zone", X.ordinal_recode("type_milieu_4")))
     both = transform_census(both, census_cols)
     both = both.dropna(subset=SURVIVAL_REQUIRED)
     return both.drop("duree_vie", "type_milieu_2", "type_milieu_4")

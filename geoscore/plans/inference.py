@@ -13,6 +13,8 @@ addresses arrive as longitude / latitude and are projected on the fly (X23).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -331,21 +333,25 @@ def project_feature_records(vectors: DataFrame, features: list[str], dictionary:
 def infer_projects(spark, t: dict, trade: str, project_ids: DataFrame, dictionary: DataFrame,
                    model_3y=None, features_3y: list[str] | None = None, model_5y=None,
                    features_5y: list[str] | None = None, employer_flag: int = 1, registry_flag: int = 1,
-                   out_dir: str | None = None, base: str | None = None) -> dict:
+                   out_dir: str | None = None, base: str | None = None, batch: str | None = None) -> dict:
     """Locate, candidate cells, missing attributes, 3-year then 5-year
     cell and project scores, project opportunity. Returns the result frames;
-    with ``out_dir`` they are also written (cell scores replace their
-    (score, trade, project) slice; everything else is appended).
+    with ``out_dir`` they are also written: cell scores replace their
+    (score, trade, project) slice, also for projects that have no cell any
+    more; everything else is appended under ``batch`` (a new id unless
+    passed), so a failed run repeated with its batch id adds no row twice.
 
     Models and their selected features are those of the newest runs below
-    ``base`` (C13) unless they are passed."""
+    ``base`` (C13) unless they are passed; a trade without a 5-year run gets
+    3-year scores only."""
     from geoscore.operators.ml import score
     if base is not None and model_3y is None:
-        from geoscore.plans.training import KIND_3Y, KIND_5Y, load_latest_model
+        from geoscore.plans.training import KIND_3Y, KIND_5Y, find_latest_model, load_latest_model
         _, model_3y, features_3y = load_latest_model(spark, base, trade, KIND_3Y)
-        _, model_5y, features_5y = load_latest_model(spark, base, trade, KIND_5Y)
+        _, model_5y, features_5y = find_latest_model(spark, base, trade, KIND_5Y) or (None, None, None)
+    batch = batch or uuid.uuid4().hex
     if out_dir:
-        T.log_status(spark, f"{out_dir}/statut_projets", project_ids, STATUS_RUNNING)
+        T.log_status(spark, f"{out_dir}/statut_projets", project_ids, STATUS_RUNNING, batch=f"{batch}-running")
     located = locate_projects(t, project_ids)
     cand = candidate_cells(t, located)
     comp = competitor_counts(t, trade, cand)
@@ -384,15 +390,19 @@ def infer_projects(spark, t: dict, trade: str, project_ids: DataFrame, dictionar
     if "res_carreaux_scores" in t:
         results["project_opportunity"] = project_opportunity(t, located, trade)
     if out_dir:
-        T.append(results["new_varexp"], f"{out_dir}/res_carreaux_varexp_{trade}")
-        for k in ("cell_scores_3y", "cell_scores_5y"):
+        T.append(results["new_varexp"], f"{out_dir}/res_carreaux_varexp_{trade}", batch=batch)
+        for k, name in (("cell_scores_3y", SCORE_3Y), ("cell_scores_5y", SCORE_5Y)):
             if k in results:
-                T.replace_slices(results[k], f"{out_dir}/res_carreaux_scores", SCORE_SLICES)
+                scored = results[k].select(F.col("fk_projet").alias("id_projet")).distinct()
+                bare = project_ids.select("id_projet").distinct().join(scored, "id_projet", "left_anti").collect()
+                T.replace_slices(results[k], f"{out_dir}/res_carreaux_scores", SCORE_SLICES,
+                                 [(name, trade, r["id_projet"]) for r in bare])
         for k in ("project_scores_3y", "project_scores_5y", "project_opportunity"):
             if k in results:
                 T.append(results[k].withColumn("date_prediction", F.current_timestamp())
-                         .withColumn("reel", F.lit(True)), f"{out_dir}/res_projets_scores")
-        T.append(results["project_records"], f"{out_dir}/res_projets_varexp")
-        T.log_status(spark, f"{out_dir}/statut_projets", project_ids.join(errors, "id_projet", "left_anti"), STATUS_DONE)
-        T.log_status(spark, f"{out_dir}/statut_projets", errors, STATUS_FAILED)
+                         .withColumn("reel", F.lit(True)), f"{out_dir}/res_projets_scores", batch=f"{batch}-{k}")
+        T.append(results["project_records"], f"{out_dir}/res_projets_varexp", batch=batch)
+        T.log_status(spark, f"{out_dir}/statut_projets", project_ids.join(errors, "id_projet", "left_anti"), STATUS_DONE,
+                     batch=f"{batch}-done")
+        T.log_status(spark, f"{out_dir}/statut_projets", errors, STATUS_FAILED, batch=f"{batch}-failed")
     return results

@@ -9,12 +9,17 @@ equal the reference's; where a job refits at the tuned depth, so do they.
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from geoscore.functions import columns as X
 from geoscore.operators import explain, metrics, ml
 from geoscore.operators.joins import bounded_broadcast
 from geoscore.plans.catalog import register
+from geoscore.session import work_dir
+from geoscore.sources import tables
 from geoscore.sources.testdata import load
 
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "upper_frac", "digit_frac", "punct_frac",
@@ -103,6 +108,30 @@ def gbt_tune(spark, d):
 register("gbt_tune", note="grid metrics; rows-only")(gbt_tune)
 
 
+def gbt_regress_tune(spark, d):
+    res = ml.tune_gbt(customer_counts(spark, d), CUST_FEATURES, "c_custkey", "label", False, ml.GBT_REGRESSOR_GRID)
+    return res.grid
+
+
+register("gbt_regress_tune", note="grid metrics; rows-only")(gbt_regress_tune)
+
+
+# M16 on a small space: the number of draws and the space are the job's
+# parameters; the library's own hold 100 draws of up to 2000 trees.
+SMALL_SPACE = {"numTrees": [10, 20, 40], "featureSubsetStrategy": ["auto", "sqrt"], "maxDepth": [2, 5, 10],
+               "minInstancesPerNode": [1, 2, 4], "bootstrap": [True, False]}
+SMALL_STEPS = {"numTrees": (10, range(-1, 2), 5), "maxDepth": (3, range(-1, 2), 1), "minInstancesPerNode": (1, range(0, 2), 1)}
+
+
+def random_search(spark, d):
+    res = ml.random_search(labelled_docs(spark, d), DOC_FEATURES, "doc_id", space=SMALL_SPACE, draws=6,
+                           steps=SMALL_STEPS, values={}, local_folds=ml.RANDOM_FOLDS)
+    return res.grid
+
+
+register("random_search", note="drawn and local settings; rows-only")(random_search)
+
+
 # ---------------------------------------------------------------------------
 # M6 / M7 / M8 / M9 / M13
 # ---------------------------------------------------------------------------
@@ -174,13 +203,26 @@ register("stacked_score", note="model 1 probability feeds model 2; rows-only")(s
 # ---------------------------------------------------------------------------
 # attribution
 # ---------------------------------------------------------------------------
-def tree_attribution(spark, d, max_features: int = 15):
-    docs = labelled_docs(spark, d)
-    data = metrics.with_class_weights(docs, "label")
-    tuned = ml.tune_rf_classifier(docs, DOC_FEATURES, "doc_id")
-    imp = ml.feature_importances(spark, tuned.model, DOC_FEATURES)
-    chosen = [r["feature"] for r in imp.orderBy("rank").limit(max_features).collect()]
-    model = ml.fit(data, chosen, _survival_estimator(int(tuned.best_params.get("maxDepth", 10))))
+def attribution_model(spark, d, max_features: int = 15):
+    """Tuned forest refitted on its top features, and those features. Tuned
+    once for each data folder and application: the attribution jobs load the
+    stored run (S14, S15)."""
+    store = work_dir(spark, "attribution-models", spark.sparkContext.applicationId, hashlib.sha256(str(d).encode()).hexdigest())
+    if not tables.exists(spark, f"{store}/documents/quality/1_artifacts/settings/_SUCCESS"):
+        docs = labelled_docs(spark, d)
+        data = metrics.with_class_weights(docs, "label")
+        tuned = ml.tune_rf_classifier(docs, DOC_FEATURES, "doc_id")
+        imp = ml.feature_importances(spark, tuned.model, DOC_FEATURES)
+        chosen = [r["feature"] for r in imp.orderBy("rank").limit(max_features).collect()]
+        model = ml.fit(data, chosen, _survival_estimator(int(tuned.best_params.get("maxDepth", 10))))
+        tables.save_model(model, store, "documents", "quality", 1)
+        tables.save_artifacts(spark, store, "documents", "quality", 1, chosen, tuned.best_params)
+    return (tables.load_model(PipelineModel, store, "documents", "quality", 1),
+            tables.load_features(spark, store, "documents", "quality", 1))
+
+
+def tree_attribution(spark, d):
+    model, chosen = attribution_model(spark, d)
     # attribution needs no label: every document is explained
     rows = ml.materialize(doc_features(spark, d))
     return explain.shap_values(model.stages[-1], rows, "doc_id", chosen, classifier=True)
@@ -197,10 +239,14 @@ register("attribution_summary", note="mean |phi| per feature; rows-only")(attrib
 
 
 def attribution_additivity(spark, d):
-    """base + sum(phi) - prediction of every document."""
-    sv = tree_attribution(spark, d)
-    off = F.first("base") + F.sum("phi") - F.first("prediction")
-    return sv.groupBy("doc_id").agg((F.round(off, 6) + F.lit(0.0)).alias("difference"))
+    """base + sum(phi) against the probability that the fitted model itself
+    gives every document."""
+    model, chosen = attribution_model(spark, d)
+    rows = ml.materialize(doc_features(spark, d))
+    sv = explain.shap_values(model.stages[-1], rows, "doc_id", chosen, classifier=True)
+    own = ml.score(model, rows, "p1").select("doc_id", "p1")
+    sums = sv.groupBy("doc_id").agg((F.first("base") + F.sum("phi")).alias("total"))
+    return sums.join(own, "doc_id").select("doc_id", (F.round(F.col("total") - F.col("p1"), 6) + F.lit(0.0)).alias("difference"))
 
 
 register("attribution_additivity", oracle="SELECT doc_id, CAST(0 AS DOUBLE) AS difference FROM documents")(attribution_additivity)

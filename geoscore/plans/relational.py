@@ -358,7 +358,7 @@ SELECT c_custkey, gap, CASE WHEN gap IS NULL THEN NULL
 FROM gaps""")(gap_score_fixed)
 
 
-def residual_table(spark, d):
+def residuals(spark, d):
     areas = _areas(spark, d)
     nation = load(spark, d, "nation")
     region = load(spark, d, "region")
@@ -366,8 +366,11 @@ def residual_table(spark, d):
            .select("n_nationkey", (F.col("r_name") == "EUROPE").alias("na")))
     res = scoring.residual_table(areas, ["c_custkey", "c_nationkey"], "predicted", "actual")
     return (res.join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-            .drop("c_nationkey", "n_nationkey")
-            .orderBy(F.desc("nb_effectif"), "c_custkey"))
+            .drop("c_nationkey", "n_nationkey"))
+
+
+def residual_table(spark, d):
+    return residuals(spark, d).orderBy(F.desc("nb_effectif"), "c_custkey")
 
 
 _RESID_SQL = _AREAS_SQL + f"""
@@ -387,7 +390,7 @@ register("residual_table", oracle=_RESID_SQL + "SELECT * FROM res ORDER BY nb_ef
 
 
 def residual_histogram(spark, d):
-    h = scoring.histogram(residual_table(spark, d), "ecart_relatif", bins=20)
+    h = scoring.histogram(residuals(spark, d), "ecart_relatif", bins=20)
     return h.select("bin", "n", F.round("lower_edge", 6).alias("lower_edge"))
 
 

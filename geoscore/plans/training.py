@@ -34,7 +34,10 @@ class TrainedModel:
 
 def _paths(base: str) -> dict:
     return {"registry": os.path.join(base, "entrainements_modeles"),
-            "artifacts": os.path.join(base, "modeles")}
+            "active": os.path.join(base, "modeles_actifs"),
+            "artifacts": os.path.join(base, "modeles"),
+            "predictions": os.path.join(base, "predictions_nombre_etablissements"),
+            "cell_scores": os.path.join(base, "res_carreaux_scores")}
 
 
 # ---------------------------------------------------------------------------
@@ -100,28 +103,49 @@ def best_run(spark: SparkSession, base: str, trade: str, kind: str, metric: str
     return T.with_active_flag(reg, best, ["fk_metier", "fk_modele"])
 
 
-def load_latest_model(spark: SparkSession, base: str, trade: str, kind: str) -> tuple[int, PipelineModel, list[str]]:
+def activate_best(spark: SparkSession, base: str, trade: str, kind: str, metric: str = "accuracy",
+                  higher_is_better: bool = True, candidates: DataFrame | None = None) -> int | None:
+    """Record the best run of a trade and kind as the active one (its
+    slice of the table of active runs, S8) and return its id."""
+    best = best_run(spark, base, trade, kind, metric, higher_is_better, candidates).where("actif")
+    best = ml.materialize(best.select("fk_metier", "fk_modele", F.col("id").alias("id_actif")))
+    T.replace_slices(best, _paths(base)["active"], ["fk_metier", "fk_modele"], [(trade, kind)])
+    row = best.first()
+    return None if row is None else int(row["id_actif"])
+
+
+def find_latest_model(spark: SparkSession, base: str, trade: str, kind: str) -> tuple[int, PipelineModel, list[str]] | None:
     """C13 + S15: newest run id of (trade, kind) from the registry, its saved
-    pipeline and its selected features."""
+    pipeline and its selected features; None without a run."""
     from geoscore.plans.inference import latest_model_run
     reg = T.read_table(spark, _paths(base)["registry"])
     row = latest_model_run(reg, trade, kind).first()
     if row is None:
-        raise LookupError(f"no run for {trade}/{kind}")
+        return None
     rid = int(row["latest_id"])
     where = _paths(base)["artifacts"]
     return rid, T.load_model(PipelineModel, where, trade, kind, rid), T.load_features(spark, where, trade, kind, rid)
 
 
+def load_latest_model(spark: SparkSession, base: str, trade: str, kind: str) -> tuple[int, PipelineModel, list[str]]:
+    """:func:`find_latest_model`, which must find one."""
+    found = find_latest_model(spark, base, trade, kind)
+    if found is None:
+        raise LookupError(f"no run for {trade}/{kind}")
+    return found
+
+
 # ---------------------------------------------------------------------------
 # Opportunity model, C3 and C4
 # ---------------------------------------------------------------------------
 def train_opportunity(spark: SparkSession, t: dict, trade: str, base: str,
                       num_trees: int = ml.OPPORTUNITY_TREES, depths=ml.OPPORTUNITY_DEPTHS,
                       parallelism: int = ml.FIT_PARALLELISM, tune_folds: int = ml.TUNING_FOLDS,
-                      eval_folds: int = ml.EVALUATION_FOLDS) -> TrainedModel:
+                      eval_folds: int = ml.EVALUATION_FOLDS, region_code: int = REGION_CODE) -> TrainedModel:
     """C17 for the regressor: C1 -> M3 -> M6 -> M8 (10 folds) -> S10 -> M11,
-    in-sample and out-of-fold predictions per IRIS."""
+    in-sample and out-of-fold predictions per IRIS. The trade's columns of the
+    prediction table are updated (S6 S7), and its opportunity scores (C3)
+    replace their slice of the cell score table (S8), both below ``base``."""
     data = FT.opportunity_features(t, trade).withColumnRenamed("nb_etablissements", "label")
     feats = [c for c in data.columns if c not in ("code_iris", "label")]
     data = ml.materialize(data)
@@ -143,7 +167,22 @@ def train_opportunity(spark: SparkSession, t: dict, trade: str, base: str,
                      {"maxDepth": int(tuned.best_params.get("maxDepth", 5)), "numTrees": num_trees}, imp, data)
     preds = (insample.select("code_iris", F.col("pred").alias(trade))
              .join(oof.select("code_iris", F.col("prediction").alias(f"{trade}_cv")), "code_iris"))
-    return TrainedModel(run_id, final, feats, ev, imp, {"predictions": preds, "data": data})
+    table = stored_predictions(spark, t, base)
+    table = ml.materialize(update_predictions(table, preds, trade))
+    T.replace_slices(table.withColumn("lot", F.lit(0)), paths["predictions"], ["lot"])
+    scores = ml.materialize(opportunity_cell_scores(t, table, trade, region_code))
+    write_opportunity_scores(scores, paths["cell_scores"], trade)
+    return TrainedModel(run_id, final, feats, ev, imp, {"predictions": preds, "data": data, "cell_scores": scores})
+
+
+def stored_predictions(spark: SparkSession, t: dict, base: str) -> DataFrame:
+    """The prediction table below ``base``: every IRIS, two columns a trade
+    trained so far."""
+    path = _paths(base)["predictions"]
+    if T.exists(spark, path):
+        T.recover(spark, path)
+        return T.read_table(spark, path).drop("lot")
+    return t["nb_etablissements_iris"].select("code_iris").distinct()
 
 
 def update_predictions(predictions_table: DataFrame, new: DataFrame, trade: str) -> DataFrame:
@@ -234,4 +273,6 @@ def train_trade(spark: SparkSession, t: dict, trade: str, base: str,
     opp = train_opportunity(spark, t, trade, base, **opp_kw)
     attributions[KIND_OPP] = explain_model(spark, opp, opp.extra["data"], "code_iris", classifier=False,
                                            refit_top=None, sample=attribution_rows)
-    return {KIND_3Y: m3, KIND_5Y: m5, KIND_OPP: opp, "attributions": attributions}
+    active = {kind: activate_best(spark, base, trade, kind, metric, higher)
+              for kind, metric, higher in ((KIND_3Y, "accuracy", True), (KIND_5Y, "accuracy", True), (KIND_OPP, "mean_squared_error_cv", False))}
+    return {KIND_3Y: m3, KIND_5Y: m5, KIND_OPP: opp, "attributions": attributions, "active": active}

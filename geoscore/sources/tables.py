@@ -1,14 +1,25 @@
 """Sinks and table maintenance.
 
 Tables are Parquet folders. Writes are append-only or replace whole
-partitions, so a failed or retried job never leaves half-updated rows.
+partitions, so a failed or retried job never leaves half-updated rows:
+
+* a replacement is staged in full, then named in a small journal, then moved
+  into place; whoever opens the table for writing next finishes a journal that
+  was left behind (``recover``), and a stage without a journal is dropped;
+* rows appended under a batch id replace those of the same batch, so a repeated
+  run adds nothing;
+* run ids are claimed by creating a file that only one writer can create.
+
+This needs a file system whose renames are whole (HDFS and the like).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +29,15 @@ from geoscore.operators.joins import bounded_broadcast
 # ---------------------------------------------------------------------------
 # Append, schema evolution, slice replace
 # ---------------------------------------------------------------------------
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append a result to a table (new columns merge on read)."""
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None, batch: str | None = None) -> None:
+    """Append a result to a table (new columns merge on read).
+
+    With ``batch`` the rows go to the table's partition of that batch id
+    (column ``batch``) and replace what an earlier attempt left there. A table
+    is appended to either with batch ids or without, not both."""
+    if batch is not None:
+        _replace(df.withColumn("batch", F.lit(batch)), path, ["batch", *(partition_by or [])], 1, [(batch,)])
+        return
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -43,20 +61,85 @@ def replace_slices(df: DataFrame, path: str, partition_by: list[str],
                    slices: list[tuple] | None = None) -> None:
     """Delete-then-insert of slices.
 
-    The table is partitioned by the slice keys (e.g. score, trade, project)
-    and written with dynamic partition overwrite: exactly the partitions that
-    occur in ``df`` are replaced, all others stay. ``slices`` (a few key
-    tuples, in the order of ``partition_by``) names slices that are to be
-    replaced even if ``df`` holds no row for them; those end up empty.
+    The table is partitioned by the slice keys (e.g. score, trade, project):
+    exactly the partitions that occur in ``df`` are replaced, all others stay.
+    ``slices`` (a few key tuples, in the order of ``partition_by``) names
+    slices that are to be replaced even if ``df`` holds no row for them; those
+    end up empty. A replacement that fails half-way is finished by the next
+    one, or by :func:`recover`.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-    if slices:
-        key = F.struct(*partition_by)
-        kept = {tuple(r) for r in df.where(_in_slices(partition_by, slices)).select(key.alias("k")).select("k.*").distinct().collect()}
-        for values in slices:
-            if tuple(values) not in kept:
-                _delete(df.sparkSession, path + "/" + _partition_path(df.sparkSession, partition_by, values))
+    _replace(df, path, partition_by, len(partition_by), slices or [])
+
+
+JOURNAL, STAGED = "_replacement.json", "_staged"  # names that Spark's readers skip
+
+
+def _replace(df: DataFrame, path: str, layout: list[str], depth: int, named: list[tuple]) -> None:
+    """Replace the folders of the first ``depth`` partition columns that occur
+    in ``df`` or are ``named``: stage, journal, move."""
+    spark = df.sparkSession
+    recover(spark, path)
+    stage = f"{STAGED}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*layout).parquet(f"{path}/{stage}")
+    found = _folders(spark, f"{path}/{stage}", depth)
+    cleared = {_partition_path(spark, layout[:depth], values) for values in named} - set(found)
+    _write_journal(spark, path, {"stage": stage, "replace": found, "clear": sorted(cleared)})
+    recover(spark, path)
+
+
+def _folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders ``depth`` levels below ``path``, relative to it."""
+    fs, where = _file_system(spark, path)
+    level = [(where, "")]
+    for _ in range(depth):
+        level = [(st.getPath(), f"{name}/{st.getPath().getName()}".lstrip("/"))
+                 for folder, name in level for st in fs.listStatus(folder)
+                 if st.isDirectory() and "=" in st.getPath().getName()]
+    return sorted(name for _, name in level)
+
+
+def _write_journal(spark: SparkSession, path: str, journal: dict) -> None:
+    """Write the journal beside the table's data: whole or not at all."""
+    fs, where = _file_system(spark, f"{path}/{JOURNAL}")
+    _, draft = _file_system(spark, f"{path}/{JOURNAL}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(json.dumps(journal).encode()))
+    finally:
+        out.close()
+    if not fs.rename(draft, where):
+        raise OSError(f"could not write {where}")
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a replacement whose journal is there; drop what was only staged.
+    Returns whether there was one to finish. Every step may be repeated."""
+    fs, journal = _file_system(spark, f"{path}/{JOURNAL}")
+    pending = fs.exists(journal)
+    if pending:
+        size = fs.getFileStatus(journal).getLen()
+        todo = json.loads(_read_all(spark, fs, journal, size))
+        for folder in todo["replace"]:
+            _, staged = _file_system(spark, f"{path}/{todo['stage']}/{folder}")
+            _, place = _file_system(spark, f"{path}/{folder}")
+            if fs.exists(staged):  # else it was moved before
+                fs.delete(place, True)
+                fs.mkdirs(place.getParent())
+                if not fs.rename(staged, place):
+                    raise OSError(f"could not move {staged}")
+        for folder in todo["clear"]:
+            _delete(spark, f"{path}/{folder}")
+        fs.delete(journal, False)
+    _delete(spark, f"{path}/{STAGED}")
+    return pending
+
+
+def _read_all(spark: SparkSession, fs, where, size: int) -> str:
+    stream = fs.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, int(size))).decode()
+    finally:
+        stream.close()
 
 
 def _in_slices(cols: list[str], slices: list[tuple]):
@@ -81,6 +164,11 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     fs, where = _file_system(spark, path)
     fs.delete(where, True)
@@ -122,21 +210,47 @@ def keyed_update(old: DataFrame, staging: DataFrame, key_cols: list[str],
 # Run registry
 # ---------------------------------------------------------------------------
 def next_run_id(spark: SparkSession, path: str) -> int:
-    """``coalesce(max(id), 0) + 1`` (single writer per registry).
+    """``coalesce(max(id), 0) + 1``.
 
-    Only a registry that doesn't exist starts at 1; one that can't be read
-    raises, so an earlier run is never overwritten."""
+    Only a registry that doesn't exist, or holds no run yet, starts at 1; one
+    that can't be read raises, so an earlier run is never overwritten."""
     fs, where = _file_system(spark, path)
-    if not fs.exists(where):
+    if not fs.exists(where) or not any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(where)):
         return 1
     m = read_table(spark, path).agg(F.max("id")).first()[0]
     return int(m or 0) + 1
 
 
+def claim_run_id(spark: SparkSession, path: str) -> int:
+    """The next run id that no other writer holds. A claim is a file
+    below the registry that only one writer can create; the id of a run that
+    failed after its claim stays unused."""
+    rid = next_run_id(spark, path)
+    while not _create_new(spark, f"{path}/_claimed/{rid}"):
+        rid += 1
+    return rid
+
+
+def _create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there. One writer succeeds."""
+    fs, where = _file_system(spark, path)
+    fs.mkdirs(where.getParent())
+    try:
+        if fs.getScheme() == "file":  # Hadoop's local file system checks first and creates later
+            open(where.toUri().getPath(), "x").close()
+        else:
+            fs.create(where, False).close()
+    except (FileExistsError, Py4JJavaError) as error:
+        if isinstance(error, Py4JJavaError) and not fs.exists(where):
+            raise
+        return False
+    return True
+
+
 def register_run(spark: SparkSession, path: str, trade: str, model_kind: str,
                  params: dict, metrics: dict) -> int:
     """Append one run (parameters and metrics as JSON) and return its id."""
-    rid = next_run_id(spark, path)
+    rid = claim_run_id(spark, path)
     row = spark.createDataFrame(
         [(rid, trade, model_kind, json.dumps(params, sort_keys=True),
           json.dumps(metrics, sort_keys=True))],
@@ -206,10 +320,10 @@ def current_status(log: DataFrame, key_cols: list[str], status_col: str = "statu
 
 
 def log_status(spark: SparkSession, path: str, project_ids: DataFrame, status: str,
-               key_col: str = "id_projet") -> None:
+               key_col: str = "id_projet", batch: str | None = None) -> None:
     """Append a status change for a set of projects."""
     append(project_ids.select(key_col).distinct()
-           .withColumn("status", F.lit(status)).withColumn("ts", F.current_timestamp()), path)
+           .withColumn("status", F.lit(status)).withColumn("ts", F.current_timestamp()), path, batch=batch)
 
 
 # ---------------------------------------------------------------------------

@@ -147,3 +147,17 @@ def test_status_of_hot_project_and_nulls(spark):
     log = spark.createDataFrame(rows, "p int, status string, ts long, id long").withColumn("ts", F.timestamp_seconds("ts"))
     got = {r.p: (r.status, r.n_updates) for r in current_status(log, ["p"], "status", "ts", "id").collect()}
     assert got == {1: ("s2", 3000), 2: (None, 2), None: ("y", 1)}
+
+
+def test_row_numbers_take_one_shuffle_of_the_rows(spark):
+    rows = [(i % 3 if i % 7 else None, (i * 7919) % 100003, i) for i in range(3000)] + [(1, None, -1), (None, None, -2)]
+    df = spark.createDataFrame(rows, "g int, v int, k int").repartition(6)
+    got = ranking.row_number_unique(df, ["g"], "v", "n")
+    assert got.columns == ["g", "v", "k", "n"]
+    assert _plan(got).count("Exchange rangepartitioning") == 0  # it is written by then
+    want = {}
+    for g in (0, 1, 2, None):
+        mine = sorted((v, k) for h, v, k in rows if h == g and v is not None)
+        want.update({k: n + 1 for n, (_, k) in enumerate(mine)})
+    want.update({-1: None, -2: None})
+    assert {r.k: r.n for r in got.collect()} == want

@@ -103,7 +103,7 @@ def test_train_infer_explain_end_to_end(spark, t, tmp_path):
     base = str(tmp_path)
     res = TR.train_trade(spark, t, world.TRADE, base, attribution_rows=40, num_trees=5, depths=[2, 4],
                          parallelism=4, tune_folds=3, eval_folds=3, sweep_step=20)
-    m3, m5, opp = res[TR.KIND_3Y], res[TR.KIND_5Y], res[TR.KIND_OPP]
+    m3, m5, opp, active = res[TR.KIND_3Y], res[TR.KIND_5Y], res[TR.KIND_OPP], res["active"]
     assert (m3.run_id, m5.run_id, opp.run_id) == (1, 2, 3)
     assert "proba_survie_3_ans" in m5.extra["data"].columns
     for kind, (sv_k, summary_k) in res["attributions"].items():
@@ -170,6 +170,37 @@ def test_train_infer_explain_end_to_end(spark, t, tmp_path):
     assert set(INF.RECORDED) <= recorded
     odd = out["located"].withColumn("localisation_type", F.lit("ailleurs"))
     assert INF.unknown_locations(odd).count() == 3 and out["errors"].count() == 0
+    # the opportunity job wrote its predictions and its slice of the cell scores
+    stored = spark.read.parquet(base + "/res_carreaux_scores")
+    assert {(r.score, r.fk_metier, r.fk_projet) for r in stored.select("score", "fk_metier", "fk_projet").distinct().collect()} == {
+        ("opportunite", world.TRADE, None)}
+    assert {(r.idinspire, r.valeur) for r in stored.collect()} == {(r.idinspire, r.valeur) for r in opp.extra["cell_scores"].collect()}
+    table = TR.stored_predictions(spark, t, base)
+    assert {world.TRADE, world.TRADE + "_cv"} <= set(table.columns)
+    assert {r.code_iris: r[world.TRADE] for r in table.collect()} == {r.code_iris: r[world.TRADE] for r in preds.collect()}
+    # the best run of each kind is the active one
+    assert active == {TR.KIND_3Y: 1, TR.KIND_5Y: 2, TR.KIND_OPP: 3}
+    from geoscore.sources import tables as T
+    T.register_run(spark, base + "/entrainements_modeles", world.TRADE, TR.KIND_3Y, {}, {"accuracy": 1.5})
+    T.register_run(spark, base + "/entrainements_modeles", world.TRADE, TR.KIND_OPP, {}, {"mean_squared_error_cv": 1e30})
+    assert TR.activate_best(spark, base, world.TRADE, TR.KIND_3Y) == 4
+    assert TR.activate_best(spark, base, world.TRADE, TR.KIND_OPP, "mean_squared_error_cv", False) == 3
+    actives = spark.read.parquet(base + "/modeles_actifs")
+    assert {(r.fk_modele, r.id_actif) for r in actives.collect()} == {(TR.KIND_3Y, 4), (TR.KIND_5Y, 2), (TR.KIND_OPP, 3)}
+    # a failed run repeated under its batch id adds nothing, and a project without cells loses its old scores
+    score_rows = spark.read.parquet(base + "/out/res_projets_scores").count()
+    cells_before = spark.read.parquet(base + "/out/res_carreaux_scores").count()
+    for _ in range(2):
+        INF.infer_projects(spark, t2, world.TRADE, ids.where("id_projet = 2"), d, base=None, model_3y=m3.model, features_3y=m3.features,
+                           out_dir=base + "/out", batch="again")
+    again = spark.read.parquet(base + "/out/res_projets_scores").where("batch LIKE 'again%'")
+    assert again.groupBy("score", "id_projet").count().where("count > 1").count() == 0 and again.count() > 0
+    assert spark.read.parquet(base + "/out/res_projets_scores").where("batch NOT LIKE 'again%'").count() == score_rows
+    assert spark.read.parquet(base + "/out/res_carreaux_scores").count() == cells_before
+    gone = dict(t2, projets=t2["projets"].where("id_projet != 2"))
+    INF.infer_projects(spark, gone, world.TRADE, ids.where("id_projet = 2"), d, model_3y=m3.model, features_3y=m3.features, out_dir=base + "/out")
+    left = spark.read.parquet(base + "/out/res_carreaux_scores").where("fk_projet = 2")
+    assert {r.score for r in left.select("score").distinct().collect()} == {INF.SCORE_5Y}
     # opportunity scores share the cell score table
     TR.write_opportunity_scores(scores, base + "/out/res_carreaux_scores", world.TRADE)
     TR.write_opportunity_scores(scores.limit(0), base + "/out/res_carreaux_scores", world.TRADE)
@@ -177,6 +208,16 @@ def test_train_infer_explain_end_to_end(spark, t, tmp_path):
     assert {r.score for r in table.select("score").distinct().collect()} == {INF.SCORE_3Y, INF.SCORE_5Y}
 
 
+def test_inference_without_a_five_year_run(spark, t, tmp_path):
+    base = str(tmp_path)
+    m3 = TR.train_survival(spark, t, world.TRADE, base, num_trees=3, depths=[2], parallelism=4, tune_folds=2, eval_folds=2, sweep_step=40)
+    assert TR.find_latest_model(spark, base, world.TRADE, TR.KIND_5Y) is None
+    names = sorted(set(m3.features) - set(INF.RECORDED))
+    d = spark.createDataFrame([(f, f, "global") for f in names], "feature string, varexp string, scope string")
+    out = INF.infer_projects(spark, t, world.TRADE, t["projets"].select("id_projet"), d, base=base)
+    assert "cell_scores_5y" not in out and {r.id_projet for r in out["project_scores_3y"].collect()} <= {1, 2, 3}
+
+
 def test_fill_is_per_project(spark):
     df = spark.createDataFrame([(1, 10.0, 3e9), (1, None, 1.0), (2, None, 2.0)], "id_projet int, taux_motorisation double, indice_frequentation_train double")
     rows = {(r.id_projet, r.indice_frequentation_train): r for r in INF.prepare_for_model(df, ["taux_motorisation"], 1, 0).collect()}

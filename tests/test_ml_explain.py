@@ -59,7 +59,8 @@ def test_attribution_chunks_equal_single_pass(spark, monkeypatch):
     model = ml.fit(data, L.DOC_FEATURES[:5], ml.rf_classifier(4, "label", "weight", maxDepth=4))
     one = {(r.doc_id, r.feature): r.phi for r in
            explain.shap_values(model.stages[-1], data, "doc_id", L.DOC_FEATURES[:5]).collect()}
-    monkeypatch.setattr(explain, "MAX_LEAVES_PER_PASS", 5)
+    monkeypatch.setattr(explain, "LEAVES_PER_FILE", 5)
+    monkeypatch.setattr(explain, "ROWS_PER_BLOCK", 30)
     many = {(r.doc_id, r.feature): r.phi for r in
             explain.shap_values(model.stages[-1], data, "doc_id", L.DOC_FEATURES[:5]).collect()}
     assert one.keys() == many.keys()
@@ -136,13 +137,17 @@ def test_registered_queries_have_the_library_trees_and_grids(spark, monkeypatch)
         except Done:
             return seen[0]
 
-    for name in ("tune", "fit", "out_of_fold", "stack"):
+    for name in ("tune", "fit", "out_of_fold", "stack", "fold_metrics"):
         monkeypatch.setattr(ml, name, stop)
     trees = {"rf_tune": 200, "rf_regress_tune": 200, "feature_importances": 200, "oof_predictions": 200,
              "regression_oof": 200, "stacked_score": ml.SURVIVAL_TREES_5Y, "tree_attribution": 200}
     for query, n in trees.items():
         assert caught(getattr(L, query))[2].getNumTrees() == n, query
-    assert caught(L.gbt_tune)[3] == ml.GBT_CLASSIFIER_GRID
+    for query, grid in ((L.gbt_tune, ml.GBT_CLASSIFIER_GRID), (L.gbt_regress_tune, ml.GBT_REGRESSOR_GRID)):
+        # one fit for each step and depth, with the most iterations; shorter ones are its first trees
+        fits = caught(query)[2]
+        assert {(f["stepSize"], f["maxDepth"], f["maxIter"]) for f in fits} == {
+            (s, m, 200) for s in grid["stepSize"] for m in grid["maxDepth"]} and grid["maxIter"] == [100, 200]
     # the attribution and the regression's folds go by the tuned depth
     assert caught(L.tree_attribution)[3]["maxDepth"] == ml.spark_depths(ml.SURVIVAL_DEPTHS)
     assert caught(L.regression_oof)[3]["maxDepth"] == ml.OPPORTUNITY_DEPTHS
@@ -153,8 +158,52 @@ def test_attribution_has_no_node_limit(spark, monkeypatch):
     feats = L.DOC_FEATURES[:4]
     model = ml.fit(data, feats, ml.rf_classifier(3, "label", "weight", maxDepth=5))
     monkeypatch.setattr(explain, "MAX_NODES", 1, raising=False)
-    monkeypatch.setattr(explain, "MAX_LEAVES_PER_PASS", 11)  # cuts trees too
+    monkeypatch.setattr(explain, "LEAVES_PER_FILE", 11)  # cuts trees too
     monkeypatch.setattr(explain, "_tree_nodes", lambda *args: 1 / 0)  # the forest doesn't go to the driver
     sv = explain.shap_values(model.stages[-1], data, "doc_id", feats)
     agg = sv.groupBy("doc_id").agg((F.first("base") + F.sum("phi") - F.first("prediction")).alias("off")).collect()
     assert len(agg) == data.count() and max(abs(r["off"]) for r in agg) < 1e-9
+
+
+def test_staged_boosting_equals_separate_fits(spark):
+    """The first trees of a long boosted model are the short model, so the
+    staged grid is the grid of separate fits."""
+    data = L.labelled_docs(spark, SF_CHECK)
+    feats = L.DOC_FEATURES[:4]
+    grid = {"maxIter": [2, 5], "stepSize": [0.1], "maxDepth": [2]}
+    res = ml.tune_gbt(data, feats, "doc_id", "label", True, grid, folds=2)
+    d = ml.stratified_folds(metrics.with_class_weights(data, "label", "weight"), "doc_id", "label", 2)
+    vectors = ml.prepared(d, feats, ["label", "weight", "fold"])
+    for r in res.grid.collect():
+        scores = []
+        for fold in (0, 1):
+            est = ml.GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", seed=ml.SEED,
+                                   maxIter=r.n_estimators, stepSize=0.1, maxDepth=2)
+            held = vectors.where(F.col("fold") == fold)
+            scores.append(ml.positive_f1().evaluate(est.fit(vectors.where(F.col("fold") != fold)).transform(held)))
+        assert abs(r.f1 - np.mean(scores)) < 1e-12, r
+    assert len(res.model.stages[-1].trees) == res.best_params["maxIter"] and res.grid.where("best").count() == 1
+    reg = ml.tune_gbt(L.customer_counts(spark, SF_CHECK), L.CUST_FEATURES, "c_custkey", "label", False, dict(grid, maxDepth=[2, 3]), folds=2)
+    assert reg.grid.count() == 4 and reg.grid.where("best").first().mse == min(r.mse for r in reg.grid.collect())
+    long = reg.model.stages[-1]
+    short = ml.first_trees(long, 1)
+    rows = reg.model.stages[0].transform(L.customer_counts(spark, SF_CHECK))
+    want = long.trees[0].transform(rows).select("c_custkey", "prediction")
+    assert {tuple(r) for r in short.transform(rows).select("c_custkey", "prediction").collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_random_search_scores_draws_and_their_neighbourhood(spark):
+    data = L.labelled_docs(spark, SF_CHECK)
+    space = {"numTrees": [2, 3], "maxDepth": [2, 4], "bootstrap": [True, False]}
+    res = ml.random_search(data, L.DOC_FEATURES[:4], "doc_id", space=space, draws=3, steps={"numTrees": (1, range(-1, 2), 1)},
+                           values={"maxDepth": [2, 3]}, folds=2, local_folds=2)
+    rows = res.grid.collect()
+    drawn = [r for r in rows if r.phase == "random"]
+    local = [r for r in rows if r.phase == "local"]
+    assert {r.params for r in drawn} == {",".join(f"{k}={s[k]}" for k in sorted(s)) for s in ml.random_settings(space, 3)}
+    best = next(r for r in drawn if r.best)
+    assert best.f1 == max(r.f1 for r in drawn)
+    n = best.n_estimators
+    assert sorted({r.n_estimators for r in local}) == [n - 1, n, n + 1] and {r.max_depth for r in local} == {2, 3}
+    assert res.model.stages[-1].getNumTrees == res.best_params["numTrees"]
+    assert ml.local_grid({"maxDepth": 29, "numTrees": 1, "x": 3}, ml.LOCAL_STEPS, {}) == {"maxDepth": [9, 19, 29, 30], "numTrees": [1, 101, 201], "x": [3]}

@@ -2,8 +2,10 @@
 
 import json
 import os
+import shutil
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from geoscore.operators import metrics, scoring
@@ -119,3 +121,77 @@ def test_unreadable_registry_raises(spark, tmp_path):
     (path / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         tables.next_run_id(spark, str(path))
+
+
+SCORES = "id int, score string, fk_metier string"
+
+
+def _ids(spark, path):
+    return sorted(r.id for r in spark.read.parquet(path).collect())
+
+
+def test_replacement_that_fails_is_finished(spark, tmp_path, monkeypatch):
+    path, cols = str(tmp_path / "scores"), ["score", "fk_metier"]
+    old = spark.createDataFrame([(1, "o p", "x"), (2, "o p", "y"), (3, "q%", None), (4, "r", "z")], SCORES)
+    new = spark.createDataFrame([(11, "o p", "x"), (12, "o p", "y"), (13, "q%", None)], SCORES)
+    tables.replace_slices(old, path, cols)
+    real, calls = tables.recover, []
+
+    def fails_second(spark_, path_):
+        calls.append(path_)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        return real(spark_, path_)
+
+    # after the journal, before any move
+    monkeypatch.setattr(tables, "recover", fails_second)
+    with pytest.raises(KeyboardInterrupt):
+        tables.replace_slices(new, path, cols, [("r", "z")])
+    monkeypatch.undo()
+    assert _ids(spark, path) == [1, 2, 3, 4]
+    assert tables.recover(spark, path) and _ids(spark, path) == [11, 12, 13]
+    assert not tables.recover(spark, path)
+
+    # between two moves: one folder is in place, the journal is still there
+    calls.clear()
+    monkeypatch.setattr(tables, "recover", fails_second)
+    with pytest.raises(KeyboardInterrupt):
+        tables.replace_slices(old.where("id < 3"), path, cols)
+    monkeypatch.undo()
+    stage = next((tmp_path / "scores" / "_staged").iterdir())
+    moved = next((stage / "score=o p").iterdir())
+    place = tmp_path / "scores" / "score=o p" / moved.name
+    shutil.rmtree(place)
+    moved.rename(place)
+    assert tables.recover(spark, path) and _ids(spark, path) == [1, 2, 13]
+
+    # before the journal: the stage is dropped, the table stays
+    (tmp_path / "scores" / "_staged" / "left").mkdir(parents=True)
+    (tmp_path / "scores" / "_replacement.json.draft").write_text("{")
+    assert not tables.recover(spark, path) and _ids(spark, path) == [1, 2, 13]
+    tables.replace_slices(new.where("id = 13"), path, cols, [("o p", "x")])
+    assert _ids(spark, path) == [2, 13]
+
+
+def test_repeated_batch_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "log")
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], SCORES)
+    tables.append(df, path, batch="run 1/a")
+    tables.append(df, path, batch="run 2")
+    tables.append(df.where("id = 1"), path, batch="run 2")
+    assert _ids(spark, path) == [1, 1, 2]
+    parted = str(tmp_path / "parted")
+    for _ in range(2):
+        tables.append(df, parted, ["score"], batch="b")
+    assert _ids(spark, parted) == [1, 2]
+
+
+def test_run_ids_are_claimed_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    path = str(tmp_path / "registry")
+    with ThreadPoolExecutor(4) as pool:
+        ids = list(pool.map(lambda _: tables.claim_run_id(spark, path), range(8)))
+    assert sorted(ids) == list(range(1, 9))
+    # ids of runs that failed after their claim stay unused
+    assert tables.register_run(spark, path, "boulangerie", "survie_3", {}, {"accuracy": 0.5}) == 9
+    assert tables.claim_run_id(spark, path) == 10

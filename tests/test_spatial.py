@@ -330,3 +330,19 @@ def test_areas_with_holes_and_parts(spark):
     for r in cells.collect():
         inside = any(crossings((r.xmin + a, r.ymin + b)) % 2 for a in step for b in step)
         assert (r.cell_id in met) == inside or (r.cell_id in met and not inside and r.xmin >= 9), r
+
+
+def test_hull_prefilter_drops_inner_points_only(spark):
+    rng = np.random.default_rng(12)
+    t = rng.uniform(0, 2 * np.pi, 300)
+    sets = {0: rng.normal(size=(4000, 2)), 1: np.c_[np.cos(t), np.sin(t)], 2: rng.integers(0, 5, (500, 2)) * 1.0,
+            3: np.c_[np.arange(50.0), 2 * np.arange(50.0)], 4: np.repeat([[3.0, 4.0]], 9, 0), 5: np.array([[0.0, 0.0], [1.0, 1.0]])}
+    rows = [(g, float(x), float(y)) for g, xy in sets.items() for x, y in xy]
+    pts = spark.createDataFrame(rows, "g int, x double, y double").repartition(9)
+    kept = S.maybe_hull_points(pts, "g").toPandas()
+    assert (kept.g == 0).sum() < 400
+    hulls = {r.g: r for r in S.convex_hulls(pts, "g", "x", "y").collect()}
+    assert set(hulls) == set(sets)
+    for g, xy in sets.items():
+        want = {tuple(p) for p in S._hull_np(xy)}
+        assert {(p.x, p.y) for p in hulls[g].hull} == want, g
