@@ -297,7 +297,8 @@ def repeats(rows: DataFrame, length: int) -> DataFrame:
         return [pa.array(x) for x in (doc[of[a]], body[of[a]], start[of[a]] + gone[a] - first[of[a]], start[of[b]] + gone[b] - first[of[b]] + length)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if batches else None
+        held = list(batches)
+        table = pa.Table.from_batches(held) if held else None
         if table is None or not table.num_rows:
             return
         anchor = table["anchor"].to_numpy()

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from geoscore.llm import shingles
 from geoscore.llm.shingles import STEP, blocks, near_duplicates, needed, signatures
@@ -77,3 +78,16 @@ def test_whole_sets_always_reach_their_credits():
                 a = signatures(tokens, kind == 2, kind == 3, 4, 5)
                 b = signatures(rest, (kind == 2)[keep], (kind == 3)[keep], 4, 5)
                 assert np.isin(a, b).any()
+
+
+def test_long_texts_and_clashing_columns(make_docs):
+    """A text beyond a slice, its copy with a few edits, and columns named like the operator's own."""
+    words = [f"w{i % 7919}x{i // 7919}" for i in range(90000)]
+    edited = list(words)
+    for k in range(0, 90000, 9000):
+        edited[k] = "other"
+    docs = make_docs([(5, " ".join(words)), (3, " ".join(edited)), (9, " ".join(words[:45000])), (1, "a b c d e f"), (1, "a b c d e f")])
+    for c in ("key", "sig", "doc", "row", "component", "n", "text_", "hash"):
+        docs = docs.withColumn(c, F.lit("x"))
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()}
+    assert got == {(5, 89996, 3), (3, 89996, 3), (9, 44996, 9), (1, 2, 1)}

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from geoscore.llm import substrings
 from geoscore.llm.substrings import dedup_substrings, suffix_order
@@ -65,3 +66,14 @@ def test_suffix_order_of_whole_texts():
         got = suffix_order(text, part, 16)
         keys = [raw[i:i + 16] for i in got.tolist()]
         assert keys == sorted(keys) and sorted(got.tolist()) == part.tolist()
+
+
+def test_long_text_and_clashing_columns(make_docs):
+    """A passage of a text beyond a slice that stands in a shorter one too, and columns named like the operator's own."""
+    rng = np.random.default_rng(4)
+    long = bytes(rng.integers(97, 123, 2_600_000, dtype=np.uint8)).decode()
+    docs = make_docs([(2, long), (5, "!" + long[1_200_000:1_200_500] + "!"), (7, "short")])
+    for c in ("anchor", "start", "doc", "row", "body", "marks", "n_bytes", "kept"):
+        docs = docs.withColumn(c, F.lit("x"))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in dedup_substrings(docs.drop("n_bytes")).collect()}
+    assert got == {2: (2_600_000, 0, 0), 5: (502, 500, 1), 7: (5, 0, 0)}
