@@ -66,6 +66,7 @@ MOST_BROADCAST = 2_000_000
 PAIRS_AT_A_KEY = 1 << 10  # candidate pairs of a set that one key of the verifying join holds
 WIDE = 4  # words of the wider bitmap that candidate pairs pass before they are verified
 WIDE_BITS = [f"wide{k}" for k in range(WIDE)]
+NEAR_BITS = WIDE_BITS[:2]  # that rows carry when they first meet
 U = np.uint64
 NO_ID = -(1 << 63)
 QUIET = 62  # bit of a row's size and position that says the line asks for no partners
@@ -242,11 +243,11 @@ def token_blocks(lines: DataFrame, block: int) -> tuple[Blocks, int]:
 
 
 def prefix_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
-    """(token, set, size_pos, bits, doc): keys of one block, equal sets once per
-    task. Lines with a column ``quiet`` send its value in ``size_pos`` (1: the
-    line asks for no partners) and WIDE_BITS too."""
-    more = WIDE_BITS if "quiet" in lines.columns else []
-    quiet = ["quiet"] if more else []
+    """(token, set, size_pos, bits, doc) and NEAR_BITS: keys of one block, equal
+    sets once per task. Lines with a column ``quiet`` send its value in
+    ``size_pos`` (1: the line asks for no partners) and all WIDE_BITS."""
+    quiet = ["quiet"] if "quiet" in lines.columns else []
+    more = WIDE_BITS if quiet else NEAR_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
