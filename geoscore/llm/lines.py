@@ -508,18 +508,20 @@ KEPT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lin
 
 @F.arrow_udf(KEPT)
 def _without(text: pa.Array, gone: pa.Array) -> pa.Array:
-    out = []
-    for t, g in zip(text.to_pylist(), gone.to_pylist()):
-        if t is None:
-            out.append((None, 0, 0))
-        elif not g:
-            out.append((t, t.count("\n") + 1, 0))
-        else:
-            drop, parts = set(g), t.split("\n")
-            out.append(("\n".join(p for i, p in enumerate(parts) if i not in drop), len(parts), len(drop)))
-    names = ("text", "n_lines", "n_removed")
-    return pa.array([dict(zip(names, o)) for o in out],
-                    pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())]))
+    kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())])
+    names, parts = kind.names, [pa.array([], kind)]
+    for some in H.slices(pa.record_batch([text, gone], ["text", "gone"]), "text"):
+        out = []
+        for t, g in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+            if t is None:
+                out.append((None, 0, 0))
+            elif not g:
+                out.append((t, t.count("\n") + 1, 0))
+            else:
+                drop, kept = set(g), t.split("\n")
+                out.append(("\n".join(p for i, p in enumerate(kept) if i not in drop), len(kept), len(drop)))
+        parts.append(pa.array([dict(zip(names, o)) for o in out], kind))
+    return pa.concat_arrays(parts)
 
 
 def dedup_lines(docs: DataFrame, result: str, num: int = 4, den: int = 5) -> DataFrame:
