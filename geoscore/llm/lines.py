@@ -47,9 +47,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from geoscore.llm import hashing as H
 from geoscore.llm.common import forget, free_name, lookup, shuffle_partitions, written
@@ -502,26 +501,16 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
             .where(after | F.col("late")).select("doc", "body", "line").distinct())
 
 
-KEPT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
-                     T.StructField("n_removed", T.LongType())])
-
-
-@F.arrow_udf(KEPT)
-def _without(text: pa.Array, gone: pa.Array) -> pa.Array:
-    kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())])
-    names, parts = kind.names, [pa.array([], kind)]
-    for some in H.slices(pa.record_batch([text, gone], ["text", "gone"]), "text"):
-        out = []
-        for t, g in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-            if t is None:
-                out.append((None, 0, 0))
-            elif not g:
-                out.append((t, t.count("\n") + 1, 0))
-            else:
-                drop, kept = set(g), t.split("\n")
-                out.append(("\n".join(p for i, p in enumerate(kept) if i not in drop), len(kept), len(drop)))
-        parts.append(pa.array([dict(zip(names, o)) for o in out], kind))
-    return pa.concat_arrays(parts)
+def _without(text: Column, gone: Column) -> Column:
+    """(text, n_lines, n_removed) of a text without its lines ``gone``; the
+    kept line numbers are a set difference, linear in the lines."""
+    n = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.translate(text, "\n", "")) + 1)
+    kept = F.array_except(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), gone)
+    parts = F.split(text, "\n", -1)
+    shorter = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+    removed = F.coalesce(F.size(gone), F.lit(0))
+    return F.struct(F.when(removed > 0, shorter).otherwise(text).alias("text"), n.cast("long").alias("n_lines"),
+                    F.when(text.isNull(), 0).otherwise(removed).cast("long").alias("n_removed"))
 
 
 def dedup_lines(docs: DataFrame, result: str, num: int = 4, den: int = 5) -> DataFrame:
@@ -531,14 +520,14 @@ def dedup_lines(docs: DataFrame, result: str, num: int = 4, den: int = 5) -> Dat
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     body = F.xxhash64("text")
     gone = (removed_lines(docs.select(doc.alias("doc"), body.alias("body"), "text"), num, den)
-            .groupBy("doc", "body").agg(F.sort_array(F.collect_list("line")).alias("gone")))
+            .groupBy("doc", "body").agg(F.sort_array(F.collect_set("line")).alias("gone")))
     gone = written(gone, "gone")
     small = (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= MOST_BROADCAST
     names = {c: free_name(docs, f"{c}_of_line") for c in ("doc", "body", "gone")}
     gone = gone.withColumnsRenamed(names)
     gone = F.broadcast(gone) if small else gone  # line numbers, a few bytes each
     kept = docs.withColumns({names["doc"]: doc, names["body"]: body}).join(gone, [names["doc"], names["body"]], "left")
-    kept = kept.withColumn(result, _without("text", names["gone"]))
-    whole = F.struct(*(F.col(f"{result}.{c}") for c in ("text", "n_lines", "n_removed")),
+    shorter = _without(F.col("text"), F.coalesce(names["gone"], F.array().cast("array<int>")))
+    whole = F.struct(*(shorter[c].alias(c) for c in ("text", "n_lines", "n_removed")),
                      F.coalesce(names["gone"], F.array().cast("array<int>")).alias("removed"))
     return kept.withColumn(result, whole).select(*docs.columns, result)
