@@ -56,7 +56,7 @@ from geoscore.llm.common import forget, free_name, lookup, shuffle_partitions, w
 BITS = 20
 TABLE = 1 << 20
 CANDIDATES = 3
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
 BLOCK = 1 << 13  # prefix rows of a frequent key that a block holds; a task meets two blocks at a time
 BUCKETS = 1 << 20  # in which the prefix rows of keys are counted
 PAIRED = 64  # tokens of the longest lines that use pairs of frequent tokens as keys
