@@ -207,3 +207,31 @@ def test_random_search_scores_draws_and_their_neighbourhood(spark):
     assert sorted({r.n_estimators for r in local}) == [n - 1, n, n + 1] and {r.max_depth for r in local} == {2, 3}
     assert res.model.stages[-1].getNumTrees == res.best_params["numTrees"]
     assert ml.local_grid({"maxDepth": 29, "numTrees": 1, "x": 3}, ml.LOCAL_STEPS, {}) == {"maxDepth": [9, 19, 29, 30], "numTrees": [1, 101, 201], "x": [3]}
+
+
+def test_depths_of_a_forest_share_one_fit(spark, monkeypatch):
+    """One fit for all depths of a fold gives the metrics, and the model, of a fit for each depth."""
+    rows = spark.range(300).select(F.col("id"), (F.hash("id") % 97).cast("double").alias("a"), (F.hash("id", F.lit(1)) % 13).cast("double").alias("b"),
+                                   (F.hash("id", F.lit(2)) % 7).cast("double").alias("c"))
+    rows = rows.withColumn("label", (F.col("a") + 5 * F.col("b") + F.hash("id", F.lit(3)) % 60 > 0).cast("double"))
+    rows = ml.materialize(rows.withColumn("weight", F.lit(1.0)).withColumn("fold", (F.col("id") % 3).cast("int")).coalesce(1))
+    feats, depths = ["a", "b", "c"], [2, 4, 9]
+    fits = []
+    for cls in (ml.RandomForestClassifier, ml.RandomForestRegressor):
+        monkeypatch.setattr(cls, "_fit", lambda self, data, whole=cls._fit: fits.append(self.getMaxDepth()) or whole(self, data))
+    for est, ev in ((ml.rf_classifier(7), ml.positive_f1()), (ml.rf_regressor(7), ml.mse())):
+        fits.clear()
+        got = ml.tune(rows, feats, est, {"maxDepth": depths}, ev, folds=3)
+        assert fits == [9] * 4  # before: a fit for each depth and fold
+        data = ml.prepared(rows, feats, ["label", "weight", "fold"])
+        for r in got.grid.collect():
+            one = est.copy({est.maxDepth: r.max_depth})
+            want = [ev.evaluate(one.fit(data.where(F.col("fold") != f)).transform(data.where(F.col("fold") == f))) for f in range(3)]
+            assert abs(r["metric"] - np.mean(want)) < 1e-9, r
+        best = got.best_params["maxDepth"]
+        model = got.model.stages[-1]
+        assert model.getOrDefault("maxDepth") == best
+        for d in depths:
+            short, own = ml.first_levels(est.copy({est.maxDepth: 9}).fit(data), d), est.copy({est.maxDepth: d}).fit(data)
+            assert short.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+            assert d != best or model.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
