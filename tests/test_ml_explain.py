@@ -235,3 +235,8 @@ def test_depths_of_a_forest_share_one_fit(spark, monkeypatch):
             short, own = ml.first_levels(est.copy({est.maxDepth: 9}).fit(data), d), est.copy({est.maxDepth: d}).fit(data)
             assert short.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
             assert d != best or model.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+
+
+def test_training_rows_are_shared_out(spark):
+    rows = ml.materialize(spark.range(100_000).repartition(8).select("id", F.col("id").cast("double").alias("a"), F.lit(0.0).alias("label")))
+    assert ml.prepared(rows, ["a"] * 6, ["label", "id"]).rdd.getNumPartitions() == 2  # before: 1 up to 32 MB
