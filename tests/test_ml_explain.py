@@ -240,3 +240,42 @@ def test_depths_of_a_forest_share_one_fit(spark, monkeypatch):
 def test_training_rows_are_shared_out(spark):
     rows = ml.materialize(spark.range(100_000).repartition(8).select("id", F.col("id").cast("double").alias("a"), F.lit(0.0).alias("label")))
     assert ml.prepared(rows, ["a"] * 6, ["label", "id"]).rdd.getNumPartitions() == 2  # before: 1 up to 32 MB
+
+
+def test_attribution_rows_go_to_every_core(spark):
+    rows = ml.materialize(spark.range(200).select("id", (F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5 > 1).cast("double").alias("label")).coalesce(1))
+    model = ml.fit(rows, ["a"], ml.rf_regressor(3, "label", maxDepth=3))
+    sv = explain.shap_values(model.stages[-1], rows, "id", ["a"], classifier=False)
+    assert sv.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and sv.count() == 200  # before: 1 partition
+
+
+def test_leaf_attribution_equals_the_sum_over_subsets():
+    """Empty branches (z = 0), padded slots, NaN, and more rows and leaves than one block."""
+    from itertools import combinations
+    from math import factorial
+    r = np.random.default_rng(3)
+    n, leaves, depth = explain.BLOCK_ROWS + 3, explain.BLOCK_LEAVES + 2, 4
+    d = r.integers(0, depth + 1, leaves)
+    real = np.arange(depth)[None] < d[:, None]
+    feat = np.where(real, np.array([r.permutation(depth) for _ in range(leaves)]), -1)
+    lo = np.where(real, r.normal(-1, 1, (leaves, depth)), -np.inf)
+    hi = np.where(real, lo + 2, np.inf)
+    z = np.where(real, r.random((leaves, depth)), 1.0)
+    z[0] = np.where(real[0], 0.0, 1.0)
+    v = r.random(leaves)
+    x = r.normal(size=(n, depth))
+    x[-1, 2] = np.nan
+    phi, pred = explain.leaf_shap(x, {"feat": feat, "lo": lo, "hi": hi, "z": z, "v": v})
+    for row in (0, n - 1):
+        known = np.where(np.isnan(x[row]), np.inf, x[row])
+        want, whole = np.zeros(depth), 0.0
+        for k in range(leaves):
+            on = {int(f): (float(lo[k, j] < known[f] <= hi[k, j]), z[k, j]) for j, f in enumerate(feat[k]) if f >= 0}
+            whole += v[k] * np.prod([o for o, _ in on.values()])
+            for i, (o, zi) in on.items():
+                rest = [j for j in on if j != i]
+                for size in range(len(rest) + 1):
+                    for s in combinations(rest, size):
+                        weight = factorial(size) * factorial(len(rest) - size) / factorial(len(on))
+                        want[i] += v[k] * weight * (o - zi) * np.prod([on[j][j not in s] for j in rest])
+        assert np.allclose(phi[row], want, atol=1e-10) and abs(pred[row] - whole) < 1e-10
