@@ -30,7 +30,8 @@ Steps:
    on their whole token sets, read again, once for each line concerned, and
    joined to the pairs; a line of many pairs is dealt over several keys.
 5. Lines that had more partners than that and are still undecided meet all of
-   them: only they ask, under their own keys, and rows carry the wider bitmap.
+   them: only they ask, and rows carry the wider bitmap. Only the keys under
+   which a line had more partners are met again; under its others it has met all.
 
 Any order of tokens gives the same rows; rarity only makes buckets small.
 
@@ -307,7 +308,8 @@ def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
 def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
     """(x, y, at, more) of the sets that share a prefix token and pass the
     filters, y not of a later document than x: for each x and token (and cell)
-    the ``most`` earliest y and their doc, ``more`` if there are others. A task
+    the ``most`` earliest y and their doc, in ``more`` the token if there are
+    others. A task
     holds the rows of its tokens or cells, works through their pairs
     PAIRS_AT_ONCE at a time and hands them on when a token is done, or at once
     if all are wanted."""
@@ -321,11 +323,15 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
         held.clear()
         if cells:
             cell, side, *cols = cols
+            named = token.copy()
             order = np.lexsort((cell, token))
             new = np.ones(len(token), bool)
             new[1:] = (token[order][1:] != token[order][:-1]) | (cell[order][1:] != cell[order][:-1])
             token[order] = np.cumsum(new) - 1  # a token's cell from now on
+            named = named[order][new]
         else:
+            named, token = np.unique(token, return_inverse=True)
+            token = token.astype(np.int32)
             side = np.zeros(len(token), np.int32)
         key, size_pos, bits, doc, *wide = cols
         del cols
@@ -335,7 +341,7 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
         order = np.lexsort((size, side, token))
         token, key, size, pos, bits, doc, side, asks, *wide = (
             x[order] for x in (token, key, size, pos, bits.view(U), doc, side, asks, *(w.view(U) for w in wide)))
-        group = np.cumsum(np.append(True, token[1:] != token[:-1])) - 1
+        group = token.astype(np.int64)  # gapless from 0
         place = (group * 4 + side) << 32
         # partners: the larger ones after a row in its own block, those of similar size in the other block
         upto = np.minimum(size * den // num, (1 << 32) - 1)
@@ -363,8 +369,9 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
             lost = np.bincount(at, weights=others + ~keep)
             return [c[keep] for c in (tok, x, ydoc, y, np.where(nth == 0, lost[at], 0).astype(np.int64))]
 
-        def out(x, ydoc, y, others):
-            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(ydoc), pa.array(others > 0)], names=["x", "y", "at", "more"])
+        def out(tok, x, ydoc, y, others):
+            more = pa.array(named[tok].astype(np.int32), mask=others == 0)
+            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(ydoc), more], names=["x", "y", "at", "more"])
 
         while i < n:
             j = max(i + 1, int(np.searchsorted(sums, sums[i] + PAIRS_AT_ONCE, "right")) - 1)
@@ -383,16 +390,16 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
             i = j
             if not most:
                 if len(x):
-                    yield out(key[x], doc[y], key[y], np.zeros(len(x), np.int64))
+                    yield out(group[x], key[x], doc[y], key[y], np.zeros(len(x), np.int64))
                 continue
             if len(x):
                 best = shortened([best, [group[x], key[x], doc[y], key[y], np.zeros(len(x), np.int64)]])
             done = best[0] < group[i] if i < n else np.ones(len(best[0]), bool)
             if done.any():
-                yield out(*(c[done] for c in best[1:]))
+                yield out(*(c[done] for c in best))
                 best = [c[~done] for c in best]
 
-    return rows.mapInArrow(run, "x long, y long, at long, more boolean")
+    return rows.mapInArrow(run, "x long, y long, at long, more int")
 
 
 def set_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -482,11 +489,12 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     undecided = met.join(late.withColumnRenamed("set", "x"), "x", "left_anti")
     rest = undecided.select("x", "y").distinct().join(best, ["x", "y"], "left_anti")
     late = late.unionByName(_late(docs, rest, firsts, num, den))
-    still = met.where("more").select(F.col("x").alias("set")).distinct().join(late, "set", "left_anti")
-    still = written(still, "open")
-    if still.limit(1).count():
+    crowded = met.where("more is not null").select(F.col("x").alias("set"), F.col("more").alias("token")).distinct()
+    crowded = written(crowded.join(late, "set", "left_anti"), "open")
+    if crowded.limit(1).count():
         # only these ask now, and under the wider bitmap at once
-        tokens = written(lines.join(lookup(still), "set", "left_semi").select(F.explode("prefix").alias("token")).distinct(), "tokens")
+        still = written(crowded.select("set").distinct(), "still")
+        tokens = written(crowded.select("token").distinct(), "tokens")
         asking = (lines.join(lookup(still).withColumn("quiet", F.lit(0)), "set", "left")
                   .withColumn("quiet", F.coalesce("quiet", F.lit(1))))
         again = (meet(asking, None, tokens).select("x", "y").distinct()
@@ -502,12 +510,19 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
 
 
 def _without(text: Column, gone: Column) -> Column:
-    """(text, n_lines, n_removed) of a text without its lines ``gone``; the
-    kept line numbers are a set difference, linear in the lines."""
-    n = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.translate(text, "\n", "")) + 1)
+    """(text, n_lines, n_removed) of a text without its lines ``gone``. The
+    text is split once; its lines meet flags sorted by line number, so the
+    work is that of a sort of the lines, however many are gone."""
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    n = F.when(text.isNull(), 0).otherwise(breaks + 1)
+
+    def flagged(numbers: Column, kept: bool) -> Column:
+        return F.transform(numbers, lambda i: F.struct(i.alias("line"), F.lit(kept).alias("kept")))
+
     kept = F.array_except(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), gone)
-    parts = F.split(text, "\n", -1)
-    shorter = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+    flags = F.sort_array(F.concat(flagged(kept, True), flagged(gone, False)))
+    # array_join leaves nulls out
+    shorter = F.array_join(F.zip_with(F.split(text, "\n", -1), flags, lambda part, flag: F.when(flag["kept"], part)), "\n")
     removed = F.coalesce(F.size(gone), F.lit(0))
     return F.struct(F.when(removed > 0, shorter).otherwise(text).alias("text"), n.cast("long").alias("n_lines"),
                     F.when(text.isNull(), 0).otherwise(removed).cast("long").alias("n_removed"))

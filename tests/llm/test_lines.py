@@ -108,3 +108,33 @@ def test_line_of_many_pairs_is_read_once(make_docs, monkeypatch):
     rows += [(0, " ".join(base)), (70, "p q r s t u v w x\np q r s t u v w x z"), (70, "p q r s t u v w x\np q r s t u v w x z")]
     assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
     assert max(wanted) <= 2
+
+
+def test_only_crowded_keys_meet_again(make_docs, monkeypatch):
+    """Under a key without further partners a line has met all of them."""
+    monkeypatch.setattr(lines, "CANDIDATES", 1)
+    crowded, again, real = set(), set(), lines.meetings
+
+    def spy(rows, num, den, most):
+        found = real(rows, num, den, most)
+        if most:
+            crowded.update(r["more"] for r in found.where(F.col("more").isNotNull()).collect())
+        else:
+            again.update(r["token"] for r in rows.select("token").distinct().collect())
+        return found
+
+    monkeypatch.setattr(lines, "meetings", spy)
+    rows = list(enumerate(noisy_texts(11, 200, words=(6, 16), edits=0.4)))
+    assert result(dedup_lines(make_docs(rows), "r")) == expected(rows)
+    assert again and again <= crowded
+
+
+def test_a_long_text_is_split_once(spark):
+    n = 20_000
+    text = "\n".join(f"line {i}" for i in range(n))
+    row = spark.createDataFrame([(text, list(range(0, n, 2))), ("a\n\n", [0]), ("a\n", [0, 1]), ("é\n", []), (None, [])], "text string, gone array<int>")
+    got = row.select(lines._without(F.col("text"), F.col("gone")).alias("r"))
+    assert "split" not in "".join(p.split("lambdafunction(")[1].split("))")[0] for p in str(got._jdf.queryExecution().analyzed()).split("transform(")[1:])
+    rows = [tuple(r["r"]) for r in got.collect()]
+    assert rows[0] == ("\n".join(f"line {i}" for i in range(1, n, 2)), n, n // 2)
+    assert rows[1:] == [("\n", 3, 1), ("", 2, 2), ("é\n", 2, 0), (None, 0, 0)]
