@@ -168,11 +168,12 @@ def _words(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
+def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int, word: np.ndarray | None = None) -> np.ndarray:
     """The wanted suffixes of ``text`` in order of their first ``depth`` bytes.
 
     Two stages: suffixes smaller than their successor are sorted directly, the
-    rest are induced from the buckets of first bytes."""
+    rest are induced from the buckets of first bytes. ``word``: the text's
+    :func:`_words`, if at hand."""
     n = len(text)
     t = text.astype(np.int16)
     # smaller[i]: suffix i < suffix i+1. Equal neighbours follow the next pair.
@@ -180,19 +181,21 @@ def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray
     step[:-1] = np.sign(t[1:] - t[:-1])
     step[-1] = -1  # the last suffix is larger than the empty one
     last = np.flatnonzero(step)
-    smaller = step[last[np.searchsorted(last, np.arange(n))]] > 0
+    smaller = np.repeat(step[last] > 0, np.diff(last, prepend=-1))
     need = np.zeros(n, bool)
     need[wanted] = True
     # a larger suffix needs its successor, up to the next smaller one
-    ends = np.flatnonzero(smaller | (np.arange(n) == n - 1))
-    runs_end = ends[np.searchsorted(ends, np.arange(n))]
+    stops = smaller.copy()
+    stops[-1] = True
+    ends = np.flatnonzero(stops)
+    runs_end = np.repeat(ends, np.diff(ends, prepend=-1))
     larger = np.flatnonzero(need & ~smaller)
     if len(larger):
         grow = np.zeros(n + 1, np.int64)
         np.add.at(grow, larger, 1)
         np.add.at(grow, runs_end[larger] + 1, -1)
         need |= np.cumsum(grow)[:n] > 0
-    word = _words(text)
+    word = _words(text) if word is None else word
     direct = np.flatnonzero(need & smaller)
     direct = _sorted_directly(word, direct, depth)
     # induction by buckets of first bytes, smallest first
@@ -272,21 +275,25 @@ def repeats(rows: DataFrame, length: int) -> DataFrame:
         strings = lens - length  # each span's number of strings
         span = np.repeat(np.arange(len(texts)), strings)
         inner = np.arange(len(span)) - np.repeat(np.cumsum(strings) - strings, strings)
-        order = suffix_order(text, first[span] + inner, length)
         word = _words(text)
-        same = np.ones(max(len(order) - 1, 0), bool)
+        order = suffix_order(text, first[span] + inner, length, word)
+        # neighbours that are still equal go on to the next eight bytes
+        like = np.arange(max(len(order) - 1, 0))
         for at in [*range(0, length - 7, 8), length - 8]:
-            k = word[order + at]
-            same &= k[1:] == k[:-1]
-        group = np.concatenate([[0], np.cumsum(~same)]) if len(order) else np.zeros(0, np.int64)
-        of = np.searchsorted(first, order, "right") - 1
+            like = like[word[order[like] + at] == word[order[like + 1] + at]]
+        linked = np.zeros(len(order) + 1, bool)  # to the one before
+        linked[like + 1] = True
+        order = order[linked[:-1] | linked[1:]]  # strings that repeat
+        if not len(order):
+            return None
+        head = np.flatnonzero(~linked[:-1] & linked[1:])
+        size = np.diff(np.append(np.cumsum(linked[:-1] | linked[1:])[head] - 1, len(order)))
+        begin = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(texts)), lens)[order]
         d, s = doc[of], start[of] + order - first[of]
-        by = np.lexsort((s, d, group))
-        d, s, group, order = d[by], s[by], group[by], order[by]
-        new = np.ones(len(group), bool)
-        new[1:] = group[1:] != group[:-1]
-        head = np.flatnonzero(new)[np.cumsum(new) - 1]
-        gone = np.sort(order[(d != d[head]) | (s != s[head])])
+        early = d == np.repeat(np.minimum.reduceat(d, begin), size)
+        least = np.minimum.reduceat(np.where(early, s, np.iinfo(np.int64).max), begin)
+        gone = np.sort(order[~early | (s != np.repeat(least, size))])
         if not len(gone):
             return None
         of = np.searchsorted(first, gone, "right") - 1

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +78,24 @@ def test_long_text_and_clashing_columns(make_docs):
         docs = docs.withColumn(c, F.lit("x"))
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in dedup_substrings(docs.drop("n_bytes")).collect()}
     assert got == {2: (2_600_000, 0, 0), 5: (502, 500, 1), 7: (5, 0, 0)}
+
+
+def test_bytes_are_packed_once_and_earliest_strings_stay(monkeypatch):
+    """One pass over a chunk's bytes; of equal strings only those at the earliest place stay."""
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    packed, real = [], substrings._words
+    monkeypatch.setattr(substrings, "_words", lambda text: packed.append(len(text)) or real(text))
+    a, b = bytes(range(1, 121)), bytes(range(100, 220))
+    spans = [(1, 5, 0, 30, a), (1, 4, 0, 10, a), (1, 4, 1, 10, a), (1, 4, 0, 200, a[3:110]), (1, 9, 0, 0, b), (2, 3, 0, 7, b)]
+    names = ["anchor", "doc", "body", "start", "bytes"]
+    table = pa.table({n: list(c) for n, c in zip(names, zip(*spans))})
+    got = pa.Table.from_batches(substrings.repeats(Rows(), 100)(iter(table.to_batches()))).to_pylist()
+    # the same place in a row that repeats the doc_id is not earlier
+    assert sorted((r["doc"], r["start"], r["stop"]) for r in got) == [(4, 200, 307), (5, 30, 150), (9, 0, 120)]
+    assert packed == [sum(len(s[4]) + 1 for s in spans)]
