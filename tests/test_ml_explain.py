@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from geoscore.operators import explain, metrics, ml
+from geoscore.operators import boosting, explain, metrics, ml
 from geoscore.plans import learning as L
 
 from conftest import SF_CHECK
@@ -192,6 +192,40 @@ def test_staged_boosting_equals_separate_fits(spark):
     assert {tuple(r) for r in short.transform(rows).select("c_custkey", "prediction").collect()} == {tuple(r) for r in want.collect()}
 
 
+def test_boosted_grid_grows_together(spark, monkeypatch):
+    """Rows of one and of several partitions give the metrics of Spark's own fits, without a fit for each model."""
+    rows = spark.range(400).select(F.col("id"), (F.hash("id") % 97).cast("double").alias("a"), (F.hash("id", F.lit(1)) % 13).cast("double").alias("b"),
+                                   F.lit(1.0).alias("c"), (F.col("id") % 3).cast("int").alias("fold"))
+    rows = rows.withColumn("y", F.col("a") + 5 * F.col("b") + F.hash("id", F.lit(3)) % 60).withColumn("weight", 1 + F.col("id") % 4 / 4)
+    lengths, fits = [2, 5], [{"stepSize": 0.1, "maxDepth": 3, "maxIter": 5}, {"stepSize": 0.5, "maxDepth": 2, "maxIter": 5}]
+    for classifier in (True, False):
+        label = (F.col("y") > 0).cast("double") if classifier else F.col("y").cast("double")
+        cls, ev = (ml.GBTClassifier, ml.positive_f1()) if classifier else (ml.GBTRegressor, ml.mse())
+        est = cls(labelCol="label", featuresCol="features", weightCol="weight", seed=ml.SEED)
+        for parts in (1, 3):
+            data = ml.materialize(ml.assembler(["a", "b", "c"]).transform(rows.withColumn("label", label).repartition(parts, "id")))
+            want = {}
+            for f in fits:
+                for k in range(3):
+                    whole = est.copy({est.getParam(n): v for n, v in f.items()}).fit(data.where(F.col("fold") != k))
+                    for n in lengths:
+                        m = ev.evaluate(ml.first_trees(whole, n).transform(data.where(F.col("fold") == k)))
+                        want.setdefault(tuple(sorted(dict(f, maxIter=n).items())), []).append(m)
+            with monkeypatch.context() as m:
+                m.setattr(cls, "_fit", lambda *args: 1 / 0)  # before: a fit for each step, depth and fold
+                got = ml.fold_metrics(data, est, fits, ev, "fold", 3, lengths=lengths)
+            assert got.keys() == want.keys()
+            for s in want:
+                assert abs(got[s] - np.mean(want[s])) < 1e-9 * max(1, abs(got[s])), (classifier, parts, s)
+
+
+def test_thresholds_of_boosted_trees():
+    assert list(boosting.thresholds(np.array([3.0, 1.0, 3.0, 2.0]), np.ones(4), 32)) == [1.5, 2.5]
+    assert not len(boosting.thresholds(np.full(5, 2.0), np.ones(5), 32))
+    cuts = boosting.thresholds(np.arange(1000.0), np.ones(1000), 4)
+    assert list(cuts) == [249.5, 499.5, 749.5]
+
+
 def test_random_search_scores_draws_and_their_neighbourhood(spark):
     data = L.labelled_docs(spark, SF_CHECK)
     space = {"numTrees": [2, 3], "maxDepth": [2, 4], "bootstrap": [True, False]}
