@@ -219,6 +219,24 @@ def test_boosted_grid_grows_together(spark, monkeypatch):
                 assert abs(got[s] - np.mean(want[s])) < 1e-9 * max(1, abs(got[s])), (classifier, parts, s)
 
 
+def test_boosted_grid_deals_out_a_large_partition(spark):
+    """A task holds no more than partition_bytes of a table of one large partition."""
+    rows = spark.range(600).select("id", (F.hash("id") % 97).cast("double").alias("a"), (F.col("id") % 3).cast("int").alias("fold"))
+    rows = rows.withColumn("label", F.col("a") * 2 + F.hash("id", F.lit(3)) % 7).coalesce(1)
+    data = ml.materialize(ml.assembler(["a"]).transform(rows))
+    assert data.rdd.getNumPartitions() == 1
+    args = (data, False, [{"stepSize": 0.1, "maxDepth": 2, "maxIter": 3}], [3], "fold", 3, "label", None)
+    whole, jobs = boosting.staged_scores(*args), []
+    for size in (4 << 20, 4000):  # bytes: 1 partition and 4
+        spark.sparkContext.setJobGroup(f"boosted {size}", "")
+        got = boosting.staged_scores(*args, partition_bytes=size)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosted {size}")))
+        for m in whole:
+            assert got[m]["rows"] == 200 and abs(got[m]["squares"] / whole[m]["squares"] - 1) < 1e-9
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] >= jobs[0] + 5  # a job a level: 3 trees of 2
+
+
 def test_thresholds_of_boosted_trees():
     assert list(boosting.thresholds(np.array([3.0, 1.0, 3.0, 2.0]), np.ones(4), 32)) == [1.5, 2.5]
     assert not len(boosting.thresholds(np.full(5, 2.0), np.ones(5), 32))
