@@ -26,6 +26,7 @@ SPACE = np.zeros(256, bool)
 SPACE[SPACE_BYTES] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_LOWER_TABLE = _TABLE[LOWER]
 
 
 def _powers(base: int, name: str, n: int) -> np.ndarray:
@@ -49,8 +50,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of True."""
-    edge = np.diff(flags.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    padded = np.zeros(len(flags) + 2, bool)
+    padded[1:-1] = flags
+    edge = np.flatnonzero(padded[1:] != padded[:-1])
+    return edge[::2], edge[1::2]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _TABLE) -> np.ndarray:
@@ -59,7 +62,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values:
     n = len(data)
     total = np.empty(n + 1, U)
     total[0] = 0
-    np.cumsum(values[data] * _powers(_BASE, "up", n)[:n], out=total[1:])
+    terms = values.take(data)
+    terms *= _powers(_BASE, "up", n)[:n]
+    np.cumsum(terms, out=total[1:])
     h = (total[ends] - total[starts]) * _powers(_BASE_INV, "down", n + 1)[starts]
     return mix(h + (ends - starts).astype(U))
 
@@ -105,11 +110,9 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     """Words (runs of bytes other than white space) of a batch of texts.
 
     Returns (hash, doc index, start, end); a word never crosses two texts."""
-    if lower:
-        data = LOWER[data]
-    keep = ~SPACE[data]
-    starts, ends = _split_runs(keep, offsets)
-    return span_hashes(data, starts, ends), np.searchsorted(offsets, starts, "right") - 1, starts, ends
+    starts, ends = _split_runs(~SPACE.take(data), offsets)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
+    return span_hashes(data, starts, ends, _LOWER_TABLE if lower else _TABLE), doc, starts, ends
 
 
 def _split_runs(keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -20,18 +20,19 @@ Steps:
    tokens singly, and lines within similarity of that size do both. Equal
    token sets count as one line, first within the tasks, so a line repeated a
    million times sends a few rows.
-3. Prefix rows meet by key. Pairs pass the length filter, the positional
-   filter (tokens left after the shared one) and a parity bitmap: the bits in
-   which two bitmaps differ are a lower bound of the tokens that only one line
-   has. For each line its earliest CANDIDATES partners per key go on. The
-   rows of a frequent key are dealt into blocks of about BLOCK rows; each
-   pair of blocks meets in a task, and its pairs pass the wider bitmap too.
-4. Candidates, first each line's earliest, pass a wider bitmap and are verified
-   on their whole token sets, read again, once for each line concerned, and
-   joined to the pairs; a line of many pairs is dealt over several keys.
+3. Prefix rows meet by key, sent as one packed row for each batch of lines and
+   partition. Pairs pass the length filter, the positional filter (tokens left
+   after the shared one) and a parity bitmap of WIDE words: the bits in which
+   two bitmaps differ are a lower bound of the tokens that only one line has.
+   For each line its earliest CANDIDATES partners per key go on. The rows of a
+   frequent key are dealt into blocks of about BLOCK rows; each pair of blocks
+   meets in a task.
+4. Candidates, first each line's earliest, are verified on their whole token
+   sets, read again, once for each line concerned, and joined to the pairs; a
+   line of many pairs is dealt over several keys.
 5. Lines that had more partners than that and are still undecided meet all of
-   them: only they ask, and rows carry the wider bitmap. Only the keys under
-   which a line had more partners are met again; under its others it has met all.
+   them: only they ask. Only the keys under which a line had more partners are
+   met again; under its others it has met all.
 
 Any order of tokens gives the same rows; rarity only makes buckets small.
 
@@ -64,9 +65,8 @@ PAIRED = 64  # tokens of the longest lines that use pairs of frequent tokens as
 ROWS_AT_ONCE = 1 << 18
 MOST_BROADCAST = 2_000_000
 PAIRS_AT_A_KEY = 1 << 10  # candidate pairs of a set that one key of the verifying join holds
-WIDE = 4  # words of the wider bitmap that candidate pairs pass before they are verified
+WIDE = 3  # words of the bitmap that pairs pass when they meet
 WIDE_BITS = [f"wide{k}" for k in range(WIDE)]
-NEAR_BITS = WIDE_BITS[:2]  # that rows carry when they first meet
 U = np.uint64
 NO_ID = -(1 << 63)
 QUIET = 62  # bit of a row's size and position that says the line asks for no partners
@@ -76,31 +76,35 @@ def line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, doc, line number) of every word of a batch of texts."""
     data, off = H.text_bytes(column)
     h, doc, starts, _ = H.words(data, off)
-    breaks = np.concatenate([[0], np.cumsum(data == 10)])
-    return h, doc, breaks[starts] - breaks[off[doc]]
+    breaks = np.flatnonzero(data == 10)
+    line = np.repeat(np.arange(len(breaks) + 1), np.diff(np.searchsorted(starts, breaks), prepend=0, append=len(starts)))
+    return h, doc, line - np.searchsorted(breaks, off)[doc]
 
 
 def word_ranks(docs: DataFrame, block: int, table: int = TABLE) -> tuple[np.ndarray, int]:
     """Rank of each hash bucket of words: 0 for rare ones, then by count; and
     the first rank of frequent words, seen more often than ``block``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BITS, np.int64)
+        counts, held = np.zeros(1 << BITS, np.int64), [np.zeros(0, np.int64)]
         for batch in batches:
             for part in H.slices(batch, "text"):
-                bucket, n = np.unique(line_words(part.column(0))[0] >> U(64 - BITS), return_counts=True)
-                counts[bucket] += n
+                held.append((H.words(*H.text_bytes(part.column(0)))[0] >> U(64 - BITS)).astype(np.int64))
+                if sum(map(len, held)) > 1 << BITS:
+                    counts += np.bincount(np.concatenate(held), minlength=1 << BITS)
+                    held = held[:1]
+        counts += np.bincount(np.concatenate(held), minlength=1 << BITS)
         n = int(counts.sum())
         keep = np.flatnonzero((counts > 0) & (counts * table >= n))
         buckets = np.append(keep, -1)
         yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(np.append(counts[keep], n))], names=["bucket", "n"])
 
-    got = written(docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "words")
-    total = got.where("bucket < 0").agg(F.sum("n")).first()[0] or 0
-    top = got.where((F.col("bucket") >= 0) & (F.col("n") * table >= total)).toArrow()
-    bucket, n = top["bucket"].to_numpy(), top["n"].to_numpy()
+    # a row a bucket, so a fixed number of them
+    got = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    bucket, n = got["bucket"].to_numpy(), got["n"].to_numpy()
+    top = (bucket >= 0) & (n * table >= n[bucket < 0].sum())
+    bucket, n = bucket[top], n[top]
     ranks = np.zeros(1 << BITS, np.uint32)
     ranks[bucket[np.lexsort((bucket, n))]] = np.arange(1, len(bucket) + 1)
-    forget(got)
     return ranks, 1 + int((n <= block).sum())
 
 
@@ -146,7 +150,7 @@ def _keys(h: np.ndarray, at: np.ndarray, size: np.ndarray, lead: np.ndarray, oft
 
 
 def line_table(docs: DataFrame, ranks: np.ndarray, frequent: int, num: int, den: int) -> DataFrame:
-    """(doc, body, line, set, size, bits, WIDE_BITS, prefix, place) of every
+    """(doc, body, line, set, size, WIDE_BITS, prefix, place) of every
     line with words: ``prefix`` its keys, ``place`` their first tokens' positions."""
     table = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -157,9 +161,9 @@ def line_table(docs: DataFrame, ranks: np.ndarray, frequent: int, num: int, den:
                 n = len(doc)
                 size = np.bincount(at, minlength=n)
                 start = np.cumsum(size) - size
-                bits = [np.bitwise_xor.reduceat(U(1) << (h & U(63)), start) if n else np.zeros(0, U)]
+                bits, bit, word = [], U(1) << ((h >> U(8)) & U(63)), (h >> U(16)) % U(WIDE)
                 for k in range(WIDE):
-                    mine = np.where((h >> U(16)) % U(WIDE) == U(k), U(1) << ((h >> U(8)) & U(63)), U(0))
+                    mine = np.where(word == U(k), bit, U(0))
                     bits.append(np.bitwise_xor.reduceat(mine, start) if n else np.zeros(0, U))
                 lead = size - -(-num * size // den) + 1
                 lead[size * (den - num) < num] = 0  # so small that only an equal set is similar enough
@@ -170,22 +174,13 @@ def line_table(docs: DataFrame, ranks: np.ndarray, frequent: int, num: int, den:
                     pa.array(line.astype(np.int32)), pa.array(_set_keys(h, size)), pa.array(size.astype(np.int32)), *(pa.array(b.view(np.int64)) for b in bits),
                     pa.ListArray.from_arrays(ends, pa.array((key >> U(32)).astype(np.uint32).view(np.int32))),
                     pa.ListArray.from_arrays(ends, pa.array(pos.astype(np.int32)))],
-                    names=["doc", "body", "line", "set", "size", "bits", *WIDE_BITS, "prefix", "place"])
+                    names=["doc", "body", "line", "set", "size", *WIDE_BITS, "prefix", "place"])
 
     wide = "".join(f"{c} long, " for c in WIDE_BITS)
-    schema = f"doc long, body long, line int, set long, size int, bits long, {wide}prefix array<int>, place array<int>"
+    schema = f"doc long, body long, line int, set long, size int, {wide}prefix array<int>, place array<int>"
     return docs.select("doc", "body", "text").mapInArrow(run, schema)
 
 
-def _trimmed(token, key, size_pos, bits, doc, *others):
-    """One row for each (token, set): the one of the smallest doc."""
-    order = np.lexsort((doc, key, token))
-    token, key = token[order], key[order]
-    new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-    return [token[new], key[new], *(x[order][new] for x in (size_pos, bits, doc, *others))]
-
-
 def _prefix_of(batch: pa.RecordBatch, columns: list[str]):
     """(key, position of its first token, the columns) of each key of a batch of lines."""
     prefix = batch.column("prefix")
@@ -242,51 +237,70 @@ def token_blocks(lines: DataFrame, block: int) -> tuple[Blocks, int]:
     return (bucket, blocks), int((n * blocks).sum())
 
 
-def prefix_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
-    """(token, set, size_pos, bits, doc) and NEAR_BITS: keys of one block, equal
-    sets once per task. Lines with a column ``quiet`` send its value in
-    ``size_pos`` (1: the line asks for no partners) and all WIDE_BITS."""
-    quiet = ["quiet"] if "quiet" in lines.columns else []
-    more = WIDE_BITS if quiet else NEAR_BITS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc", *quiet, *more])
-            one = _blocks_of(token, shared.value) == 1
-            rows = _trimmed(*(x[one] for x in (token, col["set"], _size_pos(col, pos), col["bits"], col["doc"], *(col[c] for c in more))))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "set", "size_pos", "bits", "doc", *more])
-
-    shared = lines.sparkSession.sparkContext.broadcast(blocks)
-    return lines.select("doc", "set", "size", "bits", "prefix", "place", *quiet, *more).where(F.size("prefix") > 0).mapInArrow(
-        run, "token int, set long, size_pos long, bits long, doc long" + "".join(f", {c} long" for c in more))
-
-
 def _size_pos(col: dict, pos: np.ndarray) -> np.ndarray:
     """Size, position and whether the line is quiet in one number."""
     out = col["size"].astype(np.int64) << 32 | pos
     return out | col["quiet"].astype(np.int64) << QUIET if "quiet" in col else out
 
 
-def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
-    """(token, cell, side, set, size_pos, bits, doc, WIDE_BITS) of the tokens
-    of several blocks. A set's row goes to the cell of each pair of blocks
-    that its own is in; side: 0 where a block meets itself, else 1 and 2."""
-    shared = lines.sparkSession.sparkContext.broadcast(blocks)
-    names = ["token", "cell", "side", "set", "size_pos", "bits", "doc", *WIDE_BITS]
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One line for each set: the one of the smallest doc."""
+    key, doc = batch.column("set").to_numpy(), batch.column("doc").to_numpy()
+    order = np.lexsort((doc, key))
+    new = np.ones(len(key), bool)
+    new[1:] = key[order][1:] != key[order][:-1]
+    return batch if new.all() else batch.take(pa.array(order[new]))
+
+
+KEY_ROW = {"token": "int", "cell": "long", "side": "int", "set": "long", "size_pos": "long", "doc": "long", **dict.fromkeys(WIDE_BITS, "long")}
+DTYPES = {"int": np.int32, "long": np.int64}
+
+
+def _packed(rows: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """A row for each partition: its number, and each column's numbers as bytes."""
+    part = (H.mix(rows[0].view(np.uint32).astype(U) ^ rows[1].view(U) << U(32)) % U(parts)).astype(np.int64)
+    order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+    part = part[order]
+    start = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(start, len(part))
+    columns = [pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x[order])])
+               for x in rows]
+    return pa.RecordBatch.from_arrays([pa.array(part[start].astype(np.int32)), *columns], names=["part", *KEY_ROW])
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The columns of KEY_ROW of packed or plain rows."""
+    out = []
+    for c, kind in KEY_ROW.items():
+        column = batch.column(c)
+        if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+            ends = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)[column.offset: column.offset + len(column) + 1]
+            out.append(np.frombuffer(column.buffers()[2], np.uint8)[ends[0]: ends[-1]].view(DTYPES[kind]))
+        else:
+            out.append(column.to_numpy(zero_copy_only=False))
+    return out
+
+
+def key_rows(lines: DataFrame, blocks: Blocks, parts: int = 0, asked: np.ndarray | None = None) -> DataFrame:
+    """KEY_ROW of each key of a line, equal sets once per batch. A token of
+    several blocks has a row in the cell of each pair of blocks that its set is
+    in; side: 0 where a block meets itself, else 1 and 2. ``parts``: packed into
+    one row for each of so many partitions. ``asked``: flags of the buckets
+    whose tokens alone are wanted. A column ``quiet`` of 1: the line asks for
+    no partners."""
+    shared = lines.sparkSession.sparkContext.broadcast((blocks, asked))
     quiet = ["quiet"] if "quiet" in lines.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, asked = shared.value
         for batch in batches:
-            token, pos, col = _prefix_of(batch, ["set", "size", "bits", "doc", *quiet, *WIDE_BITS])
-            n = _blocks_of(token, shared.value)
-            many = n > 1
-            if not many.any():
-                continue
-            size_pos = _size_pos(col, pos)
-            token, key, size_pos, *rest = _trimmed(*(x[many] for x in (
-                token, col["set"], size_pos, col["bits"], col["doc"], *(col[c] for c in WIDE_BITS))))
-            n = _blocks_of(token, shared.value)
-            mine = (H.mix(key.view(U) ^ U(0x9E3779B9)) % n.astype(U)).astype(np.int64)
+            token, pos, col = _prefix_of(_once(batch), ["set", "size", "doc", *quiet, *WIDE_BITS])
+            rows = [token, col["set"], _size_pos(col, pos), col["doc"], *(col[c] for c in WIDE_BITS)]
+            if asked is not None:
+                mine = asked[_bucket(token)]
+                rows = [x[mine] for x in rows]
+            n = _blocks_of(rows[0], blocks)
+            own_block = (H.mix(rows[1].view(U) ^ U(0x9E3779B9)) % n.astype(U)).astype(np.int64)
             ends = np.cumsum(n)
             i = 0
             while i < len(n):
@@ -294,60 +308,70 @@ def block_rows(lines: DataFrame, blocks: Blocks) -> DataFrame:
                 j = max(i + 1, int(np.searchsorted(ends, base + ROWS_AT_ONCE, "right")))
                 at = np.repeat(np.arange(i, j), n[i:j])
                 other = np.arange(len(at)) - (ends - n - base)[at]
-                own = mine[at]
+                own = own_block[at]
                 cell = np.minimum(own, other) * n[at] + np.maximum(own, other)
                 side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token[at], cell, side, key[at], size_pos[at], *(x[at] for x in rest))], names=names)
+                token, *rest = (x[at] for x in rows)
                 i = j
+                if parts:
+                    yield _packed([token, cell, side, *rest], parts)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, cell, side, *rest)], names=list(KEY_ROW))
+
+    schema = ", ".join(f"{c} {'binary' if parts else kind}" for c, kind in KEY_ROW.items())
+    return lines.select("doc", "set", "size", "prefix", "place", *quiet, *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
+        run, f"part int, {schema}" if parts else schema)
 
-    wide = "".join(f", {c} long" for c in WIDE_BITS)
-    return lines.select("doc", "set", "size", "bits", "prefix", "place", *quiet, *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
-        run, f"token int, cell long, side int, set long, size_pos long, bits long, doc long{wide}")
+
+def _distinct_rows(group: np.ndarray, key: np.ndarray, size_pos: np.ndarray, doc: np.ndarray, *others):
+    """One row for each (group, set), by group: its smallest doc and position."""
+    both = group.astype(U) << U(32) | key.view(U) >> U(32)
+    order = np.argsort(both)
+    if ((both[order][1:] == both[order][:-1]) & (key[order][1:] != key[order][:-1])).any():
+        order = np.lexsort((key, group))
+    g, k = group[order], key[order]
+    start = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (k[1:] != k[:-1])]))
+    first = order[start]
+    return [g[start], k[start], np.minimum.reduceat(size_pos[order], start), np.minimum.reduceat(doc[order], start), *(x[first] for x in others)]
 
 
 def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
     """(x, y, at, more) of the sets that share a prefix token and pass the
-    filters, y not of a later document than x: for each x and token (and cell)
+    filters, y not of a later document than x: for each x, token and cell
     the ``most`` earliest y and their doc, in ``more`` the token if there are
-    others. A task
-    holds the rows of its tokens or cells, works through their pairs
-    PAIRS_AT_ONCE at a time and hands them on when a token is done, or at once
-    if all are wanted."""
-    cells = "cell" in rows.columns
-
+    others. A task holds the rows of its tokens and cells, works through their
+    pairs PAIRS_AT_ONCE at a time and hands them on when a token is done, or at
+    once if all are wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)] for b in batches if b.num_rows]
+        held = [_unpacked(b) for b in batches if b.num_rows]
         if not held:
             return
-        token, *cols = (np.concatenate(x) for x in zip(*held))
+        token, cell, side, *cols = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        if cells:
-            cell, side, *cols = cols
-            named = token.copy()
+        group = token.view(np.uint32)
+        if cell.any():  # a number for each token and cell, gapless from 0
             order = np.lexsort((cell, token))
             new = np.ones(len(token), bool)
             new[1:] = (token[order][1:] != token[order][:-1]) | (cell[order][1:] != cell[order][:-1])
-            token[order] = np.cumsum(new) - 1  # a token's cell from now on
-            named = named[order][new]
-        else:
-            named, token = np.unique(token, return_inverse=True)
-            token = token.astype(np.int32)
-            side = np.zeros(len(token), np.int32)
-        key, size_pos, bits, doc, *wide = cols
-        del cols
-        token, key, size_pos, bits, doc, side, *wide = _trimmed(token, key, size_pos, bits, doc, side, *wide)
+            group = np.empty(len(token), np.uint32)
+            group[order] = np.cumsum(new) - 1
+        group, key, size_pos, doc, token, side, *wide = _distinct_rows(group, *cols[:3], token, side, *cols[3:])
+        del cell, cols
+        new = np.diff(group.astype(np.int64), prepend=-1) != 0
+        named = token[new]
+        group = np.cumsum(new) - 1
         asks = size_pos >> QUIET == 0
         size, pos = size_pos >> 32 & ((1 << QUIET - 32) - 1), size_pos & 0xFFFFFFFF
-        order = np.lexsort((size, side, token))
-        token, key, size, pos, bits, doc, side, asks, *wide = (
-            x[order] for x in (token, key, size, pos, bits.view(U), doc, side, asks, *(w.view(U) for w in wide)))
-        group = token.astype(np.int64)  # gapless from 0
         place = (group * 4 + side) << 32
+        order = np.argsort(place | size)
+        group, place, key, size, pos, doc, side, asks, *wide = (
+            x[order] for x in (group, place, key, size, pos, doc, side, asks, *(w.view(U) for w in wide)))
+        bits = reduce(np.bitwise_xor, wide)  # a bitmap of all tokens, too
         # partners: the larger ones after a row in its own block, those of similar size in the other block
         upto = np.minimum(size * den // num, (1 << 32) - 1)
-        begin = np.arange(len(token)) + 1
+        begin = np.arange(len(group)) + 1
         last = np.searchsorted(place | size, place | upto, "right")
-        if cells:
+        if side.any():
             over = place + (1 << 32)
             begin = np.where(side == 1, np.searchsorted(place | size, over | -(-num * size // den), "left"), begin)
             last = np.where(side == 1, np.searchsorted(place | size, over | upto, "right"), last)
@@ -355,7 +379,7 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
         count = np.where((side == 2) | ~some[group], 0, last - begin)
         sums = np.concatenate([[0], np.cumsum(count)])
         best: list[np.ndarray] = [np.zeros(0, np.int64)] * 5  # group, x, doc of y, y, others
-        i, n = 0, len(token)
+        i, n = 0, len(group)
 
         def shortened(parts):
             tok, x, ydoc, y, others = (np.concatenate(c) for c in zip(*parts))
@@ -382,9 +406,8 @@ def meetings(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame
             apart = both - 2 * need
             good = (asks[a] | asks[b]) & (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= apart)
             a, b, apart = a[good], b[good], apart[good]
-            if wide:
-                good = sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in wide) <= apart
-                a, b = a[good], b[good]
+            good = sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in wide) <= apart
+            a, b = a[good], b[good]
             back, on = asks[a] & (doc[a] >= doc[b]), asks[b] & (doc[b] >= doc[a])
             x, y = np.concatenate([a[back], b[on]]), np.concatenate([b[back], a[on]])
             i = j
@@ -432,37 +455,44 @@ def set_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return out.groupBy("set").agg(F.first("tokens").alias("tokens")) if twice else out
 
 
-def _dealt(pairs: DataFrame, tokens: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
-    """``pairs`` with a salt for the join by ``side``, and the tokens once for
-    each salt: a set of many pairs is dealt out, PAIRS_AT_A_KEY to a salt."""
-    many = F.ceil(F.col("count") / PAIRS_AT_A_KEY).cast("int")
-    often = lookup(written(pairs.groupBy(side).count().where(F.col("count") > PAIRS_AT_A_KEY).select(side, many.alias("salts")), "often"))
+def _dealt(pairs: DataFrame, tokens: DataFrame, side: str, keys: DataFrame) -> DataFrame:
+    """``pairs`` with the tokens of their ``side``. A set of many of the pairs
+    ``keys`` is dealt out, PAIRS_AT_A_KEY to a salt, its tokens once for each."""
+    tokens = tokens.select(F.col("set").alias(side), F.col("tokens").alias(f"{side}_tokens"))
+    often = keys.groupBy(side).count().where(F.col("count") > PAIRS_AT_A_KEY)
+    if not often.limit(1).count():
+        return pairs.join(tokens, side)
+    often = lookup(written(often.select(side, F.ceil(F.col("count") / PAIRS_AT_A_KEY).cast("int").alias("salts")), "often"))
     salts = F.coalesce("salts", F.lit(1))
-    pairs = pairs.join(often, side, "left").withColumn(f"{side}_salt", F.pmod(F.xxhash64("x", "y"), salts).cast("int")).drop("salts")
-    copies = (tokens.withColumnRenamed("set", side).join(often, side, "left")
-              .select(side, F.col("tokens").alias(f"{side}_tokens"), F.explode(F.sequence(F.lit(0), salts - 1)).alias(f"{side}_salt")))
-    return pairs, copies
+    pairs = pairs.join(often, side, "left").withColumn("salt", F.pmod(F.xxhash64("x", "y"), salts).cast("int")).drop("salts")
+    copies = tokens.join(often, side, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return pairs.join(copies, [side, "salt"]).drop("salt")
+
+
+def first_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(set, at, body) of the sets of the pairs: their earliest line's doc and
+    number, and its text's hash."""
+    sets = written(pairs.select(F.col("x").alias("set")).unionByName(pairs.select(F.col("y").alias("set"))).distinct(), "sets")
+    out = (lines.select("set", "doc", "line", "body").join(lookup(sets), "set")
+           .groupBy("set").agg(F.min(F.struct("doc", "line", "body")).alias("f")))
+    out = written(out.select("set", F.struct("f.doc", "f.line").alias("at"), "f.body"), "firsts")
+    forget(sets)
+    return out
 
 
 def _late(docs: DataFrame, pairs: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
     """Sets x of the pairs (x, y) whose y comes first and is similar enough."""
-    at = {s: firsts.select(F.col("set").alias(s), F.struct("doc", "line").alias(f"{s}_at"),
-                           *(F.col(c).alias(f"{s}_{c}") for c in ("body", "size", *WIDE_BITS))) for s in "xy"}
-    both = F.col("x_size") + F.col("y_size")
-    differ = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in WIDE_BITS), F.lit(0))
-    pairs = (pairs.join(at["x"], "x").join(at["y"], "y").where(F.col("y_at") < F.col("x_at"))
-             .where(differ <= both - 2 * F.ceil(both * num / (num + den))))
-    whole = pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body"), "pairs")
+    at = {s: firsts.select(F.col("set").alias(s), F.col("at").alias(f"{s}_at"), F.col("body").alias(f"{s}_body")) for s in "xy"}
+    pairs = pairs.select("x", "y").join(at["x"], "x").join(at["y"], "y").where(F.col("y_at") < F.col("x_at"))
+    pairs = written(pairs.select("x", "y", "x_at", "x_body", "y_at", "y_body"), "pairs")
     wanted = [pairs.select(f"{s}_at.doc", F.col(f"{s}_body").alias("body"), f"{s}_at.line") for s in "xy"]
     tokens = set_tokens(docs, wanted[0].unionByName(wanted[1]).distinct())
-    pairs, of_x = _dealt(pairs.select("x", "y"), tokens, "x")
-    pairs, of_y = _dealt(pairs, tokens, "y")
+    both = _dealt(_dealt(pairs.select("x", "y"), tokens, "x", pairs), tokens, "y", pairs)
     x, y = F.col("x_tokens"), F.col("y_tokens")
     common = F.size(F.array_intersect(x, y))
-    similar = (pairs.join(of_x, ["x", "x_salt"]).join(of_y, ["y", "y_salt"])
-               .where(common * (num + den) >= num * (F.size(x) + F.size(y))))
+    similar = both.where(common * (num + den) >= num * (F.size(x) + F.size(y)))
     late = written(similar.select(F.col("x").alias("set")).distinct(), "late")
-    forget(whole)
+    forget(pairs)
     return late
 
 
@@ -470,19 +500,12 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """(doc, body, line) of the lines to remove; docs: doc, body, text."""
     parts = shuffle_partitions(docs.sparkSession)
     lines = written(line_table(docs, *word_ranks(docs, BLOCK), num, den), "lines")
-    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line", "body", "size", *WIDE_BITS)).alias("f"), F.count("*").alias("n"))
-                     .select("set", "n", "f.*"), "firsts")
     blocks, sent = token_blocks(lines, BLOCK)
+    parts += -(-sent // ROWS_AT_ONCE)
 
-    def meet(lines: DataFrame, most: int | None, tokens: DataFrame | None = None) -> DataFrame:
-        dealt = [(prefix_rows(lines, blocks), parts, ["token"])]
-        if sent:
-            dealt.append((block_rows(lines, blocks), max(parts, -(-sent // ROWS_AT_ONCE)), ["token", "cell"]))
-        found = [meetings((r if tokens is None else r.join(lookup(tokens), "token", "left_semi")).repartition(n, *by), num, den, most)
-                 for r, n, by in dealt]
-        return reduce(DataFrame.unionByName, found)
-
-    met = written(meet(lines, CANDIDATES), "met")
+    packed = key_rows(lines, blocks, parts).repartitionById(parts, F.col("part"))
+    met = written(meetings(packed, num, den, CANDIDATES), "met")
+    firsts = first_lines(lines, met)
     # the earliest partner settles most lines; the others' remaining partners follow
     best = met.groupBy("x").agg(F.min(F.struct("at", "y")).alias("b")).select("x", "b.y")
     late = _late(docs, best, firsts, num, den)
@@ -492,21 +515,22 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     crowded = met.where("more is not null").select(F.col("x").alias("set"), F.col("more").alias("token")).distinct()
     crowded = written(crowded.join(late, "set", "left_anti"), "open")
     if crowded.limit(1).count():
-        # only these ask now, and under the wider bitmap at once
-        still = written(crowded.select("set").distinct(), "still")
-        tokens = written(crowded.select("token").distinct(), "tokens")
+        # only these ask now
+        still, tokens = crowded.select("set").distinct(), crowded.select("token").distinct()
+        asked = np.zeros(BUCKETS, bool)
+        asked[tokens.select(F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).distinct().toArrow()["b"].to_numpy()] = True
         asking = (lines.join(lookup(still).withColumn("quiet", F.lit(0)), "set", "left")
                   .withColumn("quiet", F.coalesce("quiet", F.lit(1))))
-        again = (meet(asking, None, tokens).select("x", "y").distinct()
+        rows = key_rows(asking, blocks, asked=asked).join(lookup(tokens), "token", "left_semi")
+        again = (meetings(rows.repartition(parts, "token", "cell"), num, den, None).select("x", "y").distinct()
                  .join(met.select("x", "y"), ["x", "y"], "left_anti"))
-        late = late.unionByName(_late(docs, again, firsts, num, den))
-        forget(tokens)
-    firsts = (firsts.select("set", "n", F.col("doc").alias("fdoc"), F.col("line").alias("fline"))
-              .join(late.withColumn("late", F.lit(True)), "set", "left")
-              .where((F.col("n") > 1) | F.col("late")))
-    after = F.struct("doc", "line") > F.struct(F.col("fdoc").alias("doc"), F.col("fline").alias("line"))
+        again = written(again, "again")
+        late = late.unionByName(_late(docs, again, first_lines(lines, again), num, den))
+    late = late.withColumn("late", F.lit(True))
+    firsts = (lines.groupBy("set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
+              .join(late, "set", "left").where((F.col("n") > 1) | F.col("late")))
     return (lines.select("doc", "body", "line", "set").join(firsts, "set")
-            .where(after | F.col("late")).select("doc", "body", "line").distinct())
+            .where((F.struct("doc", "line") > F.col("first")) | F.col("late")).select("doc", "body", "line").distinct())
 
 
 def _without(text: Column, gone: Column) -> Column:

@@ -1,6 +1,8 @@
 import itertools
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +131,44 @@ def test_only_crowded_keys_meet_again(make_docs, monkeypatch):
     assert again and again <= crowded
 
 
+def test_key_rows_travel_packed(make_docs, monkeypatch):
+    """A shuffled row for each batch of lines and partition, not for each key; few tables are written."""
+    sent, kinds, real, write = [], [], lines.meetings, lines.written
+
+    def spy(rows, num, den, most):
+        if most:
+            sent.append((rows.count(), rows.rdd.getNumPartitions()))
+        return real(rows, num, den, most)
+
+    monkeypatch.setattr(lines, "meetings", spy)
+    monkeypatch.setattr(lines, "written", lambda df, kind: kinds.append(kind) or write(df, kind))
+    rows = list(enumerate(noisy_texts(13, 400, words=(6, 20)))) + ODD
+    docs = make_docs(rows).coalesce(1)
+    assert result(dedup_lines(docs, "r")) == expected(rows)
+    (n, parts), = sent
+    assert n <= 3 * parts
+    assert not {"words", "often", "still"} & set(kinds)
+
+
+def test_packed_rows_come_back(make_docs):
+    rng = np.random.default_rng(3)
+    kinds = list(lines.KEY_ROW.values())
+    rows = [rng.integers(-(1 << 31), 1 << 31, 500).astype(lines.DTYPES[k]) for k in kinds]
+    rows[1] = rng.integers(0, 2, 500)
+    packed = lines._packed(rows, 7)
+    assert packed.num_rows == 7
+    back = lines._unpacked(packed.slice(0, 3)), lines._unpacked(packed.slice(3))
+    assert sorted(zip(*(np.concatenate(x) for x in zip(*back)))) == sorted(zip(*rows))
+    assert not set(zip(*back[0][:2])) & set(zip(*back[1][:2]))  # a token's cell stays together
+
+
+@pytest.mark.parametrize("texts", [[], [None, ""], ["\n\n a\n", "b", "", "c d\ne", " "]])
+def test_words_know_their_line(texts):
+    h, doc, line = lines.line_words(pa.array(texts, pa.string()))
+    assert list(zip(doc.tolist(), line.tolist())) == [(i, j) for i, t in enumerate(texts) for j, p in enumerate((t or "").split("\n")) for _ in p.split()]
+    assert len(h) == len(doc)
+
+
 def test_a_long_text_is_split_once(spark):
     n = 20_000
     text = "\n".join(f"line {i}" for i in range(n))
