@@ -30,8 +30,8 @@ Steps:
 4. Candidates, first each line's earliest, are verified on their whole token
    sets, read again, once for each line concerned, and joined to the pairs; a
    line of many pairs is dealt over several keys.
-5. Lines that had more partners than that and are still undecided meet all of
-   them: only they ask. Only the keys under which a line had more partners are
+5. Lines that had more partners than that and are undecided after the first
+   meet all of them: only they ask. Only the keys under which a line had more partners are
    met again; under its others it has met all.
 
 Any order of tokens gives the same rows; rarity only makes buckets small.
@@ -149,9 +149,26 @@ def _keys(h: np.ndarray, at: np.ndarray, size: np.ndarray, lead: np.ndarray, oft
     return key[order], pos[order], line[order]
 
 
+def _bytes(ends: np.ndarray, numbers: np.ndarray) -> pa.Array:
+    """The numbers between each two ``ends`` as an array of bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * numbers.itemsize).astype(np.int32)), pa.py_buffer(numbers)])
+
+
+def _numbers(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of an array of bytes, and how many each value has."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    offset = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], offset)[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[ends[0]: ends[-1]].view(kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
 def line_table(docs: DataFrame, ranks: np.ndarray, frequent: int, num: int, den: int) -> DataFrame:
     """(doc, body, line, set, size, WIDE_BITS, prefix, place) of every
-    line with words: ``prefix`` its keys, ``place`` their first tokens' positions."""
+    line with words: ``prefix`` its keys, ``place`` their first tokens'
+    positions, both as the bytes of 32-bit numbers."""
     table = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,26 +185,24 @@ def line_table(docs: DataFrame, ranks: np.ndarray, frequent: int, num: int, den:
                 lead = size - -(-num * size // den) + 1
                 lead[size * (den - num) < num] = 0  # so small that only an equal set is similar enough
                 key, pos, owner = _keys(h, at, size, lead, table.value[h >> U(64 - BITS)] >= frequent, num, den)
-                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]), pa.int32())
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc").take(pa.array(doc)), part.column("body").take(pa.array(doc)),
                     pa.array(line.astype(np.int32)), pa.array(_set_keys(h, size)), pa.array(size.astype(np.int32)), *(pa.array(b.view(np.int64)) for b in bits),
-                    pa.ListArray.from_arrays(ends, pa.array((key >> U(32)).astype(np.uint32).view(np.int32))),
-                    pa.ListArray.from_arrays(ends, pa.array(pos.astype(np.int32)))],
+                    _bytes(ends, (key >> U(32)).astype(np.uint32)), _bytes(ends, pos.astype(np.int32))],
                     names=["doc", "body", "line", "set", "size", *WIDE_BITS, "prefix", "place"])
 
     wide = "".join(f"{c} long, " for c in WIDE_BITS)
-    schema = f"doc long, body long, line int, set long, size int, {wide}prefix array<int>, place array<int>"
+    schema = f"doc long, body long, line int, set long, size int, {wide}prefix binary, place binary"
     return docs.select("doc", "body", "text").mapInArrow(run, schema)
 
 
 def _prefix_of(batch: pa.RecordBatch, columns: list[str]):
     """(key, position of its first token, the columns) of each key of a batch of lines."""
-    prefix = batch.column("prefix")
-    lens = np.diff(prefix.offsets.to_numpy()) if len(batch) else np.zeros(0, np.int64)
+    token, lens = _numbers(batch.column("prefix"), np.int32)
+    pos, _ = _numbers(batch.column("place"), np.int32)
     at = np.repeat(np.arange(len(batch)), lens)
-    pos = batch.column("place").flatten().to_numpy().astype(np.int64)
-    return prefix.flatten().to_numpy(), pos, {c: batch.column(c).to_numpy(zero_copy_only=False)[at] for c in columns}
+    return token, pos.astype(np.int64), {c: batch.column(c).to_numpy(zero_copy_only=False)[at] for c in columns}
 
 
 def _bucket(token: np.ndarray) -> np.ndarray:
@@ -222,7 +237,7 @@ def token_blocks(lines: DataFrame, block: int) -> tuple[Blocks, int]:
             held.clear()
 
         for batch in batches:
-            held.append(_bucket(batch.column("prefix").flatten().to_numpy()))
+            held.append(_bucket(_numbers(batch.column("prefix"), np.int32)[0]))
             if sum(map(len, held)) > ROWS_AT_ONCE:
                 add()
         if held:
@@ -230,19 +245,13 @@ def token_blocks(lines: DataFrame, block: int) -> tuple[Blocks, int]:
         keep = np.flatnonzero((counts > 0) & (counts >= share))
         yield pa.RecordBatch.from_arrays([pa.array(keep.astype(np.int32)), pa.array(counts[keep].astype(np.int64))], names=["bucket", "n"])
 
-    got = (lines.select("prefix").where(F.size("prefix") > 0).mapInArrow(run, "bucket int, n long")
+    got = (lines.select("prefix").where(F.octet_length("prefix") > 0).mapInArrow(run, "bucket int, n long")
            .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > block).orderBy("bucket").toArrow())
     bucket, n = got["bucket"].to_numpy().astype(np.int64), got["n"].to_numpy()
     blocks = -(-n // block) + 1
     return (bucket, blocks), int((n * blocks).sum())
 
 
-def _size_pos(col: dict, pos: np.ndarray) -> np.ndarray:
-    """Size, position and whether the line is quiet in one number."""
-    out = col["size"].astype(np.int64) << 32 | pos
-    return out | col["quiet"].astype(np.int64) << QUIET if "quiet" in col else out
-
-
 def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
     """One line for each set: the one of the smallest doc."""
     key, doc = batch.column("set").to_numpy(), batch.column("doc").to_numpy()
@@ -263,8 +272,7 @@ def _packed(rows: list[np.ndarray], parts: int) -> pa.RecordBatch:
     part = part[order]
     start = np.flatnonzero(np.diff(part, prepend=-1))
     ends = np.append(start, len(part))
-    columns = [pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x[order])])
-               for x in rows]
+    columns = [_bytes(ends, x[order]) for x in rows]
     return pa.RecordBatch.from_arrays([pa.array(part[start].astype(np.int32)), *columns], names=["part", *KEY_ROW])
 
 
@@ -273,11 +281,8 @@ def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
     out = []
     for c, kind in KEY_ROW.items():
         column = batch.column(c)
-        if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
-            ends = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)[column.offset: column.offset + len(column) + 1]
-            out.append(np.frombuffer(column.buffers()[2], np.uint8)[ends[0]: ends[-1]].view(DTYPES[kind]))
-        else:
-            out.append(column.to_numpy(zero_copy_only=False))
+        packed = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+        out.append(_numbers(column, DTYPES[kind])[0] if packed else column.to_numpy(zero_copy_only=False))
     return out
 
 
@@ -286,16 +291,14 @@ def key_rows(lines: DataFrame, blocks: Blocks, parts: int = 0, asked: np.ndarray
     several blocks has a row in the cell of each pair of blocks that its set is
     in; side: 0 where a block meets itself, else 1 and 2. ``parts``: packed into
     one row for each of so many partitions. ``asked``: flags of the buckets
-    whose tokens alone are wanted. A column ``quiet`` of 1: the line asks for
-    no partners."""
+    whose tokens alone are wanted."""
     shared = lines.sparkSession.sparkContext.broadcast((blocks, asked))
-    quiet = ["quiet"] if "quiet" in lines.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, asked = shared.value
         for batch in batches:
-            token, pos, col = _prefix_of(_once(batch), ["set", "size", "doc", *quiet, *WIDE_BITS])
-            rows = [token, col["set"], _size_pos(col, pos), col["doc"], *(col[c] for c in WIDE_BITS)]
+            token, pos, col = _prefix_of(_once(batch), ["set", "size", "doc", *WIDE_BITS])
+            rows = [token, col["set"], col["size"].astype(np.int64) << 32 | pos, col["doc"], *(col[c] for c in WIDE_BITS)]
             if asked is not None:
                 mine = asked[_bucket(token)]
                 rows = [x[mine] for x in rows]
@@ -319,7 +322,7 @@ def key_rows(lines: DataFrame, blocks: Blocks, parts: int = 0, asked: np.ndarray
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, cell, side, *rest)], names=list(KEY_ROW))
 
     schema = ", ".join(f"{c} {'binary' if parts else kind}" for c, kind in KEY_ROW.items())
-    return lines.select("doc", "set", "size", "prefix", "place", *quiet, *WIDE_BITS).where(F.size("prefix") > 0).mapInArrow(
+    return lines.select("doc", "set", "size", "prefix", "place", *WIDE_BITS).where(F.octet_length("prefix") > 0).mapInArrow(
         run, f"part int, {schema}" if parts else schema)
 
 
@@ -511,21 +514,21 @@ def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     late = _late(docs, best, firsts, num, den)
     undecided = met.join(late.withColumnRenamed("set", "x"), "x", "left_anti")
     rest = undecided.select("x", "y").distinct().join(best, ["x", "y"], "left_anti")
-    late = late.unionByName(_late(docs, rest, firsts, num, den))
-    crowded = met.where("more is not null").select(F.col("x").alias("set"), F.col("more").alias("token")).distinct()
-    crowded = written(crowded.join(late, "set", "left_anti"), "open")
+    crowded = written(undecided.where("more is not null").select(F.col("x").alias("set"), F.col("more").alias("token")).distinct(), "open")
     if crowded.limit(1).count():
         # only these ask now
         still, tokens = crowded.select("set").distinct(), crowded.select("token").distinct()
         asked = np.zeros(BUCKETS, bool)
         asked[tokens.select(F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).distinct().toArrow()["b"].to_numpy()] = True
-        asking = (lines.join(lookup(still).withColumn("quiet", F.lit(0)), "set", "left")
-                  .withColumn("quiet", F.coalesce("quiet", F.lit(1))))
-        rows = key_rows(asking, blocks, asked=asked).join(lookup(tokens), "token", "left_semi")
+        quiet = F.when(F.col("asks"), F.lit(0)).otherwise(F.lit(1 << QUIET))
+        rows = (key_rows(lines, blocks, asked=asked).join(lookup(tokens), "token", "left_semi")
+                .join(lookup(still.withColumn("asks", F.lit(True))), "set", "left")
+                .withColumn("size_pos", F.col("size_pos").bitwiseOR(quiet)).select(*KEY_ROW))
         again = (meetings(rows.repartition(parts, "token", "cell"), num, den, None).select("x", "y").distinct()
                  .join(met.select("x", "y"), ["x", "y"], "left_anti"))
-        again = written(again, "again")
-        late = late.unionByName(_late(docs, again, first_lines(lines, again), num, den))
+        rest = written(rest.unionByName(again), "rest")
+        firsts = first_lines(lines, rest)
+    late = late.unionByName(_late(docs, rest, firsts, num, den))
     late = late.withColumn("late", F.lit(True))
     firsts = (lines.groupBy("set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
               .join(late, "set", "left").where((F.col("n") > 1) | F.col("late")))
